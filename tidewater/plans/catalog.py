@@ -34,7 +34,7 @@ from tidewater.operators.clean import (
 )
 from tidewater.operators.encode import encode_csv_line, encode_json
 from tidewater.operators.lifecycle import alert_events, alert_windows, retain
-from tidewater.operators.parse import apply_mapping, infer_rows, parse_raw, route_failures
+from tidewater.operators.parse import JSON_TS_OPTIONS, apply_mapping, infer_rows, parse_raw, route_failures
 from tidewater.plans import fixtures as fx
 from tidewater.session import work_path
 from tidewater.sinks.tables import append_table, deliver_direct, stage_csv, stage_json
@@ -195,9 +195,7 @@ def q_apply_mapping_csv(spark, sf):
 def q_encode_json(spark, sf):
     """T4 by value: encode the cleaned events, decode with the same schema."""
     ev = clean_events(fx.sparse_events(spark, sf, with_ts=True))
-    enc = encode_json(ev, keep=("event_id",))
-    from tidewater.operators.parse import JSON_TS_OPTIONS
-
+    enc = encode_json(ev)
     dec = enc.select(F.from_json("payload", ev.schema, JSON_TS_OPTIONS).alias("e")).select("e.*")
     return _cleaned_view(dec)
 
@@ -307,10 +305,9 @@ def q_append_table(spark, sf):
 
 
 def q_deliver_direct(spark, sf):
-    """K5 as a stream: events file -> clean -> append (no staging)."""
-    src = f"{sf.rstrip('/')}/events.parquet"
+    """K5 as a stream: the events file -> clean -> append (no staging)."""
     schema = fx.table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).parquet(src)
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     target = work_path(spark, "direct")
     deliver_direct(clean_events(tag_run(stream, RUN_ID)), target, checkpoint=work_path(spark, "direct-ckpt"))
     return spark.read.parquet(target).select("event_id", "event_type", "run_id")

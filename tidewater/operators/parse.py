@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -120,21 +121,40 @@ def apply_mapping(
     """Project a text payload to destination columns by a mapping.
 
     ``mapping`` is a list of ``(column, path_or_ordinal, type)``:
-      kind ``json`` -> path is a JSONPath such as ``$.a.b``;
+      kind ``json`` -> path is a JSONPath such as ``$.a`` or ``$.a.b[0]``;
       kind ``csv``  -> ordinal is the 0-based field number.
     Values that do not fit the type become null (``try_cast``), never an error.
+
+    The payload is parsed once per row: top-level JSON keys come from one
+    ``from_json`` into STRING fields (numbers keep their text, objects their
+    JSON, exactly as ``get_json_object`` returns them); CSV records from one
+    ``from_csv``.  The record is projected in its own step so that the
+    optimizer does not clone the parser into every output column.
     """
+    keep = list(keep)
     src = F.col(source_col)
-    out = [F.col(k) for k in keep]
+    rec = "_tw_rec"
     if kind == "json":
+        top = {}
+        for _, path, _ in mapping:
+            m = _TOP_LEVEL.fullmatch(str(path))
+            if m:
+                top.setdefault(m.group(1), None)
+        rec_schema = StructType([StructField(k, StringType(), True) for k in top])
+        stage = df.select(*keep, src.alias("_tw_src"), F.from_json(src, rec_schema).alias(rec))
+        out = []
         for name, path, dtype in mapping:
-            out.append(F.get_json_object(src, str(path)).try_cast(dtype).alias(name))
+            m = _TOP_LEVEL.fullmatch(str(path))
+            value = F.col(rec).getField(m.group(1)) if m else F.get_json_object(F.col("_tw_src"), str(path))
+            out.append(value.try_cast(dtype).alias(name))
     elif kind == "csv":
         width = max(int(o) for _, o, _ in mapping) + 1
         ddl = ", ".join(f"_c{i} STRING" for i in range(width))
-        rec = F.from_csv(src, ddl, csv_options or {})
-        for name, ordinal, dtype in mapping:
-            out.append(rec.getField(f"_c{int(ordinal)}").try_cast(dtype).alias(name))
+        stage = df.select(*keep, F.from_csv(src, ddl, csv_options or {}).alias(rec))
+        out = [F.col(rec).getField(f"_c{int(o)}").try_cast(dtype).alias(name) for name, o, dtype in mapping]
     else:
         raise ValueError(f"unknown mapping kind {kind!r}")
-    return df.select(*out)
+    return stage.select(*[F.col(k) for k in keep], *out)
+
+
+_TOP_LEVEL = re.compile(r"\$\.([A-Za-z_][A-Za-z0-9_]*)")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.text import is_blank
 from tidewater.operators.account import delivery_summary, search_funnel
 from tidewater.operators.batch import (
+    DEFAULT_MAX_BYTES,
     assign_byte_batch,
     assign_count_batch,
     assign_time_batch,
@@ -96,11 +97,11 @@ def q_stage_csv(spark, sf):
 
 
 def _staged_events(spark, sf, path):
-    """C5-cleaned sparse events, rotated into 64 KiB batches per event type, staged as gzip JSON."""
+    """C5-cleaned sparse events, rotated into 5 MiB batches per event type, staged as gzip JSON."""
     ev = clean_events(fx.sparse_events(spark, sf, with_ts=True))
     payload = F.to_json(F.struct(*[F.col(c) for c in ev.columns]))
     batched = assign_byte_batch(
-        ev, payload, ["ts", "event_id"], ["event_type"], max_bytes=64 * 1024,
+        ev, payload, ["ts", "event_id"], ["event_type"], max_bytes=DEFAULT_MAX_BYTES,
         chunk=order_chunk("ts", 86_400_000_000, kind="timestamp"),
     )
     stage_json(batched, path, batch_cols=("event_type", "batch_id"))

@@ -48,7 +48,7 @@ from tidewater.sources.files import (
 )
 from tidewater.sources.search import explode_results, search_head
 from tidewater.streaming.intake import stage_intake
-from tidewater.streaming.load import committed_rows, load_staged
+from tidewater.streaming.load import committed_rows, load_ledger, load_staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -323,6 +323,22 @@ def q_load_staged(spark, sf):
     return _cleaned_view(committed_rows(spark, target))
 
 
+def q_alert_delivery(spark, sf):
+    """Alert action, durable mode: clean -> tag run -> stage -> load once ->
+    per-run delivery account from the load ledger (A2 over real deliveries)."""
+    staged = work_path(spark, "alert-staged")
+    ev = tag_run(clean_events(fx.sparse_events(spark, sf, with_ts=True), "1"), RUN_ID)
+    payload = F.to_json(F.struct(*[F.col(c) for c in ev.columns]))
+    batched = assign_byte_batch(
+        ev, payload, ["ts", "event_id"], ["event_type"], chunk=order_chunk("ts", 86_400_000_000, kind="timestamp")
+    )
+    stage_json(batched, staged, batch_cols=("event_type", "batch_id"))
+    target = work_path(spark, "alert-target")
+    load_staged(spark, staged, target, ev.schema, checkpoint=work_path(spark, "alert-ckpt"), run_id=RUN_ID)
+    account = delivery_summary(load_ledger(spark, target), ts_col="ts", count_col="rows")
+    return account.select("run_id", "sent", "failed")
+
+
 def q_stream_intake(spark, sf):
     """Forwarder: raw text files -> stream (blank lines dropped) -> staged CSV -> read back."""
     raw = work_path(spark, "intake-raw")
@@ -374,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "append_table": q_append_table,
     "deliver_direct": q_deliver_direct,
     "load_staged": q_load_staged,
+    "alert_delivery": q_alert_delivery,
     "stream_intake": q_stream_intake,
     "backfill": q_backfill,
 }

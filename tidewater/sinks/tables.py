@@ -32,12 +32,16 @@ def append_routed(df: DataFrame, target: str, corrupt_col: str = "_corrupt", fmt
 
 
 def stage_json(df: DataFrame, path: str, batch_cols: Sequence[str] = ("batch_id",),
-               cluster: bool = True) -> None:
+               cluster: bool = False) -> None:
     """K2: durable mode -- write gzip JSON lines, one folder per batch.
 
-    With ``cluster`` the rows are first hash-partitioned on the batch columns,
-    so each batch is one file written by one task (gzip files cannot be
-    split; B1 bounds their size).  Timestamps keep microseconds.
+    The output of :func:`assign_byte_batch` is already clustered: its window
+    leaves each task holding whole (key, chunk) runs in order, so a batch is
+    written by one task, or two at a chunk edge, without another shuffle.
+    For input that is not clustered that way pass ``cluster=True`` to
+    hash-partition on the batch columns first (one file per batch; gzip
+    files cannot be split, B1 bounds their size).  Timestamps keep
+    microseconds.
     """
     out = df.repartition(*batch_cols) if (cluster and batch_cols) else df
     w = out.write.mode("append").option("compression", "gzip").options(**JSON_TS_OPTIONS)

@@ -27,6 +27,7 @@ from tidewater.operators.batch import (
     assign_byte_batch,
     assign_count_batch,
     assign_time_batch,
+    order_chunk,
     tag_run,
 )
 from tidewater.operators.encode import encode_csv_line, encode_json

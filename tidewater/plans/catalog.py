@@ -35,7 +35,7 @@ from tidewater.operators.clean import (
 )
 from tidewater.operators.encode import encode_csv_line, encode_json
 from tidewater.operators.lifecycle import alert_events, alert_windows, retain
-from tidewater.operators.parse import JSON_TS_OPTIONS, apply_mapping, infer_rows, parse_raw, route_failures
+from tidewater.operators.parse import JSON_TS_OPTIONS, apply_mapping, infer_rows, parse_raw, route_label
 from tidewater.plans import fixtures as fx
 from tidewater.session import work_path
 from tidewater.sinks.tables import append_table, deliver_direct, stage_csv, stage_json
@@ -148,12 +148,15 @@ def q_parse_raw(spark, sf):
 
 
 def q_route_failures(spark, sf):
+    """D1 in one pass: every row labelled good/dead (what ``append_routed`` writes);
+    the good rows keep the parsed value, the dead rows their original text."""
     parsed = parse_raw(fx.raw_payloads(spark, sf), "k INT", "_raw", mode="permissive")
-    good, dead = route_failures(parsed)
-    return good.select(
-        "event_id", F.lit("good").alias("route"), F.col("parsed.k").alias("k"), F.lit(None).cast("string").alias("raw")
-    ).unionByName(
-        dead.select("event_id", F.lit("dead").alias("route"), F.lit(None).cast("int").alias("k"), F.col("_corrupt").alias("raw"))
+    good = F.col("_corrupt").isNull()
+    return parsed.select(
+        "event_id",
+        route_label().alias("route"),
+        F.when(good, F.col("parsed.k")).alias("k"),
+        F.when(~good, F.col("_corrupt")).alias("raw"),
     )
 
 

@@ -30,6 +30,21 @@ def test_chunked_prefix_sum_equals_plain_window(spark):
     assert bad == 0
 
 
+def test_auto_chunks_equal_plain_window(spark):
+    df = _skewed(spark)
+    got = running_before(df, F.octet_length("payload"), "id", "key", chunk="auto", out_col="got", n_chunks=37)
+    want = _plain_before(df, F.octet_length("payload")).select("id", "want")
+    assert got.join(want, "id").where(F.col("got") != F.col("want")).count() == 0
+    assert got.count() == df.count()
+
+
+def test_auto_chunks_on_timestamps(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    auto = assign_count_batch(df, ["ts", "event_id"], "event_type", n=7)
+    plain = assign_count_batch(df, ["ts", "event_id"], "event_type", n=7, chunk=None)
+    assert auto.select("event_id", "batch_id").exceptAll(plain.select("event_id", "batch_id")).count() == 0
+
+
 def test_byte_batches_bounded_and_monotone(spark):
     df = _skewed(spark)
     max_bytes = 20_000
@@ -41,7 +56,7 @@ def test_byte_batches_bounded_and_monotone(spark):
     w = Window.partitionBy("key").orderBy("batch_id")
     overlap = per.withColumn("prev_hi", F.lag("hi").over(w)).where(F.col("lo") < F.col("prev_hi")).count()
     assert overlap == 0
-    plain = assign_byte_batch(df, "payload", "id", "key", max_bytes=max_bytes)
+    plain = assign_byte_batch(df, "payload", "id", "key", max_bytes=max_bytes, chunk=None)
     assert b.select("id", "batch_id").exceptAll(plain.select("id", "batch_id")).count() == 0
 
 

@@ -16,7 +16,15 @@ parallel instead (classic two-level scan):
 5. within each (key, chunk) an ordinary running window adds the rest.
 
 Each task holds one chunk, never a whole key.  The result equals the plain
-window exactly (ties must be broken by ``order_by``).
+window exactly (ties must be broken by ``order_by``), whatever the chunking,
+so the chunk only decides the work split, never the answer.
+
+``chunk="auto"`` (the default) splits the first order column at approximate
+quantiles: the split points are a bounded list (``n_chunks`` numbers), and
+Spark ML's ``Bucketizer`` assigns chunks by binary search inside the JVM.  A
+(key, chunk) group then holds at most about ``rows / n_chunks`` rows even
+when one key holds a third of the data.  A Column may be given instead (see
+:func:`order_chunk`); ``chunk=None`` is the plain window.
 """
 
 from __future__ import annotations
@@ -42,6 +50,34 @@ def order_chunk(order_col: str | Column, width: int | float, kind: str = "number
     return F.floor(c / F.lit(width))
 
 
+def _order_value(df: DataFrame, name: str) -> Column:
+    """The first order column as a double (timestamps as epoch microseconds)."""
+    dtype = df.schema[name].dataType.simpleString()
+    c = F.col(name)
+    if dtype.startswith("timestamp") or dtype == "date":
+        c = F.unix_micros(c.cast("timestamp"))
+    return c.cast("double")
+
+
+def _with_auto_chunk(df: DataFrame, order_col: str, n_chunks: int | None, out_col: str) -> DataFrame:
+    from pyspark.ml.feature import Bucketizer
+
+    spark = df.sparkSession
+    if n_chunks is None:
+        n_chunks = max(16, 2 * spark.sparkContext.defaultParallelism)
+    tmp = "_tw_ordv"
+    with_v = df.withColumn(tmp, _order_value(df, order_col))
+    probs = [i / n_chunks for i in range(1, n_chunks)]
+    cuts = []
+    if probs:
+        # one aggregate (partial per task, merged once); the result is n_chunks - 1 numbers
+        row = with_v.select(F.percentile_approx(tmp, probs, max(10_000, 8 * n_chunks)).alias("q")).first()
+        cuts = list(row["q"] or [])
+    splits = [float("-inf")] + sorted({c for c in cuts if c is not None}) + [float("inf")]
+    bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol=out_col, handleInvalid="keep").transform(with_v)
+    return bucketed.withColumn(out_col, F.col(out_col).cast("long")).drop(tmp)
+
+
 def _cols(names: Sequence[str] | str | None) -> list[str]:
     if names is None:
         return []
@@ -53,8 +89,9 @@ def running_before(
     weight: Column,
     order_by: Sequence[str] | str,
     partition_by: Sequence[str] | str,
-    chunk: Column | None = None,
+    chunk: Column | str | None = "auto",
     out_col: str = "_before",
+    n_chunks: int | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = sum of ``weight`` over earlier rows of the same partition."""
     keys = _cols(partition_by)
@@ -66,7 +103,15 @@ def running_before(
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return base.withColumn(out_col, F.coalesce(F.sum("_tw_w").over(w), F.lit(0))).drop("_tw_w")
 
-    base = base.withColumn("_tw_chunk", chunk)
+    if isinstance(chunk, str):
+        if chunk != "auto":
+            raise ValueError(f"unknown chunk mode {chunk!r}")
+        first = order[0]
+        if not isinstance(first, str):
+            raise ValueError("chunk='auto' needs the first order column by name")
+        base = _with_auto_chunk(base, first, n_chunks, "_tw_chunk")
+    else:
+        base = base.withColumn("_tw_chunk", chunk)
     totals = base.groupBy(*keys, "_tw_chunk").agg(F.sum("_tw_w").alias("_tw_cw"))
     w_tot = Window.partitionBy(*keys).orderBy("_tw_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -90,8 +135,9 @@ def assign_byte_batch(
     order_by: Sequence[str] | str,
     partition_by: Sequence[str] | str,
     max_bytes: int = DEFAULT_MAX_BYTES,
-    chunk: Column | None = None,
+    chunk: Column | str | None = "auto",
     out_col: str = "batch_id",
+    n_chunks: int | None = None,
 ) -> DataFrame:
     """B1: batch number by running payload bytes; a new batch starts once the
     bytes *before* a row reach the next multiple of ``max_bytes``.
@@ -100,7 +146,9 @@ def assign_byte_batch(
     and parallel; each batch holds at most ``max_bytes`` plus one event.
     """
     p = F.col(payload) if isinstance(payload, str) else payload
-    out = running_before(df, F.coalesce(F.octet_length(p), F.lit(0)), order_by, partition_by, chunk, "_tw_before")
+    out = running_before(
+        df, F.coalesce(F.octet_length(p), F.lit(0)), order_by, partition_by, chunk, "_tw_before", n_chunks
+    )
     return out.withColumn(out_col, F.floor(F.col("_tw_before") / F.lit(max_bytes))).drop("_tw_before")
 
 
@@ -109,11 +157,12 @@ def assign_count_batch(
     order_by: Sequence[str] | str,
     partition_by: Sequence[str] | str,
     n: int = DEFAULT_BATCH_ROWS,
-    chunk: Column | None = None,
+    chunk: Column | str | None = "auto",
     out_col: str = "batch_id",
+    n_chunks: int | None = None,
 ) -> DataFrame:
     """Batch number = (row position within partition) div n."""
-    out = running_before(df, F.lit(1), order_by, partition_by, chunk, "_tw_before")
+    out = running_before(df, F.lit(1), order_by, partition_by, chunk, "_tw_before", n_chunks)
     return out.withColumn(out_col, F.floor(F.col("_tw_before") / F.lit(n))).drop("_tw_before")
 
 

@@ -235,9 +235,7 @@ def q_drop_blank_lines(spark, sf):
 
 def q_assign_byte_batch(spark, sf):
     docs = fx.table(spark, sf, "documents")
-    b = assign_byte_batch(
-        docs, "text", "doc_id", "source", max_bytes=256 * 1024, chunk=order_chunk("doc_id", 250)
-    )
+    b = assign_byte_batch(docs, "text", "doc_id", "source", max_bytes=256 * 1024)
     return b.groupBy("source", "batch_id").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.sum(F.octet_length("text")).cast("long").alias("n_bytes"),
@@ -248,9 +246,7 @@ def q_assign_byte_batch(spark, sf):
 
 def q_assign_count_batch(spark, sf):
     orders = fx.table(spark, sf, "orders")
-    b = assign_count_batch(
-        orders, "o_orderkey", "o_orderpriority", n=1000, chunk=order_chunk("o_orderkey", 2000)
-    )
+    b = assign_count_batch(orders, "o_orderkey", "o_orderpriority", n=1000)
     return b.groupBy("o_orderpriority", "batch_id").agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.min("o_orderkey").alias("first_key"),

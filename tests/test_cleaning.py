@@ -172,3 +172,25 @@ def test_rule_table_lists_and_nesting(spark):
     assert r["l"] == ["x"] and r["l1"] == [] and r["n"]["a"] is None
     r = drop_mv_fields(df).first()
     assert r["l"] == ["", None, "x"] and r["l1"] == [""]
+
+
+STRUCT_RULES = [
+    '{"a":null,"b":0,"c":false}',
+    '{"l":["",null,"x"]}',
+    '{"l":[""]}',
+    '{"n":{"a":""}}',
+    '{"_raw":"r","n":{"_raw":"r","x":1}}',
+    '{"l":[{"__mv_a":"1"},{"_raw":""}]}',
+    '{"__mv_a":"","__mv_b":"x","k":" "}',
+]
+
+
+@pytest.mark.parametrize("src", STRUCT_RULES)
+def test_rule_table_struct_form(spark, src):
+    df = spark.read.json(spark.sparkContext.parallelize([src]))
+    data = json.loads(src)
+    for op, fn in [(drop_mv_fields, model.c1), (drop_empty_fields, model.c2), (drop_empty_mv_fields, model.c3),
+                   (drop_raw_field, model.c4), (clean_events, model.c5)]:
+        out = op(df)
+        got = _to_py(out.first()) if out.columns else {}
+        assert got == _fill(fn(data), out.schema), (op.__name__, src)

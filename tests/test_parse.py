@@ -62,3 +62,21 @@ def test_search_head_plan_pushes_filter_and_takes_ordered(spark):
     assert q.count() == 50
     capped = search_head(ev, None, 50, ["event_id"], cap=10)
     assert capped.count() == 10
+
+
+def test_infer_rows_on_empty_input_gives_empty_frame(spark):
+    df = spark.createDataFrame([], "j string")
+    assert infer_rows(df, "j").count() == 0
+
+
+def test_append_routed_one_scan(spark, tmp_path):
+    from tidewater.sinks.tables import append_routed
+
+    parsed = parse_raw(_raws(spark), "k INT", mode="deadletter")
+    target = str(tmp_path / "routed")
+    append_routed(parsed, target)
+    back = spark.read.parquet(target)
+    counts = {r.route: r["count"] for r in back.groupBy("route").count().collect()}
+    assert counts == {"good": 2, "dead": 5}
+    dead_text = {r._corrupt for r in back.where("route = 'dead'").collect()}
+    assert "not json" in dead_text

@@ -40,7 +40,9 @@ def parse_raw(
       ``failfast``   any missing or malformed payload fails the job (the
                      reference behaviour);
       ``permissive`` bad payloads give a null ``out_col`` and the original text
-                     in ``_corrupt`` (ready for :func:`route_failures`).
+                     in ``_corrupt`` (ready for :func:`route_failures`);
+      ``deadletter`` the same as ``permissive`` (the name used by the
+                     delivery jobs that route bad events to a dead-letter table).
     An empty or missing payload counts as bad.  Duplicate keys: last wins.
     """
     st = _schema(schema)
@@ -52,7 +54,7 @@ def parse_raw(
             F.raise_error(F.concat(F.lit("unparseable payload in "), F.lit(raw_col))),
         ).otherwise(parsed)
         return df.withColumn(out_col, checked)
-    if mode != "permissive":
+    if mode not in ("permissive", "deadletter"):
         raise ValueError(f"unknown mode {mode!r}")
     with_corrupt = StructType(st.fields + [StructField(CORRUPT_COL, StringType(), True)])
     parsed = F.from_json(

@@ -37,6 +37,7 @@ from tidewater.operators.encode import encode_csv_line, encode_json
 from tidewater.operators.lifecycle import alert_events, alert_windows, retain
 from tidewater.operators.parse import JSON_TS_OPTIONS, apply_mapping, infer_rows, parse_raw, route_label
 from tidewater.plans import fixtures as fx
+from tidewater.plans.programs import alert_action, backfill, forwarder
 from tidewater.session import work_path
 from tidewater.sinks.tables import append_table, deliver_direct, stage_csv, stage_json
 from tidewater.sources.files import (
@@ -325,19 +326,39 @@ def q_load_staged(spark, sf):
 def q_alert_delivery(spark, sf):
     """Alert action, durable mode: clean -> tag run -> stage -> load once ->
     per-run delivery account from the load ledger (A2 over real deliveries)."""
-    staged = work_path(spark, "alert-staged")
-    ev = tag_run(clean_events(fx.sparse_events(spark, sf, with_ts=True), "1"), RUN_ID)
-    payload = F.to_json(F.struct(*[F.col(c) for c in ev.columns]))
-    batched = assign_byte_batch(
-        ev, payload, ["ts", "event_id"], ["event_type"], chunk=order_chunk("ts", 86_400_000_000, kind="timestamp")
+    account = alert_action(
+        fx.sparse_events(spark, sf, with_ts=True),
+        work_path(spark, "alert-target"),
+        RUN_ID,
+        durable="1",
+        remove_extra_fields="1",
+        order_by=("ts", "event_id"),
+        partition_by=("event_type",),
+        staging_dir=work_path(spark, "alert-staged"),
+        checkpoint=work_path(spark, "alert-ckpt"),
+    )
+    return account.select("run_id", "sent", "failed")
+
+
+def q_alert_direct(spark, sf):
+    """Alert action, direct mode (no staging), events cleaned."""
+    account = alert_action(
+        fx.sparse_events(spark, sf, with_ts=True), work_path(spark, "alert-direct"), RUN_ID, durable="0"
     )
-    stage_json(batched, staged, batch_cols=("event_type", "batch_id"))
-    target = work_path(spark, "alert-target")
-    load_staged(spark, staged, target, ev.schema, checkpoint=work_path(spark, "alert-ckpt"), run_id=RUN_ID)
-    account = delivery_summary(load_ledger(spark, target), ts_col="ts", count_col="rows")
     return account.select("run_id", "sent", "failed")
 
 
+def q_forwarder(spark, sf):
+    """Forwarder end to end: raw text -> intake stream -> staged CSV -> exactly-once load."""
+    raw = work_path(spark, "fwd-raw")
+    fx.raw_text(spark, sf).select(F.col("raw").alias("value")).write.text(raw)
+    rows = forwarder(
+        spark, raw, work_path(spark, "fwd-staged"), work_path(spark, "fwd-target"),
+        work_path(spark, "fwd-intake-ckpt"), work_path(spark, "fwd-load-ckpt"),
+    )
+    return rows.select("line")
+
+
 def q_stream_intake(spark, sf):
     """Forwarder: raw text files -> stream (blank lines dropped) -> staged CSV -> read back."""
     raw = work_path(spark, "intake-raw")
@@ -348,11 +369,9 @@ def q_stream_intake(spark, sf):
 
 
 def q_backfill(spark, sf):
-    """Backfill job: head 50 errors -> strip/parse payloads -> inferred table."""
-    ev = fx.table(spark, sf, "events")
-    head = search_head(ev, ERROR(), 50, NEWEST_FIRST()).select("event_id")
-    js = fx.event_json(spark, sf, keep=("event_id",)).join(head, "event_id", "left_semi")
-    return infer_rows(js, "json")
+    """Backfill job: head 50 errors -> strip/parse payloads -> inferred table -> append."""
+    js = fx.event_json(spark, sf, keep=("ts", "event_id", "event_type"))
+    return backfill(js, ERROR(), 50, NEWEST_FIRST(), raw_col="json", target=work_path(spark, "backfill"))
 
 
 QUERIES: dict[str, Query] = {
@@ -390,6 +409,8 @@ QUERIES: dict[str, Query] = {
     "deliver_direct": q_deliver_direct,
     "load_staged": q_load_staged,
     "alert_delivery": q_alert_delivery,
+    "alert_direct": q_alert_direct,
+    "forwarder": q_forwarder,
     "stream_intake": q_stream_intake,
     "backfill": q_backfill,
 }

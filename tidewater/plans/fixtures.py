@@ -14,8 +14,19 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 PATH_VALUE = "array<struct<path:string,value:string>>"
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The given table (lazy).  The resolved relation is reused per session so
+    that repeated queries do not list files and read footers again."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
 def _id(c: str = "event_id") -> Column:

@@ -247,6 +247,14 @@ SELECT event_id, event_type, 'run-0001' AS run_id FROM events
     "load_staged": _CLEANED_VIEW,
     "alert_delivery": """
 SELECT 'run-0001' AS run_id, count(*) AS sent, CAST(0 AS BIGINT) AS failed FROM events
+""",
+    "alert_direct": """
+SELECT 'run-0001' AS run_id, count(*) AS sent, CAST(0 AS BIGINT) AS failed FROM events
+""",
+    "forwarder": f"""
+WITH {_RAW_TEXT},
+l AS (SELECT unnest(string_split(raw, chr(10))) AS line FROM raw_text)
+SELECT line FROM l WHERE NOT regexp_full_match(line, '{_WS}*')
 """,
     "stream_intake": f"""
 WITH {_RAW_TEXT},

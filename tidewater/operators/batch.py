@@ -10,9 +10,10 @@ parallel instead (classic two-level scan):
 2. per (key, chunk) totals -- a partial+final aggregate, tiny output;
 3. per key, an exclusive running sum over the chunk totals (window on the
    tiny table) gives each chunk's offset;
-4. the offsets are joined back on (key, chunk) -- AQE turns this into a
-   broadcast join when the measured offsets stage is small, else it stays a
-   shuffle join whose partitioning the in-chunk window reuses;
+4. the offsets are joined back on (key, chunk) -- broadcast
+   when the planner's estimate or AQE's measured size is small, else a
+   shuffle join whose partitioning the in-chunk window reuses (the large
+   side is shuffled exactly once either way);
 5. within each (key, chunk) an ordinary running window adds the rest.
 
 Each task holds one chunk, never a whole key.  The result equals the plain
@@ -112,21 +113,62 @@ def running_before(
         base = _with_auto_chunk(base, first, n_chunks, "_tw_chunk")
     else:
         base = base.withColumn("_tw_chunk", chunk)
-    totals = base.groupBy(*keys, "_tw_chunk").agg(F.sum("_tw_w").alias("_tw_cw"))
-    w_tot = Window.partitionBy(*keys).orderBy("_tw_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(k).alias(f"_tw_k{i}") for i, k in enumerate(keys)],
-        F.col("_tw_chunk").alias("_tw_oc"),
-        F.coalesce(F.sum("_tw_cw").over(w_tot), F.lit(0)).alias("_tw_off"),
+    # The join and the in-chunk window use the same plain, non-null columns
+    # (value-or-default, is-null) per key plus the chunk, so no null-safe
+    # rewrite changes the join's hash keys: both require the same hash
+    # partitioning and the large side is shuffled once whether the join is
+    # broadcast or not.  Null keys and null chunks still match exactly.
+    jcols: list[str] = []
+    for i, k in enumerate([*keys, "_tw_chunk"]):
+        dtype = base.schema[k].dataType
+        base = base.withColumn(f"_tw_v{i}", F.coalesce(F.col(k), _default_of(dtype))).withColumn(
+            f"_tw_n{i}", F.col(k).isNull()
+        )
+        jcols += [f"_tw_v{i}", f"_tw_n{i}"]
+    # carry each key once: the stand-in pair replaces it until the end
+    restorable = [k for k in keys if k not in order]
+    base = base.drop("_tw_chunk", *restorable)
+    kcols, ccols = jcols[:-2], jcols[-2:]
+    totals = base.groupBy(*jcols).agg(F.sum("_tw_w").alias("_tw_cw"))
+    # null chunks (null order values) sort first, as in the ascending order
+    w_tot = (
+        Window.partitionBy(*kcols)
+        .orderBy(F.col(ccols[1]).desc(), F.col(ccols[0]))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    cond = F.col("_tw_chunk").eqNullSafe(F.col("_tw_oc"))
+    offsets = totals.select(*jcols, F.coalesce(F.sum("_tw_cw").over(w_tot), F.lit(0)).alias("_tw_off"))
+    joined = base.join(offsets, jcols, "inner")
+    w_in = Window.partitionBy(*jcols).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = joined.withColumn(out_col, F.col("_tw_off") + F.coalesce(F.sum("_tw_w").over(w_in), F.lit(0)))
     for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_tw_k{i}"))
-    joined = base.join(offsets, cond, "inner").drop(*[f"_tw_k{i}" for i in range(len(keys))], "_tw_oc")
-    w_in = Window.partitionBy(*keys, "_tw_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return joined.withColumn(
-        out_col, F.col("_tw_off") + F.coalesce(F.sum("_tw_w").over(w_in), F.lit(0))
-    ).drop("_tw_w", "_tw_chunk", "_tw_off")
+        if k in restorable:
+            out = out.withColumn(k, F.when(~F.col(f"_tw_n{i}"), F.col(f"_tw_v{i}")))
+    return out.select(*df.columns, out_col)
+
+
+def _default_of(dtype) -> Column:
+    """A non-null stand-in value of ``dtype`` (paired with an is-null flag)."""
+    from pyspark.sql.types import (
+        BinaryType,
+        BooleanType,
+        DateType,
+        NumericType,
+        StringType,
+        TimestampNTZType,
+        TimestampType,
+    )
+
+    if isinstance(dtype, StringType):
+        return F.lit("")
+    if isinstance(dtype, NumericType):
+        return F.lit(0).cast(dtype)
+    if isinstance(dtype, BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        return F.lit("1970-01-01").cast(dtype)
+    if isinstance(dtype, BinaryType):
+        return F.lit(b"")
+    raise TypeError(f"unsupported partition key type {dtype.simpleString()}")
 
 
 def assign_byte_batch(

@@ -89,3 +89,15 @@ def test_unpartitioned_running_total_is_refused(spark):
 
     with pytest.raises(ValueError):
         running_before(spark.range(3), F.lit(1), "id", [])
+
+
+def test_auto_chunks_bound_the_hot_key(spark):
+    from tidewater.operators.batch import _with_auto_chunk
+
+    df = _skewed(spark, n=30000)
+    n_chunks = 20
+    chunked = _with_auto_chunk(df, "id", n_chunks, "c")
+    biggest = chunked.groupBy("key", "c").count().agg(F.max("count")).first()[0]
+    hot_rows = df.where("key = 'hot'").count()
+    assert hot_rows > 10000
+    assert biggest <= 1.5 * 30000 / n_chunks

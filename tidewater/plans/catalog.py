@@ -255,6 +255,20 @@ def q_assign_count_batch(spark, sf):
     )
 
 
+def q_assign_count_batch_lineitem(spark, sf):
+    """B3 at the largest table: two status values share all rows (hot keys)."""
+    li = fx.table(spark, sf, "lineitem")
+    b = assign_count_batch(li, ["l_shipdate", "l_orderkey", "l_linenumber"], "l_linestatus", n=1000)
+    return b.groupBy("l_linestatus", "batch_id").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.min("l_shipdate").alias("first_ship"),
+        F.max("l_shipdate").alias("last_ship"),
+        F.sum("l_orderkey").alias("orderkey_sum"),
+    ).withColumn("first_ship", F.date_format("first_ship", "yyyy-MM-dd")).withColumn(
+        "last_ship", F.date_format("last_ship", "yyyy-MM-dd")
+    )
+
+
 def q_assign_time_batch(spark, sf):
     ev = fx.table(spark, sf, "events")
     return assign_time_batch(ev, "ts").select("event_id", "batch_name")
@@ -398,6 +412,7 @@ QUERIES: dict[str, Query] = {
     "drop_blank_lines": q_drop_blank_lines,
     "assign_byte_batch": q_assign_byte_batch,
     "assign_count_batch": q_assign_count_batch,
+    "assign_count_batch_lineitem": q_assign_count_batch_lineitem,
     "assign_time_batch": q_assign_time_batch,
     "search_funnel": q_search_funnel,
     "delivery_summary": q_delivery_summary,

@@ -199,6 +199,17 @@ WITH b AS (
   FROM orders)
 SELECT o_orderpriority, batch_id, count(*) AS n_orders, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
 FROM b GROUP BY o_orderpriority, batch_id
+""",
+    "assign_count_batch_lineitem": """
+WITH b AS (
+  SELECT l_linestatus, l_orderkey, l_shipdate,
+    CAST(floor((row_number() OVER (PARTITION BY l_linestatus
+                 ORDER BY l_shipdate, l_orderkey, l_linenumber) - 1) / 1000) AS BIGINT) AS batch_id
+  FROM lineitem)
+SELECT l_linestatus, batch_id, count(*) AS n_lines,
+       strftime(min(l_shipdate), '%Y-%m-%d') AS first_ship, strftime(max(l_shipdate), '%Y-%m-%d') AS last_ship,
+       CAST(sum(l_orderkey) AS BIGINT) AS orderkey_sum
+FROM b GROUP BY l_linestatus, batch_id
 """,
     "assign_time_batch": """
 SELECT event_id, 'ingest-' || strftime(date_trunc('second', ts), '%Y%m%d-%H%M%S') AS batch_name FROM events

@@ -101,3 +101,25 @@ def test_auto_chunks_bound_the_hot_key(spark):
     hot_rows = df.where("key = 'hot'").count()
     assert hot_rows > 10000
     assert biggest <= 1.5 * 30000 / n_chunks
+
+
+def test_large_side_is_shuffled_once_without_broadcast(spark):
+    """At scale the offsets join is a shuffle join; the in-chunk window must
+    reuse its partitioning instead of shuffling the large side again."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+        b = assign_count_batch(orders, "o_orderkey", "o_orderpriority", n=10, chunk=order_chunk("o_orderkey", 100))
+        b.write.format("noop").mode("overwrite").save()
+        plan = b._jdf.queryExecution().executedPlan().toString()
+        between = plan.split("Window [sum(1)")[1].split("SortMergeJoin")[0]
+        assert "SortMergeJoin" in plan and "Exchange" not in between, plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

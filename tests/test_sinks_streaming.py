@@ -174,3 +174,18 @@ def test_load_staged_archives_loaded_files(spark):
     # archiving lags one micro-batch: files of every earlier batch have moved
     assert len(_files(archive, ".json.gz")) >= n_first
     assert load_ledger(spark, target).count() == len(_files(staged, ".json.gz")) + len(_files(archive, ".json.gz"))
+
+
+def test_modified_before_skips_fresh_files(spark):
+    d = _dir() + "/json"
+    _stage_events(spark, d)
+    schema = spark.read.parquet(f"{SF}/events.parquet").schema
+    assert read_staged_json(spark, d, schema, modified_before="2000-01-01T00:00:00").count() == 0
+    assert read_staged_json(spark, d, schema, modified_before=datetime(2999, 1, 1)).count() == 1000
+
+
+def test_new_run_id_is_random():
+    from tidewater import new_run_id
+
+    a, b = new_run_id(), new_run_id()
+    assert a != b and len(a) == 24

@@ -27,6 +27,7 @@ from tidewater.operators.batch import (
     assign_byte_batch,
     assign_count_batch,
     assign_time_batch,
+    new_run_id,
     order_chunk,
     tag_run,
 )

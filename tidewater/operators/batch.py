@@ -225,6 +225,14 @@ def assign_time_batch(
     )
 
 
+def new_run_id() -> str:
+    """A random run id (16 random bytes, base64), created once on the driver."""
+    import base64
+    import os
+
+    return base64.b64encode(os.urandom(16)).decode("ascii")
+
+
 def tag_run(df: DataFrame, run_id: str, col: str = "run_id") -> DataFrame:
     """Attach the caller-supplied run id to every row."""
     return df.withColumn(col, F.lit(run_id))

@@ -35,10 +35,21 @@ def read_raw_lines(spark: SparkSession, path: str, streaming: bool = False,
     return reader.text(path)
 
 
+def _settled(reader, streaming: bool, modified_before):
+    """Batch reads can skip files still being written (``modifiedBefore``);
+    streaming file sources track files through their log instead."""
+    if modified_before is None:
+        return reader
+    if streaming:
+        raise ValueError("modified_before applies to batch reads only")
+    value = modified_before.isoformat(timespec="seconds") if isinstance(modified_before, datetime) else str(modified_before)
+    return reader.option("modifiedBefore", value)
+
+
 def read_staged_csv(spark: SparkSession, path: str, schema: StructType | str = "value STRING",
-                    streaming: bool = False) -> DataFrame:
+                    streaming: bool = False, modified_before: datetime | str | None = None) -> DataFrame:
     """Staged CSV buffers (``*.csv``, no header, quoted fields may span lines)."""
-    reader = spark.readStream if streaming else spark.read
+    reader = _settled(spark.readStream if streaming else spark.read, streaming, modified_before)
     return (
         reader.schema(schema)
         .options(**CSV_OPTIONS)
@@ -49,10 +60,11 @@ def read_staged_csv(spark: SparkSession, path: str, schema: StructType | str = "
 
 
 def read_staged_json(spark: SparkSession, path: str, schema: StructType | str,
-                     streaming: bool = False) -> DataFrame:
+                     streaming: bool = False, modified_before: datetime | str | None = None) -> DataFrame:
     """Staged gzip JSON-lines buffers (``*.json.gz``).  Blank lines and
-    multi-member gzip files read correctly; timestamps keep microseconds."""
-    reader = spark.readStream if streaming else spark.read
+    multi-member gzip files read correctly; timestamps keep microseconds.
+    ``modified_before`` skips files modified at or after that time (batch)."""
+    reader = _settled(spark.readStream if streaming else spark.read, streaming, modified_before)
     return (
         reader.schema(schema)
         .options(**JSON_TS_OPTIONS)

@@ -123,3 +123,14 @@ def test_large_side_is_shuffled_once_without_broadcast(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_order_by_columns_and_string_order(spark):
+    import pytest
+
+    df = _skewed(spark, n=2000)
+    b = assign_count_batch(df, [F.col("id")], "key", n=50, chunk=order_chunk("id", 100))
+    plain = assign_count_batch(df, "id", "key", n=50, chunk=None)
+    assert b.select("id", "batch_id").exceptAll(plain.select("id", "batch_id")).count() == 0
+    with pytest.raises(ValueError):
+        assign_count_batch(df, "payload", "key", n=50)

@@ -53,11 +53,18 @@ def order_chunk(order_col: str | Column, width: int | float, kind: str = "number
 
 def _order_value(df: DataFrame, name: str) -> Column:
     """The first order column as a double (timestamps as epoch microseconds)."""
-    dtype = df.schema[name].dataType.simpleString()
+    from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+
+    dtype = df.schema[name].dataType
     c = F.col(name)
-    if dtype.startswith("timestamp") or dtype == "date":
-        c = F.unix_micros(c.cast("timestamp"))
-    return c.cast("double")
+    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dtype, NumericType):
+        return c.cast("double")
+    raise ValueError(
+        f"chunk='auto' needs a numeric, date or timestamp first order column, not "
+        f"{dtype.simpleString()}; pass chunk=<Column monotone in the order> instead"
+    )
 
 
 def _with_auto_chunk(df: DataFrame, order_col: str, n_chunks: int | None, out_col: str) -> DataFrame:
@@ -126,7 +133,8 @@ def running_before(
         )
         jcols += [f"_tw_v{i}", f"_tw_n{i}"]
     # carry each key once: the stand-in pair replaces it until the end
-    restorable = [k for k in keys if k not in order]
+    order_names = {o for o in order if isinstance(o, str)}
+    restorable = [k for k in keys if k not in order_names]
     base = base.drop("_tw_chunk", *restorable)
     kcols, ccols = jcols[:-2], jcols[-2:]
     totals = base.groupBy(*jcols).agg(F.sum("_tw_w").alias("_tw_cw"))

@@ -80,3 +80,14 @@ def test_append_routed_one_scan(spark, tmp_path):
     assert counts == {"good": 2, "dead": 5}
     dead_text = {r._corrupt for r in back.where("route = 'dead'").collect()}
     assert "not json" in dead_text
+
+
+def test_infer_rows_reads_pretty_printed_payloads(spark):
+    import json as _json
+
+    docs = [_json.dumps({"a": i, "s": f"x{i}", "n": {"b": [i, i + 1]}}, indent=4) for i in range(5)]
+    df = spark.createDataFrame([("\n  " + d + "\r\n",) for d in docs], "j string")
+    out = infer_rows(df, "j")
+    assert out.columns == ["a", "n", "s"]
+    assert sorted(r.a for r in out.collect()) == list(range(5))
+    assert out.where("n.b[1] = a + 1").count() == 5

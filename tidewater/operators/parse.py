@@ -105,7 +105,10 @@ def infer_rows(
 
     spark = df.sparkSession
     path = staging_path or work_path(spark, "infer")
-    df.select(py_strip(F.col(json_col)).alias("value")).write.mode("overwrite").text(path)
+    # One document per line: valid JSON holds no raw CR/LF inside strings, so
+    # folding them to spaces keeps the value of pretty-printed documents.
+    one_line = F.regexp_replace(py_strip(F.col(json_col)), "[\r\n]", " ")
+    df.select(one_line.alias("value")).write.mode("overwrite").text(path)
     reader = spark.read.options(mode=mode, **JSON_TS_OPTIONS)
     if sampling_ratio is not None:
         reader = reader.option("samplingRatio", sampling_ratio)

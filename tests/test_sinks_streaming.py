@@ -189,3 +189,19 @@ def test_new_run_id_is_random():
 
     a, b = new_run_id(), new_run_id()
     assert a != b and len(a) == 24
+
+
+def test_eligible_files_now_is_an_instant(spark):
+    from datetime import timezone
+
+    files = spark.createDataFrame([("f", 10, datetime(2024, 1, 1, 11, 0, 0))], "path string, length long, modificationTime timestamp")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        aware = datetime(2024, 1, 1, 11, 0, 30, tzinfo=timezone.utc)
+        assert eligible_files(files, aware).count() == 1
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert eligible_files(files, aware).count() == 1
+        assert eligible_files(files).count() == 1  # current time
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

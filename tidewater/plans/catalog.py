@@ -132,8 +132,7 @@ def q_eligible_files(spark, sf):
     path = work_path(spark, "staged-json")
     _staged_events(spark, sf, path)
     files = list_files(spark, path, "*.json.gz")
-    now = datetime.now(timezone.utc).replace(tzinfo=None)
-    flagged = eligible_files(files, now).select("path").withColumn("eligible", F.lit(True))
+    flagged = eligible_files(files, datetime.now(timezone.utc)).select("path").withColumn("eligible", F.lit(True))
     return files.join(flagged, "path", "left").select(
         F.regexp_extract("path", r"[^/]+$", 0).alias("file_name"),
         "length",

@@ -88,9 +88,19 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
 
 
+def _instant(now: datetime | str | None):
+    """``now`` as a TIMESTAMP: None -> current time; an aware datetime -> that
+    instant; a naive datetime or text -> read in the session time zone."""
+    if now is None:
+        return F.current_timestamp()
+    if isinstance(now, datetime) and now.tzinfo is not None:
+        return F.timestamp_micros(F.lit(int(now.timestamp() * 1_000_000)))
+    return F.lit(now.isoformat(sep=" ") if isinstance(now, datetime) else str(now)).cast("timestamp")
+
+
 def eligible_files(
     files: DataFrame,
-    now: datetime | str,
+    now: datetime | str | None = None,
     quiet_seconds: int = DEFAULT_QUIET_SECONDS,
     max_bytes: int = DEFAULT_MAX_BYTES,
     length_col: str = "length",
@@ -98,7 +108,7 @@ def eligible_files(
 ) -> DataFrame:
     """Files that are safe to load: modified before ``now`` and either
     larger than ``max_bytes`` or unchanged for ``quiet_seconds``."""
-    now_ts = F.lit(now.isoformat(sep=" ") if isinstance(now, datetime) else str(now)).cast("timestamp")
+    now_ts = _instant(now)
     mtime = F.col(mtime_col).cast("timestamp")
     settled = mtime <= now_ts - F.expr(f"INTERVAL {int(quiet_seconds)} SECONDS")
     return files.where((mtime < now_ts) & ((F.col(length_col) > F.lit(max_bytes)) | settled))

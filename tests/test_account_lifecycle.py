@@ -40,3 +40,10 @@ def test_alert_events_semijoin(spark):
     days = {r.d for r in got.select(F.date_trunc("day", "ts").alias("d")).distinct().collect()}
     assert days == {w for w in firing}
     assert got.count() == wins.agg(F.sum("n_matches")).first()[0]
+
+
+def test_retain_pushes_the_threshold_into_the_scan(spark):
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    q = retain(li, "l_shipdate", "2001-11-04 00:00:00", days=365)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate," in plan

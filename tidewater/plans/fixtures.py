@@ -158,8 +158,12 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 # elements "l[i]" plus the list length "l#".
 
 
-def _entry(path: Column, value: Column) -> Column:
-    return F.array(F.struct(path.alias("path"), value.cast("string").alias("value")))
+def _is_nested(dtype) -> bool:
+    return isinstance(dtype, (StructType, ArrayType, MapType))
+
+
+def _pv(path: Column, value: Column) -> Column:
+    return F.struct(path.alias("path"), value.cast("string").alias("value"))
 
 
 def _paths(c: Column, dtype, prefix: Column) -> Column:
@@ -167,23 +171,94 @@ def _paths(c: Column, dtype, prefix: Column) -> Column:
         if not dtype.fields:
             return F.array().cast(PATH_VALUE)
         parts = [_paths(c.getField(f.name), f.dataType, F.concat(prefix, F.lit("." + f.name))) for f in dtype.fields]
-        return F.flatten(F.array(*parts))
+        return parts[0] if len(parts) == 1 else F.concat(*parts)
     if isinstance(dtype, ArrayType):
         elem = dtype.elementType
-        size_row = _entry(F.concat(prefix, F.lit("#")), F.size(c))
-        elems = F.flatten(
-            F.transform(c, lambda x, i: _paths(x, elem, F.concat(prefix, F.lit("["), i.cast("string"), F.lit("]"))))
-        )
+        size_row = F.array(_pv(F.concat(prefix, F.lit("#")), F.size(c)))
+
+        def at(i):
+            return F.concat(prefix, F.lit("["), i.cast("string"), F.lit("]"))
+
+        if _is_nested(elem):
+            elems = F.flatten(F.transform(c, lambda x, i: _paths(x, elem, at(i))))
+        else:
+            elems = F.transform(c, lambda x, i: _pv(at(i), x))
         return F.concat(size_row, F.coalesce(elems, F.array().cast(PATH_VALUE)))
     if isinstance(dtype, MapType):
         vt = dtype.valueType
-        elems = F.flatten(
-            F.transform(F.map_entries(c), lambda e: _paths(e["value"], vt, F.concat(prefix, F.lit("."), e["key"])))
-        )
+
+        def key(e):
+            return F.concat(prefix, F.lit("."), e["key"])
+
+        if _is_nested(vt):
+            elems = F.flatten(F.transform(F.map_entries(c), lambda e: _paths(e["value"], vt, key(e))))
+        else:
+            elems = F.transform(F.map_entries(c), lambda e: _pv(key(e), e["value"]))
         return F.coalesce(elems, F.array().cast(PATH_VALUE))
-    return _entry(prefix, c)
+    return F.array(_pv(prefix, c))
+
+
+def _simple_parts(df: DataFrame):
+    """Split a schema of scalars, structs of scalars, and maps/arrays of scalars
+    into (scalar (path, column) pairs, [(path, map column)], [(path, array column)]);
+    None when something is nested deeper."""
+    scalars, maps, arrays = [], [], []
+
+    def walk(c, dtype, path):
+        if isinstance(dtype, StructType):
+            for f in dtype.fields:
+                if not walk(c.getField(f.name), f.dataType, f"{path}.{f.name}"):
+                    return False
+            return True
+        if isinstance(dtype, MapType):
+            if _is_nested(dtype.valueType):
+                return False
+            maps.append((path, c))
+            return True
+        if isinstance(dtype, ArrayType):
+            if _is_nested(dtype.elementType):
+                return False
+            scalars.append((f"{path}#", F.size(c)))
+            arrays.append((path, c))
+            return True
+        scalars.append((path, c))
+        return True
+
+    for f in df.schema.fields:
+        if not walk(F.col(f"`{f.name}`"), f.dataType, f.name):
+            return None
+    return scalars, maps, arrays
 
 
 def flatten_paths(df: DataFrame, id_col: str) -> DataFrame:
-    parts = [_paths(F.col(f"`{f.name}`"), f.dataType, F.lit(f.name)) for f in df.schema.fields]
-    return df.select(F.col(id_col), F.inline(F.flatten(F.array(*parts))))
+    """(id, path, value) rows of every leaf of every row.
+
+    Simple shapes use code-generated generators (``stack`` for scalars,
+    ``explode``/``posexplode`` for maps and arrays), one branch each, unioned;
+    deeper nesting falls back to one ``inline`` over a built path array.
+    """
+    parts = _simple_parts(df)
+    if parts is None:
+        paths = [_paths(F.col(f"`{f.name}`"), f.dataType, F.lit(f.name)) for f in df.schema.fields]
+        return df.select(F.col(id_col), F.inline(F.concat(*paths)))
+    scalars, maps, arrays = parts
+    idc = F.col(id_col)
+    args = []
+    for path, c in scalars:
+        args += [F.lit(path), c.cast("string")]
+    out = df.select(idc, F.stack(F.lit(len(scalars)), *args).alias("path", "value"))
+    for path, c in maps:
+        kv = df.select(idc, F.explode(c).alias("k", "v"))
+        out = out.unionByName(
+            kv.select(idc, F.concat(F.lit(path + "."), F.col("k")).alias("path"), F.col("v").cast("string").alias("value"))
+        )
+    for path, c in arrays:
+        pv = df.select(idc, F.posexplode(c).alias("i", "v"))
+        out = out.unionByName(
+            pv.select(
+                idc,
+                F.concat(F.lit(path + "["), F.col("i").cast("string"), F.lit("]")).alias("path"),
+                F.col("v").cast("string").alias("value"),
+            )
+        )
+    return out

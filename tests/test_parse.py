@@ -91,3 +91,17 @@ def test_infer_rows_reads_pretty_printed_payloads(spark):
     assert out.columns == ["a", "n", "s"]
     assert sorted(r.a for r in out.collect()) == list(range(5))
     assert out.where("n.b[1] = a + 1").count() == 5
+
+
+def test_search_head_large_n_prefilter_is_exact(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    order = [F.col("ts").desc(), F.col("event_id").desc()]
+    pred = F.col("event_type") != "view"
+    plain = search_head(ev, pred, 3000, order)
+    fast = search_head(ev, pred, 3000, order, cutoff_col="ts", small_n=100, buckets=64)
+    assert fast.count() == 3000
+    assert [r.event_id for r in fast.collect()] == [r.event_id for r in plain.collect()]
+    asc = [F.col("value"), F.col("event_id")]
+    a1 = search_head(ev, None, 2500, asc)
+    a2 = search_head(ev, None, 2500, asc, cutoff_col="value", descending=False, small_n=10, buckets=32)
+    assert [r.event_id for r in a1.collect()] == [r.event_id for r in a2.collect()]

@@ -384,7 +384,9 @@ def q_stream_intake(spark, sf):
 def q_backfill(spark, sf):
     """Backfill job: head 50 errors -> strip/parse payloads -> inferred table -> append."""
     js = fx.event_json(spark, sf, keep=("ts", "event_id", "event_type"))
-    return backfill(js, ERROR(), 50, NEWEST_FIRST(), raw_col="json", target=work_path(spark, "backfill"))
+    return backfill(
+        js, ERROR(), 50, NEWEST_FIRST(), raw_col="json", target=work_path(spark, "backfill"), cutoff_col="ts"
+    )
 
 
 QUERIES: dict[str, Query] = {

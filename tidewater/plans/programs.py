@@ -38,10 +38,14 @@ def backfill(
     target: str | None = None,
     fmt: str = "parquet",
     cap: int = RESULT_PAGE_CAP,
+    cutoff_col: str | None = None,
+    descending: bool = True,
 ) -> DataFrame:
     """Program A: ``search <predicate> | head n``, parse each ``_raw`` payload
-    (stripped), infer one table over all rows, append it to ``target``."""
-    head = search_head(events, predicate, n, order_by, cap).select(raw_col)
+    (stripped), infer one table over all rows, append it to ``target``.
+    ``cutoff_col`` enables R1's exact pre-filter for large ``n``."""
+    head = search_head(events, predicate, n, order_by, cap, cutoff_col=cutoff_col, descending=descending)
+    head = head.select(raw_col)
     typed = infer_rows(head, raw_col)
     if target is not None:
         append_table(typed, target, fmt)

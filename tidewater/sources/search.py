@@ -17,16 +17,58 @@ def search_head(
     n: int,
     order_by: Sequence[Column | str],
     cap: int = RESULT_PAGE_CAP,
+    cutoff_col: str | None = None,
+    descending: bool = True,
+    small_n: int = 100_000,
+    buckets: int = 1 << 16,
 ) -> DataFrame:
     """``search <predicate> | head n`` -- the first ``min(n, cap)`` matching
     events in ``order_by`` order (newest first in the usual setup).
 
     Catalyst pushes the predicate into the Parquet scan and plans a
-    ``TakeOrderedAndProject`` (per-task top-k, then a top-k merge of at most
-    ``min(n, cap)`` rows per task), so no full sort or shuffle happens.
+    ``TakeOrderedAndProject``: every task keeps its own top ``k`` rows and one
+    task merges them.  That merge holds ``tasks x k`` rows, fine for ``head 50``
+    but not for the 1,000,000-row page cap on thousands of tasks.  So when
+    ``k > small_n`` and ``cutoff_col`` (the first order column, numeric or
+    timestamp, sorted ``descending`` or not) is given, an exact pre-filter runs
+    first: a histogram of ``cutoff_col`` over at most ``buckets`` equal-width
+    buckets (partial aggregate; the bounded counts go to the driver) finds the
+    bucket holding the k-th row, and only rows from that bucket on reach the
+    top-k merge -- at most k plus one bucket of rows.  The answer is the same.
     """
+    k = min(int(n), int(cap))
     out = df.where(predicate) if predicate is not None else df
-    return out.orderBy(*order_by).limit(min(int(n), int(cap)))
+    if k > small_n and cutoff_col is not None:
+        out = _prefilter_top(out, cutoff_col, k, descending, buckets)
+    return out.orderBy(*order_by).limit(k)
+
+
+def _prefilter_top(df: DataFrame, name: str, k: int, descending: bool, buckets: int) -> DataFrame:
+    from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        v = F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    elif isinstance(dtype, NumericType):
+        v = F.col(name).cast("double")
+    else:
+        return df
+    lo, hi, non_null = df.select(F.min(v), F.max(v), F.count(v)).first()
+    if non_null is None or non_null <= k or lo is None or hi <= lo:
+        return df  # everything (or every non-null row) is needed anyway
+    width = (hi - lo) / buckets
+    bucket = F.least(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1))
+    hist = {r[0]: r[1] for r in df.select(bucket.alias("b")).where("b IS NOT NULL").groupBy("b").count().collect()}
+    seen, cut = 0, None
+    for b in sorted(hist, reverse=descending):
+        seen += hist[b]
+        if seen >= k:
+            cut = b
+            break
+    if cut is None:
+        return df
+    keep = bucket >= F.lit(cut) if descending else bucket <= F.lit(cut)
+    return df.where(keep)
 
 
 def explode_results(

@@ -238,3 +238,14 @@ def test_crash_between_append_and_commit_replays_exactly_once(spark):
     rows = committed_rows(spark, target)
     assert rows.count() == 1000 and rows.select("event_id").distinct().count() == 1000
     assert spark.read.parquet(target).count() == 1000
+
+
+def test_negative_control_default_json_timestamps_lose_micros(spark):
+    d = _dir()
+    ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts")
+    ev.write.option("compression", "gzip").json(f"{d}/naive")  # Spark's default format
+    naive = spark.read.schema(ev.schema).json(f"{d}/naive")
+    assert ev.exceptAll(naive).count() > 0.9 * ev.count()
+    stage_json(ev.withColumn("batch_id", F.lit(0)), f"{d}/ours")
+    ours = read_staged_json(spark, f"{d}/ours", ev.schema).select("event_id", "ts")
+    assert ev.exceptAll(ours).count() == 0

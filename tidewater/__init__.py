@@ -37,6 +37,7 @@ from tidewater.operators.lifecycle import alert_events, alert_windows, retain
 from tidewater.sources.search import explode_results, search_head
 from tidewater.sources.files import (
     eligible_files,
+    is_eligible,
     list_files,
     read_raw_lines,
     read_staged_csv,

@@ -41,7 +41,7 @@ from tidewater.plans.programs import alert_action, backfill, forwarder
 from tidewater.session import work_path
 from tidewater.sinks.tables import append_table, deliver_direct, stage_csv, stage_json
 from tidewater.sources.files import (
-    eligible_files,
+    is_eligible,
     list_files,
     read_raw_lines,
     read_staged_csv,
@@ -56,11 +56,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_ID = "run-0001"
 
 
-def ERROR():
+def _is_error():
     return F.col("event_type") == F.lit("error")
 
 
-def NEWEST_FIRST():
+def _newest_first():
     return [F.col("ts").desc(), F.col("event_id").desc()]
 
 
@@ -71,7 +71,7 @@ TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 def q_search_head(spark, sf):
     ev = fx.table(spark, sf, "events")
-    return search_head(ev, ERROR(), 50, NEWEST_FIRST()).select(
+    return search_head(ev, _is_error(), 50, _newest_first()).select(
         "event_id", "ts", "user_id", "event_type", "value", "props"
     )
 
@@ -132,11 +132,10 @@ def q_eligible_files(spark, sf):
     path = work_path(spark, "staged-json")
     _staged_events(spark, sf, path)
     files = list_files(spark, path, "*.json.gz")
-    flagged = eligible_files(files, datetime.now(timezone.utc)).select("path").withColumn("eligible", F.lit(True))
-    return files.join(flagged, "path", "left").select(
+    return files.select(
         F.regexp_extract("path", r"[^/]+$", 0).alias("file_name"),
         "length",
-        F.coalesce("eligible", F.lit(False)).alias("eligible"),
+        is_eligible(datetime.now(timezone.utc)).alias("eligible"),
     )
 
 
@@ -276,7 +275,7 @@ def q_assign_time_batch(spark, sf):
 # --- accounting / lifecycle --------------------------------------------------
 
 def q_search_funnel(spark, sf):
-    return search_funnel(fx.table(spark, sf, "events"), ERROR(), 50)
+    return search_funnel(fx.table(spark, sf, "events"), _is_error(), 50)
 
 
 def q_delivery_summary(spark, sf):
@@ -294,7 +293,7 @@ def q_retain_lineitem(spark, sf):
 
 
 def q_alert_windows(spark, sf):
-    w = alert_windows(fx.table(spark, sf, "events"), "ts", ERROR(), "1 hour", min_count=3)
+    w = alert_windows(fx.table(spark, sf, "events"), "ts", _is_error(), "1 hour", min_count=3)
     return w.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
         F.date_format("window_end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
@@ -303,7 +302,7 @@ def q_alert_windows(spark, sf):
 
 
 def q_alert_events(spark, sf):
-    return alert_events(fx.table(spark, sf, "events"), "ts", ERROR(), "1 hour", min_count=3).select(
+    return alert_events(fx.table(spark, sf, "events"), "ts", _is_error(), "1 hour", min_count=3).select(
         "event_id", "user_id"
     )
 
@@ -385,7 +384,7 @@ def q_backfill(spark, sf):
     """Backfill job: head 50 errors -> strip/parse payloads -> inferred table -> append."""
     js = fx.event_json(spark, sf, keep=("ts", "event_id", "event_type"))
     return backfill(
-        js, ERROR(), 50, NEWEST_FIRST(), raw_col="json", target=work_path(spark, "backfill"), cutoff_col="ts"
+        js, _is_error(), 50, _newest_first(), raw_col="json", target=work_path(spark, "backfill"), cutoff_col="ts"
     )
 
 
@@ -435,7 +434,7 @@ QUERIES: dict[str, Query] = {
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backfill slice: head 50 newest errors -> strip+parse payload -> clean."""
     ev = fx.table(spark, sf_dir, "events")
-    head = search_head(ev, ERROR(), 50, NEWEST_FIRST()).select("event_id", "ts", F.col("props").alias("_raw"))
+    head = search_head(ev, _is_error(), 50, _newest_first()).select("event_id", "ts", F.col("props").alias("_raw"))
     parsed = parse_raw(head, "k INT", "_raw", mode="failfast")
     return clean_events(parsed.select("event_id", "ts", "_raw", F.col("parsed.k").alias("k"))).select(
         "event_id", "ts", "k"

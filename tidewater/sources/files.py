@@ -98,6 +98,21 @@ def _instant(now: datetime | str | None):
     return F.lit(now.isoformat(sep=" ") if isinstance(now, datetime) else str(now)).cast("timestamp")
 
 
+def is_eligible(
+    now: datetime | str | None = None,
+    quiet_seconds: int = DEFAULT_QUIET_SECONDS,
+    max_bytes: int = DEFAULT_MAX_BYTES,
+    length_col: str = "length",
+    mtime_col: str = "modificationTime",
+):
+    """R6 as a Column: modified before ``now`` and either larger than
+    ``max_bytes`` or unchanged for ``quiet_seconds``."""
+    now_ts = _instant(now)
+    mtime = F.col(mtime_col).cast("timestamp")
+    settled = mtime <= now_ts - F.expr(f"INTERVAL {int(quiet_seconds)} SECONDS")
+    return (mtime < now_ts) & ((F.col(length_col) > F.lit(max_bytes)) | settled)
+
+
 def eligible_files(
     files: DataFrame,
     now: datetime | str | None = None,
@@ -108,7 +123,4 @@ def eligible_files(
 ) -> DataFrame:
     """Files that are safe to load: modified before ``now`` and either
     larger than ``max_bytes`` or unchanged for ``quiet_seconds``."""
-    now_ts = _instant(now)
-    mtime = F.col(mtime_col).cast("timestamp")
-    settled = mtime <= now_ts - F.expr(f"INTERVAL {int(quiet_seconds)} SECONDS")
-    return files.where((mtime < now_ts) & ((F.col(length_col) > F.lit(max_bytes)) | settled))
+    return files.where(is_eligible(now, quiet_seconds, max_bytes, length_col, mtime_col))

@@ -30,9 +30,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from tidewater.functions.text import is_empty_value
 
-# Reserved key names of the event format.
-MV_PREFIX = "__mv_"   # multi-value encoding fields
-RAW_KEY = "_raw"      # original payload
+from tidewater.constants import MV_PREFIX, RAW_KEY
 
 
 @dataclass(frozen=True)

@@ -10,15 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Python's str.strip()/str.isspace() treat as
-# whitespace (Java regex syntax; \p{Z} = Unicode separators Zs, Zl, Zp).
-#   \t \n \x0B \f \r   ASCII controls 9-13
-#   \x1C-\x1F          file/group/record/unit separators
-#   \x85               next line
-#   \p{Z}              space, no-break space, ogham space, en quad .. hair
-#                      space, line/paragraph separator, narrow nbsp,
-#                      medium math space, ideographic space
-PY_SPACE_CLASS = r"[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]"
+from tidewater.constants import PY_SPACE_CLASS
 
 _STRIP_PATTERN = rf"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+\z"
 _BLANK_PATTERN = rf"^{PY_SPACE_CLASS}*\z"

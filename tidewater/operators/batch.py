@@ -35,8 +35,10 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BYTES = 5 * 1024 * 1024  # buffer rotation size of the delivery tool
-DEFAULT_BATCH_ROWS = 1000            # batch-size setting of the forwarder
+from tidewater.constants import BATCH_NAME_FORMAT, MAX_BATCH_ROWS, MAX_BUFFER_BYTES
+
+DEFAULT_MAX_BYTES = MAX_BUFFER_BYTES
+DEFAULT_BATCH_ROWS = MAX_BATCH_ROWS
 
 
 def order_chunk(order_col: str | Column, width: int | float, kind: str = "number") -> Column:
@@ -221,7 +223,7 @@ def assign_time_batch(
     ts_col: str,
     every: str = "1 second",
     prefix: str = "ingest-",
-    name_format: str = "yyyyMMdd-HHmmss",
+    name_format: str = BATCH_NAME_FORMAT,
     start_col: str = "batch_start",
     name_col: str = "batch_name",
 ) -> DataFrame:

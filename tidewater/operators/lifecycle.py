@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.constants import RETENTION_DAYS
+
 
 def _ts_literal(df: DataFrame, ts_col: str, now) -> Column:
     dtype = df.schema[ts_col].dataType.simpleString()
@@ -15,7 +17,7 @@ def _ts_literal(df: DataFrame, ts_col: str, now) -> Column:
     return F.lit(value).cast(dtype)
 
 
-def retain(df: DataFrame, ts_col: str, now, days: int = 1) -> DataFrame:
+def retain(df: DataFrame, ts_col: str, now, days: int = RETENTION_DAYS) -> DataFrame:
     """L1: keep rows not older than ``days`` before ``now``.
 
     The delivery tool deletes strictly older items (``mtime < threshold``), so
@@ -26,7 +28,7 @@ def retain(df: DataFrame, ts_col: str, now, days: int = 1) -> DataFrame:
     return df.where(F.col(ts_col) >= threshold)
 
 
-def expired(df: DataFrame, ts_col: str, now, days: int = 1) -> DataFrame:
+def expired(df: DataFrame, ts_col: str, now, days: int = RETENTION_DAYS) -> DataFrame:
     """The complement of :func:`retain` (what the sweep deletes)."""
     threshold = _ts_literal(df, ts_col, now) - F.expr(f"INTERVAL {int(days)} DAYS")
     return df.where(F.col(ts_col) < threshold)

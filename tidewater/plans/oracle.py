@@ -7,8 +7,10 @@ match the Spark result.
 
 from __future__ import annotations
 
-# Python str.strip() whitespace as an RE2 class (see tidewater.functions.text).
-_WS = r"[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]"
+from tidewater.constants import PY_SPACE_CLASS
+
+# Python str.strip() whitespace; the class is valid RE2 (DuckDB) as well as Java syntax.
+_WS = PY_SPACE_CLASS
 
 _SPARSE = r"""
 sparse AS (

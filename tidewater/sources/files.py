@@ -10,8 +10,10 @@ from pyspark.sql.types import StructType
 
 from tidewater.operators.parse import JSON_TS_OPTIONS
 
-DEFAULT_MAX_BYTES = 5 * 1024 * 1024   # a buffer this big is complete
-DEFAULT_QUIET_SECONDS = 10            # else its size must be stable this long
+from tidewater.constants import MAX_BUFFER_BYTES, QUIET_SECONDS
+
+DEFAULT_MAX_BYTES = MAX_BUFFER_BYTES   # a buffer this big is complete
+DEFAULT_QUIET_SECONDS = QUIET_SECONDS  # else its size must be stable this long
 
 # Options shared by the staged-CSV writer and reader: quotes are escaped by
 # doubling (RFC 4180, as Python's csv module writes them), blanks are data.

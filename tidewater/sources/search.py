@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-RESULT_PAGE_CAP = 1_000_000  # rows per result page of the search service
+from tidewater.constants import RESULT_PAGE_CAP
 
 
 def search_head(

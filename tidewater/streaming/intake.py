@@ -18,7 +18,8 @@ from tidewater.sources.files import CSV_OPTIONS, read_raw_lines
 def stage_intake(spark: SparkSession, raw_dir: str, staged_dir: str, checkpoint: str,
                  every: str | None = None, max_files_per_trigger: int | None = None):
     """Run the intake stream.  ``every=None`` processes what is there and stops
-    (``availableNow``); else it triggers every ``every`` (e.g. ``'5 seconds'``)
+    (``availableNow``); else it triggers every ``every`` (the forwarder's
+    intake wait is ``tidewater.constants.INTAKE_WAIT``)
     and the caller owns the returned query."""
     lines = read_raw_lines(spark, raw_dir, streaming=True, max_files_per_trigger=max_files_per_trigger)
     kept = lines.where(~is_blank(F.col("value"))).select(F.col("value").alias("line"))

@@ -47,3 +47,21 @@ def test_retain_pushes_the_threshold_into_the_scan(spark):
     q = retain(li, "l_shipdate", "2001-11-04 00:00:00", days=365)
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate," in plan
+
+
+def test_sweep_expired_deletes_only_old_files(spark, tmp_path):
+    import os
+    import time
+
+    from tidewater.operators.lifecycle import expired_files, sweep_expired
+
+    d = tmp_path / "archive"
+    d.mkdir()
+    old, new = d / "old.json.gz", d / "new.json.gz"
+    old.write_bytes(b"x")
+    new.write_bytes(b"y")
+    two_days_ago = time.time() - 2 * 86400
+    os.utime(old, (two_days_ago, two_days_ago))
+    assert [r.path.rsplit("/", 1)[-1] for r in expired_files(spark, str(d)).collect()] == ["old.json.gz"]
+    assert sweep_expired(spark, str(d)) == 1
+    assert not old.exists() and new.exists()

@@ -33,7 +33,14 @@ from tidewater.operators.batch import (
 )
 from tidewater.operators.encode import encode_csv_line, encode_json
 from tidewater.operators.account import delivery_summary, search_funnel
-from tidewater.operators.lifecycle import alert_events, alert_windows, retain
+from tidewater.operators.lifecycle import (
+    alert_events,
+    alert_windows,
+    expired,
+    expired_files,
+    retain,
+    sweep_expired,
+)
 from tidewater.sources.search import explode_results, search_head
 from tidewater.sources.files import (
     eligible_files,

@@ -249,3 +249,13 @@ def test_negative_control_default_json_timestamps_lose_micros(spark):
     stage_json(ev.withColumn("batch_id", F.lit(0)), f"{d}/ours")
     ours = read_staged_json(spark, f"{d}/ours", ev.schema).select("event_id", "ts")
     assert ev.exceptAll(ours).count() == 0
+
+
+def test_alert_action_direct_on_a_stream(spark):
+    from tidewater.plans.programs import alert_action
+
+    base = _dir()
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    stream = spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet").parquet(SF)
+    account = alert_action(stream, f"{base}/t", "r9", durable="0", checkpoint=f"{base}/ckpt").first()
+    assert (account.run_id, account.sent, account.failed) == ("r9", ev.count(), 0)

@@ -71,14 +71,15 @@ def alert_action(
 
     ``durable`` and ``remove_extra_fields`` accept the alert options'
     ``"1"``/``"0"`` strings.  Durable mode needs ``partition_by`` (the batch
-    key), ``staging_dir`` and ``checkpoint``.
+    key), ``staging_dir`` and ``checkpoint``; direct delivery of a streaming
+    DataFrame needs ``checkpoint``.
     """
     if isinstance(durable, str):
         durable = durable == "1"
     spark = events.sparkSession
     ev = tag_run(clean_events(events, remove_extra_fields), run_id)
     if not durable:
-        deliver_direct(ev, target, fmt)
+        deliver_direct(ev, target, fmt, checkpoint=checkpoint)
         delivered = spark.read.format(fmt).load(target).where(F.col("run_id") == F.lit(run_id))
         ts = order_by[0]
         return delivery_summary(delivered.withColumn("status", F.lit("ok")), ts_col=ts)

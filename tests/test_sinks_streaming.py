@@ -259,3 +259,15 @@ def test_alert_action_direct_on_a_stream(spark):
     stream = spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet").parquet(SF)
     account = alert_action(stream, f"{base}/t", "r9", durable="0", checkpoint=f"{base}/ckpt").first()
     assert (account.run_id, account.sent, account.failed) == ("r9", ev.count(), 0)
+
+
+def test_load_staged_on_a_processing_time_trigger(spark):
+    base = _dir()
+    staged, target, ckpt = f"{base}/staged", f"{base}/target", f"{base}/ckpt"
+    schema = _stage_events(spark, staged)
+    q = load_staged(spark, staged, target, schema, ckpt, every="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert committed_rows(spark, target).count() == 1000

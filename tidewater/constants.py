@@ -9,6 +9,7 @@ RESULT_PAGE_CAP = 1_000_000          # rows per search result page
 QUIET_SECONDS = 10                   # a small buffer is complete when unchanged this long
 RETENTION_DAYS = 1                   # loaded buffers are deleted after one day
 INTAKE_WAIT = "5 seconds"            # the forwarder closes an intake batch after this wait
+LOAD_CYCLE = "60 seconds"            # the forwarder loads staged buffers on this cycle
 BATCH_NAME_FORMAT = "yyyyMMdd-HHmmss"  # buffers are named after the second they are opened
 # Python's str.strip()/str.isspace() whitespace as a regex class (Java and RE2 syntax):
 # tab, LF, VT, FF, CR; U+001C-U+001F; U+0085; and the Unicode separators \p{Z}

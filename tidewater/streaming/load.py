@@ -54,9 +54,14 @@ def load_staged(
     run_id: str = "run",
     archive_dir: str | None = None,
     max_files_per_trigger: int | None = None,
+    every: str | None = None,
 ):
-    """Load every eligible staged file once (``trigger(availableNow=True)``)
-    and return the finished streaming query."""
+    """Load every staged file exactly once.
+
+    ``every=None`` loads what is there and returns the finished query
+    (``availableNow``); otherwise the query keeps running with a
+    processing-time trigger (the forwarder's load cycle is
+    ``tidewater.constants.LOAD_CYCLE``) and the caller owns it."""
     reader = spark.readStream.schema(schema)
     if kind == "json":
         reader = reader.options(**JSON_TS_OPTIONS).option("pathGlobFilter", "*.json.gz")
@@ -69,12 +74,10 @@ def load_staged(
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.format(kind).load(staged_dir)
-    q = (
-        stream.writeStream.foreachBatch(_write_batch(target, fmt, run_id))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    w = stream.writeStream.foreachBatch(_write_batch(target, fmt, run_id)).option("checkpointLocation", checkpoint)
+    if every is not None:
+        return w.trigger(processingTime=every).start()
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return q
 

@@ -6,7 +6,8 @@ expression tree, built once on the driver by walking the ``DataType``:
 
 * struct  -> rebuild the struct without statically dropped field names;
              a field whose value is dropped when *empty* becomes null
-             (absent and null coincide in a struct)
+             (absent and null coincide in a struct; only strings need the
+             test, other values are empty only when already null)
 * map     -> ``map_filter`` on (key, value), then ``transform_values``
 * array   -> ``filter`` of empty elements, then ``transform``
 * scalar  -> unchanged
@@ -26,7 +27,7 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 from tidewater.functions.text import is_empty_value
 
@@ -106,7 +107,7 @@ def clean_column(c: Column, dtype: DataType, rules: CleanRules) -> Column:
                 continue
             child = c.getField(f.name)
             value = clean_column(child, f.dataType, rules) if _is_nested(f.dataType) else child
-            if rules.drop_if_empty(f.name):
+            if rules.drop_if_empty(f.name) and isinstance(f.dataType, StringType):
                 value = F.when(is_empty_value(child, f.dataType), F.lit(None)).otherwise(value)
             fields.append(value.alias(f.name))
         if not fields:
@@ -147,7 +148,7 @@ def clean_frame(df: DataFrame, rules: CleanRules) -> DataFrame:
             continue
         child = F.col(f"`{f.name}`")
         value = clean_column(child, f.dataType, rules) if _is_nested(f.dataType) else child
-        if rules.drop_if_empty(f.name):
+        if rules.drop_if_empty(f.name) and isinstance(f.dataType, StringType):
             value = F.when(is_empty_value(child, f.dataType), F.lit(None)).otherwise(value)
         cols.append(value.alias(f.name))
     return df.select(*cols)

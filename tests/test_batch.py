@@ -96,11 +96,16 @@ def test_auto_chunks_bound_the_hot_key(spark):
 
     df = _skewed(spark, n=30000)
     n_chunks = 20
-    chunked = _with_auto_chunk(df, "id", n_chunks, "c")
-    biggest = chunked.groupBy("key", "c").count().agg(F.max("count")).first()[0]
+    chunked = _with_auto_chunk(df, ["key"], "id", n_chunks, "c")
+    sizes = chunked.groupBy("key", "c").count()
+    biggest = sizes.agg(F.max("count")).first()[0]
     hot_rows = df.where("key = 'hot'").count()
     assert hot_rows > 10000
     assert biggest <= 1.5 * 30000 / n_chunks
+    # only the hot key is split; cold keys (each under rows / n_chunks) stay whole
+    per_key = {r["key"]: r["n"] for r in sizes.groupBy("key").agg(F.count("*").alias("n")).collect()}
+    assert per_key["hot"] >= n_chunks - 2
+    assert all(n == 1 for k, n in per_key.items() if k != "hot")
 
 
 def test_large_side_is_shuffled_once_without_broadcast(spark):

@@ -20,16 +20,19 @@ Each task holds one chunk, never a whole key.  The result equals the plain
 window exactly (ties must be broken by ``order_by``), whatever the chunking,
 so the chunk only decides the work split, never the answer.
 
-``chunk="auto"`` (the default) splits the first order column at approximate
-quantiles: the split points are a bounded list (``n_chunks`` numbers), and
-Spark ML's ``Bucketizer`` assigns chunks by binary search inside the JVM.  A
-(key, chunk) group then holds at most about ``rows / n_chunks`` rows even
-when one key holds a third of the data.  A Column may be given instead (see
+``chunk="auto"`` (the default) splits only *hot* keys -- those holding more
+than ``rows / n_chunks`` rows, of which there are fewer than ``n_chunks`` --
+at approximate quantiles of the first order column: the split points are a
+bounded list, and Spark ML's ``Bucketizer`` assigns chunks by binary search
+inside the JVM.  Cold keys stay whole.  No (key, chunk) group then holds more
+than about ``rows / n_chunks`` rows, even when one key holds a third of the
+data.  A Column may be given instead (see
 :func:`order_chunk`); ``chunk=None`` is the plain window.
 
-The chunk-totals table has one row per non-empty (key, chunk): at most
-``keys x n_chunks`` tiny rows, far below the data; it is aggregated, windowed
-and joined like any table (broadcast only when measured small).
+The chunk-totals table has one row per non-empty (key, chunk): with auto
+chunks at most ``keys + n_chunks**2`` tiny rows, far below the data; it is
+aggregated, windowed and joined like any table (broadcast only when measured
+small).
 """
 
 from __future__ import annotations
@@ -73,7 +76,17 @@ def _order_value(df: DataFrame, name: str) -> Column:
     )
 
 
-def _with_auto_chunk(df: DataFrame, order_col: str, n_chunks: int | None, out_col: str) -> DataFrame:
+def _with_auto_chunk(
+    df: DataFrame, keys: list[str], order_col: str, n_chunks: int | None, out_col: str
+) -> DataFrame:
+    """Split hot keys into quantile chunks of the first order column.
+
+    One aggregate gives the split points (``n_chunks - 1`` numbers) and the
+    row count; a key holding more than ``rows / n_chunks`` rows is *hot*.
+    Fewer than ``n_chunks`` keys can be hot, so that key set has a proven size
+    bound and is broadcast.  Hot keys get the quantile chunk of each row;
+    every other key stays whole (chunk 0), being small already.
+    """
     from pyspark.ml.feature import Bucketizer
 
     spark = df.sparkSession
@@ -82,16 +95,31 @@ def _with_auto_chunk(df: DataFrame, order_col: str, n_chunks: int | None, out_co
     tmp = "_tw_ordv"
     with_v = df.withColumn(tmp, _order_value(df, order_col))
     probs = [i / n_chunks for i in range(1, n_chunks)]
-    cuts = []
-    if probs:
-        # one aggregate (partial per task, merged once); the result is n_chunks - 1
-        # numbers.  Balance only needs a rank error under half a chunk, so the
-        # sketch accuracy grows with n_chunks, not with the data.
-        row = with_v.select(F.percentile_approx(tmp, probs, max(1_000, 4 * n_chunks)).alias("q")).first()
-        cuts = list(row["q"] or [])
+    if not probs:
+        return df.withColumn(out_col, F.lit(0).cast("long"))
+    # Balance only needs a rank error under half a chunk, so the sketch
+    # accuracy grows with n_chunks, not with the data.
+    row = with_v.select(
+        F.percentile_approx(tmp, probs, max(1_000, 4 * n_chunks)).alias("q"), F.count(F.lit(1)).alias("n")
+    ).first()
+    cuts, total = list(row["q"] or []), row["n"]
     splits = [float("-inf")] + sorted({c for c in cuts if c is not None}) + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol=out_col, handleInvalid="keep").transform(with_v)
-    return bucketed.withColumn(out_col, F.col(out_col).cast("long")).drop(tmp)
+    bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol="_tw_b", handleInvalid="keep").transform(with_v)
+
+    limit = max(1, total // n_chunks)
+    hot = (
+        with_v.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_tw_rows"))
+        .where(F.col("_tw_rows") > F.lit(limit))
+        .select(*[F.col(k).alias(f"_tw_h{i}") for i, k in enumerate(keys)], F.lit(True).alias("_tw_hot"))
+    )
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"_tw_h{i}"))
+        cond = c if cond is None else cond & c
+    flagged = bucketed.join(F.broadcast(hot), cond, "left")
+    chunk = F.when(F.col("_tw_hot"), F.col("_tw_b").cast("long")).otherwise(F.lit(0).cast("long"))
+    return flagged.withColumn(out_col, chunk).drop(tmp, "_tw_b", "_tw_hot", *[f"_tw_h{i}" for i in range(len(keys))])
 
 
 def _cols(names: Sequence[str] | str | None) -> list[str]:
@@ -125,7 +153,7 @@ def running_before(
         first = order[0]
         if not isinstance(first, str):
             raise ValueError("chunk='auto' needs the first order column by name")
-        base = _with_auto_chunk(base, first, n_chunks, "_tw_chunk")
+        base = _with_auto_chunk(base, keys, first, n_chunks, "_tw_chunk")
     else:
         base = base.withColumn("_tw_chunk", chunk)
     # The join and the in-chunk window use the same plain, non-null columns

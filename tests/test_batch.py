@@ -139,3 +139,18 @@ def test_order_by_columns_and_string_order(spark):
     assert b.select("id", "batch_id").exceptAll(plain.select("id", "batch_id")).count() == 0
     with pytest.raises(ValueError):
         assign_count_batch(df, "payload", "key", n=50)
+
+
+def test_null_order_values_and_keys_match_plain_window(spark):
+    r = random.Random(21)
+    rows = []
+    for i in range(6000):
+        key = "hot" if r.random() < 0.5 else (None if r.random() < 0.2 else f"k{r.randint(0, 30)}")
+        ts = None if r.random() < 0.05 else r.randint(0, 10_000)
+        rows.append((i, key, ts, r.randint(0, 50)))
+    df = spark.createDataFrame(rows, "id bigint, key string, t bigint, w int")
+    got = running_before(df, F.col("w"), ["t", "id"], "key", chunk="auto", out_col="got", n_chunks=12)
+    w = Window.partitionBy("key").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.withColumn("want", F.coalesce(F.sum("w").over(w), F.lit(0))).select("id", "want")
+    assert got.count() == 6000
+    assert got.join(want, "id").where(F.col("got") != F.col("want")).count() == 0

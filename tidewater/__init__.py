@@ -51,6 +51,11 @@ from tidewater.sources.files import (
     read_staged_json,
 )
 from tidewater.sinks.tables import append_table, deliver_direct, stage_csv, stage_json
-from tidewater.streaming.load import load_staged, committed_rows
+from tidewater.streaming.load import committed_rows, load_ledger, load_staged
+from tidewater.streaming.intake import stage_intake
+from tidewater.streaming.alerts import alert_windows_stream
+from tidewater.sinks.tables import append_routed
+from tidewater.operators.parse import route_label
+from tidewater.plans.programs import alert_action, backfill, forwarder
 
 __all__ = [name for name in dir() if not name.startswith("_")]

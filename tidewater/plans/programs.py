@@ -65,6 +65,8 @@ def alert_action(
     staging_dir: str | None = None,
     checkpoint: str | None = None,
     fmt: str = "parquet",
+    chunk: Column | str | None = "auto",
+    n_chunks: int | None = None,
 ) -> DataFrame:
     """Program B: deliver the events of a fired alert; returns the account
     ``(run_id, sent, failed, elapsed_seconds, elapsed_minutes)``.
@@ -86,7 +88,9 @@ def alert_action(
     if not (partition_by and staging_dir and checkpoint):
         raise ValueError("durable delivery needs partition_by, staging_dir and checkpoint")
     payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in ev.columns]))
-    batched = assign_byte_batch(ev, payload, list(order_by), list(partition_by), max_bytes)
+    batched = assign_byte_batch(
+        ev, payload, list(order_by), list(partition_by), max_bytes, chunk=chunk, n_chunks=n_chunks
+    )
     stage_json(batched, staging_dir, batch_cols=(*partition_by, "batch_id"))
     load_staged(spark, staging_dir, target, ev.schema, checkpoint, fmt=fmt, run_id=run_id)
     return delivery_summary(load_ledger(spark, target), ts_col="ts", count_col="rows")

@@ -80,7 +80,9 @@ def explode_results(
     """R2: open a ``{"results": [...]}`` envelope, one row per result.
 
     A document without a ``results`` array is an error (the job fails), as in
-    the backfill job.  Row-local: a generator, no shuffle.
+    the backfill job.  Row-local: a generator, no shuffle; each document is
+    parsed inside one task, so a document is bounded by the search service's
+    result page (``RESULT_PAGE_CAP`` results).
     """
     rs = result_schema if isinstance(result_schema, StructType) else StructType.fromDDL(result_schema)
     env = StructType([StructField("results", ArrayType(rs), True)])

@@ -162,12 +162,13 @@ def running_before(
     # partitioning and the large side is shuffled once whether the join is
     # broadcast or not.  Null keys and null chunks still match exactly.
     jcols: list[str] = []
+    schema = base.schema
+    pairs = {}
     for i, k in enumerate([*keys, "_tw_chunk"]):
-        dtype = base.schema[k].dataType
-        base = base.withColumn(f"_tw_v{i}", F.coalesce(F.col(k), _default_of(dtype))).withColumn(
-            f"_tw_n{i}", F.col(k).isNull()
-        )
+        pairs[f"_tw_v{i}"] = F.coalesce(F.col(k), _default_of(schema[k].dataType))
+        pairs[f"_tw_n{i}"] = F.col(k).isNull()
         jcols += [f"_tw_v{i}", f"_tw_n{i}"]
+    base = base.withColumns(pairs)
     # carry each key once: the stand-in pair replaces it until the end
     order_names = {o for o in order if isinstance(o, str)}
     restorable = [k for k in keys if k not in order_names]
@@ -183,10 +184,10 @@ def running_before(
     offsets = totals.select(*jcols, F.coalesce(F.sum("_tw_cw").over(w_tot), F.lit(0)).alias("_tw_off"))
     joined = base.join(offsets, jcols, "inner")
     w_in = Window.partitionBy(*jcols).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = joined.withColumn(out_col, F.col("_tw_off") + F.coalesce(F.sum("_tw_w").over(w_in), F.lit(0)))
-    for i, k in enumerate(keys):
-        if k in restorable:
-            out = out.withColumn(k, F.when(~F.col(f"_tw_n{i}"), F.col(f"_tw_v{i}")))
+    restored = {k: F.when(~F.col(f"_tw_n{i}"), F.col(f"_tw_v{i}")) for i, k in enumerate(keys) if k in restorable}
+    out = joined.withColumns(
+        {out_col: F.col("_tw_off") + F.coalesce(F.sum("_tw_w").over(w_in), F.lit(0)), **restored}
+    )
     return out.select(*df.columns, out_col)
 
 

@@ -65,3 +65,13 @@ def test_sweep_expired_deletes_only_old_files(spark, tmp_path):
     assert [r.path.rsplit("/", 1)[-1] for r in expired_files(spark, str(d)).collect()] == ["old.json.gz"]
     assert sweep_expired(spark, str(d)) == 1
     assert not old.exists() and new.exists()
+
+
+def test_expired_is_the_complement_of_retain(spark):
+    from tidewater import expired
+
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    kept = retain(ev, "ts", "2024-01-31 00:00:00", days=3)
+    gone = expired(ev, "ts", "2024-01-31 00:00:00", days=3)
+    assert kept.count() + gone.count() == ev.count()
+    assert kept.join(gone, "event_id").count() == 0

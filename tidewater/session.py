@@ -8,7 +8,6 @@ local mode (tests, bench).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,12 +57,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint root (never reused)."""
     return f"{checkpoint_root(spark)}/tidewater/{name}-{uuid.uuid4().hex}"
-
-
-def as_local_dir(path: str) -> str:
-    """Strip a ``file:`` scheme so local tools (tests) can look at the folder."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

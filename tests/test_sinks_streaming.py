@@ -271,3 +271,19 @@ def test_load_staged_on_a_processing_time_trigger(spark):
     finally:
         q.stop()
     assert committed_rows(spark, target).count() == 1000
+
+
+def test_alert_action_durable_on_a_stream(spark):
+    from tidewater.plans.programs import alert_action
+
+    base = _dir()
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    stream = spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet").parquet(SF)
+    account = alert_action(
+        stream, f"{base}/t", "r7", durable="1", order_by=("ts", "event_id"), partition_by=("event_type",),
+        max_bytes=20_000, staging_dir=f"{base}/staged", checkpoint=f"{base}/ckpt",
+    ).first()
+    assert (account.run_id, account.sent, account.failed) == ("r7", ev.count(), 0)
+    rows = committed_rows(spark, f"{base}/t")
+    assert rows.count() == ev.count() and rows.select("event_id").distinct().count() == ev.count()
+    assert rows.select("batch_id").distinct().count() > 1  # 20 kB rotation produced several batches

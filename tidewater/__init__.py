@@ -53,6 +53,7 @@ from tidewater.sources.files import (
 from tidewater.sinks.tables import append_table, deliver_direct, stage_csv, stage_json
 from tidewater.streaming.load import committed_rows, load_ledger, load_staged
 from tidewater.streaming.intake import stage_intake
+from tidewater.streaming.stage import stage_stream
 from tidewater.streaming.alerts import alert_windows_stream
 from tidewater.sinks.tables import append_routed
 from tidewater.operators.parse import route_label

@@ -100,7 +100,7 @@ def q_stage_csv(spark, sf):
 def _staged_events(spark, sf, path):
     """C5-cleaned sparse events, rotated into 5 MiB batches per event type, staged as gzip JSON."""
     ev = clean_events(fx.sparse_events(spark, sf, with_ts=True))
-    payload = F.to_json(F.struct(*[F.col(c) for c in ev.columns]))
+    payload = F.to_json(F.struct(*[F.col(c) for c in ev.columns]), JSON_TS_OPTIONS)
     batched = assign_byte_batch(
         ev, payload, ["ts", "event_id"], ["event_type"], max_bytes=DEFAULT_MAX_BYTES,
         chunk=order_chunk("ts", 86_400_000_000, kind="timestamp"),

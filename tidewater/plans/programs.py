@@ -22,11 +22,12 @@ from pyspark.sql import functions as F
 from tidewater.operators.account import delivery_summary
 from tidewater.operators.batch import DEFAULT_MAX_BYTES, assign_byte_batch, tag_run
 from tidewater.operators.clean import clean_events
-from tidewater.operators.parse import infer_rows
+from tidewater.operators.parse import JSON_TS_OPTIONS, infer_rows
 from tidewater.sinks.tables import append_table, deliver_direct, stage_json
 from tidewater.sources.search import RESULT_PAGE_CAP, search_head
 from tidewater.streaming.intake import stage_intake
 from tidewater.streaming.load import committed_rows, load_ledger, load_staged
+from tidewater.streaming.stage import stage_stream
 
 
 def backfill(
@@ -87,7 +88,12 @@ def alert_action(
         return delivery_summary(delivered.withColumn("status", F.lit("ok")), ts_col=ts)
     if not (partition_by and staging_dir and checkpoint):
         raise ValueError("durable delivery needs partition_by, staging_dir and checkpoint")
-    payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in ev.columns]))
+    if ev.isStreaming:
+        stage_stream(ev, staging_dir, f"{checkpoint}/stage", list(order_by), list(partition_by), max_bytes,
+                     chunk=chunk, n_chunks=n_chunks)
+        load_staged(spark, staging_dir, target, ev.schema, f"{checkpoint}/load", fmt=fmt, run_id=run_id)
+        return delivery_summary(load_ledger(spark, target), ts_col="ts", count_col="rows")
+    payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in ev.columns]), JSON_TS_OPTIONS)
     batched = assign_byte_batch(
         ev, payload, list(order_by), list(partition_by), max_bytes, chunk=chunk, n_chunks=n_chunks
     )

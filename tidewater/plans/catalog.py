@@ -352,6 +352,27 @@ def q_alert_delivery(spark, sf):
     return account.select("run_id", "sent", "failed")
 
 
+def q_alert_delivery_stream(spark, sf):
+    """Alert action, durable mode, on a stream of event files: every micro-batch
+    is cleaned, rotated and staged replay-safely, then loaded exactly once."""
+    events = spark.readStream.schema(fx.table(spark, sf, "events").schema).option(
+        "pathGlobFilter", "events.parquet"
+    ).parquet(sf)
+    sparse = fx.sparse_from(events, with_ts=True)
+    account = alert_action(
+        sparse,
+        work_path(spark, "alert-stream-target"),
+        RUN_ID,
+        durable="1",
+        remove_extra_fields="1",
+        order_by=("ts", "event_id"),
+        partition_by=("event_type",),
+        staging_dir=work_path(spark, "alert-stream-staged"),
+        checkpoint=work_path(spark, "alert-stream-ckpt"),
+    )
+    return account.select("run_id", "sent", "failed")
+
+
 def q_alert_direct(spark, sf):
     """Alert action, direct mode (no staging), events cleaned."""
     account = alert_action(
@@ -424,6 +445,7 @@ QUERIES: dict[str, Query] = {
     "deliver_direct": q_deliver_direct,
     "load_staged": q_load_staged,
     "alert_delivery": q_alert_delivery,
+    "alert_delivery_stream": q_alert_delivery_stream,
     "alert_direct": q_alert_direct,
     "forwarder": q_forwarder,
     "stream_intake": q_stream_intake,

@@ -48,11 +48,11 @@ def sparse_columns() -> dict[str, Column]:
     }
 
 
-def _tags() -> Column:
+def sparse_tags() -> Column:
     return F.array(F.lit("a"), F.lit(""), F.lit(None).cast("string"), F.col("event_type"))
 
 
-def _nested() -> Column:
+def sparse_nested() -> Column:
     i = _id()
     return F.struct(
         F.lit("").alias("__mv_x"),
@@ -61,14 +61,18 @@ def _nested() -> Column:
     )
 
 
-def sparse_events(spark: SparkSession, sf_dir: str, with_ts: bool = False) -> DataFrame:
-    """Struct form: the flat fields are top-level columns."""
-    ev = table(spark, sf_dir, "events")
+def sparse_from(ev: DataFrame, with_ts: bool = False) -> DataFrame:
+    """The struct-form derivation applied to an events DataFrame (batch or stream)."""
     cols = [F.col("event_id"), F.col("event_type")]
     if with_ts:
         cols.append(F.col("ts"))
     cols += [c.alias(n) for n, c in sparse_columns().items()]
-    return ev.select(*cols, _tags().alias("tags"), _nested().alias("nested"))
+    return ev.select(*cols, sparse_tags().alias("tags"), sparse_nested().alias("nested"))
+
+
+def sparse_events(spark: SparkSession, sf_dir: str, with_ts: bool = False) -> DataFrame:
+    """Struct form: the flat fields are top-level columns."""
+    return sparse_from(table(spark, sf_dir, "events"), with_ts)
 
 
 def sparse_events_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +81,8 @@ def sparse_events_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     kv = []
     for n, c in sparse_columns().items():
         kv += [F.lit(n), c]
-    return ev.select("event_id", "event_type", F.create_map(*kv).alias("attrs"), _tags().alias("tags"),
-                     _nested().alias("nested"))
+    return ev.select("event_id", "event_type", F.create_map(*kv).alias("attrs"), sparse_tags().alias("tags"),
+                     sparse_nested().alias("nested"))
 
 
 def raw_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

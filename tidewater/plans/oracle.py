@@ -260,6 +260,9 @@ SELECT event_id, event_type, 'run-0001' AS run_id FROM events
     "load_staged": _CLEANED_VIEW,
     "alert_delivery": """
 SELECT 'run-0001' AS run_id, count(*) AS sent, CAST(0 AS BIGINT) AS failed FROM events
+""",
+    "alert_delivery_stream": """
+SELECT 'run-0001' AS run_id, count(*) AS sent, CAST(0 AS BIGINT) AS failed FROM events
 """,
     "alert_direct": """
 SELECT 'run-0001' AS run_id, count(*) AS sent, CAST(0 AS BIGINT) AS failed FROM events

@@ -67,6 +67,11 @@ def _newest_first():
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+def _day_chunk():
+    """Event time is the natural chunk of time-ordered events: one per day."""
+    return order_chunk("ts", 86_400_000_000, kind="timestamp")
+
+
 # --- sources -----------------------------------------------------------------
 
 def q_search_head(spark, sf):
@@ -103,7 +108,7 @@ def _staged_events(spark, sf, path):
     payload = F.to_json(F.struct(*[F.col(c) for c in ev.columns]), JSON_TS_OPTIONS)
     batched = assign_byte_batch(
         ev, payload, ["ts", "event_id"], ["event_type"], max_bytes=DEFAULT_MAX_BYTES,
-        chunk=order_chunk("ts", 86_400_000_000, kind="timestamp"),
+        chunk=_day_chunk(),
     )
     stage_json(batched, path, batch_cols=("event_type", "batch_id"))
     return ev.schema
@@ -348,6 +353,7 @@ def q_alert_delivery(spark, sf):
         partition_by=("event_type",),
         staging_dir=work_path(spark, "alert-staged"),
         checkpoint=work_path(spark, "alert-ckpt"),
+        chunk=_day_chunk(),
     )
     return account.select("run_id", "sent", "failed")
 
@@ -369,6 +375,7 @@ def q_alert_delivery_stream(spark, sf):
         partition_by=("event_type",),
         staging_dir=work_path(spark, "alert-stream-staged"),
         checkpoint=work_path(spark, "alert-stream-ckpt"),
+        chunk=_day_chunk(),
     )
     return account.select("run_id", "sent", "failed")
 

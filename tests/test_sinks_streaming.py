@@ -287,3 +287,16 @@ def test_alert_action_durable_on_a_stream(spark):
     rows = committed_rows(spark, f"{base}/t")
     assert rows.count() == ev.count() and rows.select("event_id").distinct().count() == ev.count()
     assert rows.select("batch_id").distinct().count() > 1  # 20 kB rotation produced several batches
+
+
+def test_stage_stream_micro_batch_replay_is_idempotent(spark):
+    from tidewater.streaming.stage import _stage_batch
+
+    d = _dir() + "/staged"
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    write = _stage_batch(d, ["ts", "event_id"], ["event_type"], 20_000, "auto", 8)
+    write(ev, 0)
+    first = sorted(_files(d, ".json.gz"))
+    write(ev, 0)  # the same micro-batch again after a crash
+    assert sorted(_files(d, ".json.gz")) != [] and len(_files(d, ".json.gz")) == len(first)
+    assert read_staged_json(spark, d, ev.schema).count() == ev.count()

@@ -105,3 +105,17 @@ def test_search_head_large_n_prefilter_is_exact(spark):
     a1 = search_head(ev, None, 2500, asc)
     a2 = search_head(ev, None, 2500, asc, cutoff_col="value", descending=False, small_n=10, buckets=32)
     assert [r.event_id for r in a1.collect()] == [r.event_id for r in a2.collect()]
+
+
+def test_search_head_prefilter_with_nulls_and_ties(spark):
+    import random
+
+    r = random.Random(4)
+    rows = [(i, None if r.random() < 0.1 else r.randint(0, 40)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "id bigint, t bigint")
+    for order, desc in [([F.col("t"), F.col("id")], False), ([F.col("t").desc(), F.col("id")], True)]:
+        for k in (300, 480, 2000):
+            plain = [x.id for x in search_head(df, None, k, order).collect()]
+            fast = [x.id for x in search_head(df, None, k, order, cutoff_col="t", descending=desc,
+                                              small_n=10, buckets=16).collect()]
+            assert fast == plain, (desc, k)

@@ -21,6 +21,7 @@ def search_head(
     descending: bool = True,
     small_n: int = 100_000,
     buckets: int = 1 << 16,
+    nulls_first: bool | None = None,
 ) -> DataFrame:
     """``search <predicate> | head n`` -- the first ``min(n, cap)`` matching
     events in ``order_by`` order (newest first in the usual setup).
@@ -35,15 +36,19 @@ def search_head(
     buckets (partial aggregate; the bounded counts go to the driver) finds the
     bucket holding the k-th row, and only rows from that bucket on reach the
     top-k merge -- at most k plus one bucket of rows.  The answer is the same.
+    ``nulls_first`` must match the first order column's null placement
+    (default: Spark's, i.e. first when ascending, last when descending).
     """
     k = min(int(n), int(cap))
     out = df.where(predicate) if predicate is not None else df
     if k > small_n and cutoff_col is not None:
-        out = _prefilter_top(out, cutoff_col, k, descending, buckets)
+        nf = (not descending) if nulls_first is None else nulls_first
+        out = _prefilter_top(out, cutoff_col, k, descending, buckets, nf)
     return out.orderBy(*order_by).limit(k)
 
 
-def _prefilter_top(df: DataFrame, name: str, k: int, descending: bool, buckets: int) -> DataFrame:
+def _prefilter_top(df: DataFrame, name: str, k: int, descending: bool, buckets: int,
+                   nulls_first: bool) -> DataFrame:
     from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
     dtype = df.schema[name].dataType
@@ -53,21 +58,29 @@ def _prefilter_top(df: DataFrame, name: str, k: int, descending: bool, buckets:
         v = F.col(name).cast("double")
     else:
         return df
-    lo, hi, non_null = df.select(F.min(v), F.max(v), F.count(v)).first()
-    if non_null is None or non_null <= k or lo is None or hi <= lo:
-        return df  # everything (or every non-null row) is needed anyway
+    lo, hi, non_null, nulls = df.select(
+        F.min(v), F.max(v), F.count(v), F.count_if(F.col(name).isNull())
+    ).first()
+    if nulls_first and nulls >= k:
+        return df.where(F.col(name).isNull())  # the nulls alone fill the head
+    need = k - nulls if nulls_first else k
+    if non_null is None or non_null <= need or lo is None or hi <= lo:
+        return df  # every non-null row is needed anyway
     width = (hi - lo) / buckets
-    bucket = F.least(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1))
+    # least() skips nulls, so a null key must stay null explicitly
+    bucket = F.when(v.isNotNull(), F.least(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)))
     hist = {r[0]: r[1] for r in df.select(bucket.alias("b")).where("b IS NOT NULL").groupBy("b").count().collect()}
     seen, cut = 0, None
     for b in sorted(hist, reverse=descending):
         seen += hist[b]
-        if seen >= k:
+        if seen >= need:
             cut = b
             break
     if cut is None:
         return df
     keep = bucket >= F.lit(cut) if descending else bucket <= F.lit(cut)
+    if nulls_first:
+        keep = keep | F.col(name).isNull()
     return df.where(keep)
 
 

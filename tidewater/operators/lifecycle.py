@@ -21,15 +21,17 @@ def retain(df: DataFrame, ts_col: str, now, days: int = RETENTION_DAYS) -> DataF
     """L1: keep rows not older than ``days`` before ``now``.
 
     The delivery tool deletes strictly older items (``mtime < threshold``), so
-    a row exactly at the threshold is kept.  On a table partitioned by a date
-    column this is a partition filter and prunes whole directories.
+    a row exactly at the threshold is kept, and so is a row without a
+    timestamp.  On a table partitioned by a date column this is a partition
+    filter and prunes whole directories.
     """
     threshold = _ts_literal(df, ts_col, now) - F.expr(f"INTERVAL {int(days)} DAYS")
-    return df.where(F.col(ts_col) >= threshold)
+    # a row without a timestamp cannot be dated, so it is kept, never swept
+    return df.where((F.col(ts_col) >= threshold) | F.col(ts_col).isNull())
 
 
 def expired(df: DataFrame, ts_col: str, now, days: int = RETENTION_DAYS) -> DataFrame:
-    """The complement of :func:`retain` (what the sweep deletes)."""
+    """The exact complement of :func:`retain` (what the sweep deletes)."""
     threshold = _ts_literal(df, ts_col, now) - F.expr(f"INTERVAL {int(days)} DAYS")
     return df.where(F.col(ts_col) < threshold)
 

@@ -154,3 +154,27 @@ def test_null_order_values_and_keys_match_plain_window(spark):
     want = df.withColumn("want", F.coalesce(F.sum("w").over(w), F.lit(0))).select("id", "want")
     assert got.count() == 6000
     assert got.join(want, "id").where(F.col("got") != F.col("want")).count() == 0
+
+
+def test_time_batch_keeps_undated_rows_and_matches_window(spark):
+    from tidewater.operators.batch import duration_micros
+
+    assert duration_micros("1 hour 30 minutes") == 5_400_000_000
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "ts")
+    with_null = ev.union(spark.createDataFrame([(-1, None)], "event_id bigint, ts timestamp_ntz"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            for every in ("1 second", "7 minutes", "1 day"):
+                got = assign_time_batch(with_null, "ts", every)
+                assert got.count() == ev.count() + 1
+                assert got.where("event_id = -1 AND batch_start IS NULL").count() == 1
+                want = ev.withColumn("w", F.window("ts", every).start)
+                diff = got.join(want, "event_id").where(F.col("batch_start") != F.col("w")).count()
+                assert diff == 0, (tz, every)
+            ltz = ev.withColumn("ts", F.col("ts").cast("timestamp"))
+            got = assign_time_batch(ltz, "ts", "1 hour").join(ltz.withColumn("w", F.window("ts", "1 hour").start), "event_id")
+            assert got.where(F.col("batch_start") != F.col("w")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -253,6 +253,30 @@ def assign_count_batch(
     return out.withColumn(out_col, F.floor(F.col("_tw_before") / F.lit(n))).drop("_tw_before")
 
 
+_UNIT_MICROS = {
+    "microsecond": 1,
+    "millisecond": 1_000,
+    "second": 1_000_000,
+    "minute": 60_000_000,
+    "hour": 3_600_000_000,
+    "day": 86_400_000_000,
+    "week": 604_800_000_000,
+}
+
+
+def duration_micros(every: str) -> int:
+    """``'5 seconds'``, ``'1 hour 30 minutes'`` -> microseconds."""
+    parts = every.lower().replace(",", " ").split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"cannot read duration {every!r}")
+    total = 0
+    for n, unit in zip(parts[::2], parts[1::2]):
+        total += int(n) * _UNIT_MICROS[unit.rstrip("s")]
+    if total <= 0:
+        raise ValueError(f"duration must be positive: {every!r}")
+    return total
+
+
 def assign_time_batch(
     df: DataFrame,
     ts_col: str,
@@ -263,10 +287,24 @@ def assign_time_batch(
     name_col: str = "batch_name",
 ) -> DataFrame:
     """B2: batch by the time bucket a row falls in, named after the bucket's
-    start second (``prefix + yyyyMMdd-HHmmss``).  Row-local, no shuffle."""
-    start = F.window(F.col(ts_col), every).start
-    return df.withColumn(start_col, start).withColumn(
-        name_col, F.concat(F.lit(prefix), F.date_format(F.col(start_col), name_format))
+    start second (``prefix + yyyyMMdd-HHmmss``).  Row-local, no shuffle.
+
+    Buckets are aligned to the epoch like ``window()``; they are computed
+    directly because ``window()`` also filters out rows whose time is null,
+    and a batching step must not lose rows (an undated row gets a null batch).
+    ``timestamp_ntz`` is bucketed on its wall clock, ``timestamp`` on the instant.
+    """
+    step = duration_micros(every)
+    dtype = df.schema[ts_col].dataType.simpleString()
+    if dtype == "timestamp_ntz":
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    else:
+        epoch = F.lit("1970-01-01 00:00:00+00:00").cast("timestamp")
+    ts = F.col(ts_col).cast(dtype if dtype in ("timestamp", "timestamp_ntz") else "timestamp")
+    since = F.timestamp_diff("MICROSECOND", epoch, ts)
+    start = F.timestamp_add("MICROSECOND", F.floor(since / F.lit(step)) * F.lit(step), epoch)
+    return df.withColumns(
+        {start_col: start, name_col: F.concat(F.lit(prefix), F.date_format(start, name_format))}
     )
 
 

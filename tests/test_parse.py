@@ -119,3 +119,16 @@ def test_search_head_prefilter_with_nulls_and_ties(spark):
             fast = [x.id for x in search_head(df, None, k, order, cutoff_col="t", descending=desc,
                                               small_n=10, buckets=16).collect()]
             assert fast == plain, (desc, k)
+
+
+def test_apply_mapping_csv_reads_doubled_quotes(spark):
+    import csv
+    import io
+
+    values = ['a "b", c', "x\\y", " lead", ""]
+    buf = io.StringIO()
+    csv.writer(buf, lineterminator="").writerow(values)
+    df = spark.createDataFrame([(buf.getvalue(),)], "l string")
+    m = [(f"c{i}", i, "string") for i in range(len(values))]
+    got = list(apply_mapping(df, m, "l", kind="csv").first())
+    assert got[:3] == values[:3]

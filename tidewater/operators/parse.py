@@ -155,7 +155,9 @@ def apply_mapping(
     elif kind == "csv":
         width = max(int(o) for _, o, _ in mapping) + 1
         ddl = ", ".join(f"_c{i} STRING" for i in range(width))
-        stage = df.select(*keep, F.from_csv(src, ddl, csv_options or {}).alias(rec))
+        # quotes are escaped by doubling (RFC 4180, as Python's csv module writes)
+        opts = {"quote": '"', "escape": '"', **(csv_options or {})}
+        stage = df.select(*keep, F.from_csv(src, ddl, opts).alias(rec))
         out = [F.col(rec).getField(f"_c{int(o)}").try_cast(dtype).alias(name) for name, o, dtype in mapping]
     else:
         raise ValueError(f"unknown mapping kind {kind!r}")

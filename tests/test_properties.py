@@ -34,3 +34,77 @@ def test_byte_batches_equal_plain_window_and_stay_bounded(spark, seed, hot_share
     assert joined.where(F.col("batch_id") != F.col("want")).count() == 0
     sizes = got.groupBy("key", "batch_id").agg(F.sum(F.octet_length("p")).alias("b"))
     assert sizes.where(F.col("b") > max_bytes + 120).count() == 0
+
+
+# --- cleaners on random JSON documents, schema inferred by Spark -------------
+
+import json  # noqa: E402
+
+import pytest  # noqa: E402
+
+from tests import model  # noqa: E402
+from tests.test_cleaning import _fill, _to_py  # noqa: E402
+from tidewater import (  # noqa: E402
+    clean_events,
+    drop_empty_fields,
+    drop_empty_mv_fields,
+    drop_mv_fields,
+    drop_raw_field,
+)
+
+_STR = st.sampled_from([None, "", " ", "x", "__mv_"])
+
+
+def _obj(depth):
+    fields = {
+        "s": _STR,
+        "__mv_s": _STR,
+        "_raw": _STR,
+        "n": st.one_of(st.none(), st.integers(-3, 3)),
+        "l": st.one_of(st.none(), st.lists(_STR, max_size=4)),
+    }
+    if depth < 3:
+        child = st.deferred(lambda: _obj(depth + 1))
+        fields["o"] = st.one_of(st.none(), child)
+        fields["__mv_o"] = st.one_of(st.none(), child)
+        fields["lo"] = st.one_of(st.none(), st.lists(child, max_size=3))
+    return st.fixed_dictionaries({}, optional=fields)
+
+
+def _project(value, dtype):
+    """The part of a document the DataFrame holds (inference may drop fields
+    that are only ever empty objects)."""
+    from pyspark.sql.types import ArrayType, StructType
+
+    if value is None:
+        return None
+    if isinstance(dtype, StructType):
+        names = {f.name: f.dataType for f in dtype.fields}
+        return {k: _project(v, names[k]) for k, v in value.items() if k in names}
+    if isinstance(dtype, ArrayType):
+        return [_project(x, dtype.elementType) for x in value]
+    return value
+
+
+OPS = [
+    (drop_mv_fields, model.c1),
+    (drop_empty_fields, model.c2),
+    (drop_empty_mv_fields, model.c3),
+    (drop_raw_field, model.c4),
+    (clean_events, model.c5),
+]
+
+
+@settings(max_examples=4, deadline=None)
+@given(docs=st.lists(_obj(0), min_size=5, max_size=20))
+def test_cleaners_on_inferred_random_documents(spark, docs):
+    docs = [dict(d, id=i) for i, d in enumerate(docs)]
+    df = spark.read.json(spark.sparkContext.parallelize([json.dumps(d) for d in docs]))
+    if "id" not in df.columns:
+        pytest.skip("no documents")
+    for op, fn in OPS:
+        out = op(df)
+        got = {r["id"]: _to_py(r) for r in out.collect()}
+        for d in docs:
+            seen = _project(d, df.schema)
+            assert got[d["id"]] == _fill(fn(seen), out.schema), (op.__name__, json.dumps(d))

@@ -178,3 +178,22 @@ def test_time_batch_keeps_undated_rows_and_matches_window(spark):
             assert got.where(F.col("batch_start") != F.col("w")).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_duration_parser_rejects_bad_input():
+    import pytest
+
+    from tidewater.operators.batch import duration_micros
+
+    assert duration_micros("5 seconds") == 5_000_000 and duration_micros("2 days") == 172_800_000_000
+    for bad in ("", "5", "0 seconds", "3 fortnights"):
+        with pytest.raises((ValueError, KeyError)):
+            duration_micros(bad)
+
+
+def test_work_paths_are_unique_under_the_checkpoint_root(spark):
+    from tidewater.session import checkpoint_root, work_path
+
+    root = checkpoint_root(spark)
+    a, b = work_path(spark, "x"), work_path(spark, "x")
+    assert a != b and a.startswith(root) and b.startswith(root)

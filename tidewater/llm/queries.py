@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import mixing, pii, sharding
-from tidewater.llm.common import documents
+from tidewater.llm import mixing, pii, ppm, repetition, sharding
+from tidewater.llm.common import documents, id_bucket
 
 
 def op3_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,19 @@ def op3_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word, symbol, line and repeat counts of every whole text and the suffix-array repetition verdict."""
+    rows = repetition.repetition(documents(spark, sf_dir), "text", keep=["doc_id"])
+    return rows.drop("repeat_spans")
+
+
+def op8_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text by PPM trees learned from the documents that are not held out."""
+    docs = documents(spark, sf_dir).withColumn("held_out", F.coalesce(id_bucket("doc_id", 3) == 1, F.lit(False)))
+    model = ppm.fit(docs.where(~F.col("held_out")))
+    return ppm.predict(docs, model, "text", keep=["doc_id", "held_out"])
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document; weights 5, 2, 1 in turn, targets at most 3 times the source."""
     plan = mixing.mix_plan(documents(spark, sf_dir), weights=(5, 2, 1), share=1.0, cap=3)
@@ -40,6 +53,8 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_external_shuffle": op3_external_shuffle,
+    "op7_repetition": op7_repetition,
+    "op8_ppm_language": op8_ppm_language,
     "op9_mix_sources": op9_mix_sources,
     "op10_pseudonyms": op10_pseudonyms,
 }

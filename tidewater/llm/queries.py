@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import mixing, pii, ppm, repetition, sharding
+from tidewater.llm import mixing, pii, ppm, quality, repetition, sharding
 from tidewater.llm.common import documents, id_bucket
 
 
@@ -26,6 +26,15 @@ def op3_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text by boosted trees learned from the labels that are not held out."""
+    docs = documents(spark, sf_dir).withColumn("held_out", F.coalesce(id_bucket("doc_id", 5) == 0, F.lit(False)))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(id_bucket("doc_id", 5) != 0)
+    model = quality.fit(docs, labels)
+    rows = quality.score(docs, model, keep=["doc_id", "held_out"])
+    return rows.withColumn("predicted", F.when(F.col("score") >= QUALITY_LEAST, 1).otherwise(0))
+
+
 def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word, symbol, line and repeat counts of every whole text and the suffix-array repetition verdict."""
     rows = repetition.repetition(documents(spark, sf_dir), "text", keep=["doc_id"])
@@ -51,8 +60,12 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "text", F.size("replaced").cast("bigint").alias("n_replaced"), F.array_sort(F.array_distinct(F.transform("replaced", lambda r: r["kind"]))).alias("kinds"))
 
 
+#: Documents that score less are rejected.
+QUALITY_LEAST = 0.3
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_external_shuffle": op3_external_shuffle,
+    "op5_quality_trees": op5_quality_trees,
     "op7_repetition": op7_repetition,
     "op8_ppm_language": op8_ppm_language,
     "op9_mix_sources": op9_mix_sources,

@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import mixing, pii, ppm, quality, repetition, sharding
+from tidewater.llm import mixing, pieces, pii, ppm, quality, repetition, sharding
 from tidewater.llm.common import documents, id_bucket
 
 
+def op1_sample_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct segmentations of every whole text, sampled without replacement, with inclusion scores."""
+    return pieces.encode_samples(documents(spark, sf_dir), k=2, keep=["doc_id"])
+
+
 def op3_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-pass external shuffle of all documents into 16 shards, row counts at most one apart."""
     docs = documents(spark, sf_dir)
@@ -64,6 +69,7 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUALITY_LEAST = 0.3
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sample_pieces": op1_sample_pieces,
     "op3_external_shuffle": op3_external_shuffle,
     "op5_quality_trees": op5_quality_trees,
     "op7_repetition": op7_repetition,

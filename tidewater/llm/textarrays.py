@@ -6,7 +6,7 @@ bytes at a time (a single longer text makes a slice of its own).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -60,12 +60,12 @@ class Words(NamedTuple):
     first: np.ndarray
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of a string array that hold about SLICE_BYTES each."""
+def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of a string array that hold about ``size`` bytes each."""
     offsets = _offsets(column)
     at, n = 0, len(column)
     while at < n:
-        to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
+        to = int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1
         to = min(max(to, at + 1), n)
         yield at, to
         at = to
@@ -104,20 +104,21 @@ def words(t: Texts) -> Words:
     return Words(begin, end, np.repeat(np.arange(t.n), np.diff(first)), first)
 
 
-def range_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hashes of byte ranges from prefix sums of a polynomial modulo 2**64 over scrambled bytes."""
+def range_hasher(data: np.ndarray, lower: bool = False) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function from begins and ends to 64-bit hashes of those byte ranges: prefix sums of a polynomial
+    modulo 2**64 over scrambled bytes; ``lower``: A-Z count as a-z."""
     n = len(data)
-    if not n:
-        return np.zeros(len(begin), np.uint64)
-    power = np.full(n + 1, _MULT, dtype=np.uint64)
-    power[0] = 1
+    power, inverse = (np.full(n + 1, m, dtype=np.uint64) for m in (_MULT, _INV))
+    power[0] = inverse[0] = 1
     np.multiply.accumulate(power, out=power)
+    np.multiply.accumulate(inverse, out=inverse)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum((_LOWER_CODE if lower else _BYTE_CODE)[data] * power[:-1], out=sums[1:])
-    inverse = np.full(n + 1, _INV, dtype=np.uint64)
-    inverse[0] = 1
-    np.multiply.accumulate(inverse, out=inverse)
-    return mix64((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+    return lambda begin, end: mix64((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+
+
+def range_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    return range_hasher(data, lower)(begin, end)
 
 
 def sums_by_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:

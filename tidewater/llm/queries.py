@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import mixing, pieces, pii, ppm, quality, repetition, sharding
+from tidewater.llm import mixing, pieces, pii, ppm, quality, repetition, sharding, warc
 from tidewater.llm.common import documents, id_bucket
 
 
@@ -31,6 +31,12 @@ def op3_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and plain-text conversion records of all pages."""
+    responses = warc.responses_from_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return warc.derive(responses, keep=["page_id"]).drop("record")
+
+
 def op5_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every whole text by boosted trees learned from the labels that are not held out."""
     docs = documents(spark, sf_dir).withColumn("held_out", F.coalesce(id_bucket("doc_id", 5) == 0, F.lit(False)))
@@ -71,6 +77,7 @@ QUALITY_LEAST = 0.3
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sample_pieces": op1_sample_pieces,
     "op3_external_shuffle": op3_external_shuffle,
+    "op4_warc_derivatives": op4_warc_derivatives,
     "op5_quality_trees": op5_quality_trees,
     "op7_repetition": op7_repetition,
     "op8_ppm_language": op8_ppm_language,
@@ -78,6 +85,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pseudonyms": op10_pseudonyms,
 }
 
+_TEXT_SQL = "regexp_replace(payload, '(?s)<!--.*?-->', '', 'g')"
+for _tag in warc.HIDDEN:
+    _TEXT_SQL = f"regexp_replace({_TEXT_SQL}, '(?is)<{_tag}\\b.*?</{_tag}[^>]*>', '', 'g')"
+_TEXT_SQL = f"regexp_replace({_TEXT_SQL}, '[\\x09-\\x0D\\x20]+', ' ', 'g')"
+_TEXT_SQL = f"regexp_replace({_TEXT_SQL}, '(?i)</?(?:{warc.BREAKING})(?:[ /][^>]*)?>', chr(10), 'g')"
+_TEXT_SQL = f"regexp_replace({_TEXT_SQL}, '<[a-zA-Z/!?][^>]*>', '', 'g')"
+_NAMES_SQL = "MAP {" + ", ".join("'" + k + "': '" + v.replace("'", "''") + "'" for k, v in warc.ENTITIES.items()) + "}"
+
+
+def _unescape_sql(text: str) -> str:
+    """``text`` with character references decoded."""
+    point = "CASE WHEN x[2] = '#' THEN CASE WHEN lower(x[3]) = 'x' THEN CAST('0x' || x[4:-2] AS BIGINT) ELSE CAST(x[3:-2] AS BIGINT) END END"
+    char = f"CASE WHEN x[2] = '#' THEN CASE WHEN {point} BETWEEN 1 AND 1114111 AND NOT {point} BETWEEN 55296 AND 57343 THEN chr(CAST({point} AS INT)) ELSE x END ELSE coalesce(element_at({_NAMES_SQL}, x[2:-2])[1], x) END"
+    found = f"[{char} for x in regexp_extract_all({text}, '{warc.REFERENCE}')]"
+    return f"array_to_string([p[1] || coalesce(p[2], '') for p in list_zip(regexp_split_to_array({text}, '{warc.REFERENCE}'), {found})], '')"
+
+
+def _digest_sql(data: str) -> str:
+    digits = "".join(chr(c) for c in [*range(65, 91), *range(50, 56)])
+    bits = f"(CAST('0x' || substr(sha1({data}), 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31"
+    return f"'sha1:' || array_to_string(['{digits}'[CAST(({bits}) + 1 AS BIGINT)] for i in range(32)], '')"
+
+
+def _uuid_sql(name: str) -> str:
+    return f"'<urn:uuid:' || array_to_string([substr(md5({name}), p[1], p[2]) for p in [[1, 8], [9, 4], [13, 4], [17, 4], [21, 12]]], '-') || '>'"
+
+
+_WARC_SQL = f"""
+WITH source AS (SELECT page_id, url, coalesce(html, '') AS payload FROM pages),
+response AS (
+  SELECT page_id, url AS target_uri, payload,
+         {_uuid_sql("'response' || chr(10) || coalesce(CAST(page_id AS VARCHAR), 'null') || chr(10) || coalesce(url, 'null') || chr(10) || payload")} AS refers_to
+  FROM source),
+stripped AS (
+  SELECT *, {_digest_sql("payload")} AS payload_digest, {_TEXT_SQL} AS bare, regexp_extract(payload, '(?is)<title[^>]*>([^<]*)</title', 1) AS raw_title FROM response),
+decoded AS (
+  SELECT *, trim(regexp_replace(regexp_replace({_unescape_sql("bare")}, ' *\n[ \n]*', chr(10), 'g'), '^\n|\n$', '', 'g'), ' ') AS text,
+         trim(regexp_replace({_unescape_sql("raw_title")}, '[\x09-\x0D\x20]+', ' ', 'g'), ' ') AS title,
+         {_uuid_sql("'metadata' || chr(10) || refers_to")} AS meta_id, {_uuid_sql("'conversion' || chr(10) || refers_to")} AS text_id
+  FROM stripped),
+blocks AS (
+  SELECT page_id, 'metadata' AS warc_type, meta_id AS record_id, text_id AS concurrent_to, refers_to, target_uri, payload_digest, 'application/warc-fields' AS content_type,
+         array_to_string([x || chr(13) || chr(10) for x in [
+           'source-header: HTTP/1.1 200 OK', 'source-header: Content-Type: text/html; charset=utf-8', 'source-header: Content-Length: ' || strlen(payload),
+           'source-payload-digest: ' || payload_digest, 'source-payload-length: ' || strlen(payload),
+           CASE WHEN raw_title <> '' THEN 'title: ' || title END, 'text-length: ' || strlen(text)] if x is not null], '') AS block
+  FROM decoded
+  UNION ALL
+  SELECT page_id, 'conversion', text_id, meta_id, refers_to, target_uri, payload_digest, 'text/plain; charset=utf-8', text FROM decoded)
+SELECT page_id, warc_type, record_id, refers_to, concurrent_to, target_uri, '{warc.DATE}' AS warc_date, content_type, CAST(strlen(block) AS BIGINT) AS content_length,
+       {_digest_sql("block")} AS block_digest, payload_digest, block
+FROM blocks
+"""
+
 ORACLE: dict[str, str] = {
     "op9_mix_sources": r"""
 WITH sized AS (
@@ -105,4 +166,5 @@ SELECT s.doc_id, s.size, r.source_size, r.target, s.size * (CAST(floor(r.rate) A
        CAST(floor(r.rate) AS BIGINT) + CASE WHEN s.draw / 4294967296.0::DOUBLE < r.rate - floor(r.rate) THEN 1 ELSE 0 END AS copies
 FROM sized s JOIN rated r ON s.source IS NOT DISTINCT FROM r.source
 """,
+    "op4_warc_derivatives": _WARC_SQL,
 }

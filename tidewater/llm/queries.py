@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import mixing, pieces, pii, ppm, quality, repetition, sharding, warc
+from tidewater.llm import mixing, multi_index, pieces, pii, ppm, quality, repetition, sharding, warc
 from tidewater.llm.common import documents, id_bucket
 
 
@@ -16,6 +16,11 @@ def op1_sample_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_samples(documents(spark, sf_dir), k=2, keep=["doc_id"])
 
 
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate embeddings of equal label by an inverted multi-index, cosine at least 0.98."""
+    return multi_index.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.98)
+
+
 def op3_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-pass external shuffle of all documents into 16 shards, row counts at most one apart."""
     docs = documents(spark, sf_dir)
@@ -76,6 +81,7 @@ QUALITY_LEAST = 0.3
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sample_pieces": op1_sample_pieces,
+    "op2_multi_index": op2_multi_index,
     "op3_external_shuffle": op3_external_shuffle,
     "op4_warc_derivatives": op4_warc_derivatives,
     "op5_quality_trees": op5_quality_trees,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import mixing, multi_index, pieces, pii, ppm, quality, repetition, sharding, warc
+from tidewater.llm import jaccard, mixing, multi_index, pieces, pii, ppm, quality, repetition, sharding, warc
 from tidewater.llm.common import documents, id_bucket
 
 
@@ -51,6 +51,11 @@ def op5_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("predicted", F.when(F.col("score") >= QUALITY_LEAST, 1).otherwise(0))
 
 
+def op6_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jaccard links (90 %) of all documents' 3-word shingle sets by a grouped prefix join."""
+    return jaccard.jaccard_join(documents(spark, sf_dir), size=3, percent=90)
+
+
 def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word, symbol, line and repeat counts of every whole text and the suffix-array repetition verdict."""
     rows = repetition.repetition(documents(spark, sf_dir), "text", keep=["doc_id"])
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_external_shuffle": op3_external_shuffle,
     "op4_warc_derivatives": op4_warc_derivatives,
     "op5_quality_trees": op5_quality_trees,
+    "op6_grouped_prefix_join": op6_grouped_prefix_join,
     "op7_repetition": op7_repetition,
     "op8_ppm_language": op8_ppm_language,
     "op9_mix_sources": op9_mix_sources,

@@ -1,16 +1,70 @@
-"""Corpus pipeline: quality, near-duplicates, privacy, mixing, tokenization, in this order."""
+"""Corpus pipeline: quality, near-duplicates, privacy, mixing, tokenization, in this order.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``, the result of the
+stage before it. All but the last return the columns that they were given; the last returns a row
+for each sampled segmentation. Empty tables pass through; nulls, repeated rows and extra columns
+are treated as each operator's docstring says.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.llm import jaccard, mixing, pieces, pii, quality
+from tidewater.llm.common import fresh, id_bucket, materialize
+
+#: Documents that score less are rejected.
+QUALITY_LEAST = 0.3
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores QUALITY_LEAST or more; every fifth id teaches nothing."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(id_bucket("doc_id", 5) != 0)
+    model = quality.fit(docs, labels)
+    score = fresh("score", docs.columns)
+    return quality.score(docs, model, keep=docs.columns, score_col=score).where(F.col(score) >= QUALITY_LEAST).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones, that with the smallest id. Rows without an id link with
+    nothing and stay; rows equal in id and text are one document."""
+    groups = jaccard.jaccard_join(docs, size=5, percent=80)
+    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+
+
+def hide_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal numbers, dates and addresses replaced by pseudonyms; ``n_chars`` follows the new text."""
+    found = fresh("__found", docs.columns)
+    rows = pii.pseudonymize(docs, "text", found_col=found)
+    changed = F.size(found) > 0
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
+    return rows.select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its source's target asks."""
+    return mixing.mix_sources(docs, weights=(5, 2, 1), share=1.0, cap=3)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of every document."""
+    return pieces.encode_samples(docs, k=2)
 
-from tidewater.llm.common import materialize
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", keep_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("pseudonyms", hide_personal),
+    ("mixing", mix),
+    ("segmentations", tokenize),
+]
 
-#: The quality model, the pair verification and the samplers cannot be written in SQL;
+#: The quality model, the verified links and the samplers cannot be written in SQL;
 #: the stages are tested against brute-force versions instead.
 ORACLE_SQL = None
 

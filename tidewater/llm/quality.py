@@ -187,13 +187,15 @@ def score(df: DataFrame, model: Trees, text_col: str = "text", keep: list[str] |
     rows score alike; an empty table gives an empty result. An input column named like the score is left out.
     """
     keep = [c for c in (keep if keep is not None else [c for c in df.columns if c != text_col]) if c.lower() != score_col.lower()]
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__text"))
+    sent = keep if text_col in keep else [*keep, text_col]
+    rows = df.select(*[F.col(f"`{c}`") for c in sent])
+    at_text = sent.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(len(keep))
+            column = batch.column(at_text)
             for at, to in slices(column):
                 found = model.score(statistics(texts(column[at:to])))
                 yield pa.RecordBatch.from_arrays([*[batch.column(i)[at:to] for i in range(len(keep))], pa.array(found)], names=[*keep, score_col])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField(score_col, T.DoubleType())]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[: len(keep)], T.StructField(score_col, T.DoubleType())]))

@@ -20,8 +20,6 @@ from tidewater.llm.common import materialize
 from tidewater.llm.components import connected_components
 from tidewater.llm.textarrays import Texts, mix64, range_hashes, slices, texts, words
 
-#: One shingle in this many (by hash) comes before the others in the global order, and is counted.
-COUNTED = 6
 #: Nodes that a block of the verification has on either side.
 LEAST_BLOCK, MOST_BLOCK = 128, 4096
 #: Rows of a narrow table (an id and a few numbers) that are broadcast at most; beyond, the join shuffles.
@@ -61,6 +59,12 @@ def _sequence(h: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def counted_one_in(percent: int) -> int:
+    """One shingle in this many (by hash) comes before the others in the global order and is counted: some
+    1.6 times the prefix, so that shingles that several texts have can be left to its end."""
+    return max(1, 60 // max(1, 100 - percent))
+
+
 def prefix_length(n: np.ndarray | int, percent: int):
     """Shingles of a set of n that cannot all be missing from a set whose Jaccard similarity is ``percent`` or more."""
     return n - (n * percent + 99) // 100 + 1
@@ -82,6 +86,7 @@ def _lists(values: np.ndarray, first: np.ndarray) -> pa.ListArray:
 
 def _summaries(size: int, percent: int):
     """id, set size, signatures, counted shingles, and those that the prefix needs beyond them."""
+    one_in = np.uint64(counted_one_in(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +94,7 @@ def _summaries(size: int, percent: int):
                 value, first = shingles(texts(batch.column(1)[at:to]), size)
                 n = np.diff(first)
                 owner = np.repeat(np.arange(to - at), n)
-                counted = value % np.uint64(COUNTED) == 0
+                counted = value % one_in == 0
                 n_counted = np.bincount(owner[counted], minlength=to - at)
                 lack = np.maximum(0, np.where(n > 0, prefix_length(n, percent), 0) - n_counted)
                 other = np.flatnonzero(~counted)

@@ -139,9 +139,9 @@ def mix_sources(
     """The mixed corpus: every row of ``docs`` repeated as often as the mix takes it, columns unchanged."""
     narrow = docs.select(F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
     rates = materialize(source_rates(narrow, **options), "mix-rates")
-    taken, copy = fresh("__copies", docs.columns), fresh("__copy", docs.columns)
-    rate = rates.select(F.col("source").alias("__rate_source"), F.col("rate").alias("__rate"))
-    rows = docs.join(rate, docs[source_col].eqNullSafe(rate["__rate_source"]), "left")
-    rows = rows.withColumn(taken, copies(F.col("__rate"), draw(seed, docs[id_col], docs[text_col])).cast("int"))
+    owner, rate, taken, copy = (fresh(n, docs.columns) for n in ("__source", "__rate", "__copies", "__copy"))
+    rates = rates.select(F.col("source").alias(owner), F.col("rate").alias(rate))
+    rows = docs.join(rates, F.col(f"`{source_col}`").eqNullSafe(F.col(owner)), "left")
+    rows = rows.withColumn(taken, copies(F.col(rate), draw(seed, F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))).cast("int"))
     rows = rows.where(F.col(taken) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(taken))))
-    return rows.select(*[docs[c] for c in docs.columns])
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

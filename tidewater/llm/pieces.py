@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.llm.common import fresh
 from tidewater.llm.textarrays import Texts, mix64, range_hasher, range_hashes, slices, texts
 
 #: The vocabulary file; a parameter everywhere, never copied.
@@ -450,7 +451,7 @@ def encode_samples(
     """
     added = {f.name for f in FIELDS}
     keep = [c for c in (keep if keep is not None else [c for c in df.columns if c != text_col]) if c.lower() not in added]
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.xxhash64(F.lit(seed), F.col(f"`{key_col}`")).alias("__seed"), F.col(f"`{text_col}`").alias("__text"))
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.xxhash64(F.lit(seed), F.col(f"`{key_col}`")).alias(fresh("__seed", keep)), F.col(f"`{text_col}`").alias(fresh("__text", keep)))
     vocabulary = load_vocabulary(model_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import fresh
+
 #: Rounds of every network (even, so that the halves end where they began).
 ROUNDS = 10
 
@@ -251,7 +253,7 @@ def pseudonymize(df: DataFrame, text_col: str = "text", key: str = "tidewater",
     repeated rows and empty tables pass through; every text is read whole.
     """
     done = pseudonymize_text(F.col(f"`{text_col}`"), key)
-    bound = "__pii"
+    bound = fresh("__pii", df.columns)
     rows = df.withColumn(bound, done)
-    out = [F.col(f"{bound}.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns]
-    return rows.select(*out, *([F.col(f"{bound}.found").alias(found_col)] if found_col else []))
+    out = [F.col(f"`{bound}`.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns]
+    return rows.select(*out, *([F.col(f"`{bound}`.found").alias(found_col)] if found_col else []))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.llm.common import fresh
 from tidewater.llm.textarrays import Texts, slices, texts
 
 ORDER = 3
@@ -177,7 +178,7 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", keep: list[str]
     added = {"lang_pred", "score", "bits_per_byte"}
     keep = [c for c in (keep if keep is not None else [c for c in df.columns if c != text_col]) if c.lower() not in added]
     text = F.col(f"`{text_col}`")
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.when(has_letter(text), text).alias("__text"))
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.when(has_letter(text), text).alias(fresh("__text", keep)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model  # max_nodes nodes at most

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.llm.common import fresh
 from tidewater.llm.textarrays import SPACE, Texts, Words, mix64, range_hashes, slices, sums_by_text, texts, words
 
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -174,7 +175,7 @@ def repetition(
     """
     added = {f.name.lower() for f in SCHEMA.fields} | {"base_failed", "kept"}
     keep = [c for c in (keep if keep is not None else [c for c in df.columns if c != text_col]) if c.lower() not in added]
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__text"))
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias(fresh("__text", keep)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

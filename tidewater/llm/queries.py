@@ -97,12 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pseudonyms": op10_pseudonyms,
 }
 
-_TEXT_SQL = "regexp_replace(payload, '(?s)<!--.*?-->', '', 'g')"
-for _tag in warc.HIDDEN:
-    _TEXT_SQL = f"regexp_replace({_TEXT_SQL}, '(?is)<{_tag}\\b.*?</{_tag}[^>]*>', '', 'g')"
-_TEXT_SQL = f"regexp_replace({_TEXT_SQL}, '[\\x09-\\x0D\\x20]+', ' ', 'g')"
-_TEXT_SQL = f"regexp_replace({_TEXT_SQL}, '(?i)</?(?:{warc.BREAKING})(?:[ /][^>]*)?>', chr(10), 'g')"
-_TEXT_SQL = f"regexp_replace({_TEXT_SQL}, '<[a-zA-Z/!?][^>]*>', '', 'g')"
+_TEXT_SQL = f"regexp_replace(regexp_replace(regexp_replace(payload, '{warc.BLANKS}', ' ', 'g'), '{warc.BREAKS}', chr(10), 'g'), '{warc.UNSEEN}', '', 'g')"
 _NAMES_SQL = "MAP {" + ", ".join("'" + k + "': '" + v.replace("'", "''") + "'" for k, v in warc.ENTITIES.items()) + "}"
 
 
@@ -125,15 +120,13 @@ def _uuid_sql(name: str) -> str:
 
 
 _WARC_SQL = f"""
-WITH source AS (SELECT page_id, url, coalesce(html, '') AS payload FROM pages),
-response AS (
-  SELECT page_id, url AS target_uri, payload,
-         {_uuid_sql("'response' || chr(10) || coalesce(CAST(page_id AS VARCHAR), 'null') || chr(10) || coalesce(url, 'null') || chr(10) || payload")} AS refers_to
-  FROM source),
+WITH source AS (SELECT page_id, url AS target_uri, coalesce(html, '') AS payload FROM pages),
+digested AS (SELECT *, {_digest_sql("payload")} AS payload_digest FROM source),
 stripped AS (
-  SELECT *, {_digest_sql("payload")} AS payload_digest, {_TEXT_SQL} AS bare, regexp_extract(payload, '(?is)<title[^>]*>([^<]*)</title', 1) AS raw_title FROM response),
+  SELECT *, {_uuid_sql("'response' || chr(10) || coalesce(CAST(page_id AS VARCHAR), 'null') || chr(10) || coalesce(target_uri, 'null') || chr(10) || payload_digest")} AS refers_to,
+         {_TEXT_SQL} AS bare, regexp_extract(payload, '(?is)<title[^>]*>([^<]*)</title', 1) AS raw_title FROM digested),
 decoded AS (
-  SELECT *, trim(regexp_replace(regexp_replace({_unescape_sql("bare")}, ' *\n[ \n]*', chr(10), 'g'), '^\n|\n$', '', 'g'), ' ') AS text,
+  SELECT *, trim(regexp_replace({_unescape_sql("bare")}, '{warc.LINES}', chr(10), 'g'), ' ' || chr(10)) AS text,
          trim(regexp_replace({_unescape_sql("raw_title")}, '[\x09-\x0D\x20]+', ' ', 'g'), ' ') AS title,
          {_uuid_sql("'metadata' || chr(10) || refers_to")} AS meta_id, {_uuid_sql("'conversion' || chr(10) || refers_to")} AS text_id
   FROM stripped),

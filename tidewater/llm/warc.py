@@ -7,6 +7,8 @@ page's visible text). DataFrame functions only; rows are independent, so no shuf
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,21 +25,31 @@ ENTITIES = {
 #: Elements whose content is no text, and elements that end a line.
 HIDDEN = ("script", "style", "noscript", "template")
 BREAKING = "address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
+#: Runs of blanks that are not one space; tags that break a line; comments, hidden elements and all other tags.
+BLANKS = r"[\x09-\x0D][\x09-\x0D\x20]*|\x20[\x09-\x0D\x20]+"
+BREAKS = rf"(?i)</?(?:{BREAKING})(?:[ /][^>]*)?>"
+UNSEEN = "(?is)<(?:!--.*?-->|" + "|".join(rf"{tag}\b.*?</{tag}[^>]*>" for tag in HIDDEN) + "|[a-z/!?][^>]*>)"
+#: Line ends with blanks about them, or several.
+LINES = " +\n[ \n]*|\n[ \n]+"
 REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]{2,8});"
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def base32_sha1(data: Column) -> Column:
     """``sha1:`` and the digest in base 32, as WARC tools write it."""
-    digest = F.sha1(data)
-    part = lambda at: F.lpad(F.conv(F.substring(digest, at, 10), 16, 32), 8, "0")
-    digits = F.upper(F.concat(*[part(at) for at in (1, 11, 21, 31)]))
+    part = lambda d, at: F.lpad(F.conv(F.substring(d, at, 10), 16, 32), 8, "0")
+    digits = F.upper(_bind(F.sha1(data), lambda d: F.concat(*[part(d, at) for at in (1, 11, 21, 31)])))
     return F.concat(F.lit("sha1:"), F.translate(digits, "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"))
 
 
 def record_id(name: Column) -> Column:
     """A urn:uuid that depends on ``name`` alone, so reruns give the same ids."""
-    h = F.md5(name)
-    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), F.lit(">"))
+    parts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return F.concat(F.lit("<urn:uuid:"), _bind(F.md5(name), lambda h: F.concat_ws("-", *[F.substring(h, a, n) for a, n in parts])), F.lit(">"))
 
 
 def _character(reference: Column) -> Column:
@@ -53,50 +65,46 @@ def _character(reference: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Character references replaced once, left to right."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), _character)
-    parts = F.zip_with(F.split(text, REFERENCE, -1), F.array_append(found, F.lit("")), lambda a, b: F.concat(a, b))
-    return F.when(text.contains("&"), F.array_join(parts, "")).otherwise(text)
+
+    def decoded(t: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(t, F.lit(REFERENCE), F.lit(0)), _character)
+        parts = F.zip_with(F.split(t, REFERENCE, -1), F.array_append(found, F.lit("")), lambda a, b: F.concat(a, b))
+        return F.when(t.contains("&"), F.array_join(parts, "")).otherwise(t)
+
+    return _bind(text, decoded)
 
 
 def plain_text(html: Column) -> Column:
     """The visible text: comments, hidden elements and tags removed, blocks on lines of their own, references decoded, blanks folded."""
-    out = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    for tag in HIDDEN:
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b.*?</{tag}[^>]*>", "")
-    out = F.regexp_replace(out, r"[\x09-\x0D\x20]+", " ")
-    out = F.regexp_replace(out, rf"(?i)</?(?:{BREAKING})(?:[ /][^>]*)?>", "\n")
-    out = unescape(F.regexp_replace(out, r"<[a-zA-Z/!?][^>]*>", ""))
-    return F.trim(F.regexp_replace(F.regexp_replace(out, " *\n[ \n]*", "\n"), "^\n|\n$", ""))
+    out = F.regexp_replace(F.regexp_replace(html, BLANKS, " "), BREAKS, "\n")
+    out = unescape(F.regexp_replace(out, UNSEEN, ""))
+    return F.btrim(F.regexp_replace(out, LINES, "\n"), F.lit(" \n"))
 
 
 def responses_from_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str = DATE) -> DataFrame:
-    """Response records of crawled pages: ``record_id``, ``target_uri``, ``warc_date``, ``http_headers``, ``payload``.
+    """Response records of crawled pages: ``record_id``, ``target_uri``, ``warc_date``, ``http_headers``,
+    ``payload_digest``, ``payload``.
 
-    The record id depends on the page's id, address and content, so equal rows give equal records.
+    The record id depends on the page's id, address and content's digest, so equal rows give equal records.
     A null page has an empty payload, a null address none.
     """
     payload = F.coalesce(F.col(html_col), F.lit(""))
-    name = F.concat_ws("\n", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.coalesce(F.col(url_col), F.lit("null")), payload)
+    rows = pages.select(F.col(id_col), F.col(url_col).alias("target_uri"), payload.alias("payload")).withColumn("payload_digest", base32_sha1(F.col("payload")))
+    payload = F.col("payload")
+    name = F.concat_ws("\n", F.lit("response"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.coalesce(F.col("target_uri"), F.lit("null")), F.col("payload_digest"))
     headers = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length(payload).cast("string"), F.lit(CRLF))
-    return pages.select(
-        F.col(id_col),
-        record_id(F.concat(F.lit("response\n"), name)).alias("record_id"),
-        F.col(url_col).alias("target_uri"),
-        F.lit(date).alias("warc_date"),
-        headers.alias("http_headers"),
-        payload.alias("payload"),
-    )
+    return rows.select(F.col(id_col), record_id(name).alias("record_id"), "target_uri", F.lit(date).alias("warc_date"), headers.alias("http_headers"), "payload_digest", "payload")
 
 
 def derive(responses: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Two records for every response: ``metadata`` and ``conversion``.
 
-    ``responses`` has ``record_id``, ``target_uri``, ``warc_date``, ``http_headers`` and ``payload``. Results:
+    ``responses`` has ``record_id``, ``target_uri``, ``warc_date``, ``http_headers``, ``payload_digest`` and ``payload``. Results:
     the ``keep`` columns, ``warc_type``, ``record_id``, ``refers_to`` (the response), ``concurrent_to`` (the other
     derived record), ``target_uri``, ``warc_date``, ``content_type``, ``content_length``, ``block_digest``,
     ``payload_digest`` (of the response's payload, as it was), ``block`` and ``record`` (the whole record without its
     closing blank lines; see ``write``). Null payloads count as empty, a null address or header block is left
-    out, null record ids are named by the payload. Repeated responses give repeated records; an empty
+    out, null record ids are named by the payload, a null digest is computed. Repeated responses give repeated records; an empty
     table gives an empty result; other columns of the input are ignored unless in ``keep``.
     """
     keep = keep or []
@@ -108,7 +116,7 @@ def derive(responses: DataFrame, keep: list[str] | None = None) -> DataFrame:
         F.col("target_uri"),
         F.col("warc_date"),
         F.coalesce(F.col("http_headers"), F.lit("")).alias("http_headers"),
-        base32_sha1(payload).alias("payload_digest"),
+        F.coalesce(F.col("payload_digest"), base32_sha1(payload)).alias("payload_digest"),
         F.octet_length(payload).alias("payload_bytes"),
         F.regexp_extract(payload, r"(?is)<title[^>]*>([^<]*)</title", 1).alias("title"),
         plain_text(payload).alias("text"),

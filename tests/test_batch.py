@@ -1,10 +1,12 @@
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewater import assign_byte_batch, assign_count_batch, assign_time_batch, tag_run
-from tidewater.operators.batch import order_chunk, running_before
+from tidewater.operators.batch import _with_auto_chunk, order_chunk, running_before
 
 
 def _skewed(spark, n=20000, seed=3):
@@ -96,7 +98,7 @@ def test_auto_chunks_bound_the_hot_key(spark):
 
     df = _skewed(spark, n=30000)
     n_chunks = 20
-    chunked = _with_auto_chunk(df, ["key"], "id", n_chunks, "c")
+    chunked = _with_auto_chunk(df, ["key"], ["id"], n_chunks, "c")
     sizes = chunked.groupBy("key", "c").count()
     biggest = sizes.agg(F.max("count")).first()[0]
     hot_rows = df.where("key = 'hot'").count()
@@ -197,3 +199,52 @@ def test_work_paths_are_unique_under_the_checkpoint_root(spark):
     root = checkpoint_root(spark)
     a, b = work_path(spark, "x"), work_path(spark, "x")
     assert a != b and a.startswith(root) and b.startswith(root)
+
+
+def _mismatches(df, order, keys, n_chunks=16):
+    got = running_before(df, F.lit(1), order, keys, "auto", "before", n_chunks)
+    want = running_before(df, F.lit(1), order, keys, None, "before")
+    cols = [*df.columns, "before"]
+    return got.select(cols).exceptAll(want.select(cols)).count() + want.select(cols).exceptAll(got.select(cols)).count()
+
+
+def test_wall_clock_order_across_a_clock_change(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        start = F.lit("2024-03-10 00:30:00").cast("timestamp_ntz")
+        df = spark.range(4000).select("id", F.timestamp_add("SECOND", F.col("id") * 3, start).alias("ts"), (F.col("id") % 3).alias("k"))
+        assert _mismatches(df, ["ts", "id"], ["k"]) == 0
+        chunk = order_chunk("ts", 600_000_000, "timestamp_ntz")
+        got = running_before(df, F.lit(1), ["ts", "id"], ["k"], chunk, "b")
+        want = running_before(df, F.lit(1), ["ts", "id"], ["k"], None, "b")
+        assert got.exceptAll(want).count() == 0
+        named = assign_time_batch(df, "ts", "1 minute").where(F.date_trunc("MINUTE", "ts") != F.col("batch_start"))
+        assert named.count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_ties_of_the_first_order_column_are_split(spark):
+    df = spark.range(20_000).select(
+        "id", F.lit(1.0).alias("v"), F.lit("x").alias("k"), F.concat(F.lit("ab"), F.lpad((F.col("id") % 5000).cast("string"), 6, "0")).alias("s")
+    )
+    assert _mismatches(df, ["v", "s", "id"], ["k"]) == 0
+    for order in (["v", "id"], ["v", "s", "id"]):
+        largest = _with_auto_chunk(df, ["k"], order, 16, "c").groupBy("c").count().agg(F.max("count")).first()[0]
+        assert largest <= 2 * 20_000 // 16
+
+
+def test_empty_null_and_infinite_order_values(spark):
+    df = spark.range(3000).select("id", F.col("id").cast("double").alias("v"), F.lit("x").alias("k"))
+    assert _mismatches(df.where("false"), ["v", "id"], ["k"]) == 0
+    assert assign_byte_batch(df.where("false"), "k", ["v"], ["k"]).count() == 0
+    for value in ("CAST(NULL AS DOUBLE)", "if(id % 2 = 0, double('inf'), double('-inf'))", "CASE WHEN id % 3 = 0 THEN double('nan') WHEN id % 3 = 1 THEN NULL ELSE v END"):
+        assert _mismatches(df.withColumn("v", F.expr(value)), ["v", "id"], ["k"]) == 0
+
+
+def test_descending_order_needs_the_plain_window(spark):
+    df = spark.range(10).select("id", F.lit("x").alias("k"))
+    with pytest.raises(ValueError, match="ascending"):
+        running_before(df, F.lit(1), [F.desc("id")], ["k"], order_chunk("id", 3))
+    assert running_before(df, F.lit(1), [F.desc("id")], ["k"], None, "b").where("b != 9 - id").count() == 0

@@ -22,12 +22,12 @@ so the chunk only decides the work split, never the answer.
 
 ``chunk="auto"`` (the default) splits only *hot* keys -- those holding more
 than ``rows / n_chunks`` rows, of which there are fewer than ``n_chunks`` --
-at approximate quantiles of the first order column: the split points are a
-bounded list, and Spark ML's ``Bucketizer`` assigns chunks by binary search
-inside the JVM.  Cold keys stay whole.  No (key, chunk) group then holds more
-than about ``rows / n_chunks`` rows, even when one key holds a third of the
-data.  A Column may be given instead (see
-:func:`order_chunk`); ``chunk=None`` is the plain window.
+at approximate quantiles of the first order column, and values that alone fill
+chunks at those of the next order columns.  Cold keys stay whole.  No (key,
+chunk) group then holds much more than ``rows / n_chunks`` rows unless that
+many rows are tied on every order column.  ``n_chunks`` follows the input's
+size.  A Column may be given instead (see :func:`order_chunk`);
+``chunk=None`` is the plain window.
 
 The chunk-totals table has one row per non-empty (key, chunk): with auto
 chunks at most ``keys + n_chunks**2`` tiny rows, far below the data; it is
@@ -37,89 +37,140 @@ small).
 
 from __future__ import annotations
 
+import math
+import re
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.constants import BATCH_NAME_FORMAT, MAX_BATCH_ROWS, MAX_BUFFER_BYTES
 
 DEFAULT_MAX_BYTES = MAX_BUFFER_BYTES
 DEFAULT_BATCH_ROWS = MAX_BATCH_ROWS
+#: Bytes of input that a chunk is meant to hold, and the longest list of cuts.
+CHUNK_BYTES = 128 * 1024 * 1024
+MOST_CHUNKS = 100_000
+
+
+def _epoch_value(c: Column, dtype) -> Column:
+    """A date or time as a number that grows with it, whatever the session time zone."""
+    from pyspark.sql.types import DateType, TimestampNTZType
+
+    if isinstance(dtype, DateType):
+        return F.unix_date(c)
+    if isinstance(dtype, TimestampNTZType):
+        # timestamp_diff would read the wall clock in the session zone, which jumps at its clock changes
+        minutes = F.unix_date(c.cast("date")).cast("long") * 1440 + F.hour(c) * 60 + F.minute(c)
+        return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    return F.unix_micros(c)
 
 
 def order_chunk(order_col: str | Column, width: int | float, kind: str = "number") -> Column:
     """A chunk id monotone in ``order_col``.
 
-    kind ``number``    -> floor(value / width)
-    kind ``timestamp`` -> floor(epoch microseconds / width), width in microseconds
+    kind ``number``        -> floor(value / width)
+    kind ``timestamp``     -> floor(epoch microseconds / width), width in microseconds
+    kind ``timestamp_ntz`` -> the same on the wall clock, free of the session time zone
     """
+    from pyspark.sql.types import TimestampNTZType, TimestampType
+
     c = F.col(order_col) if isinstance(order_col, str) else order_col
     if kind == "timestamp":
-        c = F.unix_micros(c.cast("timestamp"))
+        c = _epoch_value(c.cast("timestamp"), TimestampType())
+    elif kind == "timestamp_ntz":
+        c = _epoch_value(c.cast("timestamp_ntz"), TimestampNTZType())
     return F.floor(c / F.lit(width))
 
 
-def _order_value(df: DataFrame, name: str) -> Column:
-    """The first order column as a double (timestamps as epoch microseconds)."""
-    from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+def _order_value(df: DataFrame, name: str, first: bool = True) -> Column:
+    """A double that never decreases in the column's order: numbers as they are, dates and times from the
+    epoch, booleans as 0 and 1, strings and binaries (not as the first order column) by their first six bytes."""
+    from pyspark.sql.types import BinaryType, BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
     dtype = df.schema[name].dataType
     c = F.col(name)
     if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dtype, NumericType):
+        return _epoch_value(c, dtype).cast("double")
+    if isinstance(dtype, (NumericType, BooleanType)):
         return c.cast("double")
+    if isinstance(dtype, (StringType, BinaryType)) and not first:
+        lead = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(lead, 16, 10).cast("double")
     raise ValueError(
         f"chunk='auto' needs a numeric, date or timestamp first order column, not "
         f"{dtype.simpleString()}; pass chunk=<Column monotone in the order> instead"
     )
 
 
-def _with_auto_chunk(
-    df: DataFrame, keys: list[str], order_col: str, n_chunks: int | None, out_col: str
-) -> DataFrame:
-    """Split hot keys into quantile chunks of the first order column.
+def _chunk_count(df: DataFrame) -> int:
+    """As many chunks as keep one near CHUNK_BYTES by the planner's size estimate, two per core at least."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return int(min(MOST_CHUNKS, max(16, 2 * df.sparkSession.sparkContext.defaultParallelism, size // CHUNK_BYTES)))
+
 
-    One aggregate gives the split points (``n_chunks - 1`` numbers) and the
-    row count; a key holding more than ``rows / n_chunks`` rows is *hot*.
-    Fewer than ``n_chunks`` keys can be hot, so that key set has a proven size
-    bound and is broadcast.  Hot keys get the quantile chunk of each row;
-    every other key stays whole (chunk 0), being small already.
+def _cuts(df: DataFrame, value: str, n_chunks: int, rows: Column | None = None) -> tuple[list[float], list[float], int]:
+    """Approximate quantiles of ``value`` (finite ones), those that repeat (values holding more than a chunk) and the row count."""
+    probs = [i / n_chunks for i in range(1, n_chunks)]
+    # Balance only needs a rank error under half a chunk, so the sketch accuracy grows with n_chunks, not with the data.
+    sketch = F.percentile_approx(value, probs, max(1_000, 4 * n_chunks)) if probs else F.lit(None)
+    row = (df if rows is None else df.where(rows)).agg(sketch.alias("q"), F.count(F.lit(1)).alias("n")).first()
+    found = [c for c in (row["q"] or []) if c is not None and math.isfinite(c)]
+    heavy = sorted({c for c, d in zip(found, found[1:]) if c == d})
+    return sorted(set(found)), heavy, row["n"]
+
+
+def _with_auto_chunk(df: DataFrame, keys: list[str], order: list[str], n_chunks: int | None, out_col: str) -> DataFrame:
+    """Split hot keys into chunks along the order.
+
+    The first order column is cut at its approximate quantiles (a bounded list; Spark ML's ``Bucketizer`` finds
+    a row's chunk by binary search in the JVM). A value that alone fills chunks gets a chunk of its own, cut
+    again at the quantiles of the next order column, and so on. A key holding more than ``rows / n_chunks``
+    rows is *hot*: fewer than ``n_chunks`` keys can be, so that key set is small and is broadcast. Every other
+    key stays whole (chunk 0). Rows tied on every order column share a chunk: their order is not defined.
+    Null order values go to the first chunk, as they sort; empty inputs and inputs without a finite value have one.
     """
     from pyspark.ml.feature import Bucketizer
 
-    spark = df.sparkSession
     if n_chunks is None:
-        n_chunks = max(16, 2 * spark.sparkContext.defaultParallelism)
-    tmp = "_tw_ordv"
-    with_v = df.withColumn(tmp, _order_value(df, order_col))
-    probs = [i / n_chunks for i in range(1, n_chunks)]
-    if not probs:
-        return df.withColumn(out_col, F.lit(0).cast("long"))
-    # Balance only needs a rank error under half a chunk, so the sketch
-    # accuracy grows with n_chunks, not with the data.
-    row = with_v.select(
-        F.percentile_approx(tmp, probs, max(1_000, 4 * n_chunks)).alias("q"), F.count(F.lit(1)).alias("n")
-    ).first()
-    cuts, total = list(row["q"] or []), row["n"]
-    splits = [float("-inf")] + sorted({c for c in cuts if c is not None}) + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol="_tw_b", handleInvalid="keep").transform(with_v)
-
-    limit = max(1, total // n_chunks)
+        n_chunks = _chunk_count(df)
+    out, drop, chunk, tied, total = df, [], None, None, 0
+    for level, name in enumerate(order):
+        value, bucket = f"_tw_ordv{level}", f"_tw_b{level}"
+        out = out.withColumn(value, _order_value(df, name, level == 0))
+        cuts, heavy, n = _cuts(out, value, n_chunks, tied)
+        drop += [value]
+        total = total if level else n
+        if cuts:
+            ends = {c for h in heavy for c in (h, math.nextafter(h, math.inf))}
+            splits = [-math.inf, *sorted({*cuts, *ends}), math.inf]
+            out = Bucketizer(splits=splits, inputCol=value, outputCol=bucket, handleInvalid="keep").transform(out)
+            # NaN sorts last, null first; Bucketizer keeps NaN in an extra bucket and leaves null
+            place = F.when(F.col(value).isNull(), F.lit(-1)).otherwise(F.col(bucket)).cast("long")
+            drop += [bucket]
+        else:
+            place = F.lit(0).cast("long")
+        place = place if tied is None else F.when(tied, place).otherwise(F.lit(0).cast("long"))
+        chunk = place if chunk is None else chunk * F.lit(4 * n_chunks + 8) + place
+        if not heavy:
+            break
+        mine = F.col(value).isin(heavy)
+        tied = mine if tied is None else tied & mine
+
     hot = (
-        with_v.groupBy(*keys)
+        out.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_tw_rows"))
-        .where(F.col("_tw_rows") > F.lit(limit))
+        .where(F.col("_tw_rows") > F.lit(max(1, total // n_chunks)))
         .select(*[F.col(k).alias(f"_tw_h{i}") for i, k in enumerate(keys)], F.lit(True).alias("_tw_hot"))
     )
     cond = None
     for i, k in enumerate(keys):
         c = F.col(k).eqNullSafe(F.col(f"_tw_h{i}"))
         cond = c if cond is None else cond & c
-    flagged = bucketed.join(F.broadcast(hot), cond, "left")
-    chunk = F.when(F.col("_tw_hot"), F.col("_tw_b").cast("long")).otherwise(F.lit(0).cast("long"))
-    return flagged.withColumn(out_col, chunk).drop(tmp, "_tw_b", "_tw_hot", *[f"_tw_h{i}" for i in range(len(keys))])
+    flagged = out.join(F.broadcast(hot), cond, "left")
+    chunk = F.when(F.col("_tw_hot"), chunk).otherwise(F.lit(0).cast("long"))
+    return flagged.withColumn(out_col, chunk).drop("_tw_hot", *drop, *[f"_tw_h{i}" for i in range(len(keys))])
 
 
 def _cols(names: Sequence[str] | str | None) -> list[str]:
@@ -147,13 +198,15 @@ def running_before(
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return base.withColumn(out_col, F.coalesce(F.sum("_tw_w").over(w), F.lit(0))).drop("_tw_w")
 
+    # Chunks ascend with nulls first, so any other order would add the wrong offsets.
+    if any(not isinstance(o, str) and re.search(r" (DESC|ASC)( NULLS (FIRST|LAST))?'>$", str(o).replace(" ASC NULLS FIRST", "")) for o in order):
+        raise ValueError("chunks need an ascending order with nulls first; use chunk=None for any other")
     if isinstance(chunk, str):
         if chunk != "auto":
             raise ValueError(f"unknown chunk mode {chunk!r}")
-        first = order[0]
-        if not isinstance(first, str):
-            raise ValueError("chunk='auto' needs the first order column by name")
-        base = _with_auto_chunk(base, keys, first, n_chunks, "_tw_chunk")
+        if not all(isinstance(o, str) for o in order):
+            raise ValueError("chunk='auto' needs the order columns by name")
+        base = _with_auto_chunk(base, keys, order, n_chunks, "_tw_chunk")
     else:
         base = base.withColumn("_tw_chunk", chunk)
     # The join and the in-chunk window use the same plain, non-null columns
@@ -182,11 +235,14 @@ def running_before(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = totals.select(*jcols, F.coalesce(F.sum("_tw_cw").over(w_tot), F.lit(0)).alias("_tw_off"))
-    joined = base.join(offsets, jcols, "inner")
+    # Every row has an offset unless the input changed between its two readings: that must not lose rows.
+    joined = base.join(offsets, jcols, "left")
+    missing = F.raise_error(F.lit("running total: the input changed while it was read"))
+    offset = F.when(F.col("_tw_off").isNull(), missing.cast("long")).otherwise(F.col("_tw_off"))
     w_in = Window.partitionBy(*jcols).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     restored = {k: F.when(~F.col(f"_tw_n{i}"), F.col(f"_tw_v{i}")) for i, k in enumerate(keys) if k in restorable}
     out = joined.withColumns(
-        {out_col: F.col("_tw_off") + F.coalesce(F.sum("_tw_w").over(w_in), F.lit(0)), **restored}
+        {out_col: offset + F.coalesce(F.sum("_tw_w").over(w_in), F.lit(0)), **restored}
     )
     return out.select(*df.columns, out_col)
 
@@ -301,7 +357,7 @@ def assign_time_batch(
     else:
         epoch = F.lit("1970-01-01 00:00:00+00:00").cast("timestamp")
     ts = F.col(ts_col).cast(dtype if dtype in ("timestamp", "timestamp_ntz") else "timestamp")
-    since = F.timestamp_diff("MICROSECOND", epoch, ts)
+    since = _epoch_value(ts, T.TimestampNTZType() if dtype == "timestamp_ntz" else T.TimestampType())
     start = F.timestamp_add("MICROSECOND", F.floor(since / F.lit(step)) * F.lit(step), epoch)
     return df.withColumns(
         {start_col: start, name_col: F.concat(F.lit(prefix), F.date_format(start, name_format))}

@@ -54,7 +54,7 @@ CHUNK_BYTES = 128 * 1024 * 1024
 MOST_CHUNKS = 100_000
 
 
-def _epoch_value(c: Column, dtype) -> Column:
+def epoch_value(c: Column, dtype) -> Column:
     """A date or time as a number that grows with it, whatever the session time zone."""
     from pyspark.sql.types import DateType, TimestampNTZType
 
@@ -78,9 +78,9 @@ def order_chunk(order_col: str | Column, width: int | float, kind: str = "number
 
     c = F.col(order_col) if isinstance(order_col, str) else order_col
     if kind == "timestamp":
-        c = _epoch_value(c.cast("timestamp"), TimestampType())
+        c = epoch_value(c.cast("timestamp"), TimestampType())
     elif kind == "timestamp_ntz":
-        c = _epoch_value(c.cast("timestamp_ntz"), TimestampNTZType())
+        c = epoch_value(c.cast("timestamp_ntz"), TimestampNTZType())
     return F.floor(c / F.lit(width))
 
 
@@ -92,7 +92,7 @@ def _order_value(df: DataFrame, name: str, first: bool = True) -> Column:
     dtype = df.schema[name].dataType
     c = F.col(name)
     if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
-        return _epoch_value(c, dtype).cast("double")
+        return epoch_value(c, dtype).cast("double")
     if isinstance(dtype, (NumericType, BooleanType)):
         return c.cast("double")
     if isinstance(dtype, (StringType, BinaryType)) and not first:
@@ -357,7 +357,7 @@ def assign_time_batch(
     else:
         epoch = F.lit("1970-01-01 00:00:00+00:00").cast("timestamp")
     ts = F.col(ts_col).cast(dtype if dtype in ("timestamp", "timestamp_ntz") else "timestamp")
-    since = _epoch_value(ts, T.TimestampNTZType() if dtype == "timestamp_ntz" else T.TimestampType())
+    since = epoch_value(ts, T.TimestampNTZType() if dtype == "timestamp_ntz" else T.TimestampType())
     start = F.timestamp_add("MICROSECOND", F.floor(since / F.lit(step)) * F.lit(step), epoch)
     return df.withColumns(
         {start_col: start, name_col: F.concat(F.lit(prefix), F.date_format(start, name_format))}

@@ -11,15 +11,17 @@ from tidewater.operators.parse import JSON_TS_OPTIONS
 
 
 def encode_json(df: DataFrame, cols: Sequence[str] | None = None, out_col: str = "payload",
-                keep: Sequence[str] = ()) -> DataFrame:
+                keep: Sequence[str] = (), keep_nulls: bool = False) -> DataFrame:
     """T4: event -> one JSON object text per row.
 
-    Null struct fields are omitted (absent and null coincide after cleaning);
+    Null struct fields are omitted (absent and null coincide after cleaning), or with
+    ``keep_nulls`` written as ``null``, as events are that have not been cleaned;
     timestamps keep microseconds.  Compare payloads by value, not by text.
     """
     names = list(cols) if cols is not None else [c for c in df.columns if c not in keep]
+    options = {**JSON_TS_OPTIONS, "ignoreNullFields": "false" if keep_nulls else "true"}
     body = F.struct(*[F.col(f"`{c}`") for c in names])
-    return df.select(*[F.col(k) for k in keep], F.to_json(body, JSON_TS_OPTIONS).alias(out_col))
+    return df.select(*[F.col(k) for k in keep], F.to_json(body, options).alias(out_col))
 
 
 def encode_csv_line(c: Column | str) -> Column:

@@ -55,10 +55,11 @@ def alert_events(df: DataFrame, ts_col: str, predicate: Column, every: str = "1
                  min_count: int = 1) -> DataFrame:
     """L2: the matching events of every firing window (the events an alert
     hands to its action).  Semi-join on the window start; with
-    ``min_count <= 1`` every matching event fires and no join is needed."""
+    ``min_count <= 1`` every dated matching event fires and no join is needed.
+    An event without a time is in no window, whatever ``min_count`` is."""
     matched = df.where(predicate)
     if min_count <= 1:
-        return matched
+        return matched.where(F.col(ts_col).isNotNull())
     firing = alert_windows(df, ts_col, predicate, every, min_count).select("window_start")
     keyed = matched.withColumn("window_start", F.window(F.col(ts_col), every).start)
     return keyed.join(firing, "window_start", "left_semi").drop("window_start")
@@ -89,3 +90,32 @@ def sweep_expired(spark, path: str, now=None, days: int = RETENTION_DAYS, glob:
         if p.getFileSystem(conf).delete(p, False):
             n += 1
     return n
+
+
+def sweep_dated_folders(spark, path: str, now, days: int = RETENTION_DAYS, date_col: str = "day") -> int:
+    """L1's sweep of a table or staging area laid out by day: delete the whole folders
+    ``<path>/<date_col>=<yyyy-MM-dd>`` that lie strictly before ``now - days``; returns how many.
+
+    One listing of one level and one delete per expired day, however many files it holds.
+    A day counts as old as its last moment, so no row within the retention goes; folders
+    without a date are kept."""
+    from datetime import date, timedelta
+
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return 0
+    at = now if isinstance(now, datetime) else datetime.fromisoformat(str(now))
+    n = 0
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if not (status.isDirectory() and name.startswith(f"{date_col}=")):
+            continue
+        try:
+            day = date.fromisoformat(name[len(date_col) + 1 :])
+        except ValueError:
+            continue
+        if datetime.combine(day + timedelta(days=1), datetime.min.time()) <= at.replace(tzinfo=None) - timedelta(days=days):
+            n += bool(fs.delete(status.getPath(), True))
+    return n

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from typing import Iterable, Sequence
 
@@ -86,33 +87,41 @@ def route_label(corrupt_col: str = CORRUPT_COL) -> Column:
     return F.when(F.col(corrupt_col).isNull(), F.lit("good")).otherwise(F.lit("dead"))
 
 
-def infer_rows(
-    df: DataFrame,
-    json_col: str,
-    staging_path: str | None = None,
-    sampling_ratio: float | None = None,
-    mode: str = "FAILFAST",
-) -> DataFrame:
+def infer_rows(df: DataFrame, json_col: str, mode: str = "FAILFAST") -> DataFrame:
     """JSON text -> typed table with a schema inferred over all rows.
 
-    Uses the distributed JSON reader (two passes: infer, then read).  The
-    text is staged once to the shared work folder so that both passes read
-    a written table instead of recomputing the input lineage.  Fields come
-    out in alphabetical order; int+float widen to double, int+string to
-    string, objects become structs.
+    The schema comes from one distributed pass of the JSON reader over the column itself,
+    the rows from a second one that parses each payload with it; the text is not copied.
+    Fields come out in alphabetical order; int+float widen to double, int+string to string,
+    objects become structs. Under ``FAILFAST`` a missing, blank or malformed payload aborts
+    the job; ``PERMISSIVE`` gives it a row of nulls, so no row is ever lost.
     """
-    from tidewater.session import work_path
-
     spark = df.sparkSession
-    path = staging_path or work_path(spark, "infer")
-    # One document per line: valid JSON holds no raw CR/LF inside strings, so
-    # folding them to spaces keeps the value of pretty-printed documents.
-    one_line = F.regexp_replace(py_strip(F.col(json_col)), "[\r\n]", " ")
-    df.select(one_line.alias("value")).write.mode("overwrite").text(path)
-    reader = spark.read.options(mode=mode, **JSON_TS_OPTIONS)
-    if sampling_ratio is not None:
-        reader = reader.option("samplingRatio", sampling_ratio)
-    return reader.json(path)
+    jvm = spark.sparkContext._jvm
+    # folded like the parser sees it: valid JSON has no raw line ends inside strings
+    text = py_strip(F.col(json_col))
+    lines = df.select(text.alias("value"))
+    present = lines.where("value IS NOT NULL AND value != ''")
+    reader = spark._jsparkSession.read().option("mode", "PERMISSIVE" if mode.upper() != "FAILFAST" else mode)
+    for k, v in JSON_TS_OPTIONS.items():
+        reader = reader.option(k, v)
+    strings = getattr(present._jdf, "as")(jvm.org.apache.spark.sql.Encoders.STRING())
+    schema = StructType.fromJson(json.loads(reader.json(strings).schema().json()))
+    corrupt = spark.conf.get("spark.sql.columnNameOfCorruptRecord")
+    schema = StructType([f for f in schema.fields if f.name != corrupt])
+    if not schema.fields:
+        bad = lines.where("value IS NULL OR value = ''")
+        return bad.select() if mode.upper() != "FAILFAST" else _abort_on(bad)
+    parsed = F.from_json("value", schema, {"mode": mode, **JSON_TS_OPTIONS})
+    if mode.upper() == "FAILFAST":
+        missing = F.raise_error(F.concat(F.lit("missing payload in "), F.lit(json_col)))
+        parsed = F.when(F.col("value").isNull() | (F.col("value") == ""), missing).otherwise(parsed)
+    return lines.select(parsed.alias("_tw_row")).select("_tw_row.*")
+
+
+def _abort_on(rows: DataFrame) -> DataFrame:
+    """No rows, or an error where there are some."""
+    return rows.select(F.raise_error(F.lit("missing payload")).alias("x")).drop("x")
 
 
 def apply_mapping(
@@ -128,7 +137,8 @@ def apply_mapping(
     ``mapping`` is a list of ``(column, path_or_ordinal, type)``:
       kind ``json`` -> path is a JSONPath such as ``$.a`` or ``$.a.b[0]``;
       kind ``csv``  -> ordinal is the 0-based field number.
-    Values that do not fit the type become null (``try_cast``), never an error.
+    Values that do not fit the type become null (``try_cast``), never an error; find malformed
+    payloads first with :func:`parse_raw`, or deliver through ``load_staged(mapping=...)``, which routes them.
 
     The payload is parsed once per row: top-level JSON keys come from one
     ``from_json`` into STRING fields (numbers keep their text, objects their

@@ -4,6 +4,7 @@
 * :func:`alert_action` -- alert events -> clean (optional) -> tag run ->
                           direct append, or durable: byte batches -> gzip JSON
                           staging -> exactly-once load; returns the delivery account
+* :func:`run_alert`    -- the events of firing windows handed to the alert action
 * :func:`forwarder`    -- raw text files -> non-blank lines -> staged CSV ->
                           exactly-once load
 
@@ -14,19 +15,21 @@ checkpoints, ledgers) lives under paths the caller passes, normally below
 
 from __future__ import annotations
 
-from typing import Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewater.operators.account import delivery_summary
 from tidewater.operators.batch import DEFAULT_MAX_BYTES, assign_byte_batch, tag_run
 from tidewater.operators.clean import clean_events
+from tidewater.operators.lifecycle import alert_events
 from tidewater.operators.parse import JSON_TS_OPTIONS, infer_rows
-from tidewater.sinks.tables import append_table, deliver_direct, stage_json
-from tidewater.sources.search import RESULT_PAGE_CAP, search_head
+from tidewater.sinks.tables import BATCHES_PER_FOLDER, append_table, deliver_direct, path_name, stage_json
+from tidewater.sources.search import search_head
 from tidewater.streaming.intake import stage_intake
-from tidewater.streaming.load import committed_rows, load_ledger, load_staged
+from tidewater.streaming.load import BATCH_COL, DEAD_DIR, committed_rows, load_ledger, load_staged, write_ledger
 from tidewater.streaming.stage import stage_stream
 
 
@@ -38,12 +41,13 @@ def backfill(
     raw_col: str = "_raw",
     target: str | None = None,
     fmt: str = "parquet",
-    cap: int = RESULT_PAGE_CAP,
+    cap: int | None = None,
     cutoff_col: str | None = None,
     descending: bool = True,
 ) -> DataFrame:
     """Program A: ``search <predicate> | head n``, parse each ``_raw`` payload
     (stripped), infer one table over all rows, append it to ``target``.
+    A missing or malformed payload aborts the job, as in the reference.
     ``cutoff_col`` enables R1's exact pre-filter for large ``n``."""
     head = search_head(events, predicate, n, order_by, cap, cutoff_col=cutoff_col, descending=descending)
     head = head.select(raw_col)
@@ -53,6 +57,20 @@ def backfill(
     return typed
 
 
+def _route_dead(events: DataFrame, corrupt_col: str, target: str, run_id: str) -> tuple[DataFrame, int]:
+    """The good events, and how many bad ones went to the run's dead-letter folder (a rerun rewrites it)."""
+    spark = events.sparkSession
+    dead = events.where(F.col(corrupt_col).isNotNull())
+    batch = f"run-{path_name(run_id)}"
+    place = f"{target}/{DEAD_DIR}/{BATCH_COL}={batch}"
+    dead.select(F.col(corrupt_col).alias("record"), F.lit(None).cast("string").alias("file"), F.lit(run_id).alias("run_id")).write.mode(
+        "overwrite"
+    ).parquet(place)
+    n = spark.read.schema("record STRING").parquet(place).count()
+    write_ledger(spark, target, batch, run_id, {"failed": n} if n else {"ok": 0})
+    return events.where(F.col(corrupt_col).isNull()).drop(corrupt_col), n
+
+
 def alert_action(
     events: DataFrame,
     target: str,
@@ -68,38 +86,62 @@ def alert_action(
     fmt: str = "parquet",
     chunk: Column | str | None = "auto",
     n_chunks: int | None = None,
+    corrupt_col: str | None = None,
+    mapping: Sequence[tuple[str, str | int, str]] | None = None,
+    archive_dir: str | None = None,
 ) -> DataFrame:
-    """Program B: deliver the events of a fired alert; returns the account
+    """Program B: deliver the events of a fired alert; returns the run's account
     ``(run_id, sent, failed, elapsed_seconds, elapsed_minutes)``.
 
     ``durable`` and ``remove_extra_fields`` accept the alert options'
     ``"1"``/``"0"`` strings.  Durable mode needs ``partition_by`` (the batch
     key), ``staging_dir`` and ``checkpoint``; direct delivery of a streaming
-    DataFrame needs ``checkpoint``.
+    DataFrame needs ``checkpoint``.  ``corrupt_col`` marks bad events (see
+    :func:`tidewater.operators.parse.parse_raw`): they go to the target's dead letters and
+    count as failed, the others are delivered.  ``mapping`` projects each staged event to
+    destination columns (durable mode).  A rerun of the same run delivers nothing twice.
     """
     if isinstance(durable, str):
         durable = durable == "1"
     spark = events.sparkSession
+    failed = 0
+    if corrupt_col is not None:
+        if events.isStreaming:
+            raise ValueError("route bad events of a stream with route_failures before the alert action")
+        events, failed = _route_dead(events, corrupt_col, target, run_id)
     ev = tag_run(clean_events(events, remove_extra_fields), run_id)
     if not durable:
-        deliver_direct(ev, target, fmt, checkpoint=checkpoint)
-        delivered = spark.read.format(fmt).load(target).where(F.col("run_id") == F.lit(run_id))
-        ts = order_by[0]
-        return delivery_summary(delivered.withColumn("status", F.lit("ok")), ts_col=ts)
+        if mapping is not None:
+            raise ValueError("a mapping applies to staged events (durable delivery)")
+        deliver_direct(ev, target, fmt, checkpoint=checkpoint, run_id=None if ev.isStreaming else run_id)
+        place = target if ev.isStreaming else f"{target}/delivery={path_name(run_id)}"
+        sent = spark.read.schema(ev.schema).format(fmt).load(place).where(F.col("run_id") == F.lit(run_id))
+        ledger = sent.select("run_id", F.lit("ok").alias("status"), F.col(order_by[0]).alias("ts"), F.lit(1).alias("rows"))
+        if failed:
+            ledger = ledger.unionByName(load_ledger(spark, target).where((F.col("run_id") == run_id) & (F.col("status") == "failed")).select("run_id", "status", F.lit(None).cast(ev.schema[order_by[0]].dataType).alias("ts"), "rows"))
+        return delivery_summary(ledger, ts_col="ts", count_col="rows")
     if not (partition_by and staging_dir and checkpoint):
         raise ValueError("durable delivery needs partition_by, staging_dir and checkpoint")
+    schema = StructType([*ev.schema.fields, StructField("batch_id", LongType())])
+    load = {"fmt": fmt, "run_id": run_id, "mapping": mapping, "archive_dir": archive_dir}
     if ev.isStreaming:
         stage_stream(ev, staging_dir, f"{checkpoint}/stage", list(order_by), list(partition_by), max_bytes,
                      chunk=chunk, n_chunks=n_chunks)
-        load_staged(spark, staging_dir, target, ev.schema, f"{checkpoint}/load", fmt=fmt, run_id=run_id)
-        return delivery_summary(load_ledger(spark, target), ts_col="ts", count_col="rows")
-    payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in ev.columns]), JSON_TS_OPTIONS)
-    batched = assign_byte_batch(
-        ev, payload, list(order_by), list(partition_by), max_bytes, chunk=chunk, n_chunks=n_chunks
-    )
-    stage_json(batched, staging_dir, batch_cols=(*partition_by, "batch_id"))
-    load_staged(spark, staging_dir, target, ev.schema, checkpoint, fmt=fmt, run_id=run_id)
-    return delivery_summary(load_ledger(spark, target), ts_col="ts", count_col="rows")
+        load_staged(spark, staging_dir, target, schema, f"{checkpoint}/load", **load)
+    else:
+        payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in ev.columns]), JSON_TS_OPTIONS)
+        batched = assign_byte_batch(
+            ev, payload, list(order_by), list(partition_by), max_bytes, chunk=chunk, n_chunks=n_chunks
+        )
+        stage_json(batched, staging_dir, batch_cols=(*partition_by, "batch_id"), run_id=run_id, batches_per_folder=BATCHES_PER_FOLDER)
+        load_staged(spark, staging_dir, target, schema, checkpoint, **load)
+    return delivery_summary(load_ledger(spark, target).where(F.col("run_id") == F.lit(run_id)), ts_col="ts", count_col="rows")
+
+
+def run_alert(events: DataFrame, ts_col: str, predicate: Column, target: str, run_id: str, *, every: str = "1 hour",
+              min_count: int = 1, **action) -> DataFrame:
+    """L2 -> B: the events of every firing window go to :func:`alert_action`; returns its account."""
+    return alert_action(alert_events(events, ts_col, predicate, every, min_count), target, run_id, **action)
 
 
 def forwarder(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from typing import Sequence
+from collections.abc import Callable, Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,23 +32,62 @@ def append_routed(df: DataFrame, target: str, corrupt_col: str = "_corrupt", fmt
     ).save(target)
 
 
+def path_name(text: str) -> str:
+    """Any text as one safe folder name."""
+    return quote(text, safe="")
+
+
+def publish(df: DataFrame, root: str, name: str, write: Callable[[DataFrame, str], None]) -> bool:
+    """Write ``df`` below ``<root>/_pending`` and rename it to ``<root>/<name>`` in one step.
+
+    Readers never see part of it, and once it is there it is left alone: a rerun or a replay returns False."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    final, pending = (jvm.org.apache.hadoop.fs.Path(f"{root}/{p}") for p in (name, f"_pending/{name}"))
+    fs = final.getFileSystem(conf)
+    if fs.exists(final):
+        return False
+    write(df, pending.toString())
+    if not fs.exists(pending):
+        fs.mkdirs(pending)
+    fs.mkdirs(final.getParent())
+    if not fs.rename(pending, final):
+        raise RuntimeError(f"could not publish {final}")
+    return True
+
+
+#: Batches that share a folder in the programs.
+BATCHES_PER_FOLDER = 1_000
+
+
 def stage_json(df: DataFrame, path: str, batch_cols: Sequence[str] = ("batch_id",),
-               cluster: bool = False) -> None:
+               cluster: bool = False, run_id: str | None = None, overwrite: bool = False,
+               batches_per_folder: int | None = None) -> None:
     """K2: durable mode -- write gzip JSON lines, one folder per batch.
 
     The output of :func:`assign_byte_batch` is already clustered: its window
     leaves each task holding whole (key, chunk) runs in order, so a batch is
     written by one task, or two at a chunk edge, without another shuffle.
     For input that is not clustered that way pass ``cluster=True`` to
-    hash-partition on the batch columns first (one file per batch; gzip
-    files cannot be split, B1 bounds their size).  Timestamps keep
-    microseconds.
+    hash-partition on the batch columns first.  With ``batches_per_folder`` the last batch
+    column stays in the rows and that many batches share a folder: the driver commits and lists
+    folders, and 100 TB hold millions of batches. Timestamps keep microseconds. With ``run_id`` the stage is written
+    once: a rerun of the same run finds it and adds nothing.
     """
-    out = df.repartition(*batch_cols) if (cluster and batch_cols) else df
-    w = out.write.mode("append").option("compression", "gzip").options(**JSON_TS_OPTIONS)
-    if batch_cols:
-        w = w.partitionBy(*batch_cols)
-    w.json(path)
+    def write(rows: DataFrame, to: str) -> None:
+        w = rows.write.mode("overwrite" if run_id or overwrite else "append").option("compression", "gzip").options(**JSON_TS_OPTIONS)
+        (w.partitionBy(*folders) if folders else w).json(to)
+
+    folders = list(batch_cols)
+    if cluster and folders:
+        df = df.repartition(*folders)
+    if batches_per_folder and folders:
+        df = df.withColumn("batch_group", F.floor(F.col(folders[-1]) / batches_per_folder))
+        folders[-1] = "batch_group"
+    if run_id is None:
+        write(df, path)
+    else:
+        publish(df, path, f"stage_run={path_name(run_id)}", write)
 
 
 def stage_csv(df: DataFrame, path: str, line_col: str = "line", partition_by: Sequence[str] = ()) -> None:
@@ -60,15 +100,18 @@ def stage_csv(df: DataFrame, path: str, line_col: str = "line", partition_by: Se
 
 
 def deliver_direct(df: DataFrame, target: str, fmt: str = "parquet", checkpoint: str | None = None,
-                   options: dict | None = None):
+                   options: dict | None = None, run_id: str | None = None):
     """K5: non-durable delivery, no staging.
 
-    Batch DataFrame -> :func:`append_table`.  Streaming DataFrame -> an
-    append-mode ``writeStream`` (exactly-once through the file sink's commit
-    log), run to completion with ``availableNow``; returns the finished query.
+    Batch DataFrame -> :func:`append_table`, or with ``run_id`` a folder of that run which a rerun
+    overwrites.  Streaming DataFrame -> an append-mode ``writeStream`` (exactly-once through the
+    file sink's commit log), run to completion with ``availableNow``; returns the finished query.
     """
     if not df.isStreaming:
-        append_table(df, target, fmt, options)
+        if run_id is None:
+            append_table(df, target, fmt, options)
+        else:
+            df.write.format(fmt).options(**(options or {})).mode("overwrite").save(f"{target}/delivery={path_name(run_id)}")
         return None
     if checkpoint is None:
         raise ValueError("a streaming delivery needs a checkpoint location")

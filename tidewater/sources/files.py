@@ -27,8 +27,11 @@ CSV_OPTIONS = {
 
 
 def read_raw_lines(spark: SparkSession, path: str, streaming: bool = False,
-                   line_sep: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """One row (``value``) per text line of the files under ``path``."""
+                   line_sep: str | None = "\n", max_files_per_trigger: int | None = None) -> DataFrame:
+    """One row (``value``) per text line of the files under ``path``.
+
+    Lines end at ``\\n`` alone, so a carriage return is part of its line; ``line_sep=None`` also
+    ends lines at ``\\r`` and ``\\r\\n``."""
     reader = spark.readStream if streaming else spark.read
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
@@ -49,9 +52,15 @@ def _settled(reader, streaming: bool, modified_before):
 
 
 def read_staged_csv(spark: SparkSession, path: str, schema: StructType | str = "value STRING",
-                    streaming: bool = False, modified_before: datetime | str | None = None) -> DataFrame:
-    """Staged CSV buffers (``*.csv``, no header, quoted fields may span lines)."""
+                    streaming: bool = False, modified_before: datetime | str | None = None,
+                    line_sep: str | None = None) -> DataFrame:
+    """Staged CSV buffers (``*.csv``, no header, quoted fields may span lines).
+
+    ``line_sep="\\n"`` reads our own buffers (K3) without loss, carriage returns included; the default
+    also takes rows that end in ``\\r\\n``, as other programs write them, and folds such ends inside fields."""
     reader = _settled(spark.readStream if streaming else spark.read, streaming, modified_before)
+    if line_sep is not None:
+        reader = reader.option("lineSep", line_sep)
     return (
         reader.schema(schema)
         .options(**CSV_OPTIONS)
@@ -65,21 +74,19 @@ def read_staged_json(spark: SparkSession, path: str, schema: StructType | str,
                      streaming: bool = False, modified_before: datetime | str | None = None) -> DataFrame:
     """Staged gzip JSON-lines buffers (``*.json.gz``).  Blank lines and
     multi-member gzip files read correctly; timestamps keep microseconds.
+    The columns are those of ``schema``, folder columns that it names included.
     ``modified_before`` skips files modified at or after that time (batch)."""
     reader = _settled(spark.readStream if streaming else spark.read, streaming, modified_before)
-    return (
-        reader.schema(schema)
-        .options(**JSON_TS_OPTIONS)
-        .option("pathGlobFilter", "*.json.gz")
-        .json(path)
-    )
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    rows = reader.schema(fields).options(**JSON_TS_OPTIONS).option("pathGlobFilter", "*.json.gz").json(path)
+    return rows.select(*[F.col(f"`{f.name}`") for f in fields.fields])
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """File metadata (``path``, ``length``, ``modificationTime``) under ``path``.
 
     The ``binaryFile`` source only reads file contents when ``content`` is
-    selected, so this is a distributed listing, not a read.
+    selected, so this lists and does not read; Spark holds the file index on the driver.
     """
     return (
         spark.read.format("binaryFile")
@@ -126,3 +133,47 @@ def eligible_files(
     """Files that are safe to load: modified before ``now`` and either
     larger than ``max_bytes`` or unchanged for ``quiet_seconds``."""
     return files.where(is_eligible(now, quiet_seconds, max_bytes, length_col, mtime_col))
+
+
+def unreadable(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """The ``path`` of gzip files that do not decompress to their end. Buffers are bounded (B1), so a file
+    is tested whole in one task; other files are not tested."""
+    import gzip
+    import zlib
+
+    def test(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                path, content = batch.column(0)[i], batch.column(1)[i].as_py()
+                try:
+                    gzip.decompress(content)
+                except (OSError, EOFError, zlib.error):
+                    yield batch.slice(i, 1).select(["path"])
+
+    paths = [r.path for r in files.where(F.col("path").endswith(".gz")).select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], "path STRING")
+    content = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return content.mapInArrow(test, "path string")
+
+
+def admit_files(spark: SparkSession, incoming_dir: str, staged_dir: str, glob: str = "*", now: datetime | str | None = None,
+                max_files: int = 1_000) -> dict[str, int]:
+    """One load cycle's intake: move the eligible files (R6) of ``incoming_dir`` into ``staged_dir``.
+
+    Files that are still being written stay for a later cycle. Truncated or damaged gzip files go to
+    ``<incoming_dir>/_bad`` instead, so one of them never holds up the others. Of more than ``max_files``
+    eligible files the oldest are moved; the rest wait for the next cycle. Returns the counts."""
+    ready = eligible_files(list_files(spark, incoming_dir, glob), now).where(~F.col("path").contains("/_bad/"))
+    ready = ready.orderBy("modificationTime", "path").limit(max_files)
+    bad = {r.path for r in unreadable(spark, ready).collect()}
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    counts = {"admitted": 0, "bad": 0}
+    for row in ready.select("path").collect():
+        source = jvm.org.apache.hadoop.fs.Path(row.path)
+        fs = source.getFileSystem(conf)
+        folder = jvm.org.apache.hadoop.fs.Path(f"{incoming_dir}/_bad" if row.path in bad else staged_dir)
+        fs.mkdirs(folder)
+        if fs.rename(source, jvm.org.apache.hadoop.fs.Path(folder, source.getName())):
+            counts["bad" if row.path in bad else "admitted"] += 1
+    return counts

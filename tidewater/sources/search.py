@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from tidewater.constants import RESULT_PAGE_CAP
+from tidewater.operators.batch import epoch_value
 
 
 def search_head(
@@ -16,32 +16,33 @@ def search_head(
     predicate: Column | None,
     n: int,
     order_by: Sequence[Column | str],
-    cap: int = RESULT_PAGE_CAP,
+    cap: int | None = None,
     cutoff_col: str | None = None,
     descending: bool = True,
-    small_n: int = 100_000,
+    small_n: int = 0,
     buckets: int = 1 << 16,
     nulls_first: bool | None = None,
 ) -> DataFrame:
-    """``search <predicate> | head n`` -- the first ``min(n, cap)`` matching
-    events in ``order_by`` order (newest first in the usual setup).
+    """``search <predicate> | head n`` -- the first ``n`` matching events in
+    ``order_by`` order (newest first in the usual setup); with a ``cap``, as a search
+    service's page size (``RESULT_PAGE_CAP``), at most that many.
 
     Catalyst pushes the predicate into the Parquet scan and plans a
     ``TakeOrderedAndProject``: every task keeps its own top ``k`` rows and one
     task merges them.  That merge holds ``tasks x k`` rows, fine for ``head 50``
-    but not for the 1,000,000-row page cap on thousands of tasks.  So when
-    ``k > small_n`` and ``cutoff_col`` (the first order column, numeric or
+    but not for a million rows on thousands of tasks.  So when
+    ``cutoff_col`` (the first order column, numeric or
     timestamp, sorted ``descending`` or not) is given, an exact pre-filter runs
-    first: a histogram of ``cutoff_col`` over at most ``buckets`` equal-width
+    first (for ``n`` above ``small_n``; the answer is the same either way): a histogram of ``cutoff_col`` over at most ``buckets`` equal-width
     buckets (partial aggregate; the bounded counts go to the driver) finds the
     bucket holding the k-th row, and only rows from that bucket on reach the
     top-k merge -- at most k plus one bucket of rows.  The answer is the same.
     ``nulls_first`` must match the first order column's null placement
     (default: Spark's, i.e. first when ascending, last when descending).
     """
-    k = min(int(n), int(cap))
+    k = int(n) if cap is None else min(int(n), int(cap))
     out = df.where(predicate) if predicate is not None else df
-    if k > small_n and cutoff_col is not None:
+    if cutoff_col is not None and k > small_n:
         nf = (not descending) if nulls_first is None else nulls_first
         out = _prefilter_top(out, cutoff_col, k, descending, buckets, nf)
     return out.orderBy(*order_by).limit(k)
@@ -53,7 +54,7 @@ def _prefilter_top(df: DataFrame, name: str, k: int, descending: bool, buckets:
 
     dtype = df.schema[name].dataType
     if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
-        v = F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+        v = epoch_value(F.col(name), dtype).cast("double")
     elif isinstance(dtype, NumericType):
         v = F.col(name).cast("double")
     else:
@@ -95,7 +96,7 @@ def explode_results(
     A document without a ``results`` array is an error (the job fails), as in
     the backfill job.  Row-local: a generator, no shuffle; each document is
     parsed inside one task, so a document is bounded by the search service's
-    result page (``RESULT_PAGE_CAP`` results).
+    result page.
     """
     rs = result_schema if isinstance(result_schema, StructType) else StructType.fromDDL(result_schema)
     env = StructType([StructField("results", ArrayType(rs), True)])

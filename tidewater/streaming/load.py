@@ -1,48 +1,97 @@
 """K4: load staged buffers into the destination, exactly once.
 
-A file-source stream picks up staged files (``*.json.gz`` or ``*.csv``); each
-micro-batch is written with ``foreachBatch`` into ``<target>/load_batch=<n>``
-in *overwrite* mode, so a replay of batch ``n`` after a crash rewrites the
-same folder instead of duplicating rows.  A ledger row
-``(load_batch, rows, run_id, status, ts)`` is appended to
-``<target>/_ledger`` last; readers keep only batches present in the ledger
-(:func:`committed_rows`).  Files already loaded are remembered by the
+A file-source stream picks up staged files (``*.json.gz`` or ``*.csv``). Each
+micro-batch is written with ``foreachBatch`` into
+``<target>/load_batch=<id>-<n>`` in *overwrite* mode, where the id belongs to the checkpoint: a replay of batch ``n`` after a crash rewrites the
+same folder, and loads with other checkpoints into the same target have folders
+of their own. Malformed records go to ``<target>/_dead`` with their text and
+file. Last, ``<target>/_ledger`` gets the batch's rows
+``(load_batch, rows, run_id, status, ts)``, one per status, again
+in a folder of the batch's own; readers keep only batches in the ledger
+(:func:`committed_rows`). Files already loaded are remembered by the
 checkpoint; ``archive_dir`` moves them aside (``cleanSource=archive``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tidewater.operators.parse import JSON_TS_OPTIONS
-from tidewater.sources.files import CSV_OPTIONS
+from tidewater.operators.parse import CORRUPT_COL, JSON_TS_OPTIONS, apply_mapping
+from tidewater.sources.files import CSV_OPTIONS, admit_files
 
 BATCH_COL = "load_batch"
 LEDGER_DIR = "_ledger"
+DEAD_DIR = "_dead"
+LEDGER_SCHEMA = f"{BATCH_COL} STRING, rows BIGINT, run_id STRING, status STRING, ts TIMESTAMP"
+#: Files of one micro-batch: bounds what a replay repeats.
+FILES_PER_TRIGGER = 1_000
+
+_FILE = "_tw_file"
+
+
+def stream_id(checkpoint: str) -> str:
+    """A name for the load that owns this checkpoint, the same after every restart."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
 
+def write_ledger(spark: SparkSession, target: str, batch: str, run_id: str, counts: dict[str, int]) -> None:
+    """The ledger rows of one batch, rewritten as a whole by a replay."""
+    out = spark.createDataFrame([(n, run_id, status) for status, n in counts.items()], "rows BIGINT, run_id STRING, status STRING")
+    out = out.withColumn("ts", F.current_timestamp()).coalesce(1)
+    out.write.mode("overwrite").parquet(f"{target}/{LEDGER_DIR}/{BATCH_COL}={batch}")
 
-def _write_batch(target: str, fmt: str, run_id: str):
+
+def _write_batch(target: str, fmt: str, run_id: str, stream: str | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        out = f"{target}/{BATCH_COL}={batch_id}"
-        batch.write.format(fmt).mode("overwrite").save(out)
-        # Row count from the written files (Parquet footers), not a second
-        # evaluation of the micro-batch.
-        rows = spark.read.format(fmt).load(out).count()
-        ledger = spark.range(1).select(
-            F.lit(batch_id).cast("long").alias(BATCH_COL),
-            F.lit(rows).cast("long").alias("rows"),
-            F.lit(run_id).alias("run_id"),
-            F.lit("ok").alias("status"),
-            F.current_timestamp().alias("ts"),
-        )
-        ledger.write.format("parquet").mode("append").save(f"{target}/{LEDGER_DIR}")
+        name = f"{batch_id}" if stream is None else f"{stream}-{batch_id}"
+        bad = F.col(CORRUPT_COL).isNotNull() if CORRUPT_COL in batch.columns else F.lit(False)
+        seen = Observation()
+        counted = batch.observe(seen, F.count_if(~bad).alias("good"), F.count_if(bad).alias("dead"))
+        # Counted while it is written: one reading of the files when nothing is malformed.
+        counted.where(~bad).drop(CORRUPT_COL, _FILE).write.format(fmt).mode("overwrite").save(f"{target}/{BATCH_COL}={name}")
+        good, dead = seen.get["good"] or 0, seen.get["dead"] or 0
+        if dead:
+            rows = batch.where(bad).select(F.col(CORRUPT_COL).alias("record"), F.col(_FILE).alias("file"), F.lit(run_id).alias("run_id"))
+            rows.write.mode("overwrite").parquet(f"{target}/{DEAD_DIR}/{BATCH_COL}={name}")
+        write_ledger(spark, target, name, run_id, {"ok": good, **({"failed": dead} if dead else {})})
 
     return write
 
 
+def _staged_stream(spark: SparkSession, staged_dir: str, schema: StructType, kind: str, options: dict, mapping) -> DataFrame:
+    """The stream of staged records: their columns, the text of malformed ones, and the file of each."""
+    reader = spark.readStream.options(**options)
+    file = F.col("_metadata.file_path").alias(_FILE)
+    glob = {"json": "*.json.gz", "csv": "*.csv"}.get(kind)
+    if glob is None:
+        raise ValueError(f"unknown staged kind {kind!r}")
+    reader = reader.option("pathGlobFilter", glob)
+    if mapping is not None:
+        lines = reader.option("lineSep", "\n").schema("value STRING").text(staged_dir).where(F.trim("value") != "")
+        if kind == "json":
+            parsed = F.try_parse_json("value")
+            bad = F.when(parsed.isNull() | ~F.schema_of_variant(parsed).startswith("OBJECT"), F.col("value"))
+        else:
+            bad = F.lit(None).cast("string")
+        kept = lines.select("value", bad.alias(CORRUPT_COL), file)
+        return apply_mapping(kept, mapping, "value", kind, keep=(CORRUPT_COL, _FILE))
+    known = {f.name for f in schema.fields}
+    full = StructType([*schema.fields, StructField(CORRUPT_COL, StringType())])
+    reader = reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
+    if kind == "json":
+        stream = reader.options(**JSON_TS_OPTIONS).json(staged_dir)
+    else:
+        stream = reader.options(**CSV_OPTIONS).option("multiLine", "true").option("lineSep", "\n").csv(staged_dir)
+    return stream.select(*[F.col(f"`{c}`") for c in stream.columns if c in known], CORRUPT_COL, file)
+
+
 def load_staged(
     spark: SparkSession,
     staged_dir: str,
@@ -53,28 +102,31 @@ def load_staged(
     fmt: str = "parquet",
     run_id: str = "run",
     archive_dir: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = FILES_PER_TRIGGER,
     every: str | None = None,
+    mapping: Sequence[tuple[str, str | int, str]] | None = None,
+    incoming_dir: str | None = None,
 ):
-    """Load every staged file exactly once.
+    """Load every staged file exactly once; malformed records are routed aside and counted, the load goes on.
 
+    ``mapping`` projects each record to destination columns (T3) instead of reading ``schema``.
+    ``incoming_dir``: first move what other programs have finished writing there into ``staged_dir``
+    (R6 and a test of each file; see :func:`tidewater.sources.files.admit_files`).
     ``every=None`` loads what is there and returns the finished query
     (``availableNow``); otherwise the query keeps running with a
     processing-time trigger (the forwarder's load cycle is
     ``tidewater.constants.LOAD_CYCLE``) and the caller owns it."""
-    reader = spark.readStream.schema(schema)
-    if kind == "json":
-        reader = reader.options(**JSON_TS_OPTIONS).option("pathGlobFilter", "*.json.gz")
-    elif kind == "csv":
-        reader = reader.options(**CSV_OPTIONS).option("multiLine", "true").option("pathGlobFilter", "*.csv")
-    else:
-        raise ValueError(f"unknown staged kind {kind!r}")
+    glob = "*.json.gz" if kind == "json" else "*.csv"
+    if incoming_dir is not None:
+        admit_files(spark, incoming_dir, staged_dir, glob)
+    options = {}
     if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        options["maxFilesPerTrigger"] = str(max_files_per_trigger)
     if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    stream = reader.format(kind).load(staged_dir)
-    w = stream.writeStream.foreachBatch(_write_batch(target, fmt, run_id)).option("checkpointLocation", checkpoint)
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive_dir}
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    stream = _staged_stream(spark, staged_dir, fields, kind, options, mapping)
+    w = stream.writeStream.foreachBatch(_write_batch(target, fmt, run_id, stream_id(checkpoint))).option("checkpointLocation", checkpoint)
     if every is not None:
         return w.trigger(processingTime=every).start()
     q = w.trigger(availableNow=True).start()
@@ -82,13 +134,28 @@ def load_staged(
     return q
 
 
+def load_ledger(spark: SparkSession, target: str) -> DataFrame:
+    """The delivery ledger: one row per committed batch and status."""
+    return spark.read.schema(LEDGER_SCHEMA).parquet(f"{target}/{LEDGER_DIR}")
+
+
+def _committed(rows: DataFrame, target: str) -> DataFrame:
+    done = load_ledger(rows.sparkSession, target).select(F.col(BATCH_COL).alias("_tw_done")).distinct()
+    return rows.join(done, F.col(BATCH_COL).cast("string") == F.col("_tw_done"), "left_semi")
+
+
 def committed_rows(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
     """Rows of committed micro-batches only (semi-join on the ledger)."""
-    data = spark.read.format(fmt).load(target)
-    ledger = spark.read.parquet(f"{target}/{LEDGER_DIR}").select(BATCH_COL).distinct()
-    return data.join(ledger, BATCH_COL, "left_semi")
+    return _committed(spark.read.format(fmt).load(target), target)
 
 
-def load_ledger(spark: SparkSession, target: str) -> DataFrame:
-    """The delivery ledger (one row per committed micro-batch, replays deduplicated)."""
-    return spark.read.parquet(f"{target}/{LEDGER_DIR}").dropDuplicates([BATCH_COL])
+def dead_letters(spark: SparkSession, target: str) -> DataFrame:
+    """Malformed records of committed batches: ``record``, ``file``, ``run_id`` (empty when there are none)."""
+    columns = "record STRING, file STRING, run_id STRING"
+    try:
+        rows = spark.read.schema(f"{columns}, {BATCH_COL} STRING").parquet(f"{target}/{DEAD_DIR}")
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], columns)
+    return _committed(rows, target).drop(BATCH_COL)

@@ -1,10 +1,10 @@
 """Durable staging of a stream: each micro-batch is rotated into byte-bounded
 batches (B1) and written as gzip JSON (K2) into its own folder.
 
-``foreachBatch`` writes micro-batch ``n`` into ``<staging>/stage_batch=<n>``
-with *overwrite*, so a replay after a crash rewrites the same files instead of
-adding copies; :func:`tidewater.streaming.load.load_staged` then loads the
-folder tree exactly once.
+``foreachBatch`` publishes micro-batch ``n`` as ``<staging>/stage_batch=<n>`` in one
+rename. A replay finds the folder and leaves it alone, so a loader that already
+took its files (:func:`tidewater.streaming.load.load_staged`) never sees copies of
+them under new names.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.batch import DEFAULT_MAX_BYTES, assign_byte_batch
 from tidewater.operators.parse import JSON_TS_OPTIONS
+from tidewater.sinks.tables import BATCHES_PER_FOLDER, publish, stage_json
 
 STAGE_COL = "stage_batch"
 
@@ -26,13 +27,7 @@ def _stage_batch(staging_dir: str, order_by, partition_by, max_bytes, chunk, n_c
         batched = assign_byte_batch(
             batch, payload, list(order_by), list(partition_by), max_bytes, chunk=chunk, n_chunks=n_chunks
         )
-        (
-            batched.write.mode("overwrite")
-            .option("compression", "gzip")
-            .options(**JSON_TS_OPTIONS)
-            .partitionBy(*partition_by, "batch_id")
-            .json(f"{staging_dir}/{STAGE_COL}={batch_id}")
-        )
+        publish(batched, staging_dir, f"{STAGE_COL}={batch_id}", lambda rows, to: stage_json(rows, to, (*partition_by, "batch_id"), overwrite=True, batches_per_folder=BATCHES_PER_FOLDER))
 
     return write
 

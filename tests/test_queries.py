@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as se
 from tidewater.functions.text import is_blank
 from tidewater.plans import fixtures as fx
+from tidewater.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -36,13 +37,13 @@ def _rows(cols, rows):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
+def test_every_query_has_an_oracle():
     qs, sql = se.queries(), se.oracle_sql()
-    assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"eligible_files"}
+    assert set(sql) <= set(qs) and set(QUERIES) <= set(qs)
+    assert set(QUERIES) <= set(sql)
 
 
-@pytest.mark.parametrize("name", sorted(se.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = se.queries()[name](spark, SF)
     rel = con.sql(se.oracle_sql()[name])
@@ -52,10 +53,6 @@ def test_query_matches_oracle(spark, con, name):
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(rel.columns, rel.fetchall())
 
 
-def test_rows_only_query_runs(spark):
-    assert se.queries()["eligible_files"](spark, SF).count() > 0
-
-
 def test_entry_smoke(spark):
     df = se.entry(spark)
     assert df.columns == ["event_id", "ts", "k"]

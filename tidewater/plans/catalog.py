@@ -9,7 +9,6 @@ fresh folder under the session's checkpoint root and read the result back.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +17,9 @@ from pyspark.sql import functions as F
 from tidewater.functions.text import is_blank
 from tidewater.operators.account import delivery_summary, search_funnel
 from tidewater.operators.batch import (
-    DEFAULT_MAX_BYTES,
     assign_byte_batch,
     assign_count_batch,
     assign_time_batch,
-    order_chunk,
     tag_run,
 )
 from tidewater.operators.clean import (
@@ -37,19 +34,19 @@ from tidewater.operators.encode import encode_csv_line, encode_json
 from tidewater.operators.lifecycle import alert_events, alert_windows, retain
 from tidewater.operators.parse import JSON_TS_OPTIONS, apply_mapping, infer_rows, parse_raw, route_label
 from tidewater.plans import fixtures as fx
-from tidewater.plans.programs import alert_action, backfill, forwarder
+from tidewater.plans.programs import alert_action, backfill, forwarder, run_alert
 from tidewater.session import work_path
-from tidewater.sinks.tables import append_table, deliver_direct, stage_csv, stage_json
+from tidewater.sinks.tables import BATCHES_PER_FOLDER, append_table, deliver_direct, stage_csv, stage_json
 from tidewater.sources.files import (
     is_eligible,
-    list_files,
     read_raw_lines,
     read_staged_csv,
     read_staged_json,
 )
 from tidewater.sources.search import explode_results, search_head
+from tidewater.streaming.alerts import alert_windows_stream
 from tidewater.streaming.intake import stage_intake
-from tidewater.streaming.load import committed_rows, load_staged
+from tidewater.streaming.load import committed_rows, dead_letters, load_staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,9 +64,8 @@ def _newest_first():
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def _day_chunk():
-    """Event time is the natural chunk of time-ordered events: one per day."""
-    return order_chunk("ts", 86_400_000_000, kind="timestamp")
+#: Bytes of a staged batch in these queries: small enough that every key has several at sf0.01.
+BATCH_BYTES = 16 * 1024
 
 
 # --- sources -----------------------------------------------------------------
@@ -99,23 +95,22 @@ def q_stage_csv(spark, sf):
     path = work_path(spark, "staged-csv")
     lines = fx.quoted_lines(spark, sf).where(~is_blank(F.col("line")))
     stage_csv(lines, path, "line")
-    return read_staged_csv(spark, path, "line STRING")
+    return read_staged_csv(spark, path, "line STRING", line_sep="\n")
 
 
 def _staged_events(spark, sf, path):
-    """C5-cleaned sparse events, rotated into 5 MiB batches per event type, staged as gzip JSON."""
+    """C5-cleaned sparse events, rotated into BATCH_BYTES batches per event type, staged as gzip JSON;
+    returns the schema of the staged records."""
     ev = clean_events(fx.sparse_events(spark, sf, with_ts=True))
     payload = F.to_json(F.struct(*[F.col(c) for c in ev.columns]), JSON_TS_OPTIONS)
-    batched = assign_byte_batch(
-        ev, payload, ["ts", "event_id"], ["event_type"], max_bytes=DEFAULT_MAX_BYTES,
-        chunk=_day_chunk(),
-    )
-    stage_json(batched, path, batch_cols=("event_type", "batch_id"))
-    return ev.schema
+    batched = assign_byte_batch(ev, payload, ["ts", "event_id"], ["event_type"], max_bytes=BATCH_BYTES)
+    stage_json(batched, path, batch_cols=("event_type", "batch_id"), batches_per_folder=BATCHES_PER_FOLDER)
+    return batched.schema
 
 
-def _cleaned_view(df: DataFrame) -> DataFrame:
+def _cleaned_view(df: DataFrame, *more: str) -> DataFrame:
     return df.select(
+        *more,
         "event_id",
         F.date_format("ts", TS_TEXT).alias("ts"),
         "host",
@@ -130,18 +125,12 @@ def q_stage_json(spark, sf):
     """K2 then R5: staged gzip JSON read back (timestamps keep microseconds)."""
     path = work_path(spark, "staged-json")
     schema = _staged_events(spark, sf, path)
-    return _cleaned_view(read_staged_json(spark, path, schema))
+    return _cleaned_view(read_staged_json(spark, path, schema), "batch_id")
 
 
 def q_eligible_files(spark, sf):
-    path = work_path(spark, "staged-json")
-    _staged_events(spark, sf, path)
-    files = list_files(spark, path, "*.json.gz")
-    return files.select(
-        F.regexp_extract("path", r"[^/]+$", 0).alias("file_name"),
-        "length",
-        is_eligible(datetime.now(timezone.utc)).alias("eligible"),
-    )
+    """R6 over a listing derived from orders: one file an order, size and time by rule, and a fixed time."""
+    return fx.file_listing(spark, sf).select("name", "length", is_eligible(fx.LISTED_AT).alias("eligible"))
 
 
 # --- parsing -----------------------------------------------------------------
@@ -298,7 +287,10 @@ def q_retain_lineitem(spark, sf):
 
 
 def q_alert_windows(spark, sf):
-    w = alert_windows(fx.table(spark, sf, "events"), "ts", _is_error(), "1 hour", min_count=3)
+    return _window_view(alert_windows(fx.table(spark, sf, "events"), "ts", _is_error(), "1 hour", min_count=3))
+
+
+def _window_view(w: DataFrame) -> DataFrame:
     return w.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
         F.date_format("window_end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
@@ -337,7 +329,7 @@ def q_load_staged(spark, sf):
     schema = _staged_events(spark, sf, staged)
     target = work_path(spark, "loaded")
     load_staged(spark, staged, target, schema, checkpoint=work_path(spark, "load-ckpt"), run_id=RUN_ID)
-    return _cleaned_view(committed_rows(spark, target))
+    return _cleaned_view(committed_rows(spark, target), "batch_id")
 
 
 def q_alert_delivery(spark, sf):
@@ -353,7 +345,7 @@ def q_alert_delivery(spark, sf):
         partition_by=("event_type",),
         staging_dir=work_path(spark, "alert-staged"),
         checkpoint=work_path(spark, "alert-ckpt"),
-        chunk=_day_chunk(),
+        max_bytes=BATCH_BYTES,
     )
     return account.select("run_id", "sent", "failed")
 
@@ -375,7 +367,7 @@ def q_alert_delivery_stream(spark, sf):
         partition_by=("event_type",),
         staging_dir=work_path(spark, "alert-stream-staged"),
         checkpoint=work_path(spark, "alert-stream-ckpt"),
-        chunk=_day_chunk(),
+        max_bytes=BATCH_BYTES,
     )
     return account.select("run_id", "sent", "failed")
 
@@ -388,6 +380,79 @@ def q_alert_direct(spark, sf):
     return account.select("run_id", "sent", "failed")
 
 
+def _alert_into(spark, events, target, **more):
+    return alert_action(
+        events, target, RUN_ID, durable="1", order_by=("ts", "event_id"), partition_by=("event_type",), max_bytes=BATCH_BYTES,
+        staging_dir=work_path(spark, "alert-staged"), checkpoint=work_path(spark, "alert-ckpt"), **more,
+    )
+
+
+def q_alert_delivered_rows(spark, sf):
+    """What a durable alert delivers, row by row with its batch; the action is run twice and delivers once."""
+    target = work_path(spark, "alert-target")
+    staged, ckpt = work_path(spark, "alert-staged"), work_path(spark, "alert-ckpt")
+    for _ in range(2):
+        alert_action(
+            fx.sparse_events(spark, sf, with_ts=True), target, RUN_ID, durable="1", order_by=("ts", "event_id"),
+            partition_by=("event_type",), max_bytes=BATCH_BYTES, staging_dir=staged, checkpoint=ckpt,
+        )
+    return _cleaned_view(committed_rows(spark, target), "batch_id", "run_id")
+
+
+def _parsed_events(spark, sf):
+    """Events whose payloads have been parsed; bad and empty ones are marked."""
+    return parse_raw(fx.sparse_events(spark, sf, with_ts=True).select("event_id", "event_type", "ts", "_raw"), "k INT", "_raw")
+
+
+def q_alert_failures(spark, sf):
+    """D1 in the alert action: events with bad payloads are not delivered and count as failed."""
+    account = _alert_into(spark, _parsed_events(spark, sf), work_path(spark, "alert-target"), corrupt_col="_corrupt")
+    return account.select("run_id", "sent", "failed")
+
+
+def q_dead_letters(spark, sf):
+    """The dead letters of that delivery, with their original text."""
+    target = work_path(spark, "alert-target")
+    _alert_into(spark, _parsed_events(spark, sf), target, corrupt_col="_corrupt")
+    return dead_letters(spark, target).select("record", "run_id")
+
+
+def q_alert_program(spark, sf):
+    """L2 to the action: the events of firing windows, delivered durably and mapped to destination columns."""
+    target = work_path(spark, "alert-target")
+    mapping = [("id", "$.event_id", "bigint"), ("host", "$.host", "string"), ("note", "$.nested.note", "string"), ("run", "$.run_id", "string")]
+    run_alert(
+        fx.sparse_events(spark, sf, with_ts=True), "ts", _is_error(), target, RUN_ID, every="1 hour", min_count=3, durable="1",
+        order_by=("ts", "event_id"), partition_by=("event_type",), max_bytes=BATCH_BYTES, mapping=mapping,
+        staging_dir=work_path(spark, "alert-staged"), checkpoint=work_path(spark, "alert-ckpt"),
+    )
+    return committed_rows(spark, target).select("id", "host", "note", "run")
+
+
+def q_alert_windows_stream(spark, sf):
+    """L2 on a stream of event files; every trigger rewrites the table of windows."""
+    events = spark.readStream.schema(fx.table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    windows = alert_windows_stream(events, "ts", _is_error(), "1 hour", min_count=3)
+    out = work_path(spark, "windows")
+    q = (
+        windows.writeStream.outputMode("complete")
+        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
+        .option("checkpointLocation", work_path(spark, "windows-ckpt"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return _window_view(spark.read.parquet(out))
+
+
+def q_search_head_large(spark, sf):
+    """R1 with a head far beyond one page: 150,000 of the line items taken four times."""
+    rows = fx.repeated_lines(spark, sf)
+    order = [F.col(c).desc() for c in ("l_shipdate", "l_orderkey", "l_linenumber", "copy")]
+    head = search_head(rows, F.col("l_quantity") >= 2, 150_000, order, cutoff_col="l_shipdate")
+    return head.select("l_orderkey", "l_linenumber", "copy")
+
+
 def q_forwarder(spark, sf):
     """Forwarder end to end: raw text -> intake stream -> staged CSV -> exactly-once load."""
     raw = work_path(spark, "fwd-raw")
@@ -405,7 +470,7 @@ def q_stream_intake(spark, sf):
     fx.raw_text(spark, sf).select(F.col("raw").alias("value")).write.text(raw)
     staged = work_path(spark, "intake-csv")
     stage_intake(spark, raw, staged, checkpoint=work_path(spark, "intake-ckpt"))
-    return read_staged_csv(spark, staged, "line STRING")
+    return read_staged_csv(spark, staged, "line STRING", line_sep="\n")
 
 
 def q_backfill(spark, sf):
@@ -454,6 +519,12 @@ QUERIES: dict[str, Query] = {
     "alert_delivery": q_alert_delivery,
     "alert_delivery_stream": q_alert_delivery_stream,
     "alert_direct": q_alert_direct,
+    "alert_delivered_rows": q_alert_delivered_rows,
+    "alert_failures": q_alert_failures,
+    "dead_letters": q_dead_letters,
+    "alert_program": q_alert_program,
+    "alert_windows_stream": q_alert_windows_stream,
+    "search_head_large": q_search_head_large,
     "forwarder": q_forwarder,
     "stream_intake": q_stream_intake,
     "backfill": q_backfill,

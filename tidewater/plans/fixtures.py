@@ -122,17 +122,17 @@ def envelopes(spark: SparkSession, sf_dir: str, page_size: int = 500) -> DataFra
 
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents.text with two blank lines before each newline and a blank
-    (whitespace-only) plus an empty line appended."""
+    (whitespace-only) plus an empty line appended; every third text has a carriage return
+    after each full stop, every fifth ends its lines in CR LF."""
     docs = table(spark, sf_dir, "documents")
-    return docs.select(
-        "doc_id",
-        F.concat(F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n\n")), F.lit("\n \t\n")).alias("raw"),
-    )
+    i = F.col("doc_id")
+    text = F.when(i % 3 == 0, F.replace(F.col("text"), F.lit("."), F.lit(".\r"))).when(i % 5 == 0, F.replace(F.col("text"), F.lit("\n"), F.lit("\r\n"))).otherwise(F.col("text"))
+    return docs.select("doc_id", F.concat(F.replace(text, F.lit("\n"), F.lit("\n\n\n")), F.lit("\n \t\n")).alias("raw"))
 
 
 def quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, line_no, line): every line of pages.html; pages with
-    id % 4 = 0 get a leading space, else id % 5 = 0 a ``a,"b"`` prefix."""
+    id % 4 = 0 get a leading space, else id % 5 = 0 a ``a,"b"`` prefix with a carriage return."""
     pages = table(spark, sf_dir, "pages")
     lines = pages.select("page_id", F.posexplode(F.split(F.col("html"), "\n", -1)).alias("line_no", "line"))
     pid = F.col("page_id")
@@ -140,12 +140,33 @@ def quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id",
         "line_no",
         F.when(pid % 4 == 0, F.concat(F.lit(" "), F.col("line")))
-        .when(pid % 5 == 0, F.concat(F.lit('a,"b"'), F.col("line")))
+        .when(pid % 5 == 0, F.concat(F.lit('a,"b"\r'), F.col("line")))
         .otherwise(F.col("line"))
         .alias("line"),
     )
 
 
+#: When the derived listing is looked at.
+LISTED_AT = "1998-08-02 00:00:00"
+
+
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for every order: 40 bytes a unit of its price, last changed in the seconds about LISTED_AT
+    for orders of that day and at its date otherwise."""
+    o = table(spark, sf_dir, "orders")
+    day = F.when(F.col("o_orderkey") % 3 == 0, F.lit(LISTED_AT).cast("timestamp")).otherwise(F.col("o_orderdate").cast("timestamp"))
+    return o.select(
+        F.concat(F.lit("buffer-"), F.col("o_orderkey").cast("string")).alias("name"),
+        F.floor(F.col("o_totalprice") * 40).alias("length"),
+        F.timestamp_add("SECOND", F.col("o_orderkey") % 41 - 30, day).alias("modificationTime"),
+    )
+
+
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item four times, numbered by ``copy``."""
+    return table(spark, sf_dir, "lineitem").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(3))))
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-event delivery ledger: run = user_id % 5, failed when type = error."""
     ev = table(spark, sf_dir, "events")

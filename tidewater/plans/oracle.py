@@ -56,9 +56,9 @@ _KEEP_TAGS = "tags"
 _DROP_EMPTY_TAGS = "list_filter(tags, lambda x: x IS NOT NULL AND x <> '')"
 _EMPTY = "({v} IS NULL OR {v} = '')"
 
-_CLEANED_VIEW = f"""
+_CLEANED = f"""
 WITH {_SPARSE}
-SELECT event_id,
+SELECT /*more*/ event_id,
   strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
   NULLIF(host, '') AS host,
   pad,
@@ -68,9 +68,26 @@ SELECT event_id,
 FROM sparse
 """
 
+_CLEANED_VIEW = _CLEANED
+
+
+def _batched_view(tail: str, more: str) -> str:
+    """The cleaned events with the batch of each: its JSON text's bytes (``tail``: fields after the nested one) summed in order."""
+    json = (
+        "'{\"event_id\":' || event_id || ',\"event_type\":\"' || event_type || '\",\"ts\":\"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '\"'"
+        " || CASE WHEN host <> '' THEN ',\"host\":\"' || host || '\"' ELSE '' END || ',\"pad\":\"' || pad || '\",\"tags\":[\"a\",\"' || event_type || '\"]'"
+        f" || ',\"nested\":{{' || CASE WHEN n_note <> '' THEN '\"note\":\"' || n_note || '\"' ELSE '' END || '}}{tail}}}'"
+    )
+    sized = f"(SELECT event_id AS id, event_type AS kind, ts AS moment, strlen({json}) AS nb FROM sparse)"
+    batch = "SELECT id, CAST(floor((sum(nb) OVER (PARTITION BY kind ORDER BY moment, id ROWS UNBOUNDED PRECEDING) - nb) / 16384) AS BIGINT) AS batch_id"
+    return _CLEANED.replace("/*more*/", f"batch_id, {more}") + f" JOIN ({batch} FROM {sized}) ON id = event_id"
+
+
 _RAW_TEXT = r"""
 raw_text AS (
-  SELECT doc_id, replace(text, chr(10), chr(10) || chr(10) || chr(10)) || chr(10) || ' ' || chr(9) || chr(10) AS raw
+  SELECT doc_id, replace(CASE WHEN doc_id % 3 = 0 THEN replace(text, '.', '.' || chr(13))
+                              WHEN doc_id % 5 = 0 THEN replace(text, chr(10), chr(13) || chr(10)) ELSE text END,
+                         chr(10), chr(10) || chr(10) || chr(10)) || chr(10) || ' ' || chr(9) || chr(10) AS raw
   FROM documents
 )"""
 
@@ -78,7 +95,7 @@ _QUOTED_LINES = r"""
 quoted_lines AS (
   SELECT page_id, CAST(line_no - 1 AS INTEGER) AS line_no,
     CASE WHEN page_id % 4 = 0 THEN ' ' || line
-         WHEN page_id % 5 = 0 THEN 'a,"b"' || line
+         WHEN page_id % 5 = 0 THEN 'a,"b"' || chr(13) || line
          ELSE line END AS line
   FROM (SELECT page_id, unnest(string_split(html, chr(10))) AS line,
                generate_subscripts(string_split(html, chr(10)), 1) AS line_no FROM pages)
@@ -113,7 +130,7 @@ SELECT unnest(string_split(raw, chr(10))) AS line FROM raw_text
 WITH {_QUOTED_LINES}
 SELECT line FROM quoted_lines WHERE NOT regexp_full_match(line, '{_WS}*')
 """,
-    "stage_json": _CLEANED_VIEW,
+    "stage_json": _batched_view("", ""),
     "parse_raw": _PARSED + """
 SELECT event_id, CASE WHEN ok THEN CAST(json_extract(j, '$.k') AS INTEGER) END AS k, NOT ok AS bad FROM p
 """,
@@ -257,7 +274,33 @@ UNION ALL
 SELECT event_id, event_type, 'run-0001' AS run_id FROM events
 """,
     "deliver_direct": "SELECT event_id, event_type, 'run-0001' AS run_id FROM events",
-    "load_staged": _CLEANED_VIEW,
+    "load_staged": _batched_view("", ""),
+    "alert_delivered_rows": _batched_view(',"run_id":"run-0001"', "'run-0001' AS run_id,"),
+    "alert_failures": _PARSED + """
+SELECT 'run-0001' AS run_id, CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS sent, CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT) AS failed FROM p
+""",
+    "dead_letters": _PARSED + """
+SELECT coalesce(raw, '') AS record, 'run-0001' AS run_id FROM p WHERE NOT ok
+""",
+    "alert_program": f"""
+WITH {_SPARSE}
+SELECT event_id AS id, NULLIF(host, '') AS host, NULLIF(n_note, '') AS note, 'run-0001' AS run FROM sparse
+WHERE event_type = 'error' AND date_trunc('hour', ts) IN (
+  SELECT date_trunc('hour', ts) FROM events WHERE event_type = 'error' GROUP BY 1 HAVING count(*) >= 3)
+""",
+    "eligible_files": """
+WITH listing AS (
+  SELECT 'buffer-' || o_orderkey AS name, CAST(floor(o_totalprice * 40) AS BIGINT) AS length,
+         CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '1998-08-02 00:00:00' ELSE o_orderdate END
+           + to_seconds(o_orderkey % 41 - 30) AS changed FROM orders)
+SELECT name, length, changed < TIMESTAMP '1998-08-02 00:00:00'
+       AND (length > 5242880 OR changed <= TIMESTAMP '1998-08-02 00:00:00' - INTERVAL 10 SECOND) AS eligible FROM listing
+""",
+    "search_head_large": """
+SELECT l_orderkey, l_linenumber, copy FROM (
+  SELECT *, CAST(unnest([0, 1, 2, 3]) AS INTEGER) AS copy FROM lineitem WHERE l_quantity >= 2)
+ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, copy DESC LIMIT 150000
+""",
     "alert_delivery": """
 SELECT 'run-0001' AS run_id, count(*) AS sent, CAST(0 AS BIGINT) AS failed FROM events
 """,
@@ -283,3 +326,4 @@ SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS code, event_id, even
 FROM events WHERE event_id IN (SELECT event_id FROM head)
 """,
 }
+ORACLE["alert_windows_stream"] = ORACLE["alert_windows"]

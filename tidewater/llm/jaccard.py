@@ -20,6 +20,8 @@ from tidewater.llm.common import materialize
 from tidewater.llm.components import connected_components
 from tidewater.llm.textarrays import Texts, mix64, range_hashes, slices, texts, words
 
+#: Sets of up to this many shingles count all of them, in an order of their own among themselves.
+SMALL = 128
 #: Nodes that a block of the verification has on either side.
 LEAST_BLOCK, MOST_BLOCK = 128, 4096
 #: Rows of a narrow table (an id and a few numbers) that are broadcast at most; beyond, the join shuffles.
@@ -70,6 +72,9 @@ def prefix_length(n: np.ndarray | int, percent: int):
     return n - (n * percent + 99) // 100 + 1
 
 
+_SMALL_ORDER = np.uint64(0x5851F42D4C957F2D)
+
+
 def _signatures(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """128 bits of each set: two sums of scrambled members modulo 2**64."""
     out = []
@@ -85,7 +90,10 @@ def _lists(values: np.ndarray, first: np.ndarray) -> pa.ListArray:
 
 
 def _summaries(size: int, percent: int):
-    """id, set size, signatures, counted shingles, and those that the prefix needs beyond them."""
+    """id, set size, signatures, and the shingles that take part in the orders: all of a small set; the counted
+    ones of a set that is not far below SMALL or above it, and those that its prefix needs beyond them.
+
+    Two sets that are similar enough are both small, or both in the other part: their sizes are too close."""
     one_in = np.uint64(counted_one_in(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,10 +102,12 @@ def _summaries(size: int, percent: int):
                 value, first = shingles(texts(batch.column(1)[at:to]), size)
                 n = np.diff(first)
                 owner = np.repeat(np.arange(to - at), n)
-                counted = value % one_in == 0
+                small = (n <= SMALL)[owner]
+                large = (n * 100 >= SMALL * percent)[owner]
+                counted = large & (value % one_in == 0)
                 n_counted = np.bincount(owner[counted], minlength=to - at)
                 lack = np.maximum(0, np.where(n > 0, prefix_length(n, percent), 0) - n_counted)
-                other = np.flatnonzero(~counted)
+                other = np.flatnonzero(large & ~counted)
                 place = np.arange(len(other)) - np.searchsorted(owner[other], owner[other])
                 extra = other[place < lack[owner[other]]]
                 bounds = np.arange(to - at + 1)
@@ -106,10 +116,11 @@ def _summaries(size: int, percent: int):
                         batch.column(0)[at:to],
                         pa.array(n),
                         *map(pa.array, _signatures(value, first)),
+                        _lists(mix64(value[small] ^ _SMALL_ORDER), np.searchsorted(owner[small], bounds)),
                         _lists(value[counted], np.searchsorted(owner[counted], bounds)),
                         _lists(value[extra], np.searchsorted(owner[extra], bounds)),
                     ],
-                    names=["id", "n", "s1", "s2", "counted", "extra"],
+                    names=["id", "n", "s1", "s2", "small", "counted", "extra"],
                 )
 
     return run
@@ -127,11 +138,11 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns are ignored, whatever their names; an empty table gives an empty result.
     """
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    schema = "id bigint, n bigint, s1 bigint, s2 bigint, counted array<bigint>, extra array<bigint>"
+    schema = "id bigint, n bigint, s1 bigint, s2 bigint, small array<bigint>, counted array<bigint>, extra array<bigint>"
     summary = materialize(rows.mapInArrow(_summaries(size, percent), schema), "jaccard-sets")
     key = ["n", "s1", "s2"]
     live = summary.where("n > 0 AND id IS NOT NULL")
-    nodes = live.groupBy(*key).agg(F.min("id").alias("node"), F.count("*").alias("copies"), F.first("counted").alias("counted"), F.first("extra").alias("extra"))
+    nodes = live.groupBy(*key).agg(F.min("id").alias("node"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("small", "counted", "extra")])
     nodes = materialize(nodes, "jaccard-nodes")
     near = _candidates(nodes, percent)
     found = materialize(_verify(rows, near, size, percent), "jaccard-links")
@@ -152,18 +163,25 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
     """``near`` (a neighbourhood), node, copies, n, s1, s2, group and prefix of the nodes that may have links.
 
-    Order of shingles: the counted ones by the number of nodes that have them and hash, then the others by
-    hash. A shingle that one node has cannot match, so only those of two or more travel back to their nodes.
+    Order of a small set's shingles: by the number of small sets that have them and hash. Of the others: the
+    counted ones likewise, then the rest by hash. A shingle that one node has cannot match, so only those of two
+    or more travel back to their nodes.
     """
-    each = nodes.select("node", "s1", F.explode(F.concat(F.transform("counted", lambda x: F.struct(F.lit(False).alias("extra"), x.alias("shingle"))), F.transform("extra", lambda x: F.struct(F.lit(True).alias("extra"), x.alias("shingle"))))).alias("x"))
-    each = each.select("node", "s1", "x.extra", "x.shingle")
+    tagged = lambda name, kind: F.transform(name, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("shingle")))
+    kinds = F.concat(tagged("small", 0), tagged("counted", 1), tagged("extra", 2))
+    each = nodes.select("node", "s1", F.explode(kinds).alias("x")).select("node", "s1", "x.kind", "x.shingle")
     shared = materialize(each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-shared")
-    back = each.join(shared, "shingle").groupBy("node", "s1").agg(F.array_sort(F.collect_list(F.struct("extra", F.when(F.col("extra"), 0).otherwise(F.col("df")).alias("df"), "shingle"))).alias("known"))
-    n_counted, need = F.size("counted"), F.expr(f"n - (n * {percent} + 99) DIV 100 + 1")
-    alone = n_counted - F.size(F.filter("known", lambda x: ~x["extra"]))
-    prefix = F.when(n_counted >= need, F.slice("known", 1, F.greatest(F.lit(0), (need - alone).cast("int")))).otherwise(F.col("known"))
+    rank = F.when(F.col("kind") == 2, 0).otherwise(F.col("df")).alias("df")
+    back = each.join(shared, "shingle").groupBy("node", "s1").agg(F.array_sort(F.collect_list(F.struct("kind", rank, "shingle"))).alias("known"))
+    need = F.expr(f"CAST(n - (n * {percent} + 99) DIV 100 + 1 AS INT)")
+    of = lambda *kinds: F.filter("known", lambda x: x["kind"].isin(*kinds))
+    alone_small, alone = F.size("small") - F.size(of(0)), F.size("counted") - F.size(of(1))
+    head = lambda known, alone: F.slice(known, 1, F.greatest(F.lit(0), need - alone))
+    of_small = head(of(0), alone_small)
+    of_large = F.when(F.size("counted") >= need, head(of(1), alone)).otherwise(of(1, 2))
     cols = ["node", "copies", "n", "s1", "s2"]
-    rows = nodes.join(back, ["node", "s1"]).select(*cols, F.transform(prefix, lambda x: x["shingle"]).alias("prefix"), (alone == 0).alias("whole"))
+    rows = nodes.join(back, ["node", "s1"])
+    rows = rows.select(*cols, F.transform(F.concat(of_small, of_large), lambda x: x["shingle"]).alias("prefix"), ((alone_small == 0) & (alone == 0)).alias("whole"))
     rows = rows.where(F.size("prefix") > 0)
     # Groups: equal size and prefix (a prefix with a shingle of its own is no other's).
     rows = rows.withColumn("group_key", F.when(F.col("whole"), F.xxhash64("n", "prefix")).otherwise(F.xxhash64("n", "prefix", "node", "s1"))).drop("whole")

@@ -274,23 +274,27 @@ def _default_of(dtype) -> Column:
 
 def assign_byte_batch(
     df: DataFrame,
-    payload: str | Column,
+    payload: str | Column | None,
     order_by: Sequence[str] | str,
     partition_by: Sequence[str] | str,
     max_bytes: int = DEFAULT_MAX_BYTES,
     chunk: Column | str | None = "auto",
     out_col: str = "batch_id",
     n_chunks: int | None = None,
+    size_col: str | None = None,
 ) -> DataFrame:
     """B1: batch number by running payload bytes; a new batch starts once the
     bytes *before* a row reach the next multiple of ``max_bytes``.
 
     Fixed byte bins over the uncompressed payload (UTF-8 bytes): deterministic
     and parallel; each batch holds at most ``max_bytes`` plus one event.
+    ``size_col``: a column that already has the bytes, so that the payload itself need
+    not travel through the shuffle (``payload`` is then ignored).
     """
     p = F.col(payload) if isinstance(payload, str) else payload
+    size = F.col(size_col) if size_col is not None else F.octet_length(p)
     out = running_before(
-        df, F.coalesce(F.octet_length(p), F.lit(0)), order_by, partition_by, chunk, "_tw_before", n_chunks
+        df, F.coalesce(size, F.lit(0)), order_by, partition_by, chunk, "_tw_before", n_chunks
     )
     return out.withColumn(out_col, F.floor(F.col("_tw_before") / F.lit(max_bytes))).drop("_tw_before")
 

@@ -227,11 +227,11 @@ def q_drop_blank_lines(spark, sf):
 # --- batching ----------------------------------------------------------------
 
 def q_assign_byte_batch(spark, sf):
-    docs = fx.table(spark, sf, "documents")
-    b = assign_byte_batch(docs, "text", "doc_id", "source", max_bytes=256 * 1024)
+    docs = fx.table(spark, sf, "documents").select("doc_id", "source", F.octet_length("text").alias("bytes"))
+    b = assign_byte_batch(docs, None, "doc_id", "source", max_bytes=256 * 1024, size_col="bytes")
     return b.groupBy("source", "batch_id").agg(
         F.count(F.lit(1)).alias("n_docs"),
-        F.sum(F.octet_length("text")).cast("long").alias("n_bytes"),
+        F.sum("bytes").cast("long").alias("n_bytes"),
         F.min("doc_id").alias("first_doc"),
         F.max("doc_id").alias("last_doc"),
     )

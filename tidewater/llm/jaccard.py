@@ -22,6 +22,8 @@ from tidewater.llm.textarrays import Texts, mix64, range_hashes, slices, texts,
 
 #: Sets of up to this many shingles count all of them, in an order of their own among themselves.
 SMALL = 128
+#: The low bits of a shingle say which order it belongs to.
+SMALL_KIND, COUNTED_KIND, EXTRA_KIND = 0, 1, 2
 #: Nodes that a block of the verification has on either side.
 LEAST_BLOCK, MOST_BLOCK = 128, 4096
 #: Rows of a narrow table (an id and a few numbers) that are broadcast at most; beyond, the join shuffles.
@@ -61,10 +63,10 @@ def _sequence(h: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def counted_one_in(percent: int) -> int:
-    """One shingle in this many (by hash) comes before the others in the global order and is counted: some
-    1.6 times the prefix, so that shingles that several texts have can be left to its end."""
-    return max(1, 60 // max(1, 100 - percent))
+def counted_one_in(percent: int, room: float) -> int:
+    """One shingle in this many (by hash) comes before the others in the global order and is counted: ``room``
+    times the prefix, so that shingles that several texts have can be left to its end."""
+    return max(1, int(100 / (room * max(1, 100 - percent))))
 
 
 def prefix_length(n: np.ndarray | int, percent: int):
@@ -72,9 +74,6 @@ def prefix_length(n: np.ndarray | int, percent: int):
     return n - (n * percent + 99) // 100 + 1
 
 
-_SMALL_ORDER = np.uint64(0x5851F42D4C957F2D)
-
-
 def _signatures(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """128 bits of each set: two sums of scrambled members modulo 2**64."""
     out = []
@@ -89,18 +88,33 @@ def _lists(values: np.ndarray, first: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
-def _summaries(size: int, percent: int):
-    """id, set size, signatures, and the shingles that take part in the orders: all of a small set; the counted
-    ones of a set that is not far below SMALL or above it, and those that its prefix needs beyond them.
+def _summaries(size: int):
+    """id, set size and signatures of every text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to in slices(batch.column(1)):
+                value, first = shingles(texts(batch.column(1)[at:to]), size)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[at:to], pa.array(np.diff(first)), *map(pa.array, _signatures(value, first))], names=["id", "n", "s1", "s2"])
+
+    return run
+
+
+def _ordered_part(size: int, percent: int, room: float):
+    """The shingles of each text that take part in the orders, as KIND bits and hash: all of a small set; the
+    counted ones of a set that is not far below SMALL or above it, and those that its prefix needs beyond them.
+    Texts whose signature is not the wanted one (another row of the same id) give nothing.
 
     Two sets that are similar enough are both small, or both in the other part: their sizes are too close."""
-    one_in = np.uint64(counted_one_in(percent))
+    one_in = np.uint64(counted_one_in(percent, room))
+    clear = ~np.uint64(3)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to in slices(batch.column(1)):
                 value, first = shingles(texts(batch.column(1)[at:to]), size)
                 n = np.diff(first)
+                s1, _ = _signatures(value, first)
                 owner = np.repeat(np.arange(to - at), n)
                 small = (n <= SMALL)[owner]
                 large = (n * 100 >= SMALL * percent)[owner]
@@ -108,25 +122,24 @@ def _summaries(size: int, percent: int):
                 n_counted = np.bincount(owner[counted], minlength=to - at)
                 lack = np.maximum(0, np.where(n > 0, prefix_length(n, percent), 0) - n_counted)
                 other = np.flatnonzero(large & ~counted)
-                place = np.arange(len(other)) - np.searchsorted(owner[other], owner[other])
-                extra = other[place < lack[owner[other]]]
-                bounds = np.arange(to - at + 1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0)[at:to],
-                        pa.array(n),
-                        *map(pa.array, _signatures(value, first)),
-                        _lists(mix64(value[small] ^ _SMALL_ORDER), np.searchsorted(owner[small], bounds)),
-                        _lists(value[counted], np.searchsorted(owner[counted], bounds)),
-                        _lists(value[extra], np.searchsorted(owner[extra], bounds)),
-                    ],
-                    names=["id", "n", "s1", "s2", "small", "counted", "extra"],
-                )
+                extra = other[np.arange(len(other)) - np.searchsorted(owner[other], owner[other]) < lack[owner[other]]]
+                picked = [(np.flatnonzero(small), SMALL_KIND), (np.flatnonzero(counted), COUNTED_KIND), (extra, EXTRA_KIND)]
+                rows = np.concatenate([p for p, _ in picked])
+                tagged = np.concatenate([(value[p] & clear) | np.uint64(kind) for p, kind in picked])
+                by = np.argsort(owner[rows], kind="stable")
+                rows, tagged = rows[by], tagged[by]
+                wanted = s1 == batch.column(2)[at:to].to_numpy()
+                keep = np.flatnonzero(wanted)
+                bounds = np.searchsorted(owner[rows], np.arange(to - at + 1))
+                inside = wanted[owner[rows]]
+                run_ = np.concatenate([[0], np.cumsum(inside)])
+                lists = _lists(tagged[inside], np.append(run_[bounds[:-1]][keep], run_[-1]))
+                yield pa.RecordBatch.from_arrays([pa.array(s1[keep]), lists], names=["s1", "shingles"])
 
     return run
 
 
-def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
+def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, percent: int = 90, room: float = 1.6) -> DataFrame:
     """One row per input row: the id, ``n_shingles``, ``component_id`` (smallest id reachable by links,
     itself included), ``n_links`` (other rows linked directly) and ``copies`` (rows with the same set).
 
@@ -134,17 +147,23 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null and empty texts have empty sets and link with nothing, as do rows without an id. Rows with one id
     and different texts count as one document for the links. Texts with equal sets are one node, so groups of
     copies cost one row. Every neighbourhood is verified in blocks of at most ``MOST_BLOCK`` nodes a side, whole;
-    a block gives a row per node, not per pair. Shingles are compared by 64-bit hashes, sets by 128 bits. Other
+    a block gives a row per node, not per pair. ``room``: shingles counted for the order, as a multiple of the
+    prefix (a matter of cost alone). Shingles and sets are known by 62- and 64-bit hashes where candidates are
+    sought; links are verified on 64-bit hashes of whole sets, copies found by 128 bits. Other
     columns are ignored, whatever their names; an empty table gives an empty result.
     """
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    schema = "id bigint, n bigint, s1 bigint, s2 bigint, small array<bigint>, counted array<bigint>, extra array<bigint>"
-    summary = materialize(rows.mapInArrow(_summaries(size, percent), schema), "jaccard-sets")
+    summary = materialize(rows.mapInArrow(_summaries(size), "id bigint, n bigint, s1 bigint, s2 bigint"), "jaccard-sets")
     key = ["n", "s1", "s2"]
     live = summary.where("n > 0 AND id IS NOT NULL")
-    nodes = live.groupBy(*key).agg(F.min("id").alias("node"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("small", "counted", "extra")])
-    nodes = materialize(nodes, "jaccard-nodes")
-    near = _candidates(nodes, percent)
+    nodes = materialize(live.groupBy(*key).agg(F.min("id").alias("node"), F.count("*").alias("copies")), "jaccard-nodes")
+    # The shingles of one text per set, from a second reading: cheaper than to write and shuffle those of all rows.
+    parts = rows.join(small_side(nodes.select(F.col("node").alias("id"), "s1")), "id")
+    parts = parts.select("id", "text", "s1").mapInArrow(_ordered_part(size, percent, room), "s1 bigint, shingles array<bigint>")
+    if not live.groupBy("id", "s1").count().where("count > 1").isEmpty():
+        parts = parts.dropDuplicates(["s1"])  # rows repeated with their id
+    parts = materialize(parts, "jaccard-parts")
+    near = _candidates(nodes, parts, percent)
     found = materialize(_verify(rows, near, size, percent), "jaccard-links")
     links = found.groupBy(F.col("id").alias("node")).agg(F.sum("links").alias("links"))
     parts = connected_components(found.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("id", "node")
@@ -160,27 +179,33 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
+def small_side(narrow: DataFrame) -> DataFrame:
+    """A narrow table marked for broadcast if it has at most MOST_BROADCAST rows."""
+    return F.broadcast(narrow) if narrow.count() <= MOST_BROADCAST else narrow
+
+
+def _candidates(nodes: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """``near`` (a neighbourhood), node, copies, n, s1, s2, group and prefix of the nodes that may have links.
 
     Order of a small set's shingles: by the number of small sets that have them and hash. Of the others: the
     counted ones likewise, then the rest by hash. A shingle that one node has cannot match, so only those of two
     or more travel back to their nodes.
     """
-    tagged = lambda name, kind: F.transform(name, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("shingle")))
-    kinds = F.concat(tagged("small", 0), tagged("counted", 1), tagged("extra", 2))
-    each = nodes.select("node", "s1", F.explode(kinds).alias("x")).select("node", "s1", "x.kind", "x.shingle")
+    each = parts.select("s1", F.explode("shingles").alias("shingle"))
     shared = materialize(each.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-shared")
-    rank = F.when(F.col("kind") == 2, 0).otherwise(F.col("df")).alias("df")
-    back = each.join(shared, "shingle").groupBy("node", "s1").agg(F.array_sort(F.collect_list(F.struct("kind", rank, "shingle"))).alias("known"))
+    kind = F.col("shingle").bitwiseAND(F.lit(3))
+    rank = F.when(kind == EXTRA_KIND, 0).otherwise(F.col("df")).alias("df")
+    back = each.join(shared, "shingle").groupBy("s1").agg(F.array_sort(F.collect_list(F.struct(kind.alias("kind"), rank, "shingle"))).alias("known"))
+    many = lambda kind: F.size(F.filter("shingles", lambda x: x.bitwiseAND(F.lit(3)) == kind))
+    counts = parts.select("s1", many(SMALL_KIND).alias("n_small"), many(COUNTED_KIND).alias("n_counted"))
     need = F.expr(f"CAST(n - (n * {percent} + 99) DIV 100 + 1 AS INT)")
     of = lambda *kinds: F.filter("known", lambda x: x["kind"].isin(*kinds))
-    alone_small, alone = F.size("small") - F.size(of(0)), F.size("counted") - F.size(of(1))
+    alone_small, alone = F.col("n_small") - F.size(of(SMALL_KIND)), F.col("n_counted") - F.size(of(COUNTED_KIND))
     head = lambda known, alone: F.slice(known, 1, F.greatest(F.lit(0), need - alone))
-    of_small = head(of(0), alone_small)
-    of_large = F.when(F.size("counted") >= need, head(of(1), alone)).otherwise(of(1, 2))
+    of_small = head(of(SMALL_KIND), alone_small)
+    of_large = F.when(F.col("n_counted") >= need, head(of(COUNTED_KIND), alone)).otherwise(of(COUNTED_KIND, EXTRA_KIND))
     cols = ["node", "copies", "n", "s1", "s2"]
-    rows = nodes.join(back, ["node", "s1"])
+    rows = nodes.join(back.join(counts, "s1"), "s1")
     rows = rows.select(*cols, F.transform(F.concat(of_small, of_large), lambda x: x["shingle"]).alias("prefix"), ((alone_small == 0) & (alone == 0)).alias("whole"))
     rows = rows.where(F.size("prefix") > 0)
     # Groups: equal size and prefix (a prefix with a shingle of its own is no other's).
@@ -206,9 +231,7 @@ def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
 def _full_sets(rows: DataFrame, near: DataFrame, size: int) -> DataFrame:
     """The candidates with their whole sets, from a second reading of their texts."""
     wanted = near.select(F.col("node").alias("id"), "s1", "s2", "n").distinct()
-    ids = wanted.select("id").distinct()
-    if ids.count() <= MOST_BROADCAST:
-        ids = F.broadcast(ids)
+    ids = small_side(wanted.select("id").distinct())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -101,9 +101,8 @@ def _is_nested(dtype: DataType) -> bool:
 def clean_column(c: Column, dtype: DataType, rules: CleanRules) -> Column:
     """Return the cleaned value of ``c`` (whose type is ``dtype``).
 
-    A struct that has only reserved fields would become a struct without fields, which no
-    table format can hold. One rule covers it everywhere: such a field is dropped (None is
-    returned), as a reserved field is; a list of them keeps its length as a list of empty maps.
+    A struct that has only reserved fields becomes an empty map, at any depth: no table format
+    can hold a struct without fields.
     """
     if isinstance(dtype, StructType):
         fields = []
@@ -112,14 +111,11 @@ def clean_column(c: Column, dtype: DataType, rules: CleanRules) -> Column:
                 continue
             child = c.getField(f.name)
             value = clean_column(child, f.dataType, rules) if _is_nested(f.dataType) else child
-            if value is None:
-                continue
             if rules.drop_if_empty(f.name) and isinstance(f.dataType, StringType):
                 value = F.when(is_empty_value(child, f.dataType), F.lit(None)).otherwise(value)
             fields.append(value.alias(f.name))
-        if not fields:
-            return None
-        rebuilt = F.struct(*fields)
+        # a struct without fields cannot be written to any table: an empty map stands for it
+        rebuilt = F.struct(*fields) if fields else F.create_map().cast("map<string,string>")
         return F.when(c.isNull(), F.lit(None)).otherwise(rebuilt)
 
     if isinstance(dtype, ArrayType):
@@ -128,7 +124,7 @@ def clean_column(c: Column, dtype: DataType, rules: CleanRules) -> Column:
         if rules.drop_empty_elements:
             out = F.filter(out, lambda x: ~is_empty_value(x, elem))
         if _is_nested(elem):
-            out = F.transform(out, lambda x: _or_empty(x, clean_column(x, elem, rules)))
+            out = F.transform(out, lambda x: clean_column(x, elem, rules))
         return out
 
     if isinstance(dtype, MapType):
@@ -140,7 +136,7 @@ def clean_column(c: Column, dtype: DataType, rules: CleanRules) -> Column:
             ),
         )
         if _is_nested(vt):
-            out = F.transform_values(out, lambda k, v: _or_empty(v, clean_column(v, vt, rules)))
+            out = F.transform_values(out, lambda k, v: clean_column(v, vt, rules))
         return out
 
     if isinstance(dtype, VariantType):
@@ -148,13 +144,6 @@ def clean_column(c: Column, dtype: DataType, rules: CleanRules) -> Column:
     return c
 
 
-def _or_empty(original: Column, cleaned: Column | None) -> Column:
-    """An element's cleaned value; an empty map where it has no field left."""
-    if cleaned is not None:
-        return cleaned
-    return F.when(original.isNotNull(), F.create_map().cast("map<string,string>"))
-
-
 def clean_frame(df: DataFrame, rules: CleanRules) -> DataFrame:
     """Apply ``rules`` to every column of ``df`` (the row is the event)."""
     cols = []
@@ -163,8 +152,6 @@ def clean_frame(df: DataFrame, rules: CleanRules) -> DataFrame:
             continue
         child = F.col(f"`{f.name}`")
         value = clean_column(child, f.dataType, rules) if _is_nested(f.dataType) else child
-        if value is None:
-            continue
         if rules.drop_if_empty(f.name) and isinstance(f.dataType, StringType):
             value = F.when(is_empty_value(child, f.dataType), F.lit(None)).otherwise(value)
         cols.append(value.alias(f.name))

@@ -31,7 +31,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones, that with the smallest id. Rows without an id link with
     nothing and stay; rows equal in id and text are one document."""
-    groups = materialize(jaccard.jaccard_join(docs, size=5, percent=80, room=1.25).select("doc_id", "component_id"), "groups")
+    groups = materialize(jaccard.jaccard_join(docs, size=5, percent=80).select("doc_id", "component_id"), "groups")
     gone = groups.where("doc_id != component_id").select("doc_id").distinct()
     kept = docs.join(jaccard.small_side(gone), "doc_id", "left_anti").select(docs.columns)
     if groups.groupBy("doc_id").count().where("count > 1").isEmpty():

@@ -166,6 +166,22 @@ def test_ppm_odd_rows_and_no_languages(spark):
     assert ppm.predict(spark.createDataFrame([], DOCS), model).count() == 0
 
 
+def test_ppm_keeps_a_rare_language_beside_a_hot_one(spark):
+    rng = random.Random(3)
+    make = lambda letters, n: ["".join(rng.choice(letters) for _ in range(60)) for _ in range(n)]
+    hot, rare = make("abcdefgh ", 300), make("abcxyz ", 3)
+    df = frame(spark, [row(i, t, "hot" if i < 300 else "rare") for i, t in enumerate([*hot, *rare])])
+    tests = [*make("abcdefgh ", 5), *make("abcxyz ", 5), rare[0], "é", "a"]
+    asked = frame(spark, [row(i, t) for i, t in enumerate(tests)])
+    model = ppm.fit(df, max_nodes=100)
+    assert model.langs == ["hot", "rare"] and len(model.parts) > 3 and len(ppm.fit(df).parts) == 1
+    for m in (model, ppm.fit(df)):
+        got = ppm.predict(asked, m).orderBy("doc_id").collect()
+        assert [r["lang_pred"] for r in got[:11]] == ["hot"] * 5 + ["rare"] * 6
+        for r, text in zip(got, tests):
+            assert r["bits_per_byte"] * len(text.encode()) == pytest.approx(min(ppm_bits(hot, text), ppm_bits(rare, text)), abs=1e-6)
+
+
 def test_ppm_accuracy_on_held_out(spark):
     sf = "/root/testdata/sf0.01"
     got = QUERIES["op8_ppm_language"](spark, sf).where("held_out")

@@ -8,20 +8,25 @@ full exclusion under the frozen counts; the language with the shortest total cod
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import fresh
+from tidewater.llm.common import fresh, materialize
 from tidewater.llm.textarrays import Texts, slices, texts
 
 ORDER = 3
-#: Most context-byte nodes that the frozen trees of all languages keep together: the most frequent ones.
+#: Most order-3 nodes of all languages that are handled at once; larger trees are cut into parts and no node is lost.
 MAX_NODES = 500_000
+#: Values of the two bytes before a byte; parts are ranges of them.
+PAIRS = 1 << 16
 UNDETERMINED = "und"
 
 
@@ -67,14 +72,16 @@ def _counted(lang: str, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
 
 class Tree:
     """One language's frozen counts: for order k the sorted (k+1)-byte nodes, their counts, and per k-byte
-    context its total, its distinct bytes, and the same of its shorter context without the bytes seen here."""
+    context its total, its distinct bytes, and the same of its shorter context without the bytes seen here.
+    ``low``: the two-byte nodes of the whole language, where ``keys`` are those of one part."""
 
-    def __init__(self, keys: np.ndarray, n: np.ndarray):
+    def __init__(self, keys: np.ndarray, n: np.ndarray, low: tuple[np.ndarray, np.ndarray] | None = None):
         self.nodes: list[tuple[np.ndarray, np.ndarray]] = []
         for order in range(ORDER + 1):
-            short = keys & np.uint32((1 << (8 * (order + 1))) - 1 & 0xFFFFFFFF)
+            long, times = low if low is not None and order < 2 else (keys, n)
+            short = long & np.uint32((1 << (8 * (order + 1))) - 1 & 0xFFFFFFFF)
             node, back = np.unique(short, return_inverse=True)
-            self.nodes.append((node, np.bincount(back, weights=n) if len(n) else np.zeros(0)))
+            self.nodes.append((node, np.bincount(back, weights=times) if len(times) else np.zeros(0)))
         self.contexts = []
         for order in range(ORDER + 1):
             node, count = self.nodes[order]
@@ -122,52 +129,95 @@ class Tree:
         return out
 
 
-class Model:
-    """The trees of all languages and, for each key any of them keeps, its code lengths."""
+Counts = dict[str, tuple[np.ndarray, np.ndarray]]
 
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
-        self.langs = sorted(counts)
-        self.trees = [Tree(keys.astype(np.uint32), n.astype(float)) for keys, n in (counts[x] for x in self.langs)]
-        self.keys = np.unique(np.concatenate([t.nodes[ORDER][0] for t in self.trees])) if self.trees else np.zeros(0, np.uint32)
-        self.table = self._bits(self.keys)
 
-    def _bits(self, keys: np.ndarray) -> np.ndarray:
-        return np.stack([t.bits(keys) for t in self.trees]).astype(np.float64) if self.trees else np.zeros((0, len(keys)))
+class Model:
+    """The trees of all languages and, for each key any of them has, its code lengths; or the part of
+    them that codes the bytes after two bytes in the range ``pairs``, with the two-byte nodes ``low`` of all."""
+
+    def __init__(self, counts: Counts, low: Counts | None = None, pairs: tuple[int, int] = (0, PAIRS)):
+        self.langs, self.pairs = sorted(counts if low is None else low), pairs
+        none = np.zeros(0, np.uint32), np.zeros(0)
+        typed = lambda pair: (pair[0].astype(np.uint32), pair[1].astype(float))
+        self.trees = [Tree(*typed(counts.get(x, none)), typed(low[x]) if low is not None else None) for x in self.langs]
+        self.keys = np.unique(np.concatenate([t.nodes[ORDER][0] for t in self.trees])) if self.trees else np.zeros(0, np.uint32)
+        self.table = [t.bits(self.keys) for t in self.trees]
 
     def code_lengths(self, t: Texts) -> np.ndarray:
-        """Total bits of every text (rows) in every language (columns)."""
+        """Total bits of every text (rows) in every language (columns), of this part's bytes."""
         keys = grams(t)
         total = np.zeros((t.n, len(self.langs)))
         if not len(keys) or not self.langs:
             return total
+        mine = slice(None)
+        if self.pairs != (0, PAIRS):
+            pair = (keys >> np.uint32(8)) & np.uint32(PAIRS - 1)
+            mine = np.flatnonzero((pair >= self.pairs[0]) & (pair < self.pairs[1]))
+            keys = keys[mine]
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         rare = np.flatnonzero(self.keys[at] != keys)
         distinct, back = np.unique(keys[rare], return_inverse=True)
-        extra = self._bits(distinct)
-        lens = np.diff(t.start)
-        full = np.flatnonzero(lens > 0)
-        for i in range(len(self.langs)):
+        full = np.flatnonzero(np.diff(t.start) > 0)
+        every = np.zeros(len(t.data))
+        for i, tree in enumerate(self.trees):
             bits = self.table[i][at]
-            bits[rare] = extra[i][back]
-            total[full, i] = np.add.reduceat(bits, t.start[:-1][full])
+            bits[rare] = tree.bits(distinct)[back]
+            every[mine] = bits
+            total[full, i] = np.add.reduceat(every, t.start[:-1][full])
         return total
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", max_nodes: int = MAX_NODES) -> Model:
-    """Counts over all labelled rows (null texts and languages teach nothing). The trees are then frozen at
-    the ``max_nodes`` most frequent nodes, which bounds what the driver and the tasks hold."""
-    counts = count_grams(labelled, text_col, lang_col)
-    rows = counts.orderBy(F.desc("n"), "lang", "gram").limit(max_nodes).toArrow()
-    langs = np.asarray(rows.column("lang").to_pylist(), dtype=object)
-    keys, n = rows.column("gram").to_numpy(), rows.column("n").to_numpy()
-    return Model({lang: (keys[langs == lang], n[langs == lang]) for lang in set(langs)})
+class Parts(NamedTuple):
+    """A model in parts that together are all trees; each is sent to the executors on its own."""
+
+    langs: list[str]
+    parts: list[Broadcast]
+
+
+def _load(part: Broadcast) -> Model:
+    """One part, read from the executor's disk; the worker does not hold it for the next time."""
+    model = pickle.loads(part.value)
+    if hasattr(part, "_path"):
+        vars(part).pop("_value", None)
+    return model
+
+
+def _by_lang(rows: pa.Table) -> Counts:
+    coded = rows.column("lang").combine_chunks().dictionary_encode()
+    code, keys, n = coded.indices.to_numpy(), rows.column("gram").to_numpy(), rows.column("n").to_numpy()
+    return {lang: (keys[code == i], n[code == i]) for i, lang in enumerate(coded.dictionary.to_pylist())}
+
+
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", max_nodes: int = MAX_NODES) -> Parts:
+    """Counts over all labelled rows (null texts and languages teach nothing); every node of every language
+    stays. The counts are a written table, cut by the two bytes before each byte into parts of about
+    ``max_nodes`` nodes (fewer beside many languages), which bounds what the driver and a worker hold;
+    a byte's code length needs the nodes of one part and the two-byte nodes, which every part has."""
+    counts = count_grams(labelled, text_col, lang_col).withColumn("pair", F.shiftright("gram", 8).bitwiseAND(F.lit(PAIRS - 1)))
+    nodes = materialize(counts.sortWithinPartitions("pair"), "ppm-nodes")
+    low = _by_lang(nodes.groupBy("lang", F.col("gram").bitwiseAND(F.lit(PAIRS - 1)).alias("gram")).agg(F.sum("n").alias("n")).toArrow())
+    if not low:
+        return Parts([], [])
+    most = max_nodes * 8 // max(8, len(low))
+    cuts, held = [0], 0
+    for pair, size in nodes.groupBy("pair").count().orderBy("pair").collect():
+        if held and held + size > most:
+            cuts.append(pair)
+            held = 0
+        held += size
+    parts = []
+    for pairs in zip(cuts, [*cuts[1:], PAIRS]):
+        rows = nodes.where((F.col("pair") >= pairs[0]) & (F.col("pair") < pairs[1])).select("lang", "gram", "n").toArrow()
+        parts.append(labelled.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Model(_by_lang(rows), low, pairs))))
+    return Parts(sorted(low), parts)
 
 
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def predict(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def predict(df: DataFrame, model: Parts, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (all but the text by default) with ``lang_pred``, ``score`` and ``bits_per_byte`` of the whole text.
 
     ``score`` is the predicted language's share of the probabilities 2**-bits of all languages.
@@ -181,22 +231,28 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", keep: list[str]
     rows = df.select(*[F.col(f"`{c}`") for c in keep], F.when(has_letter(text), text).alias(fresh("__text", keep)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model  # max_nodes nodes at most
-        names = np.asarray([*m.langs, UNDETERMINED], dtype=object)
+        langs, parts = model
+        names = np.asarray([*langs, UNDETERMINED], dtype=object)
+        only = _load(parts[0]) if len(parts) == 1 else None
         for batch in batches:
             column = batch.column(len(keep))
-            for at, to in slices(column):
+            cuts = list(slices(column))
+            sums = [np.zeros((to - at, len(langs))) for at, to in cuts]
+            for part in parts:
+                m = only or _load(part)
+                for total, (at, to) in zip(sums, cuts):
+                    total += m.code_lengths(texts(column[at:to]))
+            for bits, (at, to) in zip(sums, cuts):
                 t = texts(column[at:to])
-                bits = m.code_lengths(t)
                 lens = np.maximum(1, np.diff(t.start))
-                if m.langs:
+                if langs:
                     best = bits.argmin(axis=1)
                     least = bits[np.arange(t.n), best]
                     share = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
                 else:
                     best, least, share = np.zeros(t.n, np.int64), np.zeros(t.n), np.zeros(t.n)
-                lost = t.null | (len(m.langs) == 0)
-                best = np.where(lost, len(m.langs), best)
+                lost = t.null | (len(langs) == 0)
+                best = np.where(lost, len(langs), best)
                 out = [pa.array(names[best], pa.string()), pa.array(np.where(lost, 0.0, share)), pa.array(np.where(lost, 0.0, least / lens))]
                 held = [batch.column(i)[at:to] for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*held, *out], names=[*keep, "lang_pred", "score", "bits_per_byte"])

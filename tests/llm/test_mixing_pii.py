@@ -141,6 +141,34 @@ def test_other_kinds(spark):
     assert out[5].endswith(", DE88370400440532013000")
 
 
+def iban_check(text):
+    plain = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+
+def test_ibans_end_at_their_country_s_length(spark):
+    ibans = ["NO93 8601 1117 947", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00"]
+    after = ["BIC", "1332", "I paid", "A", "2024", "ABCD 1234"]
+    assert all(iban_check(i) == 1 for i in ibans)
+    shown = [(i, a) for i in ibans for a in after]
+    out = hide(spark, *[f"to {i} {a}" for i, a in shown], *[f"to {i.replace(' ', '')} {a}" for i, a in shown])
+    for (old, a), wide, narrow in zip(shown, out, out[len(shown) :]):
+        new = wide.removeprefix("to ").removesuffix(f" {a}")
+        assert len(new) == len(old) and new[:2] == old[:2] and new != old and iban_check(new) == 1, (old, a)
+        assert wide == f"to {new} {a}" and narrow == f"to {new.replace(' ', '')} {a}"
+
+
+def test_what_only_looks_like_an_iban_hides_nothing(spark):
+    card, day, iban = "4845168114407329", "1985-03-07", "DE89 3704 0044 0532 0130 00"
+    spaced = " ".join(card[i : i + 4] for i in range(0, 16, 4))
+    new = dict(zip((card, spaced, day, iban), hide(spark, card, spaced, day, iban)))
+    assert all(old != value for old, value in new.items())
+    texts = ["XX12 {card}", "XX12 {spaced}", "BE12 {spaced}", "DE12 {spaced} {day}", "AT12 3456 7890 {iban}", "QQ12 3456 7890 {iban}, {iban}"]
+    fill = lambda t, by: t.format(card=by(card), spaced=by(spaced), day=by(day), iban=by(iban))
+    assert hide(spark, *[fill(t, str) for t in texts]) == [fill(t, new.get) for t in texts]
+    assert "DE89370400440532013000" not in hide(spark, "DE89370400440532013000@bank.org")[0]
+
+
 def test_text_around_is_untouched_and_odd_rows_pass(spark):
     rows = [*odd_rows(), row(20, "$1 \\1 97.51.17.173$2\n\n4845168114407329\n"), row(21, "12 March 2.0 @ home a@b 4845168114407329@x.org")]
     df = extra(frame(spark, rows), "__pii", "found")

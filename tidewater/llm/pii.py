@@ -22,17 +22,42 @@ ROUNDS = 10
 
 _L, _R = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-#: Patterns by kind, tried in this order at each place of the text.
+#: Characters of an IBAN by country: the registry, and the countries that use IBANs without being in it.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+        28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+        32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
+
+def _iban_pattern() -> str:
+    """One alternative a length; other country codes take the longest run of groups."""
+    out = []
+    for length in sorted(set(IBAN_LENGTHS.values())):
+        groups, rest = divmod(length - 4, 4)
+        countries = "|".join(c for c, n in IBAN_LENGTHS.items() if n == length)
+        out.append(f"(?:{countries})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else ""))
+    out.append(f"(?!{'|'.join(IBAN_LENGTHS)})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?")
+    return _L + r"(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(out) + ")" + _R
+
+
+#: Patterns by kind, tried in this order at each place of the text; of the IBANs only those that are valid.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
-    "iban": _L + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _R,
+    "iban": _iban_pattern(),
     "date": _L + r"(?:(?:19|20)[0-9]{2}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2(?:19|20)[0-9]{2})" + _R,
     "ssn": _L + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _R,
     "ip": r"(?<![\p{L}\p{N}])(?<![0-9]\.)(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}])(?!\.[0-9])",
     "phone": r"(?:\+[0-9]{1,3}[ .-]?|(?<![\p{L}\p{N}+]))(?:\([0-9]{3}\) ?|(?<![0-9])[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}" + _R,
     "card": _L + r"(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\4[0-9]{5})" + _R,
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_OTHERS = {kind: f"(?:{p})" for kind, p in PATTERNS.items() if kind != "iban"}
 #: The tests that tell kinds apart on a whole match.
 _FORM = {
     "email": "@",
@@ -179,11 +204,16 @@ def _iban_mod(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), add)
 
 
-def _iban(m: Column, key: str) -> Column:
-    """Country and letters stay; the account's digits are permuted and the check digits recomputed."""
+def _iban_parts(m: Column) -> tuple[Column, Column, Column]:
+    """Country, account, and whether the check digits fit."""
     plain = F.replace(m, F.lit(" "), F.lit(""))
     head, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain) - 4)
-    valid = _iban_mod(F.concat(account, F.substring(plain, 1, 4))) == 1
+    return head, account, _iban_mod(F.concat(account, F.substring(plain, 1, 4))) == 1
+
+
+def _iban(m: Column, key: str) -> Column:
+    """Country and letters stay; the account's digits are permuted and the check digits recomputed."""
+    head, account, valid = _iban_parts(m)
     digits = only_digits(account)
     fresh = refill(account, permute_digits(digits, key, "iban"))
     check = lambda a: F.lpad((F.lit(98) - _iban_mod(F.concat(a, head, F.lit("00")))).cast("string"), 2, "0")
@@ -227,13 +257,27 @@ def pseudonym(match: Column, key: str) -> Column:
     return out.otherwise(_card(match, key))
 
 
+def pattern_of(text: Column) -> Column:
+    """The pattern of all kinds for one text. Only its valid IBANs are part of it, word for word, so what
+    merely looks like one hides nothing; candidates may overlap."""
+    candidates = F.regexp_extract_all(text, F.lit(f"(?=({PATTERNS['iban']}))"), F.lit(1))
+    valid = F.array_distinct(F.filter(candidates, lambda m: _iban_parts(m)[2]))
+    first, *others = _OTHERS.values()
+    ibans = F.transform(F.array(valid), lambda v: F.when(F.size(v) > 0, F.concat(F.lit(f"|{_L}(?:"), F.array_join(v, "|"), F.lit(f"){_R}"))).otherwise(F.lit("")))[0]
+    return F.concat(F.lit(first), ibans, F.lit("|" + "|".join(others)))
+
+
 def pseudonymize_text(text: Column, key: str) -> Column:
     """A struct ``text``, ``found``: the text with its personal values replaced, and what was replaced
     (an array of ``kind``, ``value``, ``pseudonym``). Null stays null. Texts without a digit or ``@``
     are passed on unread by the patterns."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.struct(kind_of(m).alias("kind"), m.alias("value"), pseudonym(m, key).alias("pseudonym")))
-    # Bound once: the text between the matches, and the matches with their pseudonyms.
-    parts = F.array(F.struct(F.split(text, ANY, -1).alias("between"), found.alias("found")))
+    def cut(pattern: Column) -> Column:
+        matches = F.regexp_extract_all(text, pattern, F.lit(0))
+        found = F.transform(matches, lambda m: F.struct(kind_of(m).alias("kind"), m.alias("value"), pseudonym(m, key).alias("pseudonym")))
+        return F.struct(F.split(text, pattern, -1).alias("between"), found.alias("found"))
+
+    # Bound once: the pattern, the text between the matches, and the matches with their pseudonyms.
+    parts = F.transform(F.array(pattern_of(text)), cut)
 
     def rebuild(p: Column) -> Column:
         fill = F.array_append(F.transform(p["found"], lambda m: m["pseudonym"]), F.lit(""))

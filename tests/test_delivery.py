@@ -14,7 +14,7 @@ from tidewater.operators.lifecycle import alert_events, sweep_dated_folders
 from tidewater.operators.parse import infer_rows, parse_raw
 from tidewater.plans.programs import alert_action
 from tidewater.sinks.tables import append_table, stage_csv, stage_json
-from tidewater.sources.files import admit_files, read_raw_lines, read_staged_csv
+from tidewater.sources.files import ADMIT_FILES, admit_files, read_raw_lines, read_staged_csv
 from tidewater.sources.search import search_head
 from tidewater.streaming.load import committed_rows, dead_letters, load_ledger, load_staged
 from tidewater.streaming.stage import _stage_batch
@@ -121,6 +121,31 @@ def test_a_damaged_file_does_not_hold_up_the_others(spark, tmp_path):
     assert admit_files(spark, f"{base}/in", f"{base}/staged", "*.json.gz") == {"admitted": 0, "bad": 0}
 
 
+def test_more_finished_files_than_a_block_are_all_loaded(spark, tmp_path):
+    base, n = str(tmp_path), ADMIT_FILES + 3
+    for i in range(n):
+        _gzip(f"{base}/in/{i}.json.gz", f'{{"a": {i}}}\n')
+    load_staged(spark, f"{base}/staged", f"{base}/t", "a INT", f"{base}/ckpt", incoming_dir=f"{base}/in")
+    assert sorted(r.a for r in committed_rows(spark, f"{base}/t").collect()) == list(range(n))
+    assert not [f for f in os.listdir(f"{base}/in") if f.endswith(".gz")]
+
+
+def test_the_intake_goes_on_in_every_cycle(spark, tmp_path):
+    base = str(tmp_path)
+    _gzip(f"{base}/in/0.json.gz", '{"a": 0}\n')
+    query = load_staged(spark, f"{base}/staged", f"{base}/t", "a INT", f"{base}/ckpt", incoming_dir=f"{base}/in", every="1 second")
+    try:
+        for i in (1, 2):
+            _gzip(f"{base}/in/{i}.json.gz", f'{{"a": {i}}}\n')
+            until = time.time() + 60
+            while os.path.exists(f"{base}/in/{i}.json.gz") and time.time() < until:
+                time.sleep(0.2)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r.a for r in committed_rows(spark, f"{base}/t").collect()) == [0, 1, 2]
+
+
 def test_carriage_returns_survive(spark, tmp_path):
     values = ["a\rb", "a\r\nb", "x\r", 'q"\r', "plain", "\r", "a,b\nc"]
     df = spark.createDataFrame([(v,) for v in values], "line STRING")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
+from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,23 +159,50 @@ def unreadable(spark: SparkSession, files: DataFrame) -> DataFrame:
     return content.mapInArrow(test, "path string")
 
 
-def admit_files(spark: SparkSession, incoming_dir: str, staged_dir: str, glob: str = "*", now: datetime | str | None = None,
-                max_files: int = 1_000) -> dict[str, int]:
-    """One load cycle's intake: move the eligible files (R6) of ``incoming_dir`` into ``staged_dir``.
+#: Files of one block of the intake.
+ADMIT_FILES = 1_000
 
-    Files that are still being written stay for a later cycle. Truncated or damaged gzip files go to
-    ``<incoming_dir>/_bad`` instead, so one of them never holds up the others. Of more than ``max_files``
-    eligible files the oldest are moved; the rest wait for the next cycle. Returns the counts."""
+
+def _ready(spark: SparkSession, incoming_dir: str, glob: str, now: datetime | str | None) -> DataFrame:
+    """The paths that can be moved, oldest first."""
     ready = eligible_files(list_files(spark, incoming_dir, glob), now).where(~F.col("path").contains("/_bad/"))
-    ready = ready.orderBy("modificationTime", "path").limit(max_files)
-    bad = {r.path for r in unreadable(spark, ready).collect()}
+    return ready.orderBy("modificationTime", "path").select("path")
+
+
+def _admit(spark: SparkSession, paths: Iterable[str], incoming_dir: str, staged_dir: str) -> dict[str, int]:
+    """Test and move these files."""
+    paths = list(paths)
+    bad = {r.path for r in unreadable(spark, spark.createDataFrame([(p,) for p in paths], "path STRING")).collect()}
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     counts = {"admitted": 0, "bad": 0}
-    for row in ready.select("path").collect():
-        source = jvm.org.apache.hadoop.fs.Path(row.path)
+    for path in paths:
+        source = jvm.org.apache.hadoop.fs.Path(path)
         fs = source.getFileSystem(conf)
-        folder = jvm.org.apache.hadoop.fs.Path(f"{incoming_dir}/_bad" if row.path in bad else staged_dir)
+        folder = jvm.org.apache.hadoop.fs.Path(f"{incoming_dir}/_bad" if path in bad else staged_dir)
         fs.mkdirs(folder)
         if fs.rename(source, jvm.org.apache.hadoop.fs.Path(folder, source.getName())):
-            counts["bad" if row.path in bad else "admitted"] += 1
+            counts["bad" if path in bad else "admitted"] += 1
+    return counts
+
+
+def admit_files(spark: SparkSession, incoming_dir: str, staged_dir: str, glob: str = "*", now: datetime | str | None = None,
+                max_files: int = ADMIT_FILES) -> dict[str, int]:
+    """One block of a load cycle's intake: move the eligible files (R6) of ``incoming_dir`` into ``staged_dir``.
+
+    Files that are still being written stay for a later cycle. Truncated or damaged gzip files go to
+    ``<incoming_dir>/_bad`` instead, so one of them never holds up the others. Of more than ``max_files``
+    eligible files the oldest are moved; the rest wait for the next call (:func:`admit_all` moves all).
+    Returns the counts."""
+    return _admit(spark, [r.path for r in _ready(spark, incoming_dir, glob, now).limit(max_files).collect()], incoming_dir, staged_dir)
+
+
+def admit_all(spark: SparkSession, incoming_dir: str, staged_dir: str, glob: str = "*", now: datetime | str | None = None,
+              max_files: int = ADMIT_FILES) -> dict[str, int]:
+    """A load cycle's whole intake: every eligible file, listed once and moved as :func:`admit_files` does,
+    ``max_files`` at a time. A file that cannot be moved does not hold up those after it."""
+    counts = {"admitted": 0, "bad": 0}
+    paths = [r.path for r in _ready(spark, incoming_dir, glob, now).collect()]  # the file index is on the driver too
+    for block in batched(paths, max_files):
+        for status, n in _admit(spark, block, incoming_dir, staged_dir).items():
+            counts[status] += n
     return counts

@@ -15,15 +15,18 @@ checkpoint; ``archive_dir`` moves them aside (``cleanSource=archive``).
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+import logging
+import threading
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.operators.parse import CORRUPT_COL, JSON_TS_OPTIONS, apply_mapping
-from tidewater.sources.files import CSV_OPTIONS, admit_files
+from tidewater.sources.files import CSV_OPTIONS, admit_all
 
 BATCH_COL = "load_batch"
 LEDGER_DIR = "_ledger"
@@ -92,6 +95,25 @@ def _staged_stream(spark: SparkSession, staged_dir: str, schema: StructType, kin
     return stream.select(*[F.col(f"`{c}`") for c in stream.columns if c in known], CORRUPT_COL, file)
 
 
+def _every_cycle(spark: SparkSession, query: StreamingQuery, every: str, intake: Callable[[], object]) -> None:
+    """Call ``intake`` once in each cycle of ``every`` as long as the query runs. A failed call is logged
+    and the next cycle tries again; nothing is lost, as files stay where they are."""
+    micros = F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.lit(every).cast("interval"))
+    seconds = max(1.0, spark.range(1).select(micros).first()[0] / 1e6)
+
+    def run() -> None:
+        try:
+            while not query.awaitTermination(seconds):
+                try:
+                    intake()
+                except Exception:
+                    logging.getLogger(__name__).exception("intake failed; the next cycle tries again")
+        except StreamingQueryException:
+            pass  # the caller owns the query and sees its failure
+
+    threading.Thread(target=run, name=f"intake-{query.id}", daemon=True).start()
+
+
 def load_staged(
     spark: SparkSession,
     staged_dir: str,
@@ -110,15 +132,15 @@ def load_staged(
     """Load every staged file exactly once; malformed records are routed aside and counted, the load goes on.
 
     ``mapping`` projects each record to destination columns (T3) instead of reading ``schema``.
-    ``incoming_dir``: first move what other programs have finished writing there into ``staged_dir``
-    (R6 and a test of each file; see :func:`tidewater.sources.files.admit_files`).
+    ``incoming_dir``: first move all that other programs have finished writing there into ``staged_dir``
+    (R6 and a test of each file; see :func:`tidewater.sources.files.admit_all`), with ``every`` again in each cycle.
     ``every=None`` loads what is there and returns the finished query
     (``availableNow``); otherwise the query keeps running with a
     processing-time trigger (the forwarder's load cycle is
     ``tidewater.constants.LOAD_CYCLE``) and the caller owns it."""
     glob = "*.json.gz" if kind == "json" else "*.csv"
     if incoming_dir is not None:
-        admit_files(spark, incoming_dir, staged_dir, glob)
+        admit_all(spark, incoming_dir, staged_dir, glob)
     options = {}
     if max_files_per_trigger:
         options["maxFilesPerTrigger"] = str(max_files_per_trigger)
@@ -128,7 +150,10 @@ def load_staged(
     stream = _staged_stream(spark, staged_dir, fields, kind, options, mapping)
     w = stream.writeStream.foreachBatch(_write_batch(target, fmt, run_id, stream_id(checkpoint))).option("checkpointLocation", checkpoint)
     if every is not None:
-        return w.trigger(processingTime=every).start()
+        q = w.trigger(processingTime=every).start()
+        if incoming_dir is not None:
+            _every_cycle(spark, q, every, lambda: admit_all(spark, incoming_dir, staged_dir, glob))
+        return q
     q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return q

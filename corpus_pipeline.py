@@ -30,13 +30,21 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones, that with the smallest id. Rows without an id link with
-    nothing and stay; rows equal in id and text are one document."""
-    groups = materialize(jaccard.jaccard_join(docs, size=5, percent=80).select("doc_id", "component_id"), "groups")
-    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(jaccard.small_side(gone), "doc_id", "left_anti").select(docs.columns)
-    if groups.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    nothing and stay; rows equal in id (or both without one) and text are one document. Different texts of
+    one id are documents of their own, the first text the smallest."""
+    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return _first_of_groups(docs, "doc_id")
+    place = fresh("__place", docs.columns)
+    once = docs.dropDuplicates(["doc_id", "text"]).orderBy("doc_id", "text")
+    once = once.withColumn(place, F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id()))
+    return _first_of_groups(materialize(once, "documents-once"), place).select(docs.columns)
+
+
+def _first_of_groups(docs: DataFrame, id_col: str) -> DataFrame:
+    """The rows that are the smallest by ``id_col``, which tells them apart, of their group; those without one stay."""
+    groups = materialize(jaccard.jaccard_join(docs, id_col, size=5, percent=80).select(id_col, "component_id"), "groups")
+    gone = groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    return docs.join(jaccard.small_side(gone), id_col, "left_anti").select(docs.columns)
 
 
 def hide_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -236,6 +236,13 @@ def test_pipeline_stages_on_odd_rows(spark):
     assert Counter(r["doc_id"] for r in one.collect()) == Counter([1, 2, 3, 4, None, 5, 6, 7, 9])
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    df = frame(spark, [row(1, a), row(5, a + " end"), row(5, b), row(5, b), row(7, b + " end"), row(8, "alone"), row(None, a)])
+    got = corpus_pipeline.drop_near_duplicates(spark, df, SF)
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([(1, a), (5, b), (8, "alone"), (None, a)])
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "sample", "pieces", "log_inclusion"} <= set(out.columns)

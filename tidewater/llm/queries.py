@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import jaccard, mixing, multi_index, pieces, pii, ppm, quality, repetition, sharding, warc
+from tidewater.llm import jaccard, mixing, multi_index, packing, pieces, pii, ppm, quality, repetition, shallot, sharding, spelling, warc
 from tidewater.llm.common import documents, id_bucket
 
 
@@ -81,6 +81,27 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "text", F.size("replaced").cast("bigint").alias("n_replaced"), F.array_sort(F.array_distinct(F.transform("replaced", lambda r: r["kind"]))).alias("kinds"))
 
 
+def op11_shallot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact 8-means of all 64-component embeddings in integers, ten rounds, by Shallot search."""
+    rows, centroids = shallot.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=8, rounds=10, width=64, scale=1024, salt="3")
+    digests = spark.createDataFrame([(i, shallot.centroid_digest(c)) for i, c in enumerate(centroids)], "cluster int, centroid_sha256 string")
+    return rows.join(F.broadcast(digests), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words that all documents use twice or more, by reduced-alphabet neighbourhoods."""
+    found = spelling.words(documents(spark, sf_dir), least=7, every=31)
+    return spelling.variants(found.where("n >= 2"), times=10)
+
+
+def op13_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as byte-level BPE ids, cut and packed into sequences of at most 1024 tokens by the sum-of-squares rule."""
+    import public_tokenizers
+
+    cut = packing.cut_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
+    return packing.pack(cut, capacity=1024).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 #: Documents that score less are rejected.
 QUALITY_LEAST = 0.3
 
@@ -95,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ppm_language": op8_ppm_language,
     "op9_mix_sources": op9_mix_sources,
     "op10_pseudonyms": op10_pseudonyms,
+    "op11_shallot": op11_shallot,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_sum_of_squares": op13_sum_of_squares,
 }
 
 _TEXT_SQL = f"regexp_replace(regexp_replace(regexp_replace(payload, '{warc.BLANKS}', ' ', 'g'), '{warc.BREAKS}', chr(10), 'g'), '{warc.UNSEEN}', '', 'g')"
@@ -144,7 +168,76 @@ SELECT page_id, warc_type, record_id, refers_to, concurrent_to, target_uri, '{wa
 FROM blocks
 """
 
+
+
+def _shallot_sql(k: int, rounds: int, width: int, scale: int, salt: str) -> str:
+    """Lloyd's rounds written out: in each all vectors meet all centroids."""
+    near = "list_sum([(x[i] - v[i]) * (x[i] - v[i]) for i in range(1, {w} + 1)])".format(w=width)
+    steps = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor({scale} * CAST(y AS DOUBLE)) AS BIGINT) for y in embedding] AS x FROM embeddings
+  WHERE len(embedding) = {width} AND len([1 for y in embedding if y IS NOT NULL AND isfinite(CAST(y AS DOUBLE))]) = {width}),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('{salt}:' || vec_id), x) - 1 AS INT) AS c, x AS v FROM kept QUALIFY c < {k})"""
+    ]
+    for i in range(rounds):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, any_value(x) AS x, arg_min(c, (d, c)) AS c FROM (SELECT r, x, c, {near} AS d FROM kept, c{i}) GROUP BY r),
+c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(w, v) AS v FROM c{i} LEFT JOIN (
+    SELECT c, list(m ORDER BY i) AS w FROM (
+      SELECT c, i, CAST(floor(CAST(sum(x[i]) AS DOUBLE) / count(*)) AS BIGINT) AS f, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n,
+             CASE WHEN f * n > s THEN f - 1 WHEN (f + 1) * n <= s THEN f + 1 ELSE f END AS m
+      FROM a{i}, (SELECT unnest(range(1, {width} + 1)) AS i) GROUP BY c, i) GROUP BY c) USING (c))""")
+    return f"""
+WITH {", ".join(steps)},
+done AS MATERIALIZED (
+  SELECT any_value(vec_id) AS vec_id, arg_min(c, (d, c)) AS cluster, min(d) AS distance, arg_min(v, (d, c)) AS v
+  FROM (SELECT r, vec_id, c, v, {near} AS d FROM kept, c{rounds}) GROUP BY r)
+SELECT vec_id, cluster, CAST(distance AS BIGINT) AS distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(v, ',')) AS centroid_sha256
+FROM done
+"""
+
+
+_CRC_SQL = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, [CAST('0x' || hex(b)[2 * i + 1:2 * i + 2] AS BIGINT) for i in range(len(hex(b)) // 2)]),"
+    " lambda c, y: xor(c >> 8, crc_table[(xor(c, y) & 255) + 1])), 4294967295)"
+)
+
+_SPELLING_SQL = f"""
+WITH RECURSIVE tables AS MATERIALIZED (
+  SELECT [list_reduce(list_prepend(CAST(n AS BIGINT), range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) for n in range(256)] AS crc_table),
+runs AS (
+  SELECT id, run, count(*) AS times FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), 'null') AS id,
+           unnest(regexp_extract_all(translate(text, '{spelling.UPPER}', '{spelling.LOWER}'), '[{spelling.LETTERS}]{{7,}}')) AS run FROM documents)
+  GROUP BY id, run),
+hashed AS (SELECT run, times, {_CRC_SQL} AS h FROM (SELECT *, encode(id || ':' || run) AS b FROM runs), tables),
+cut AS (SELECT times, CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed),
+vocabulary AS MATERIALIZED (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+shorter AS MATERIALIZED (
+  SELECT DISTINCT ON (word, mark) word, n, i, word[1:i] || word[i + 2:] AS mark FROM (SELECT word, n, unnest(range(length(word))) AS i FROM vocabulary)),
+gaps AS MATERIALIZED (SELECT word, n, i, word[1:i] || word[i + 2:] AS mark FROM (SELECT word, n, unnest(range(length(word))) AS i FROM vocabulary)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n AS m FROM gaps a JOIN gaps b ON a.mark = b.mark AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT s.word, v.word, v.n FROM shorter s JOIN vocabulary v ON v.word = s.mark
+  UNION ALL SELECT v.word, s.word, s.n FROM shorter s JOIN vocabulary v ON v.word = s.mark),
+best AS (
+  SELECT word, count(*) AS n_near, max(m) AS m, arg_min(other, encode(other)) FILTER (WHERE first) AS other
+  FROM (SELECT *, m = max(m) OVER (PARTITION BY word) AS first FROM near) GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN other END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+  FROM vocabulary LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS at FROM forms UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN (SELECT chain.word, chain.at FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NULL) c ON c.word = f.word
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_shallot": _shallot_sql(8, 10, 64, 1024, "3"),
+    "op12_spelling_variants": _SPELLING_SQL,
     "op9_mix_sources": r"""
 WITH sized AS (
   SELECT doc_id, source,

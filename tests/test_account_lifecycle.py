@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater import alert_events, alert_windows, delivery_summary, retain, search_funnel
@@ -80,3 +81,64 @@ def test_expired_is_the_complement_of_retain(spark):
     gone = expired(ev, "ts", "2024-01-31 00:00:00", days=3)
     assert kept.count() + gone.count() == ev.count()
     assert kept.join(gone, "event_id").count() == 0
+
+
+def _slowly(batches):
+    import time
+
+    for batch in batches:
+        time.sleep(0.2)
+        yield batch
+
+
+def test_progress_rows_grow_to_a_hundred(spark, tmp_path):
+    from tidewater.operators.account import SearchProgress
+
+    place = str(tmp_path / "progress")
+    with SearchProgress(spark, "r1", place, every=0.05) as progress:
+        slow = spark.range(0, 40, 1, 40).mapInArrow(_slowly, "id bigint")
+        assert slow.count() == 40
+    rows = spark.read.parquet(place).orderBy("seq").collect()
+    assert [r.seq for r in rows] == list(range(len(rows))) and len(rows) > 2
+    percent = [r.percent_done for r in rows]
+    assert percent == sorted(percent) and percent[-1] == 100.0 and all(p < 100 for p in percent[:-1])
+    assert [r.is_done for r in rows] == [False] * (len(rows) - 1) + [True]
+    assert rows[-1].done == rows[-1].total >= 40
+    with pytest.raises(ZeroDivisionError), SearchProgress(spark, "r2", every=5) as failed:
+        1 / 0
+    assert [(r.percent_done, r.is_done) for r in failed.rows().collect()] == [(0.0, False)]
+
+
+def test_sweep_runs_in_tasks(spark, tmp_path, monkeypatch):
+    import os
+    import time
+
+    from tidewater.operators.lifecycle import sweep_expired
+    from tidewater.sources.files import walk_files
+
+    old = time.time() - 3 * 86400
+    names = ["a b", "100%", "é#?", "deep/er/x=1"]
+    for name in names:
+        os.makedirs(f"{tmp_path}/{name}")
+        for i in range(300):
+            path = f"{tmp_path}/{name}/{i} [1] {{x}}.gz" if i else f"{tmp_path}/{name}/_hidden.gz"
+            open(path, "w").close()
+            if i % 3 == 0:
+                os.utime(path, (old, old))
+    assert walk_files(spark, str(tmp_path)).count() == 4 * 299
+    assert walk_files(spark, str(tmp_path), "1*.gz").count() == 4 * 111
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(DataFrame, "collect", lambda *_: pytest.fail("paths on the driver"))
+    monkeypatch.setattr(DataFrame, "toLocalIterator", lambda *_: pytest.fail("paths on the driver"))
+    monkeypatch.setattr(DataFrame, "first", lambda self: _single(self))
+    assert sweep_expired(spark, str(tmp_path)) == 4 * 99
+    monkeypatch.undo()
+    assert sum(len(files) for _, _, files in os.walk(tmp_path)) == 4 * 201
+    assert sweep_expired(spark, str(tmp_path)) == 0 and sweep_expired(spark, str(tmp_path / "none")) == 0
+
+
+def _single(df):
+    rows = df.toArrow().to_pylist()
+    assert len(rows) <= 1 and all(len(str(v)) < 30 for r in rows for v in r.values())
+    return tuple(rows[0].values()) if rows else None

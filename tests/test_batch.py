@@ -248,3 +248,42 @@ def test_descending_order_needs_the_plain_window(spark):
     with pytest.raises(ValueError, match="ascending"):
         running_before(df, F.lit(1), [F.desc("id")], ["k"], order_chunk("id", 3))
     assert running_before(df, F.lit(1), [F.desc("id")], ["k"], None, "b").where("b != 9 - id").count() == 0
+
+
+def _greedy(sizes, most):
+    """Batch of every size in order, one after the other."""
+    out, batch, held = [], 0, 0
+    for n in sizes:
+        if held > most:
+            batch, held = batch + 1, 0
+        out.append(batch)
+        held += n
+    return out
+
+
+@pytest.mark.parametrize("most, fan_in", [(10, 3), (1000, 64)])
+def test_greedy_rotation_equals_the_chain(spark, monkeypatch, most, fan_in):
+    from tidewater.operators import batch
+
+    monkeypatch.setattr(batch, "FAN_IN", fan_in)
+    rng = random.Random(most)
+    rows = []
+    for key, n in (("hot", 1500), ("cold", 40), (None, 90), ("one", 1)):
+        for i in range(n):
+            # long gaps without a start, events without bytes, one event above the limit
+            size = rng.choice([0, 0, 1, 3, 9, 40, most, 30 * most if rng.random() < 0.05 else 2])
+            rows.append((key, i, size))
+    df = spark.createDataFrame(rows, "k string, i int, size bigint").repartition(5)
+    got = {(r.k, r.i): r.batch_id for r in batch.assign_greedy_batch(df, None, "i", "k", most, n_chunks=7, size_col="size").collect()}
+    assert len(got) == len(rows)
+    for key in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == key]
+        want = _greedy([r[2] for r in mine], most)
+        assert [got[(key, r[1])] for r in mine] == want, key
+
+
+def test_greedy_rotation_of_nothing(spark):
+    from tidewater.operators.batch import assign_greedy_batch
+
+    df = spark.createDataFrame([], "k string, i int, p string")
+    assert assign_greedy_batch(df, "p", "i", "k").collect() == []

@@ -16,7 +16,8 @@ from tidewater.plans.programs import alert_action
 from tidewater.sinks.tables import append_table, stage_csv, stage_json
 from tidewater.sources.files import ADMIT_FILES, admit_files, read_raw_lines, read_staged_csv
 from tidewater.sources.search import search_head
-from tidewater.streaming.load import committed_rows, dead_letters, load_ledger, load_staged
+from tidewater.operators.account import delivery_summary
+from tidewater.streaming.load import attempts, committed_rows, dead_letters, load_ledger, load_staged
 from tidewater.streaming.stage import _stage_batch
 
 
@@ -56,6 +57,98 @@ def test_a_rerun_delivers_nothing_twice(spark, tmp_path):
     assert spark.read.parquet(f"{base}/direct").count() == 100
 
 
+def _stream(spark, base, name, n=100):
+    """The events of a run as a stream of files."""
+    _events(spark, n).withColumn("note", F.concat(F.lit(f"{name} "), "note")).repartition(3).write.mode("ignore").parquet(f"{base}/source-{name}")
+    return spark.readStream.schema(_events(spark, 1).schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/source-{name}")
+
+
+def _batch(spark, base, name, n=100):
+    return _events(spark, n).withColumn("note", F.concat(F.lit(f"{name} "), "note"))
+
+
+@pytest.mark.parametrize("kinds", [("batch", "batch"), ("stream", "stream"), ("stream", "batch")])
+@pytest.mark.parametrize("shared", [False, True])
+def test_runs_share_a_staging_folder_and_a_target(spark, tmp_path, kinds, shared):
+    base = str(tmp_path)
+    make = {"batch": _batch, "stream": _stream}
+
+    def act(i, ckpt):
+        return alert_action(
+            make[kinds[i]](spark, base, f"r{i}"), f"{base}/t", f"r{i}", durable="1", order_by=("ts", "event_id"), partition_by=("event_type",),
+            max_bytes=800, staging_dir=f"{base}/staged", checkpoint=f"{base}/{ckpt}",
+        ).first()
+
+    for again in range(1 + shared):  # the second time nothing is new
+        for i in (0, 1):
+            account = act(i, "ckpt" if shared else f"ckpt-{i}")
+            assert (account.run_id, account.sent, account.failed) == (f"r{i}", 100, 0), (again, i)
+        rows = committed_rows(spark, f"{base}/t")
+        assert rows.count() == 200 and rows.select("note").distinct().count() == 200
+        assert dict(rows.groupBy("run_id").count().collect()) == {"r0": 100, "r1": 100}
+    # a third load of the whole folder into the same target finds everything claimed; into another one it takes all
+    schema = rows.drop("load_batch").schema
+    load_staged(spark, f"{base}/staged", f"{base}/t", schema, f"{base}/ckpt-all")
+    assert committed_rows(spark, f"{base}/t").count() == 200
+    load_staged(spark, f"{base}/staged", f"{base}/other", schema, f"{base}/ckpt-other")
+    assert committed_rows(spark, f"{base}/other").count() == 200
+
+
+def test_a_run_goes_on_with_another_checkpoint(spark, tmp_path, monkeypatch):
+    from tidewater.streaming import load as loads
+
+    base, real, calls = str(tmp_path), loads.write_ledger, []
+
+    def crashing(spark, target, batch, *rest):
+        calls.append(batch)
+        if len(calls) == 1:  # the start of the run is in the ledger, its first micro-batch is not
+            raise RuntimeError("lost")
+        return real(spark, target, batch, *rest)
+
+    monkeypatch.setattr(loads, "write_ledger", crashing)
+    with pytest.raises(Exception):
+        _act(_events(spark), base, "a")
+    monkeypatch.undo()
+    account = alert_action(
+        _events(spark), f"{base}/t", "a", durable="1", order_by=("ts", "event_id"), partition_by=("event_type",), max_bytes=800,
+        staging_dir=f"{base}/staged-a", checkpoint=f"{base}/another",
+    ).first()
+    assert (account.sent, account.failed) == (100, 0)
+    assert committed_rows(spark, f"{base}/t").count() == 100
+
+
+def test_a_run_without_events_has_an_account(spark, tmp_path):
+    base = str(tmp_path)
+    for name, events in (("batch", _events(spark, 0)), ("stream", spark.readStream.schema(_events(spark, 1).schema).parquet(_empty(base)))):
+        account = _act(events, base, name)
+        assert (account.run_id, account.sent, account.failed) == (name, 0, 0)
+        direct = alert_action(events, f"{base}/d-{name}", name, durable="0", checkpoint=f"{base}/c-{name}").collect()
+        assert not direct or (direct[0].sent, direct[0].failed) == (0, 0)
+
+
+def _empty(base):
+    os.makedirs(f"{base}/empty", exist_ok=True)
+    return f"{base}/empty"
+
+
+def test_direct_streams_and_batches_share_a_target(spark, tmp_path):
+    base = str(tmp_path)
+    for i, make in enumerate((_stream, _stream, _batch)):
+        account = alert_action(make(spark, base, f"r{i}"), f"{base}/t", f"r{i}", durable="0", checkpoint=f"{base}/ckpt").first()
+        assert (account.sent, account.failed) == (100, 0)
+    rows = spark.read.parquet(f"{base}/t")
+    assert rows.count() == 300 and rows.select("note").distinct().count() == 300
+
+
+def test_two_loads_of_one_folder_take_each_file_once(spark, tmp_path):
+    base = str(tmp_path)
+    for i in range(6):
+        _gzip(f"{base}/staged/[{i}] {{x}}.json.gz", f'{{"a": {i}}}\n')
+    for ckpt in ("one", "two"):
+        load_staged(spark, f"{base}/staged", f"{base}/t", "a INT", f"{base}/{ckpt}", max_files_per_trigger=2)
+        assert sorted(r.a for r in committed_rows(spark, f"{base}/t").collect()) == list(range(6))
+
+
 def test_a_stage_replay_after_the_load(spark, tmp_path):
     base = str(tmp_path)
     events = _events(spark)
@@ -98,6 +191,51 @@ def test_malformed_lines_become_dead_letters(spark, tmp_path):
     assert dict(load_ledger(spark, f"{base}/t").select("status", "rows").collect()) == {"ok": 2, "failed": 2}
 
 
+def test_a_damaged_buffer_is_tried_again_then_dead(spark, tmp_path):
+    base = str(tmp_path)
+    line = '{"a": 1, "b": "' + "".join(chr(97 + i * i % 26) for i in range(4000)) + '"}\n'
+    for name, cut in (("good", None), ("cut", 60), ("mended", 60)):
+        _gzip(f"{base}/staged/{name}.json.gz", line * 20, cut=cut)
+
+    def load():
+        load_staged(spark, f"{base}/staged", f"{base}/t", "a INT, b STRING", f"{base}/ckpt", run_id="r", archive_dir=f"{base}/done")
+        state = {os.path.basename(r.file): (r.tries, r.state) for r in attempts(spark, f"{base}/t").collect()}
+        return committed_rows(spark, f"{base}/t").count(), state
+
+    assert load() == (20, {"cut.json.gz": (1, "retry"), "mended.json.gz": (1, "retry")})
+    _gzip(f"{base}/staged/late.json.gz", line)
+    assert load() == (21, {"cut.json.gz": (2, "retry"), "mended.json.gz": (2, "retry")})
+    _gzip(f"{base}/staged/mended.json.gz", line * 20)
+    assert load() == (41, {"cut.json.gz": (3, "retry"), "mended.json.gz": (3, "loaded")})
+    assert load()[1]["cut.json.gz"] == (4, "retry") and dead_letters(spark, f"{base}/t").count() == 0
+    assert load() == (41, {"cut.json.gz": (5, "dead"), "mended.json.gz": (3, "loaded")})
+    assert load() == (41, {"cut.json.gz": (5, "dead"), "mended.json.gz": (3, "loaded")})
+    (dead,) = dead_letters(spark, f"{base}/t").collect()
+    assert dead.record is None and dead.file.endswith("cut.json.gz")
+    assert delivery_summary(load_ledger(spark, f"{base}/t"), count_col="rows").select("sent", "failed").first()[:] == (41, 1)
+    assert sorted(f for f in os.listdir(f"{base}/done") if f.endswith(".gz")) == ["cut.json.gz", "good.json.gz", "late.json.gz", "mended.json.gz"]
+
+
+def test_mapped_csv_records_stay_whole(spark, tmp_path):
+    base = str(tmp_path)
+    lines = ["a\nb", "c", 'q"x', "x,y", " z "]
+    stage_csv(spark.createDataFrame([(v,) for v in lines], "line STRING"), f"{base}/staged")
+    with open(f"{base}/staged/other.csv", "w") as f:
+        f.write('1,"two\nlines",3\nshort\n')
+    load_staged(spark, f"{base}/staged", f"{base}/t", "x STRING", f"{base}/ckpt", kind="csv", mapping=[("first", 0, "string"), ("second", 1, "string")])
+    got = {(r.first, r.second) for r in committed_rows(spark, f"{base}/t").select("first", "second").collect()}
+    assert got == {(v, None) for v in lines} | {("1", "two\nlines"), ("short", None)}
+    assert dead_letters(spark, f"{base}/t").count() == 0
+
+
+def test_mapped_json_takes_what_the_parser_takes(spark, tmp_path):
+    base = str(tmp_path)
+    _gzip(f"{base}/staged/a.json.gz", '{"a": 1, "a": 2}\n{"a": NaN, "b": {"c": [5]}}\n"text"\n{"a": 1\n[{"a": 1}]\n{"b": 7}\n')
+    load_staged(spark, f"{base}/staged", f"{base}/t", "a INT", f"{base}/ckpt", mapping=[("a", "$.a", "string"), ("c", "$.b.c[0]", "int")])
+    assert {(r.a, r.c) for r in committed_rows(spark, f"{base}/t").collect()} == {("2", None), ("NaN", 5), (None, None)}
+    assert {r.record for r in dead_letters(spark, f"{base}/t").collect()} == {'"text"', '{"a": 1', '[{"a": 1}]'}
+
+
 def test_a_mapping_projects_the_staged_records(spark, tmp_path):
     base = str(tmp_path)
     _gzip(f"{base}/staged/a.json.gz", '{"a": 1, "b": {"c": "x"}}\n[1]\nnot json\n')
@@ -121,6 +259,31 @@ def test_a_damaged_file_does_not_hold_up_the_others(spark, tmp_path):
     assert admit_files(spark, f"{base}/in", f"{base}/staged", "*.json.gz") == {"admitted": 0, "bad": 0}
 
 
+def test_a_growing_file_is_left_alone(spark, tmp_path, monkeypatch):
+    from tidewater.sources import files
+
+    base = str(tmp_path)
+    for name in ("still", "grows"):
+        _gzip(f"{base}/in/{name}.json.gz", '{"a": 1}\n')
+
+    def meanwhile(_):
+        _gzip(f"{base}/in/grows.json.gz", '{"a": 1}\n{"a": 22}\n')  # its time says that it is an hour old
+
+    monkeypatch.setattr(files.time, "sleep", meanwhile)
+    assert admit_files(spark, f"{base}/in", f"{base}/staged", "*.json.gz", wait_seconds=10) == {"admitted": 1, "bad": 0}
+    assert os.listdir(f"{base}/staged") == ["still.json.gz"]
+    monkeypatch.setattr(files.time, "sleep", lambda _: None)
+    # the last cycle's listing knows the larger size, and now it is the same
+    assert admit_files(spark, f"{base}/in", f"{base}/staged", "*.json.gz") == {"admitted": 1, "bad": 0}
+    # a file that grows from one cycle to the next
+    _gzip(f"{base}/in/more.json.gz", '{"a": 1}\n', cut=5)
+    os.utime(f"{base}/in/more.json.gz")
+    assert admit_files(spark, f"{base}/in", f"{base}/staged", "*.json.gz") == {"admitted": 0, "bad": 0}
+    _gzip(f"{base}/in/more.json.gz", '{"a": 1}\n')
+    assert admit_files(spark, f"{base}/in", f"{base}/staged", "*.json.gz") == {"admitted": 0, "bad": 0}
+    assert admit_files(spark, f"{base}/in", f"{base}/staged", "*.json.gz") == {"admitted": 1, "bad": 0}
+
+
 def test_more_finished_files_than_a_block_are_all_loaded(spark, tmp_path):
     base, n = str(tmp_path), ADMIT_FILES + 3
     for i in range(n):
@@ -195,7 +358,7 @@ def test_inference_loses_no_row(spark):
 def test_heads_beyond_a_page(spark):
     df = spark.range(1_200_000)
     assert search_head(df, None, 1_200_000, [F.col("id").desc()]).count() == 1_200_000
-    head = search_head(df, None, 1_100_000, [F.col("id").desc()], cutoff_col="id")
+    head = search_head(df, None, 1_100_000, [F.col("id").desc()], direct_rows=100_000)
     assert head.agg(F.min("id"), F.count("*")).first()[:] == (100_000, 1_100_000)
 
 
@@ -211,3 +374,67 @@ def test_dated_folders_are_swept_whole(spark, tmp_path):
     assert sweep_dated_folders(spark, f"{tmp_path}/t", "2024-01-03 12:00:00", days=1) == 1
     assert sorted(p for p in os.listdir(f"{tmp_path}/t") if p.startswith("day=")) == ["day=2024-01-02", "day=2024-01-03"]
     assert sweep_dated_folders(spark, f"{tmp_path}/none", "2024-01-03") == 0
+
+
+def test_a_computed_input_is_inferred_in_one_execution(spark):
+    rows = spark.range(0, 400, 1, 8).select(F.col("id"), F.to_json(F.struct("id", F.when(F.col("id") == 7, "x").alias("s"))).alias("j"))
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    head = rows.mapInArrow(counted, "id bigint, j string").orderBy(F.col("id").desc()).limit(395)
+    out = infer_rows(head, "j")
+    assert out.columns == ["id", "s"] and out.count() == 395 and out.where("s = 'x'").count() == 1
+    assert runs.value == 400
+
+
+def _fired(events, least, every=3600):
+    """Matching events of windows that have ``least`` of them."""
+    by = {}
+    for i, t, hit in events:
+        if hit and t is not None:
+            by.setdefault(t // every, []).append(i)
+    return sorted(i for some in by.values() if len(some) >= least for i in some)
+
+
+@pytest.mark.parametrize("least", [4])
+def test_firing_windows_of_a_stream_equal_the_batch(spark, tmp_path, least):
+    import random
+
+    from tidewater.streaming.alerts import FiringWindows
+
+    rng = random.Random(least)
+    events = [(i, None if rng.random() < 0.05 else rng.choice([rng.randrange(40 * 3600), 7 * 3600 + rng.randrange(600)]), rng.random() < 0.6) for i in range(300)]
+    schema = "id int, t bigint, hit boolean"
+    to_ts = lambda df: df.withColumn("ts", F.timestamp_seconds("t"))
+    firing = FiringWindows(f"{tmp_path}/state", "ts", F.col("hit"), "1 hour", least, "60 hours")
+    got, seen = [], set()
+    for n in range(4):
+        batch = to_ts(spark.createDataFrame(events[n * 75 : n * 75 + 75], schema))
+        first = sorted(r.id for r in firing.select(batch, n).collect())
+        assert first == sorted(r.id for r in firing.select(batch, n).collect())  # a replay
+        got += first
+        seen |= set(first)
+        assert sorted(seen) == _fired(events[: n * 75 + 75], least)  # as soon as a window fires
+    assert sorted(got) == _fired(events, least)
+    plain = alert_events(to_ts(spark.createDataFrame(events, schema)), "ts", F.col("hit"), "1 hour", least)
+    assert sorted(r.id for r in plain.collect()) == sorted(got)
+    held = spark.read.parquet(f"{tmp_path}/state/held/n=3")
+    assert held.groupBy("__tw_window").count().where(f"count >= {least}").count() == 0
+
+
+def test_closed_windows_leave_no_state(spark, tmp_path):
+    from tidewater.streaming.alerts import FiringWindows
+
+    firing = FiringWindows(f"{tmp_path}/s", "ts", F.lit(True), "1 hour", 2, "2 hours")
+    give = lambda n, *hours: sorted(r.id for r in firing.select(spark.createDataFrame([(int(h * 10), int(h * 3600)) for h in hours], "id int, t bigint").select("id", F.timestamp_seconds("t").alias("ts")), n).collect())
+    assert give(0, 1.5, 5.5) == []
+    assert give(1, 5.2, 1.7) == [52, 55]  # 1.7 comes more than two hours after its window ended: too late
+    assert give(2, 5.8, 30.1) == [58]
+    assert give(3, 30.2) == [301, 302]
+    state = spark.read.parquet(f"{tmp_path}/s/windows/n=3").collect()
+    assert len(state) == 1 and spark.read.parquet(f"{tmp_path}/s/held/n=3").count() == 0
+    assert not os.path.exists(f"{tmp_path}/s/held/n=1")

@@ -98,12 +98,12 @@ def test_search_head_large_n_prefilter_is_exact(spark):
     order = [F.col("ts").desc(), F.col("event_id").desc()]
     pred = F.col("event_type") != "view"
     plain = search_head(ev, pred, 3000, order)
-    fast = search_head(ev, pred, 3000, order, cutoff_col="ts", small_n=100, buckets=64)
+    fast = search_head(ev, pred, 3000, order, direct_rows=400, sample_rows=500)
     assert fast.count() == 3000
     assert [r.event_id for r in fast.collect()] == [r.event_id for r in plain.collect()]
     asc = [F.col("value"), F.col("event_id")]
     a1 = search_head(ev, None, 2500, asc)
-    a2 = search_head(ev, None, 2500, asc, cutoff_col="value", descending=False, small_n=10, buckets=32)
+    a2 = search_head(ev, None, 2500, asc, direct_rows=400, sample_rows=500)
     assert [r.event_id for r in a1.collect()] == [r.event_id for r in a2.collect()]
 
 
@@ -113,12 +113,46 @@ def test_search_head_prefilter_with_nulls_and_ties(spark):
     r = random.Random(4)
     rows = [(i, None if r.random() < 0.1 else r.randint(0, 40)) for i in range(5000)]
     df = spark.createDataFrame(rows, "id bigint, t bigint")
-    for order, desc in [([F.col("t"), F.col("id")], False), ([F.col("t").desc(), F.col("id")], True)]:
-        for k in (300, 480, 2000):
+    t = F.col("t")
+    for first in (t, t.desc(), t.asc_nulls_last(), t.desc_nulls_first()):
+        order = [first, F.col("id")]
+        for k in (480, 4999):
             plain = [x.id for x in search_head(df, None, k, order).collect()]
-            fast = [x.id for x in search_head(df, None, k, order, cutoff_col="t", descending=desc,
-                                              small_n=10, buckets=16).collect()]
-            assert fast == plain, (desc, k)
+            fast = [x.id for x in search_head(df, None, k, order, direct_rows=100, sample_rows=400).collect()]
+            assert fast == plain, (first, k)
+    # rows that nothing tells apart: as many as asked for
+    assert search_head(df.select(F.lit(1).alias("same")), None, 700, ["same"], direct_rows=10, sample_rows=40).count() == 700
+
+
+def test_search_head_selects_by_any_order_type(spark):
+    import random
+    from datetime import date, datetime, timedelta
+    from decimal import Decimal
+
+    r = random.Random(8)
+    day = datetime(2024, 3, 30, 23, 59, 59, 1)
+    rows = [
+        (i, r.choice(["", "é", "a", "ab", "\U0001f600", "b" * 50]) + str(r.randrange(90)), bytes([r.randrange(256) for _ in range(r.randrange(4))]), r.random() < 0.3, Decimal(r.randrange(10**6)) / 100,
+         day + timedelta(microseconds=r.randrange(10**12)), day + timedelta(microseconds=r.randrange(10**12)), date(2024, 1, 1) + timedelta(days=r.randrange(90)),
+         r.choice([float("nan"), float("inf"), -0.0, 0.0, r.random(), -1e300, 1e18]), r.random())
+        for i in range(3000)
+    ]
+    df = spark.createDataFrame(rows, "id bigint, s string, b binary, f boolean, d decimal(10,2), z timestamp, n timestamp_ntz, y date, x double, r float")
+    for name in df.columns[1:]:
+        order = [F.col(name).desc(), F.col("id")] if name in "bnxs" else [F.col(name), F.col("f").desc(), F.col("id").desc()]
+        plain = [x.id for x in df.orderBy(*order).limit(1200).collect()]
+        assert [x.id for x in search_head(df, None, 1200, order, direct_rows=400, sample_rows=500).collect()] == plain, name
+
+
+def test_an_outlier_does_not_blur_the_selection(spark):
+    from tidewater.sources.search import _narrow, _order_keys
+
+    df = spark.range(200_000).select(F.when(F.col("id") == 7, 1e18).otherwise(F.col("id") / 1e6).alias("v"))
+    order = [F.col("v").desc()]
+    taken, rest, need = _narrow(df, _order_keys(df, order), order, 20_000, 500, 4096)
+    sure = df.where(taken).count()
+    assert sure + need == 20_000 and df.where(rest).count() <= 500 and df.where(taken & rest).count() == 0
+    assert search_head(df, None, 20_000, order, direct_rows=500).agg(F.min("v"), F.max("v"), F.count("*")).first()[:] == ((200_000 - 19_999) / 1e6, 1e18, 20_000)
 
 
 def test_apply_mapping_csv_reads_doubled_quotes(spark):

@@ -218,21 +218,18 @@ def test_crash_between_append_and_commit_replays_exactly_once(spark):
     base = _dir()
     staged, target, ckpt = f"{base}/staged", f"{base}/target", f"{base}/ckpt"
     schema = _stage_events(spark, staged)
-    real = loadmod._write_batch
+    real = loadmod.write_ledger
 
-    def crashing(target_, fmt, run_id):
-        def write(batch, batch_id):
-            batch.write.format(fmt).mode("overwrite").save(f"{target_}/{loadmod.BATCH_COL}={batch_id}")
-            raise RuntimeError("executor lost before the ledger row")
+    def crashing(*_):
+        raise RuntimeError("executor lost before the ledger row")
 
-        return write
-
-    loadmod._write_batch = crashing
+    loadmod.write_ledger = crashing
     try:
         with pytest.raises(Exception):
             load_staged(spark, staged, target, schema, ckpt)
     finally:
-        loadmod._write_batch = real
+        loadmod.write_ledger = real
+    assert spark.read.parquet(target).count() == 1000
     assert not os.path.isdir(f"{target}/_ledger")  # data landed, nothing committed
     load_staged(spark, staged, target, schema, ckpt)
     rows = committed_rows(spark, target)

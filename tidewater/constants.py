@@ -7,6 +7,8 @@ MAX_BUFFER_BYTES = 5 * 1024 * 1024   # a staging buffer rotates once it is bigge
 MAX_BATCH_ROWS = 1000                # batch-size setting of the forwarder
 RESULT_PAGE_CAP = 1_000_000          # rows per search result page
 QUIET_SECONDS = 10                   # a small buffer is complete when unchanged this long
+RETRY_TIMES = 5                      # a failing delivery is tried this often
+POLL_SECONDS = 0.5                   # a running search is asked for its progress this often
 RETENTION_DAYS = 1                   # loaded buffers are deleted after one day
 INTAKE_WAIT = "5 seconds"            # the forwarder closes an intake batch after this wait
 LOAD_CYCLE = "60 seconds"            # the forwarder loads staged buffers on this cycle

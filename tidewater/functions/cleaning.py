@@ -140,10 +140,76 @@ def clean_column(c: Column, dtype: DataType, rules: CleanRules) -> Column:
         return out
 
     if isinstance(dtype, VariantType):
-        raise TypeError("a VARIANT has no schema to clean by: give it one first (from_json, or variant_get into a struct or map)")
+        raise TypeError("a VARIANT has no schema to clean by: use clean_json_events, which measures its depth, or give it a schema")
     return c
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+#: Levels of nesting that one expression takes: each is a few lambdas, and the analyzer resolves so many at most.
+LEVELS = 5
+
+
+def clean_variant(v: Column, rules: CleanRules, depth: int, deeper: str | None = None) -> Column:
+    """The cleaned value of a VARIANT whose objects and lists nest at most ``depth`` deep.
+
+    Each level of nesting is one step of the same expression: the value's entries (an object's keys, or a list's
+    elements without key) are cleaned, tested and put together again, so the expression grows with the depth, not
+    with the number of different keys. Numbers, strings and booleans stay as they are. What nests deeper becomes a string of
+    ``deeper`` and its JSON text, or fails the job without ``deeper``.
+    """
+    return _bound(_clean_node(v, rules, depth, deeper), lambda n: n["value"])
+
+
+def _clean_node(v: Column, rules: CleanRules, depth: int, deeper: str | None) -> Column:
+    """struct(empty: the original is null or '', value: the cleaned one)."""
+    if depth == 0:
+        nested = F.coalesce(F.try_variant_get(v, "$", "map<string,variant>").isNotNull() | F.try_variant_get(v, "$", "array<variant>").isNotNull(), F.lit(False))
+        instead = F.raise_error(F.lit("an event nests deeper than the depth given")).cast("variant") if deeper is None else F.to_variant_object(F.array(F.concat(F.lit(deeper), F.to_json(v))))
+        if deeper is not None:
+            instead = F.variant_get(instead, "$[0]", "variant")
+        return _bound(nested, lambda x: F.struct((~x & _is_empty(v)).alias("empty"), F.when(x, instead).otherwise(v).alias("value")))
+    keyed = F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
+    listed = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("value")))
+    parts = F.struct(keyed.isNotNull().alias("object"), F.coalesce(keyed, listed).alias("entries"))
+
+    def node(p: Column) -> Column:
+        scalar = p["entries"].isNull()
+        cleaned = F.transform(p["entries"], lambda e: F.struct(e["key"].alias("key"), _clean_node(e["value"], rules, depth - 1, deeper).alias("node")))
+
+        def gone(e: Column) -> Column:
+            by_key = rules.drop_key_col(e["key"]) | (rules.drop_if_empty_col(e["key"]) & e["node"]["empty"])
+            return F.when(p["object"], by_key).otherwise(e["node"]["empty"] if rules.drop_empty_elements else F.lit(False))
+
+        kept = F.transform(F.filter(cleaned, lambda e: ~gone(e)), lambda e: F.struct(e["key"].alias("key"), e["node"]["value"].alias("value")))
+        whole = _bound(
+            kept,
+            lambda k: F.when(p["object"], F.to_variant_object(F.map_from_entries(F.when(p["object"], k)))).otherwise(F.to_variant_object(F.transform(k, lambda e: e["value"]))),
+        )
+        return F.struct((scalar & _is_empty(v)).alias("empty"), F.when(scalar, v).otherwise(whole).alias("value"))
+
+    return _bound(parts, node)
+
+
+def _is_empty(scalar: Column) -> Column:
+    return scalar.isNull() | F.is_variant_null(scalar) | F.coalesce(F.try_variant_get(scalar, "$", "string") == "", F.lit(False))
+
+
+def json_depth(text: Column) -> Column:
+    """How deep objects and lists nest in a JSON text: its brackets outside strings, counted in one pass; 0 for a scalar."""
+    brackets = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"|[^\[\]{}"]++', "")
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(s: Column, c: Column) -> Column:
+        now = s["now"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(s["most"], now).alias("most"))
+
+    return F.aggregate(F.split(brackets, ""), zero, step, lambda s: s["most"])
+
+
 def clean_frame(df: DataFrame, rules: CleanRules) -> DataFrame:
     """Apply ``rules`` to every column of ``df`` (the row is the event)."""
     cols = []

@@ -41,17 +41,22 @@ import math
 import re
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.constants import BATCH_NAME_FORMAT, MAX_BATCH_ROWS, MAX_BUFFER_BYTES
+from tidewater.session import work_path
 
 DEFAULT_MAX_BYTES = MAX_BUFFER_BYTES
 DEFAULT_BATCH_ROWS = MAX_BATCH_ROWS
 #: Bytes of input that a chunk is meant to hold, and the longest list of cuts.
 CHUNK_BYTES = 128 * 1024 * 1024
 MOST_CHUNKS = 100_000
+#: An estimate beyond this is none; how many chunks there are then.
+UNKNOWN_BYTES, UNKNOWN_CHUNKS = 1 << 60, 1_000
 
 
 def epoch_value(c: Column, dtype) -> Column:
@@ -107,6 +112,8 @@ def _order_value(df: DataFrame, name: str, first: bool = True) -> Column:
 def _chunk_count(df: DataFrame) -> int:
     """As many chunks as keep one near CHUNK_BYTES by the planner's size estimate, two per core at least."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > UNKNOWN_BYTES:  # the planner has no estimate
+        size = UNKNOWN_CHUNKS * CHUNK_BYTES
     return int(min(MOST_CHUNKS, max(16, 2 * df.sparkSession.sparkContext.defaultParallelism, size // CHUNK_BYTES)))
 
 
@@ -299,6 +306,164 @@ def assign_byte_batch(
     return out.withColumn(out_col, F.floor(F.col("_tw_before") / F.lit(max_bytes))).drop("_tw_before")
 
 
+#: Bytes of a segment of the greedy rotation, in batches.
+SEGMENT_BATCHES = 16
+#: Segments whose transfers are joined into one.
+FAN_IN = 64
+
+
+def assign_greedy_batch(
+    df: DataFrame,
+    payload: str | Column | None,
+    order_by: Sequence[str] | str,
+    partition_by: Sequence[str] | str,
+    max_bytes: int = DEFAULT_MAX_BYTES,
+    chunk: Column | str | None = "auto",
+    out_col: str = "batch_id",
+    n_chunks: int | None = None,
+    size_col: str | None = None,
+) -> DataFrame:
+    """B1 as the delivery tool rotates its buffers: a row starts a new batch once the batch before it holds more than ``max_bytes``.
+
+    Where a batch starts depends on where the one before it started, so one pass per key is a chain. Here it is cut up:
+    with every row's running total known (:func:`running_before`), the next start after a start is the first row whose
+    total is more than ``max_bytes`` ahead. A key's totals are cut into segments of SEGMENT_BATCHES batches. Only
+    rows in the first ``max_bytes`` of a segment, and the one after them, can be the first start in it; for each of these the segment's last start and number of
+    starts are found by pointer doubling. These transfers are joined FAN_IN at a time, level by level, until a key has one,
+    and then the levels are walked back, which tells every segment where the batch before it started. So no task holds more
+    than a segment's totals, or FAN_IN segments' first rows, however hot a key is.
+
+    The batches equal the chain's exactly. Every batch but a key's last has more than ``max_bytes``, by less than one event. Rows of one total (events without bytes)
+    share a batch. Rows are written once below the shared folder with their totals.
+    """
+    keys = _cols(partition_by)
+    p = F.col(payload) if isinstance(payload, str) else payload
+    size = F.col(size_col) if size_col is not None else F.octet_length(p)
+    before, seg = "_tw_before", "_tw_seg"
+    rows = running_before(df, F.coalesce(size, F.lit(0)), order_by, partition_by, chunk, before, n_chunks)
+    rows = rows.withColumn(seg, F.floor(F.col(before) / F.lit(SEGMENT_BATCHES * max_bytes)).cast("bigint"))
+    rows = _written(rows, "greedy-rows")
+    names = {k: f"_tw_k{i}" for i, k in enumerate(keys)}
+    ids = list(names.values())
+    slim = rows.select(*[F.col(k).alias(n) for k, n in names.items()], seg, before).distinct()
+    kinds = {f.name: f.dataType.simpleString() for f in slim.schema.fields}
+    key_ddl = ", ".join(f"{n} {kinds[n]}" for n in ids)
+    transfer = f"{key_ddl}, {seg} bigint, cand array<bigint>, last array<bigint>, cnt array<bigint>"
+    levels = [_written(slim.groupBy(*ids, seg).applyInArrow(_transfers(ids, seg, before, max_bytes), transfer), "greedy-transfers")]
+    while not levels[-1].groupBy(*ids).count().where("count > 1").isEmpty():
+        up = levels[-1].withColumn("_tw_up", F.floor(F.col(seg) / F.lit(FAN_IN ** len(levels))).cast("bigint"))
+        levels.append(_written(up.groupBy(*ids, "_tw_up").applyInArrow(_joined(ids, seg, max_bytes, FAN_IN ** (len(levels) - 1)), transfer), "greedy-transfers"))
+    # The whole key is entered before its first row.
+    entry = f"{key_ddl}, {seg} bigint, enter bigint, base bigint"
+    enters = levels[-1].select(*ids, seg, F.lit(-1).cast("bigint").alias("enter"), F.lit(0).cast("bigint").alias("base"))
+    for depth in range(len(levels) - 2, -1, -1):
+        # a joined transfer bears its first segment; its children are those of the same stretch
+        stretch = F.floor(F.col(seg) / F.lit(FAN_IN ** (depth + 1))).cast("bigint").alias("_tw_up")
+        mine = levels[depth].select("*", stretch, F.lit(None).cast("bigint").alias("enter"), F.lit(None).cast("bigint").alias("base"))
+        none = [F.lit(None).cast("array<bigint>").alias(c) for c in ("cand", "last", "cnt")]
+        both = mine.unionByName(enters.select(*ids, F.lit(None).cast("bigint").alias(seg), *none, stretch, "enter", "base"))
+        enters = _written(both.groupBy(*ids, "_tw_up").applyInArrow(_entered(ids, seg, max_bytes), entry), "greedy-enters")
+    flat = slim.unionByName(enters.select(*ids, seg, "enter", "base"), allowMissingColumns=True)
+    starts = _written(flat.groupBy(*ids, seg).applyInArrow(_starts(ids, seg, before, max_bytes), f"{key_ddl}, {seg} bigint, starts array<bigint>, base bigint"), "greedy-starts")
+    match = rows[seg] == starts[seg]
+    for k, n in names.items():
+        match = match & rows[k].eqNullSafe(starts[n])
+    done = F.col("base") - 1 + F.size(F.filter("starts", lambda x: x <= F.col(before)))
+    return rows.join(starts, match, "left").select(*[rows[c] for c in df.columns], done.cast("bigint").alias(out_col))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The frame written below the shared folder: a lost executor repeats only what comes after."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _key_row(table: pa.Table, ids: list[str]) -> dict:
+    return {n: table.column(n).slice(0, 1) for n in ids}
+
+
+def _lists(*arrays) -> list[pa.Array]:
+    return [pa.array([a], pa.list_(pa.int64())) for a in arrays]
+
+
+def _transfers(ids: list[str], seg: str, before: str, most: int):
+    """A segment's possible first starts, and for each the segment's last start and the number of starts."""
+
+    def run(table: pa.Table) -> pa.Table:
+        at = np.unique(table.column(before).to_numpy())
+        n = len(at)
+        jump = np.append(np.searchsorted(at, at + most, side="right"), n)  # the place of the next start; n: beyond the segment
+        last, count = np.append(np.arange(n), n), np.append(np.ones(n, np.int64), 0)
+        while (jump[:n] < n).any():  # doubling: each place takes over what its jump knows
+            far = jump < n
+            last[far], count[far], jump = last[jump[far]], count[far] + count[jump[far]], np.where(far, jump[np.minimum(jump, n)], n)
+        first = table.column(seg)[0].as_py() * SEGMENT_BATCHES * most
+        cand = int(np.searchsorted(at, first + most, side="right")) + 1
+        return pa.table({**_key_row(table, ids), seg: table.column(seg).slice(0, 1), **dict(zip(("cand", "last", "cnt"), _lists(at[:cand], at[last[:n]][:cand], count[:n][:cand])))})
+
+    return run
+
+
+def _parts(table: pa.Table, seg: str) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """The transfers of a table in order: segment, candidates, last starts, counts."""
+    rows = [(table.column(seg)[i].as_py(), *(table.column(c)[i].values.to_numpy() for c in ("cand", "last", "cnt"))) for i in range(table.num_rows) if table.column("cand")[i].is_valid]
+    return sorted(rows, key=lambda r: r[0])
+
+
+def _joined(ids: list[str], seg: str, most: int, width: int):
+    """The transfers of neighbouring segments as one: what enters the first leaves the last."""
+
+    def run(table: pa.Table) -> pa.Table:
+        parts = _parts(table, seg)
+        # A start that enters a later part first is that part's first row: the parts before it then have no start.
+        cand = np.concatenate([parts[0][1], *[p[1][:1] for p in parts[1:2]]])
+        last, count = np.zeros(len(cand), np.int64), np.zeros(len(cand), np.int64)
+        ahead = cand - 1  # the next start is the first row beyond
+        for _, c, to, n in parts:
+            i = np.searchsorted(c, ahead, side="right")
+            hit = i < len(c)
+            last[hit], count[hit] = to[i[hit]], count[hit] + n[i[hit]]
+            ahead = np.where(hit, last + most, ahead)
+        return pa.table({**_key_row(table, ids), seg: pa.array([parts[0][0]], pa.int64()), **dict(zip(("cand", "last", "cnt"), _lists(cand, last, count)))})
+
+    return run
+
+
+def _entered(ids: list[str], seg: str, most: int):
+    """For every part of a stretch: the first start in it is the first row beyond ``enter``, and has number ``base``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        given = next(i for i in range(table.num_rows) if table.column("enter")[i].is_valid)
+        enter, base = table.column("enter")[given].as_py(), table.column("base")[given].as_py()
+        out = []
+        for s, c, to, n in _parts(table, seg):
+            out.append((s, enter, base))
+            i = int(np.searchsorted(c, enter, side="right"))
+            if i < len(c):
+                enter, base = int(to[i]) + most, base + int(n[i])
+        key = {n: pa.chunked_array([pa.concat_arrays([v.combine_chunks()] * len(out))]) for n, v in _key_row(table, ids).items()}
+        return pa.table({**key, seg: [o[0] for o in out], "enter": [o[1] for o in out], "base": [o[2] for o in out]}, schema=None)
+
+    return run
+
+
+def _starts(ids: list[str], seg: str, before: str, most: int):
+    """Every start in a segment."""
+
+    def run(table: pa.Table) -> pa.Table:
+        totals, enters = table.column(before), table.column("enter")
+        at = np.unique(totals.drop_null().to_numpy())
+        enter, base = enters.drop_null()[0].as_py(), table.column("base").drop_null()[0].as_py()
+        found, i = [], int(np.searchsorted(at, enter, side="right"))
+        while i < len(at):
+            found.append(int(at[i]))
+            i = int(np.searchsorted(at, at[i] + most, side="right"))
+        return pa.table({**_key_row(table, ids), seg: table.column(seg).slice(0, 1), "starts": _lists(found)[0], "base": pa.array([base], pa.int64())})
+
+    return run
+
+
 def assign_count_batch(
     df: DataFrame,
     order_by: Sequence[str] | str,

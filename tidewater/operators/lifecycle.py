@@ -67,29 +67,23 @@ def alert_events(df: DataFrame, ts_col: str, predicate: Column, every: str = "1
 
 def expired_files(spark, path: str, now=None, days: int = RETENTION_DAYS, glob: str = "*") -> DataFrame:
     """L1 on a folder: files under ``path`` last modified strictly before
-    ``now - days`` (``now=None`` is the current time).  Distributed listing,
-    file contents are not read."""
-    from tidewater.sources.files import _instant, list_files
+    ``now - days`` (``now=None`` is the current time).  Tasks list the folders;
+    file contents are not read and no path comes to the driver."""
+    from tidewater.sources.files import _instant, walk_files
 
     threshold = _instant(now) - F.expr(f"INTERVAL {int(days)} DAYS")
-    return list_files(spark, path, glob).where(F.col("modificationTime") < threshold)
+    return walk_files(spark, path, glob).where(F.col("modificationTime") < threshold)
 
 
 def sweep_expired(spark, path: str, now=None, days: int = RETENTION_DAYS, glob: str = "*") -> int:
     """L1's sweep: delete the files :func:`expired_files` lists; returns how many.
 
-    Deleting is a storage metadata operation (like a job commit): the paths
-    are streamed to the driver partition by partition and removed through the
-    cluster's Hadoop ``FileSystem``, so any shared store works.
-    """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    n = 0
-    for row in expired_files(spark, path, now, days, glob).select("path").toLocalIterator():
-        p = jvm.org.apache.hadoop.fs.Path(row.path)
-        if p.getFileSystem(conf).delete(p, False):
-            n += 1
-    return n
+    Each file is deleted by the task that has its row, and only counts come back, so
+    folders of any number of files are swept. A retried task finds files gone and goes on (they
+    then count once less)."""
+    from tidewater.sources.files import delete_files
+
+    return delete_files(expired_files(spark, path, now, days, glob))
 
 
 def sweep_dated_folders(spark, path: str, now, days: int = RETENTION_DAYS, date_col: str = "day") -> int:

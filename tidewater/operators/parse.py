@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.functions.text import py_strip
+from tidewater.session import work_path
 
 CORRUPT_COL = "_corrupt"
 
@@ -91,7 +92,9 @@ def infer_rows(df: DataFrame, json_col: str, mode: str = "FAILFAST") -> DataFram
     """JSON text -> typed table with a schema inferred over all rows.
 
     The schema comes from one distributed pass of the JSON reader over the column itself,
-    the rows from a second one that parses each payload with it; the text is not copied.
+    the rows from a second one that parses each payload with it. An input that is only read and filtered is
+    read twice and not copied; of one that is computed (a head, a join, an aggregate) the payloads are
+    written once below the shared folder, so that it is computed once.
     Fields come out in alphabetical order; int+float widen to double, int+string to string,
     objects become structs. Under ``FAILFAST`` a missing, blank or malformed payload aborts
     the job; ``PERMISSIVE`` gives it a row of nulls, so no row is ever lost.
@@ -101,6 +104,10 @@ def infer_rows(df: DataFrame, json_col: str, mode: str = "FAILFAST") -> DataFram
     # folded like the parser sees it: valid JSON has no raw line ends inside strings
     text = py_strip(F.col(json_col))
     lines = df.select(text.alias("value"))
+    if _is_computed(lines):
+        place = work_path(spark, "payloads")
+        lines.write.parquet(place)
+        lines = spark.read.schema(lines.schema).parquet(place)
     present = lines.where("value IS NOT NULL AND value != ''")
     reader = spark._jsparkSession.read().option("mode", "PERMISSIVE" if mode.upper() != "FAILFAST" else mode)
     for k, v in JSON_TS_OPTIONS.items():
@@ -119,6 +126,12 @@ def infer_rows(df: DataFrame, json_col: str, mode: str = "FAILFAST") -> DataFram
     return lines.select(parsed.alias("_tw_row")).select("_tw_row.*")
 
 
+def _is_computed(df: DataFrame) -> bool:
+    """Whether the plan does more than read and map rows."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return re.search(r"^[\s:+-]*(GlobalLimit|LocalLimit|Sort|Aggregate|Join|Window|Distinct|Repartition|RepartitionByExpression|MapInArrow|MapInPandas|FlatMap\w*)\b", plan, re.M) is not None
+
+
 def _abort_on(rows: DataFrame) -> DataFrame:
     """No rows, or an error where there are some."""
     return rows.select(F.raise_error(F.lit("missing payload")).alias("x")).drop("x")
@@ -131,6 +144,7 @@ def apply_mapping(
     kind: str = "json",
     keep: Iterable[str] = (),
     csv_options: dict | None = None,
+    corrupt_col: str | None = None,
 ) -> DataFrame:
     """Project a text payload to destination columns by a mapping.
 
@@ -139,6 +153,7 @@ def apply_mapping(
       kind ``csv``  -> ordinal is the 0-based field number.
     Values that do not fit the type become null (``try_cast``), never an error; find malformed
     payloads first with :func:`parse_raw`, or deliver through ``load_staged(mapping=...)``, which routes them.
+    ``corrupt_col``: a further column with the text of JSON payloads that are no object, null for the others.
 
     The payload is parsed once per row: top-level JSON keys come from one
     ``from_json`` into STRING fields (numbers keep their text, objects their
@@ -152,15 +167,29 @@ def apply_mapping(
     if kind == "json":
         top = {}
         for _, path, _ in mapping:
-            m = _TOP_LEVEL.fullmatch(str(path))
+            m = _TOP_LEVEL.fullmatch(str(path)) or _BELOW.fullmatch(str(path))
             if m:
                 top.setdefault(m.group(1), None)
-        rec_schema = StructType([StructField(k, StringType(), True) for k in top])
-        stage = df.select(*keep, src.alias("_tw_src"), F.from_json(src, rec_schema).alias(rec))
+        marker = "_tw_corrupt"  # no mapping takes a key of this name from the record
+        rec_schema = StructType([StructField(k, StringType(), True) for k in (*top, marker)])
+        parsed = F.from_json(src, rec_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": marker})
+        stage = df.select(*keep, src.alias("_tw_src"), parsed.alias(rec))
         out = []
+        if corrupt_col is not None:
+            bad = F.col(rec).isNull() | F.col(rec).getField(marker).isNotNull()
+            out.append(F.when(bad, F.col("_tw_src")).alias(corrupt_col))
+        # NaN and infinities, which the record parser takes: it quotes them, and get_json_object does not read the text
+        odd = F.col("_tw_src").rlike(_ODD_NUMBER)
         for name, path, dtype in mapping:
             m = _TOP_LEVEL.fullmatch(str(path))
-            value = F.col(rec).getField(m.group(1)) if m else F.get_json_object(F.col("_tw_src"), str(path))
+            if m:
+                value = F.col(rec).getField(m.group(1))
+                value = F.when(odd & value.rlike(f'^"{_ODD}"$'), F.replace(value, F.lit('"'), F.lit(""))).otherwise(value)
+            else:
+                value = F.get_json_object(F.col("_tw_src"), str(path))
+                below = _BELOW.fullmatch(str(path))
+                if below:
+                    value = F.when(odd, F.get_json_object(F.col(rec).getField(below.group(1)), f"${below.group(2)}")).otherwise(value)
             out.append(value.try_cast(dtype).alias(name))
     elif kind == "csv":
         width = max(int(o) for _, o, _ in mapping) + 1
@@ -175,3 +204,6 @@ def apply_mapping(
 
 
 _TOP_LEVEL = re.compile(r"\$\.([A-Za-z_][A-Za-z0-9_]*)")
+_BELOW = re.compile(r"\$\.([A-Za-z_][A-Za-z0-9_]*)([.\[].*)")
+_ODD = "[+-]?(?:NaN|Infinity|INF)"
+_ODD_NUMBER = r"[:,\[]\s*" + _ODD

@@ -14,16 +14,19 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.constants import RETRY_TIMES
 from tidewater.functions.text import is_blank
-from tidewater.operators.account import delivery_summary, search_funnel
+from tidewater.operators.account import SearchProgress, delivery_summary, search_funnel
 from tidewater.operators.batch import (
     assign_byte_batch,
     assign_count_batch,
+    assign_greedy_batch,
     assign_time_batch,
     tag_run,
 )
 from tidewater.operators.clean import (
     clean_events,
+    clean_json_events,
     drop_blank_lines,
     drop_empty_fields,
     drop_empty_mv_fields,
@@ -39,9 +42,11 @@ from tidewater.session import work_path
 from tidewater.sinks.tables import BATCHES_PER_FOLDER, append_table, deliver_direct, stage_csv, stage_json
 from tidewater.sources.files import (
     is_eligible,
+    list_files,
     read_raw_lines,
     read_staged_csv,
     read_staged_json,
+    unchanged_files,
 )
 from tidewater.sources.search import explode_results, search_head
 from tidewater.streaming.alerts import alert_windows_stream
@@ -388,17 +393,90 @@ def _alert_into(spark, events, target, **more):
 
 
 def q_alert_delivered_rows(spark, sf):
-    """What a durable alert delivers, row by row with its batch; the action is run twice and delivers once."""
-    target = work_path(spark, "alert-target")
-    staged, ckpt = work_path(spark, "alert-staged"), work_path(spark, "alert-ckpt")
+    """What durable alerts deliver, row by row with its batch: two runs share the staging folder, the target and the
+    checkpoint, each is run twice, and all is delivered once."""
+    target, staged, ckpt = (work_path(spark, f"alert-{x}") for x in ("target", "staged", "ckpt"))
+    events = fx.sparse_events(spark, sf, with_ts=True)
     for _ in range(2):
-        alert_action(
-            fx.sparse_events(spark, sf, with_ts=True), target, RUN_ID, durable="1", order_by=("ts", "event_id"),
-            partition_by=("event_type",), max_bytes=BATCH_BYTES, staging_dir=staged, checkpoint=ckpt,
-        )
+        for run, part in ((RUN_ID, F.col("event_id") % 2 == 0), ("run-0002", F.col("event_id") % 2 == 1)):
+            alert_action(
+                events.where(part), target, run, durable="1", order_by=("ts", "event_id"),
+                partition_by=("event_type",), max_bytes=BATCH_BYTES, staging_dir=staged, checkpoint=ckpt,
+            )
     return _cleaned_view(committed_rows(spark, target), "batch_id", "run_id")
 
 
+def q_load_mapped(spark, sf):
+    """K4 through a mapping, from a folder with malformed records and a truncated buffer: the good records, the dead
+    letters with their text, and the buffer, dead after five tries (its records are those of an event type in another buffer)."""
+    staged, target, ckpt = (work_path(spark, f"mapped-{x}") for x in ("staged", "target", "ckpt"))
+    fx.staged_lines(spark, sf).repartition("event_type").write.partitionBy("event_type").option("compression", "gzip").text(f"{staged}-text")
+    _publish_buffers(spark, f"{staged}-text", staged)
+    mapping = [("id", "$.id", "bigint"), ("kind", "$.sub.kind", "string"), ("user", "$.user", "bigint"), ("value", "$.value", "string")]
+    for _ in range(RETRY_TIMES):
+        load_staged(spark, staged, target, "id BIGINT", ckpt, run_id=RUN_ID, mapping=mapping)
+    good = committed_rows(spark, target).select(F.lit("good").alias("route"), "id", "kind", "user", F.col("value") == "NaN", F.lit(None).cast("string"))
+    none = [F.lit(None).cast(t) for t in ("bigint", "string", "bigint", "boolean")]
+    dead = dead_letters(spark, target).select(F.when(F.col("record").isNull(), "lost").otherwise("dead"), *none, "record")
+    return good.unionAll(dead).toDF("route", "id", "kind", "user", "is_nan", "record")
+
+
+def _publish_buffers(spark, text_dir, staged):
+    """Rename text buffers to staged JSON ones, and add the first half of the largest as a buffer of its own."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(staged).getFileSystem(conf)
+    found = [(f.length, f.path) for f in list_files(spark, text_dir, "*.txt.gz").collect()]
+    fs.mkdirs(path(staged))
+    for n, (_, name) in enumerate(sorted(found)):
+        fs.rename(path(name), path(f"{staged}/{n}.json.gz"))
+    length = max(found)[0]
+    source, out = fs.open(path(f"{staged}/{len(found) - 1}.json.gz")), fs.create(path(f"{staged}/cut.json.gz"))
+    out.write(jvm.org.apache.commons.io.IOUtils.toByteArray(source, length // 2))
+    out.close()
+    source.close()
+
+
+def q_load_mapped_csv(spark, sf):
+    """K3 then K4 through a CSV mapping: whole texts, line ends and quotes included, as single records."""
+    staged, target = work_path(spark, "mapped-csv"), work_path(spark, "mapped-csv-target")
+    stage_csv(fx.table(spark, sf, "documents").select(F.col("text").alias("line")), staged)
+    load_staged(spark, staged, target, "line STRING", work_path(spark, "mapped-csv-ckpt"), kind="csv", mapping=[("line", 0, "string"), ("more", 1, "string")])
+    return committed_rows(spark, target).select("line", "more")
+
+
+def q_unchanged_files(spark, sf):
+    """R6 by two derived listings: large files, and those of equal size in both."""
+    after = fx.file_listing(spark, sf)
+    found = unchanged_files(fx.earlier_listing(spark, sf), after, fx.LISTED_AT, path_col="name")
+    return found.select("name", "length")
+
+
+def q_clean_json_events(spark, sf):
+    """C5 on JSON events without a common schema."""
+    return clean_json_events(fx.any_key_events(spark, sf), "event", corrupt_col="bad").select("event_id", "event", F.col("bad").isNotNull().alias("bad"))
+
+
+def q_assign_greedy_batch(spark, sf):
+    """B1 with greedy rotation: a batch ends once it holds more than 64 KiB."""
+    docs = fx.table(spark, sf, "documents").select("doc_id", "source", F.octet_length("text").alias("bytes"))
+    b = assign_greedy_batch(docs, None, "doc_id", "source", max_bytes=64 * 1024, size_col="bytes")
+    return b.groupBy("source", "batch_id").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.sum("bytes").cast("long").alias("n_bytes"),
+        F.min("doc_id").alias("first_doc"),
+        F.max("doc_id").alias("last_doc"),
+    )
+
+
+def q_search_progress(spark, sf):
+    """A1 with percent done: the funnel of a search, and the last row of its progress."""
+    with SearchProgress(spark, RUN_ID, work_path(spark, "progress")) as progress:
+        funnel = search_funnel(fx.table(spark, sf, "events"), _is_error(), 50).first()
+    last = progress.rows().where("is_done").select("run_id", "percent_done")
+    return last.withColumns({name: F.lit(n).cast("bigint") for name, n in funnel.asDict().items()})
+
+
 def _parsed_events(spark, sf):
     """Events whose payloads have been parsed; bad and empty ones are marked."""
     return parse_raw(fx.sparse_events(spark, sf, with_ts=True).select("event_id", "event_type", "ts", "_raw"), "k INT", "_raw")
@@ -429,6 +507,21 @@ def q_alert_program(spark, sf):
     return committed_rows(spark, target).select("id", "host", "note", "run")
 
 
+def q_alert_stream_program(spark, sf):
+    """L2 to the action on a stream: event files in any order of time, two a micro-batch; windows fire once they have three."""
+    source, target = work_path(spark, "alert-source"), work_path(spark, "alert-target")
+    events = fx.table(spark, sf, "events")
+    events.repartition(7, "event_id").write.parquet(source)  # every file spans all days
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    mapping = [("id", "$.event_id", "bigint"), ("host", "$.host", "string"), ("note", "$.nested.note", "string"), ("run", "$.run_id", "string")]
+    run_alert(
+        fx.sparse_from(stream, with_ts=True), "ts", _is_error(), target, RUN_ID, every="1 hour", min_count=3, watermark="400 days", durable="1",
+        order_by=("ts", "event_id"), partition_by=("event_type",), max_bytes=BATCH_BYTES, mapping=mapping,
+        staging_dir=work_path(spark, "alert-staged"), checkpoint=work_path(spark, "alert-ckpt"),
+    )
+    return committed_rows(spark, target).select("id", "host", "note", "run")
+
+
 def q_alert_windows_stream(spark, sf):
     """L2 on a stream of event files; every trigger rewrites the table of windows."""
     events = spark.readStream.schema(fx.table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
@@ -446,10 +539,10 @@ def q_alert_windows_stream(spark, sf):
 
 
 def q_search_head_large(spark, sf):
-    """R1 with a head far beyond one page: 150,000 of the line items taken four times."""
+    """R1 with a head far beyond one page: 150,000 of the line items taken four times, found by selection."""
     rows = fx.repeated_lines(spark, sf)
     order = [F.col(c).desc() for c in ("l_shipdate", "l_orderkey", "l_linenumber", "copy")]
-    head = search_head(rows, F.col("l_quantity") >= 2, 150_000, order, cutoff_col="l_shipdate")
+    head = search_head(rows, F.col("l_quantity") >= 2, 150_000, order, direct_rows=10_000)
     return head.select("l_orderkey", "l_linenumber", "copy")
 
 
@@ -477,7 +570,7 @@ def q_backfill(spark, sf):
     """Backfill job: head 50 errors -> strip/parse payloads -> inferred table -> append."""
     js = fx.event_json(spark, sf, keep=("ts", "event_id", "event_type"))
     return backfill(
-        js, _is_error(), 50, _newest_first(), raw_col="json", target=work_path(spark, "backfill"), cutoff_col="ts"
+        js, _is_error(), 50, _newest_first(), raw_col="json", target=work_path(spark, "backfill")
     )
 
 
@@ -520,9 +613,16 @@ QUERIES: dict[str, Query] = {
     "alert_delivery_stream": q_alert_delivery_stream,
     "alert_direct": q_alert_direct,
     "alert_delivered_rows": q_alert_delivered_rows,
+    "load_mapped": q_load_mapped,
+    "load_mapped_csv": q_load_mapped_csv,
+    "unchanged_files": q_unchanged_files,
+    "clean_json_events": q_clean_json_events,
+    "assign_greedy_batch": q_assign_greedy_batch,
+    "search_progress": q_search_progress,
     "alert_failures": q_alert_failures,
     "dead_letters": q_dead_letters,
     "alert_program": q_alert_program,
+    "alert_stream_program": q_alert_stream_program,
     "alert_windows_stream": q_alert_windows_stream,
     "search_head_large": q_search_head_large,
     "forwarder": q_forwarder,

@@ -162,6 +162,33 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def earlier_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files some time before: every fifth is not there yet, every fourth is a byte shorter."""
+    key = F.regexp_extract("name", r"\d+", 0).cast("bigint")
+    return file_listing(spark, sf_dir).where(key % 5 != 0).withColumn("length", F.col("length") - (key % 4 == 0).cast("int"))
+
+
+def any_key_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, event): JSON events whose keys differ from event to event, with reserved and empty ones at every depth;
+    every 101st is no JSON."""
+    i, kind = _id(), F.col("event_type")
+    text = F.format_string(
+        '{"id": %d, "k%d": "%s", "__mv_k%d": "x", "_raw": "r", "e%d": "", "n%d": null, "deep": {"l%d": {"_raw": {"x": 1}, "v%d": ["", null, "a", ["", {"__mv_q": 1, "w": ""}], %d], "z": {}}}}',
+        i, i % 13, kind, i % 5, i % 3, i % 4, i % 7, i % 11, i % 2,
+    )
+    return table(spark, sf_dir, "events").select("event_id", F.when(i % 101 == 0, F.concat(F.lit("{"), text)).otherwise(text).alias("event"))
+
+
+def staged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_type, line): events as JSON lines; some are no JSON or no object, some name a key twice or hold NaN."""
+    i, value = _id(), F.col("value").cast("string")
+    line = F.concat(F.lit('{"id": '), i.cast("string"), F.lit(', "sub": {"kind": "'), F.col("event_type"), F.lit('"}, "user": '), F.col("user_id").cast("string"))
+    line = F.when(i % 97 == 0, F.concat(F.lit("not json "), i.cast("string"))).when(i % 89 == 0, F.concat(F.lit("["), i.cast("string"), F.lit("]"))).when(
+        i % 83 == 0, F.concat(line, F.lit(', "user": -1}'))
+    ).when(i % 79 == 0, F.concat(line, F.lit(', "value": NaN}'))).otherwise(F.concat(line, F.lit(', "value": '), value, F.lit("}")))
+    return table(spark, sf_dir, "events").select("event_type", line.alias("line"))
+
+
 def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item four times, numbered by ``copy``."""
     return table(spark, sf_dir, "lineitem").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(3))))

@@ -275,7 +275,50 @@ SELECT event_id, event_type, 'run-0001' AS run_id FROM events
 """,
     "deliver_direct": "SELECT event_id, event_type, 'run-0001' AS run_id FROM events",
     "load_staged": _batched_view("", ""),
-    "alert_delivered_rows": _batched_view(',"run_id":"run-0001"', "'run-0001' AS run_id,"),
+    "alert_delivered_rows": _batched_view(',"run_id":"run-0001"', "CASE WHEN event_id % 2 = 0 THEN 'run-0001' ELSE 'run-0002' END AS run_id,").replace(
+        "PARTITION BY kind ORDER BY", "PARTITION BY kind, id % 2 ORDER BY"
+    ),
+    "load_mapped": """
+SELECT 'good' AS route, event_id AS id, event_type AS kind, CASE WHEN event_id % 83 = 0 THEN -1 ELSE user_id END AS user,
+       CASE WHEN event_id % 83 = 0 THEN NULL ELSE event_id % 79 = 0 END AS is_nan, CAST(NULL AS VARCHAR) AS record
+FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
+UNION ALL
+SELECT 'dead', NULL, NULL, NULL, NULL, CASE WHEN event_id % 97 = 0 THEN 'not json ' || event_id ELSE '[' || event_id || ']' END
+FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0
+UNION ALL SELECT 'lost', NULL, NULL, NULL, NULL, NULL
+""",
+    "load_mapped_csv": "SELECT text AS line, CAST(NULL AS VARCHAR) AS more FROM documents",
+    "unchanged_files": """
+SELECT name, length FROM (
+  SELECT o_orderkey AS k, 'buffer-' || o_orderkey AS name, CAST(floor(o_totalprice * 40) AS BIGINT) AS length,
+         CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '1998-08-02 00:00:00' ELSE CAST(o_orderdate AS TIMESTAMP) END + to_seconds(o_orderkey % 41 - 30) AS changed
+  FROM orders)
+WHERE changed < TIMESTAMP '1998-08-02 00:00:00' AND (length > 5 * 1024 * 1024 OR (k % 5 <> 0 AND k % 4 <> 0))
+""",
+    "clean_json_events": """
+SELECT event_id, event_id % 101 = 0 AS bad,
+  CASE WHEN event_id % 101 <> 0 THEN
+    '{"deep":{"l' || event_id % 7 || '":{"v' || event_id % 11 || '":["a",[{}],' || event_id % 2 || '],"z":{}}},"id":' || event_id || ',"k' || event_id % 13 || '":"' || event_type || '"}'
+  END AS event
+FROM events
+""",
+    "assign_greedy_batch": """
+WITH RECURSIVE rows AS (
+  SELECT source, doc_id, strlen(text) AS bytes, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents),
+walk AS (
+  SELECT source, doc_id, bytes, r, CAST(0 AS BIGINT) AS batch_id, CAST(bytes AS BIGINT) AS held FROM rows WHERE r = 1
+  UNION ALL
+  SELECT n.source, n.doc_id, n.bytes, n.r, w.batch_id + CASE WHEN w.held > 65536 THEN 1 ELSE 0 END,
+         CASE WHEN w.held > 65536 THEN n.bytes ELSE w.held + n.bytes END
+  FROM walk w JOIN rows n ON n.source = w.source AND n.r = w.r + 1)
+SELECT source, batch_id, count(*) AS n_docs, CAST(sum(bytes) AS BIGINT) AS n_bytes, min(doc_id) AS first_doc, max(doc_id) AS last_doc
+FROM walk GROUP BY source, batch_id
+""",
+    "search_progress": """
+SELECT 'run-0001' AS run_id, CAST(100 AS DOUBLE) AS percent_done, count(*) AS scan_count, count(*) FILTER (WHERE event_type = 'error') AS event_count,
+       least(count(*) FILTER (WHERE event_type = 'error'), 50) AS result_count
+FROM events
+""",
     "alert_failures": _PARSED + """
 SELECT 'run-0001' AS run_id, CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS sent, CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT) AS failed FROM p
 """,
@@ -327,3 +370,4 @@ FROM events WHERE event_id IN (SELECT event_id FROM head)
 """,
 }
 ORACLE["alert_windows_stream"] = ORACLE["alert_windows"]
+ORACLE["alert_stream_program"] = ORACLE["alert_program"]

@@ -54,6 +54,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or root).rstrip("/")
 
 
+class Store:
+    """The file system of a path, for the driver's few steps on folders and names. Looks the JVM's classes up once, as
+    each look-up is a round trip."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        sc = spark.sparkContext
+        self._path = sc._jvm.org.apache.hadoop.fs.Path
+        self.fs = self._path(path).getFileSystem(sc._jsc.hadoopConfiguration())
+
+    def path(self, text: str):
+        return self._path(text)
+
+    def exists(self, text: str) -> bool:
+        return self.fs.exists(self._path(text))
+
+    def full(self, text: str) -> str:
+        """The path with its scheme, as Spark spells it."""
+        return self.fs.makeQualified(self._path(text)).toString()
+
+    def move(self, source: str, to: str) -> bool:
+        """Rename into an existing folder."""
+        return self.fs.rename(self._path(source), self._path(to))
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint root (never reused)."""
     return f"{checkpoint_root(spark)}/tidewater/{name}-{uuid.uuid4().hex}"

@@ -12,6 +12,10 @@ from tidewater.operators.parse import JSON_TS_OPTIONS, route_label
 from tidewater.sources.files import CSV_OPTIONS
 
 
+#: Folders of a staging area that a run, or a stream's micro-batch, has published: ``<unit>=<owner>``, ``<unit>=<owner>-<n>``.
+RUN_UNIT, STREAM_UNIT = "stage_run", "stage_batch"
+
+
 def append_table(df: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None,
                  partition_by: Sequence[str] = (), as_table: bool = False) -> None:
     """K1: append ``df`` to a path (``fmt`` data source) or a catalog table."""
@@ -87,7 +91,7 @@ def stage_json(df: DataFrame, path: str, batch_cols: Sequence[str] = ("batch_id"
     if run_id is None:
         write(df, path)
     else:
-        publish(df, path, f"stage_run={path_name(run_id)}", write)
+        publish(df, path, f"{RUN_UNIT}={path_name(run_id)}", write)
 
 
 def stage_csv(df: DataFrame, path: str, line_col: str = "line", partition_by: Sequence[str] = ()) -> None:
@@ -105,7 +109,8 @@ def deliver_direct(df: DataFrame, target: str, fmt: str = "parquet", checkpoint:
 
     Batch DataFrame -> :func:`append_table`, or with ``run_id`` a folder of that run which a rerun
     overwrites.  Streaming DataFrame -> an append-mode ``writeStream`` (exactly-once through the
-    file sink's commit log), run to completion with ``availableNow``; returns the finished query.
+    file sink's commit log), run to completion with ``availableNow``; returns the finished query. That log belongs to one stream:
+    streams and batches that share a target need a ``run_id``, and each micro-batch of theirs overwrites a folder of its own.
     """
     if not df.isStreaming:
         if run_id is None:
@@ -115,14 +120,12 @@ def deliver_direct(df: DataFrame, target: str, fmt: str = "parquet", checkpoint:
         return None
     if checkpoint is None:
         raise ValueError("a streaming delivery needs a checkpoint location")
-    q = (
-        df.writeStream.format(fmt)
-        .options(**(options or {}))
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    w = df.writeStream.option("checkpointLocation", checkpoint)
+    if run_id is None:
+        w = w.format(fmt).options(**(options or {})).option("path", target).outputMode("append")
+    else:
+        place = f"{target}/delivery={path_name(run_id)}+"  # a sign that no run's folder name has
+        w = w.foreachBatch(lambda batch, n: batch.write.format(fmt).options(**(options or {})).mode("overwrite").save(f"{place}{n}"))
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return q

@@ -1,15 +1,21 @@
 """K4: load staged buffers into the destination, exactly once.
 
-A file-source stream picks up staged files (``*.json.gz`` or ``*.csv``). Each
-micro-batch is written with ``foreachBatch`` into
-``<target>/load_batch=<id>-<n>`` in *overwrite* mode, where the id belongs to the checkpoint: a replay of batch ``n`` after a crash rewrites the
-same folder, and loads with other checkpoints into the same target have folders
-of their own. Malformed records go to ``<target>/_dead`` with their text and
-file. Last, ``<target>/_ledger`` gets the batch's rows
-``(load_batch, rows, run_id, status, ts)``, one per status, again
-in a folder of the batch's own; readers keep only batches in the ledger
-(:func:`committed_rows`). Files already loaded are remembered by the
-checkpoint; ``archive_dir`` moves them aside (``cleanSource=archive``).
+A file stream lists staged files (``*.json.gz`` or ``*.csv``); their contents are read by each
+micro-batch, which writes them with ``foreachBatch`` into ``<target>/load_batch=<id>-<n>`` in
+*overwrite* mode, where the id belongs to the load: a replay of batch ``n`` after a crash rewrites the
+same folder, and other loads into the same target have folders of their own.
+
+* *Claims.* Before a load reads a unit of the staging folder -- what one run or micro-batch published, or one
+  foreign file -- it creates ``<target>/_claims/<unit>`` with its id in one atomic step. Loads that share a staging
+  folder and a target so take each unit once; a replay finds its own claim.
+* *Attempts.* A file that cannot be read to its end is left out and noted in ``<target>/_attempts`` with the number of
+  tries and the error; the others load. Every later call or cycle tries it again, and after ``tries`` of them
+  it becomes a dead letter.
+* Malformed records go to ``<target>/_dead`` with their text and file.
+* Last, ``<target>/_ledger`` gets the batch's rows ``(load_batch, rows, run_id, status, ts)``, one per status, again in
+  a folder of the batch's own; readers keep only batches in the ledger (:func:`committed_rows`), attempts included.
+
+Files already loaded are remembered by the checkpoint; ``archive_dir`` moves them aside once their batch is in the ledger.
 """
 
 from __future__ import annotations
@@ -17,25 +23,39 @@ from __future__ import annotations
 import hashlib
 import logging
 import threading
-from collections.abc import Callable, Sequence
+import time
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 
-from pyspark.errors import AnalysisException, StreamingQueryException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tidewater.constants import RETRY_TIMES
 from tidewater.operators.parse import CORRUPT_COL, JSON_TS_OPTIONS, apply_mapping
-from tidewater.sources.files import CSV_OPTIONS, admit_all
+from tidewater.session import Store
+from tidewater.sinks.tables import RUN_UNIT, STREAM_UNIT, path_name
+from tidewater.sources.files import CSV_OPTIONS, admit_all, literal_path, unreadable
 
 BATCH_COL = "load_batch"
 LEDGER_DIR = "_ledger"
 DEAD_DIR = "_dead"
+CLAIM_DIR = "_claims"
+ATTEMPT_DIR = "_attempts"
+LOAD_DIR = "_loads"
+ATTEMPT_SCHEMA = f"{BATCH_COL} STRING, file STRING, tries INT, state STRING, error STRING"
 LEDGER_SCHEMA = f"{BATCH_COL} STRING, rows BIGINT, run_id STRING, status STRING, ts TIMESTAMP"
 #: Files of one micro-batch: bounds what a replay repeats.
 FILES_PER_TRIGGER = 1_000
 
+GLOBS = {"json": "*.json.gz", "csv": "*.csv"}
+
 _FILE = "_tw_file"
+_LISTING = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
 def stream_id(checkpoint: str) -> str:
@@ -51,7 +71,8 @@ def write_ledger(spark: SparkSession, target: str, batch: str, run_id: str, coun
 
 
 def _write_batch(target: str, fmt: str, run_id: str, stream: str | None = None):
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int | str, lost: Sequence[str] = ()) -> None:
+        """``lost``: files whose last try failed; each is a dead letter without a text."""
         spark = batch.sparkSession
         name = f"{batch_id}" if stream is None else f"{stream}-{batch_id}"
         bad = F.col(CORRUPT_COL).isNotNull() if CORRUPT_COL in batch.columns else F.lit(False)
@@ -60,39 +81,186 @@ def _write_batch(target: str, fmt: str, run_id: str, stream: str | None = None):
         # Counted while it is written: one reading of the files when nothing is malformed.
         counted.where(~bad).drop(CORRUPT_COL, _FILE).write.format(fmt).mode("overwrite").save(f"{target}/{BATCH_COL}={name}")
         good, dead = seen.get["good"] or 0, seen.get["dead"] or 0
-        if dead:
-            rows = batch.where(bad).select(F.col(CORRUPT_COL).alias("record"), F.col(_FILE).alias("file"), F.lit(run_id).alias("run_id"))
+        if dead or lost:
+            rows = batch.where(bad).select(F.col(CORRUPT_COL).alias("record"), F.col(_FILE).alias("file"), F.lit(run_id).alias("run_id")) if dead else None
+            if lost:
+                gone = spark.createDataFrame([(None, f, run_id) for f in lost], "record STRING, file STRING, run_id STRING")
+                rows = gone if rows is None else rows.unionAll(gone)
             rows.write.mode("overwrite").parquet(f"{target}/{DEAD_DIR}/{BATCH_COL}={name}")
-        write_ledger(spark, target, name, run_id, {"ok": good, **({"failed": dead} if dead else {})})
+        failed = dead + len(lost)
+        write_ledger(spark, target, name, run_id, {"ok": good, **({"failed": failed} if failed else {})})
 
     return write
 
 
-def _staged_stream(spark: SparkSession, staged_dir: str, schema: StructType, kind: str, options: dict, mapping) -> DataFrame:
-    """The stream of staged records: their columns, the text of malformed ones, and the file of each."""
-    reader = spark.readStream.options(**options)
-    file = F.col("_metadata.file_path").alias(_FILE)
-    glob = {"json": "*.json.gz", "csv": "*.csv"}.get(kind)
-    if glob is None:
+def claim(spark: SparkSession, target: str, units: Iterable[str], load: str) -> set[str]:
+    """The units among these that this load may read for this target: it created their claims, now or before.
+
+    Creating a file that must not exist is atomic, and the claim holds its owner. A claim without one is just being
+    written, or its load died within that moment: that is an error, never a second load."""
+    store, ours = Store(spark, target), set()
+    for unit in units:
+        where = store.path(f"{target}/{CLAIM_DIR}/{hashlib.md5(unit.encode()).hexdigest()}")
+        try:
+            out = store.fs.create(where, False)
+            out.write(load.encode())
+            out.close()
+            ours.add(unit)
+        except Py4JJavaError:
+            if not store.fs.exists(where):
+                raise
+            if _owner(spark, store, where) == load:
+                ours.add(unit)
+    return ours
+
+
+def _owner(spark: SparkSession, store: Store, where) -> str:
+    for _ in range(60):
+        stream = store.fs.open(where)
+        owner = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        if owner:
+            return owner
+        time.sleep(0.5)
+    raise RuntimeError(f"the claim {where} names no load; remove it if none is running")
+
+
+def _unit(staged_dir: str, path: str) -> str:
+    """What a claim covers: a published folder, or a foreign file."""
+    inside = path[path.index(staged_dir) + len(staged_dir) :].lstrip("/") if staged_dir in path else path
+    first = inside.split("/", 1)[0]
+    return first if first.startswith((f"{RUN_UNIT}=", f"{STREAM_UNIT}=")) else inside
+
+def _keys(staged_dir: str, path: str) -> tuple[str, ...]:
+    """The names of the folder columns between the staging folder and the file."""
+    inside = path[path.index(staged_dir) + len(staged_dir) :] if staged_dir in path else ""
+    return tuple(p.split("=", 1)[0] for p in inside.split("/")[:-1] if "=" in p)
+
+
+def read_records(spark: SparkSession, files: Sequence[str], schema: StructType, kind: str = "json", mapping=None, base: str = "") -> DataFrame:
+    """The records of these staged files: their columns, the text of malformed ones (``_corrupt``), and the file of each.
+
+    With a ``mapping`` (T3) the columns are the mapping's. JSON is parsed as :func:`parse_raw` does: duplicate keys (the
+    last one counts) and NaN are valid, a scalar or an array is not a record. CSV records may span lines, have
+    more fields than the mapping takes, or fewer (nulls)."""
+    if kind not in GLOBS:
         raise ValueError(f"unknown staged kind {kind!r}")
-    reader = reader.option("pathGlobFilter", glob)
+    if not files:
+        fields = [f"`{c}` {t}" for c, _, t in mapping] if mapping is not None else None
+        empty = StructType.fromDDL(", ".join(fields)) if fields else schema
+        return spark.createDataFrame([], StructType([*empty.fields, StructField(CORRUPT_COL, StringType()), StructField(_FILE, StringType())]))
+    alike = defaultdict(list)  # files below different folder columns cannot be read together
+    for f in files:
+        alike[_keys(base, f)].append(f)
+    return reduce(DataFrame.unionByName, [_read_alike(spark, some, schema, kind, mapping, base if keys else None) for keys, some in alike.items()])
+
+
+def _read_alike(spark: SparkSession, files: list[str], schema: StructType, kind: str, mapping, base: str | None) -> DataFrame:
+    reader = spark.read.option("basePath", base) if base else spark.read
+    files = [literal_path(f) for f in files]
+    file = F.col("_metadata.file_path").alias(_FILE)
+    none = F.lit(None).cast("string").alias(CORRUPT_COL)
+    if mapping is not None and kind == "json":
+        lines = reader.option("lineSep", "\n").schema("value STRING").text(files).where(F.trim("value") != "")
+        return apply_mapping(lines.select("value", file), mapping, "value", kind, keep=(_FILE,), corrupt_col=CORRUPT_COL)
     if mapping is not None:
-        lines = reader.option("lineSep", "\n").schema("value STRING").text(staged_dir).where(F.trim("value") != "")
-        if kind == "json":
-            parsed = F.try_parse_json("value")
-            bad = F.when(parsed.isNull() | ~F.schema_of_variant(parsed).startswith("OBJECT"), F.col("value"))
-        else:
-            bad = F.lit(None).cast("string")
-        kept = lines.select("value", bad.alias(CORRUPT_COL), file)
-        return apply_mapping(kept, mapping, "value", kind, keep=(CORRUPT_COL, _FILE))
-    known = {f.name for f in schema.fields}
+        width = max(int(o) for _, o, _ in mapping) + 1
+        lines = reader.options(**CSV_OPTIONS).option("multiLine", "true").option("lineSep", "\n").schema(", ".join(f"_c{i} STRING" for i in range(width)))
+        values = [F.col(f"_c{int(o)}").try_cast(t).alias(c) for c, o, t in mapping]
+        return lines.csv(files).select(*values, none, file)
+    known = [f"`{f.name}`" for f in schema.fields]
     full = StructType([*schema.fields, StructField(CORRUPT_COL, StringType())])
     reader = reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
     if kind == "json":
-        stream = reader.options(**JSON_TS_OPTIONS).json(staged_dir)
+        rows = reader.options(**JSON_TS_OPTIONS).json(files)
     else:
-        stream = reader.options(**CSV_OPTIONS).option("multiLine", "true").option("lineSep", "\n").csv(staged_dir)
-    return stream.select(*[F.col(f"`{c}`") for c in stream.columns if c in known], CORRUPT_COL, file)
+        rows = reader.options(**CSV_OPTIONS).option("multiLine", "true").option("lineSep", "\n").csv(files)
+    return rows.select(*known, CORRUPT_COL, file)
+
+
+def attempts(spark: SparkSession, target: str) -> DataFrame:
+    """The last committed attempt at every file that failed once: ``file``, ``tries``, ``state`` (retry, dead or loaded), ``error`` and its batch."""
+    place = f"{target}/{ATTEMPT_DIR}"
+    if not Store(spark, place).exists(place):
+        return spark.createDataFrame([], "file STRING, tries INT, state STRING, error STRING, " + f"{BATCH_COL} STRING")
+    rows = _committed(spark.read.schema(ATTEMPT_SCHEMA).parquet(place), target)
+    last = F.max_by(F.struct("tries", "state", "error", BATCH_COL), "tries").alias("last")
+    return rows.groupBy("file").agg(last).select("file", "last.*")
+
+
+class _Load:
+    """One load: what every micro-batch and every retry of it shares."""
+
+    def __init__(self, spark: SparkSession, staged_dir: str, target: str, schema: StructType, checkpoint: str, kind: str, fmt: str, run_id: str, archive_dir: str | None, mapping, tries: int):
+        self.spark, self.target, self.schema, self.kind, self.mapping = spark, target, schema, kind, mapping
+        self.archive_dir, self.tries, self.id = archive_dir, tries, stream_id(checkpoint)
+        self.base = Store(spark, staged_dir).full(staged_dir)
+        self.write = _write_batch(target, fmt, run_id, self.id)
+
+    def batch(self, listing: DataFrame, batch_id: int) -> None:
+        """A micro-batch: the new files, at most as many as the trigger takes."""
+        files = sorted(r.path for r in listing.select("path").collect())
+        if self._is_done(str(batch_id)):  # a replay after the ledger row
+            failed = self._failed()
+            self._archive([f for f in files if f not in failed])
+            return
+        unit = {f: f"{self.base}/{_unit(self.base, f)}" for f in files}
+        ours = claim(self.spark, self.target, sorted(set(unit.values())), self.id)
+        self.load(str(batch_id), {f: 0 for f in files if unit[f] in ours})
+
+    def retry(self) -> None:
+        """Try the files again that this load could not read."""
+        mine = attempts(self.spark, self.target).where((F.col("state") == "retry") & F.startswith(F.col(BATCH_COL), F.lit(f"{self.id}-")))
+        pending = {r.file: r.tries for r in mine.select("file", "tries").collect()}
+        if pending:
+            name = hashlib.md5("\n".join(f"{f}:{n}" for f, n in sorted(pending.items())).encode()).hexdigest()[:16]
+            self.load(f"retry-{name}", pending)
+
+    def load(self, name: str, files: dict[str, int]) -> None:
+        """Load these files (each with its failed tries so far) as one batch; those that cannot be read are noted for another try."""
+        bad: dict[str, str] = {}
+        while True:
+            good = [f for f in files if f not in bad]
+            lost = [f for f in bad if files[f] + 1 >= self.tries]
+            rows = read_records(self.spark, good, self.schema, self.kind, self.mapping, self.base)
+            self._note(name, files, bad)
+            try:
+                self.write(rows, name, lost)
+                break
+            except Exception:
+                found = unreadable(self.spark, good)
+                if not found:
+                    raise  # the files are fine
+                bad |= found
+        self._archive([*good, *lost])
+
+    def _note(self, name: str, files: dict[str, int], bad: dict[str, str]) -> None:
+        """Write the batch's attempts; they count once the batch is in the ledger."""
+        rows = [(f, n + 1, "dead" if n + 1 >= self.tries else "retry", bad[f]) for f, n in files.items() if f in bad]
+        rows += [(f, n + 1, "loaded", None) for f, n in files.items() if n and f not in bad]
+        if rows:
+            out = self.spark.createDataFrame(rows, "file STRING, tries INT, state STRING, error STRING").coalesce(1)
+            out.write.mode("overwrite").parquet(f"{self.target}/{ATTEMPT_DIR}/{BATCH_COL}={self.id}-{name}")
+
+    def _is_done(self, name: str) -> bool:
+        return Store(self.spark, self.target).exists(f"{self.target}/{LEDGER_DIR}/{BATCH_COL}={self.id}-{name}/_SUCCESS")
+
+    def _failed(self) -> set[str]:
+        return {r.file for r in attempts(self.spark, self.target).where("state = 'retry'").select("file").collect()}
+
+    def _archive(self, files: Iterable[str]) -> None:
+        """Move files of a committed batch to the same place below the archive folder."""
+        if not self.archive_dir:
+            return
+        store, made = Store(self.spark, self.archive_dir), set()
+        for f in files:
+            to = f"{self.archive_dir}/{f[len(self.base) :].lstrip('/')}"
+            folder = to.rsplit("/", 1)[0]
+            if folder not in made:
+                store.fs.mkdirs(store.path(folder))
+                made.add(folder)
+            if store.exists(f):
+                store.move(f, to)
 
 
 def _every_cycle(spark: SparkSession, query: StreamingQuery, every: str, intake: Callable[[], object]) -> None:
@@ -119,7 +287,7 @@ def load_staged(
     staged_dir: str,
     target: str,
     schema: StructType | str,
-    checkpoint: str,
+    checkpoint: str | None = None,
     kind: str = "json",
     fmt: str = "parquet",
     run_id: str = "run",
@@ -128,31 +296,47 @@ def load_staged(
     every: str | None = None,
     mapping: Sequence[tuple[str, str | int, str]] | None = None,
     incoming_dir: str | None = None,
+    units: str | None = None,
+    tries: int = RETRY_TIMES,
 ):
-    """Load every staged file exactly once; malformed records are routed aside and counted, the load goes on.
+    """Load every staged file exactly once; malformed records and unreadable files are routed aside and counted, the load goes on.
 
     ``mapping`` projects each record to destination columns (T3) instead of reading ``schema``.
+    ``units``: load only the published folders that this name or pattern matches (what one run or stream has staged); the
+    load's progress is then kept below the target, so that another try with another ``checkpoint`` goes on where
+    this one stopped. Without it everything below ``staged_dir`` is loaded that no other load has claimed for the target.
     ``incoming_dir``: first move all that other programs have finished writing there into ``staged_dir``
     (R6 and a test of each file; see :func:`tidewater.sources.files.admit_all`), with ``every`` again in each cycle.
+    ``tries``: a file that cannot be read is tried again by later calls, or cycles, up to so many times.
     ``every=None`` loads what is there and returns the finished query
     (``availableNow``); otherwise the query keeps running with a
     processing-time trigger (the forwarder's load cycle is
     ``tidewater.constants.LOAD_CYCLE``) and the caller owns it."""
-    glob = "*.json.gz" if kind == "json" else "*.csv"
+    if kind not in GLOBS:
+        raise ValueError(f"unknown staged kind {kind!r}")
+    if units is not None:
+        checkpoint = f"{target}/{LOAD_DIR}/{path_name(units)}"
+    elif checkpoint is None:
+        raise ValueError("a load needs a checkpoint")
     if incoming_dir is not None:
-        admit_all(spark, incoming_dir, staged_dir, glob)
-    options = {}
-    if max_files_per_trigger:
-        options["maxFilesPerTrigger"] = str(max_files_per_trigger)
-    if archive_dir:
-        options |= {"cleanSource": "archive", "sourceArchiveDir": archive_dir}
+        admit_all(spark, incoming_dir, staged_dir, GLOBS[kind])
     fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    stream = _staged_stream(spark, staged_dir, fields, kind, options, mapping)
-    w = stream.writeStream.foreachBatch(_write_batch(target, fmt, run_id, stream_id(checkpoint))).option("checkpointLocation", checkpoint)
+    load = _Load(spark, staged_dir, target, fields, checkpoint, kind, fmt, run_id, archive_dir, mapping, tries)
+    load.retry()
+    reader = spark.readStream.format("binaryFile").schema(_LISTING).option("pathGlobFilter", GLOBS[kind]).option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    listing = reader.load(staged_dir if units is None else f"{staged_dir}/{units}").select("path")  # lists; contents are not read
+    w = listing.writeStream.foreachBatch(load.batch).option("checkpointLocation", checkpoint)
     if every is not None:
         q = w.trigger(processingTime=every).start()
-        if incoming_dir is not None:
-            _every_cycle(spark, q, every, lambda: admit_all(spark, incoming_dir, staged_dir, glob))
+
+        def cycle() -> None:
+            if incoming_dir is not None:
+                admit_all(spark, incoming_dir, staged_dir, GLOBS[kind])
+            load.retry()
+
+        _every_cycle(spark, q, every, cycle)
         return q
     q = w.trigger(availableNow=True).start()
     q.awaitTermination()
@@ -177,10 +361,8 @@ def committed_rows(spark: SparkSession, target: str, fmt: str = "parquet") -> Da
 def dead_letters(spark: SparkSession, target: str) -> DataFrame:
     """Malformed records of committed batches: ``record``, ``file``, ``run_id`` (empty when there are none)."""
     columns = "record STRING, file STRING, run_id STRING"
-    try:
-        rows = spark.read.schema(f"{columns}, {BATCH_COL} STRING").parquet(f"{target}/{DEAD_DIR}")
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
+    place = f"{target}/{DEAD_DIR}"
+    if not Store(spark, place).exists(place):
         return spark.createDataFrame([], columns)
+    rows = spark.read.schema(f"{columns}, {BATCH_COL} STRING").parquet(place)
     return _committed(rows, target).drop(BATCH_COL)

@@ -31,6 +31,12 @@ BREAKS = rf"(?i)</?(?:{BREAKING})(?:[ /][^>]*)?>"
 UNSEEN = "(?is)<(?:!--.*?-->|" + "|".join(rf"{tag}\b.*?</{tag}[^>]*>" for tag in HIDDEN) + "|[a-z/!?][^>]*>)"
 #: Line ends with blanks about them, or several.
 LINES = " +\n[ \n]*|\n[ \n]+"
+#: The same, tried once a run of blanks.
+LINES_ONCE = "(?<! ) ++\n[ \n]*+|\n[ \n]++"
+#: A title, tried at the last of several openers before a ``>``; the others would find the same.
+TITLE = "(?is)<title(?:[^<>]|<(?!title))*+>([^<]*+)</title"
+#: Noncharacters, of which one that a page does not have marks openers without an end.
+MARKS = "\ufdd0\ufdd1\ufdd2\ufdd3"
 REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]{2,8});"
 
 
@@ -74,11 +80,65 @@ def unescape(text: Column) -> Column:
     return _bind(text, decoded)
 
 
+def _after(text: Column, end: str) -> Column:
+    """What follows the last ``end``; all of it if there is none."""
+    return F.substring_index(text, end, -1)
+
+
+def _before(text: Column, rest: Column) -> Column:
+    return F.substring(text, F.lit(1), F.length(text) - F.length(rest))
+
+
+def _marked(text: Column, opener: str, end: str, mark: Column) -> Column:
+    """``text`` with the mark inside every opener that stands after the last end, so that no search for an end starts
+    there. It can still be an ordinary tag."""
+
+    def split(t: Column) -> Column:
+        tail = F.regexp_replace(t, f"(?is)^.*{end}", "")
+        return _bind(tail, lambda x: F.concat(_before(t, x), F.regexp_replace(x, f"(?i)<({opener[0]})(?={opener[1:]})", F.concat(F.lit("<$1"), mark))))
+
+    return _bind(text, split)
+
+
+def _unseen_removed(text: Column) -> Column:
+    """``text`` without comments, hidden elements and tags, in time linear in its length: openers whose end is missing are
+    marked first, so that every search for an end finds one, and what it has passed over is gone."""
+
+    def marked(t: Column, mark: Column) -> Column:
+        for opener, end in _ENDS.items():
+            t = _marked(t, opener, end, mark)
+        return F.replace(F.regexp_replace(t, UNSEEN, ""), mark, F.lit(""))
+
+    def removed(t: Column) -> Column:
+        low = F.lower(t)
+        unclosed = _after(t, "-->").contains("<!--")
+        for tag in HIDDEN:
+            unclosed |= _after(low, f"</{tag}").contains(f"<{tag}")
+        mark = F.lit(MARKS[-1])
+        for c in MARKS[:-1]:
+            mark = F.when(~t.contains(c), F.lit(c)).otherwise(mark)
+        return F.when(unclosed, _bind(mark, lambda m: marked(t, m))).otherwise(F.regexp_replace(t, UNSEEN, ""))
+
+    return _bind(text, removed)
+
+
+#: Openers and what ends them.
+_ENDS = {"!--": "-->", **{rf"{tag}\b": f"</{tag}" for tag in HIDDEN}}
+
+
+def _tagged_part(text: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` on the text up to its last ``>``: all tags end there, and behind it a search for an end would find none."""
+    whole = F.struct(text.alias("text"), F.when(text.contains(">"), _after(text, ">")).otherwise(text).alias("rest"))
+    return _bind(whole, lambda w: F.concat(use(_before(w["text"], w["rest"])), w["rest"]))
+
+
 def plain_text(html: Column) -> Column:
-    """The visible text: comments, hidden elements and tags removed, blocks on lines of their own, references decoded, blanks folded."""
-    out = F.regexp_replace(F.regexp_replace(html, BLANKS, " "), BREAKS, "\n")
-    out = unescape(F.regexp_replace(out, UNSEEN, ""))
-    return F.btrim(F.regexp_replace(out, LINES, "\n"), F.lit(" \n"))
+    """The visible text: comments, hidden elements and tags removed, blocks on lines of their own, references decoded, blanks folded.
+
+    Linear in the page's length, also for pages of nothing but openers."""
+    out = _tagged_part(F.regexp_replace(html, BLANKS, " "), lambda t: F.regexp_replace(t, BREAKS, "\n"))
+    out = unescape(_tagged_part(out, _unseen_removed))
+    return F.btrim(F.regexp_replace(out, LINES_ONCE, "\n"), F.lit(" \n"))
 
 
 def responses_from_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str = DATE) -> DataFrame:
@@ -118,7 +178,7 @@ def derive(responses: DataFrame, keep: list[str] | None = None) -> DataFrame:
         F.coalesce(F.col("http_headers"), F.lit("")).alias("http_headers"),
         F.coalesce(F.col("payload_digest"), base32_sha1(payload)).alias("payload_digest"),
         F.octet_length(payload).alias("payload_bytes"),
-        F.regexp_extract(payload, r"(?is)<title[^>]*>([^<]*)</title", 1).alias("title"),
+        F.regexp_extract(payload, TITLE, 1).alias("title"),
         plain_text(payload).alias("text"),
     )
     meta_id, text_id = (record_id(F.concat(F.lit(f"{kind}\n"), F.col("refers_to"))) for kind in ("metadata", "conversion"))

@@ -211,7 +211,7 @@ def test_pipeline_stages(spark):
     assert sorted(r["doc_id"] for r in apart.collect()) == sorted(i for i in sets if groups.find(i) == i)
 
     hidden = corpus_pipeline.hide_personal(spark, apart, SF).cache()
-    plain = {r["doc_id"]: r["text"] for r in pii.pseudonymize(apart).collect()}
+    plain = {r["doc_id"]: r["text"] for r in pii.pseudonymize(apart, key=pii.TEST_KEY).collect()}
     assert hidden.columns == docs.columns and {r["doc_id"]: (r["text"], r["n_chars"]) for r in hidden.collect()} == {i: (t, len(t)) for i, t in plain.items()}
 
     mixed = corpus_pipeline.mix(spark, hidden, SF).cache()

@@ -12,7 +12,9 @@ Everything is DataFrame functions; rows are independent, so there is no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import logging
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import fresh
@@ -51,22 +53,27 @@ def _iban_pattern() -> str:
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "iban": _iban_pattern(),
-    "date": _L + r"(?:(?:19|20)[0-9]{2}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2(?:19|20)[0-9]{2})" + _R,
+    # also the date of a timestamp, and days and months of one digit
+    "date": _L + r"(?:(?:19|20)[0-9]{2}([-/.])[0-9]{1,2}\1[0-9]{1,2}(?:" + _R + r"|(?=T[0-9]))|[0-9]{1,2}([-/.])[0-9]{1,2}\2(?:19|20)[0-9]{2}" + _R + ")",
     "ssn": _L + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _R,
     "ip": r"(?<![\p{L}\p{N}])(?<![0-9]\.)(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}])(?!\.[0-9])",
-    "phone": r"(?:\+[0-9]{1,3}[ .-]?|(?<![\p{L}\p{N}+]))(?:\([0-9]{3}\) ?|(?<![0-9])[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}" + _R,
+    # three, three and four digits without a further group, or a country code and 7 to 12 digits in groups
+    "phone": r"(?:(?:\+[0-9]{1,3}[ .-]?|(?<![\p{L}\p{N}+]))(?:\([0-9]{3}\) ?|(?<![0-9])[0-9]{3}[ .-])[0-9]{3}(?: [0-9]{4}(?! [0-9]{3})|[.-][0-9]{4}(?![.-][0-9]{3}))"
+    r"|(?<![\p{L}\p{N}+])(?=\+(?:[0-9][ .-]?){8,15}(?![0-9]))\+[1-9][0-9]{0,2}(?:[ .-][0-9]{2,4}){2,5}(?![ .-]?[0-9]))" + _R,
     "card": _L + r"(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\4[0-9]{5})" + _R,
 }
 _OTHERS = {kind: f"(?:{p})" for kind, p in PATTERNS.items() if kind != "iban"}
 #: The tests that tell kinds apart on a whole match.
 _FORM = {
     "email": "@",
-    "date": r"^(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})$",
+    "date": r"^(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})$",
     "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
     "ip": r"^(?:[0-9]{1,3}\.){3}[0-9]{1,3}$",
     "iban": r"^[A-Z]{2}[0-9]{2}",
-    "phone": r"^(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}$",
+    "phone": r"^(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,5})$",
 }
+#: Phone numbers of three, three and four digits; others have a country code.
+_THREE_THREE_FOUR = r"(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}$"
 
 
 def _long(text: Column) -> Column:
@@ -143,9 +150,14 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
+    """The country code stays: what stands before the last ten digits, or the first group of another number."""
     digits = only_digits(m)
-    national = permute_digits(F.substring(digits, F.length(digits) - 9, F.lit(10)), key, "phone")
-    return refill(m, F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), national))
+    code = F.when(m.rlike(_THREE_THREE_FOUR), F.length(digits) - 10).otherwise(F.length(F.regexp_extract(m, r"^\+([0-9]+)", 1)))
+
+    def moved(n: Column) -> Column:
+        return refill(m, F.concat(F.substring(digits, F.lit(1), n), permute_digits(F.substring(digits, n + 1, F.length(digits) - n), key, "phone")))
+
+    return F.transform(F.array(code), moved)[0]
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -174,24 +186,31 @@ def _ip(m: Column, key: str) -> Column:
 def _date(m: Column, key: str) -> Column:
     """Days 1900-01-01 to 2099-12-31: 73,049 = 17 x 4,297. Year first, or last with the
     month first for ``/`` (day first if that is no date) and the day first for ``.`` and ``-``.
-    One day maps to one day in every notation."""
+    One day maps to one day in every notation; days and months have two digits if those of the match have."""
     first, day0 = m.rlike("^[0-9]{4}"), F.lit("1900-01-01").cast("date")
-    sep = F.when(first, F.substring(m, 5, 1)).otherwise(F.substring(m, 3, 1))
-    part = lambda *at: F.concat_ws("-", *[F.substring(m, a, n) for a, n in at])
-    us = F.try_to_timestamp(part((7, 4), (1, 2), (4, 2)), F.lit("yyyy-MM-dd")).cast("date")
-    eu = F.try_to_timestamp(part((7, 4), (4, 2), (1, 2)), F.lit("yyyy-MM-dd")).cast("date")
-    iso = F.try_to_timestamp(part((1, 4), (6, 2), (9, 2)), F.lit("yyyy-MM-dd")).cast("date")
-    month_first = ~first & (sep == "/") & us.isNotNull()
-    day = F.when(first, iso).when(month_first, us).otherwise(eu)
-    n = F.datediff(day, day0).cast("bigint")
-    s = feistel(F.floor(n / 4297), n % 4297, F.lit(17), F.lit(4297), key, "date")
+    sep = F.regexp_extract(m, "[-/.]", 0)
 
-    def show(x: Column) -> Column:
-        d = F.date_add(day0, (x["l"] * 4297 + x["r"]).cast("int"))
-        y, mo, da = (F.date_format(d, f) for f in ("yyyy", "MM", "dd"))
-        return F.when(first, F.concat(y, sep, mo, sep, da)).when(month_first, F.concat(mo, sep, da, sep, y)).otherwise(F.concat(da, sep, mo, sep, y))
+    def of(p: Column) -> Column:
+        two = lambda i: F.lpad(p[i], 2, "0")
+        day_of = lambda *at: F.try_to_timestamp(F.concat_ws("-", *at), F.lit("yyyy-MM-dd")).cast("date")
+        us, eu, iso = day_of(p[2], two(0), two(1)), day_of(p[2], two(1), two(0)), day_of(p[0], two(1), two(2))
+        month_first = ~first & (sep == "/") & us.isNotNull()
+        padded = (F.length(p[1]) == 2) & (F.length(F.when(first, p[2]).otherwise(p[0])) == 2)
+        return F.struct(F.when(first, iso).when(month_first, us).otherwise(eu).alias("day"), month_first.alias("month_first"), padded.alias("padded"))
+
+    def moved(d: Column) -> Column:
+        n = F.datediff(d["day"], day0).cast("bigint")
+        s = feistel(F.floor(n / 4297), n % 4297, F.lit(17), F.lit(4297), key, "date")
+
+        def show(x: Column) -> Column:
+            to = F.date_add(day0, (x["l"] * 4297 + x["r"]).cast("int"))
+            y = F.date_format(to, "yyyy")
+            mo, da = (F.when(d["padded"], F.date_format(to, two)).otherwise(F.date_format(to, one)) for two, one in (("MM", "M"), ("dd", "d")))
+            return F.when(first, F.concat(y, sep, mo, sep, da)).when(d["month_first"], F.concat(mo, sep, da, sep, y)).otherwise(F.concat(da, sep, mo, sep, y))
 
-    return F.when(day.isNotNull(), F.transform(F.array(s), show)[0]).otherwise(m)
+        return F.when(d["day"].isNotNull(), F.transform(F.array(s), show)[0]).otherwise(m)
+
+    return F.transform(F.transform(F.array(F.split(m, "[-/.]")), of), moved)[0]
 
 
 def _iban_mod(text: Column) -> Column:
@@ -289,10 +308,28 @@ def pseudonymize_text(text: Column, key: str) -> Column:
     return F.when(text.rlike("[0-9@]"), F.transform(parts, rebuild)[0]).otherwise(untouched)
 
 
-def pseudonymize(df: DataFrame, text_col: str = "text", key: str = "tidewater", found_col: str | None = None) -> DataFrame:
+#: The setting that holds the secret key.
+KEY_SETTING = "spark.tidewater.pseudonym.key"
+#: A public key for tests and for the registered queries where the setting is absent: it protects nothing.
+TEST_KEY = "public test key, protects nothing"
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key of this session's setting; without one the test key, with a warning."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        logging.getLogger(__name__).warning("%s is not set: pseudonyms are made with the public test key", KEY_SETTING)
+    return key or TEST_KEY
+
+
+def pseudonymize(df: DataFrame, text_col: str = "text", *, key: str, found_col: str | None = None) -> DataFrame:
     """Replace personal values in ``text_col``; other columns pass through in place.
 
-    ``key`` is the secret of the permutation; without it the values cannot be linked back.
+    ``key`` is the secret of the permutation, and who has it can undo it; without it the values cannot be linked back.
+    Replaced are e-mail addresses, valid IBANs, card numbers, dates of 1900 to 2099 in digits (year first or last, also before the
+    ``T`` of a timestamp), social security numbers, IPv4 addresses, and phone numbers of three, three and four digits or with
+    a country code and groups of two to four digits. Left alone are dates with names of months or two-digit years, numbers
+    without groups or a country code that are no card, IPv6 addresses, names and postal addresses.
     ``found_col``: also return what was replaced under this name. Null and empty texts,
     repeated rows and empty tables pass through; every text is read whole.
     """

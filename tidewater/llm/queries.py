@@ -77,7 +77,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal numbers, dates and addresses replaced by keyed pseudonyms."""
-    rows = pii.pseudonymize(documents(spark, sf_dir), "text", found_col="replaced")
+    rows = pii.pseudonymize(documents(spark, sf_dir), "text", key=pii.session_key(spark), found_col="replaced")
     return rows.select("doc_id", "text", F.size("replaced").cast("bigint").alias("n_replaced"), F.array_sort(F.array_distinct(F.transform("replaced", lambda r: r["kind"]))).alias("kinds"))
 
 

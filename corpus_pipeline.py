@@ -50,7 +50,7 @@ def _first_of_groups(docs: DataFrame, id_col: str) -> DataFrame:
 def hide_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal numbers, dates and addresses replaced by pseudonyms; ``n_chars`` follows the new text."""
     found = fresh("__found", docs.columns)
-    rows = pii.pseudonymize(docs, "text", found_col=found)
+    rows = pii.pseudonymize(docs, "text", key=pii.session_key(spark), found_col=found)
     changed = F.size(found) > 0
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))

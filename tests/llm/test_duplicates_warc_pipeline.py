@@ -141,6 +141,30 @@ def test_rows_without_an_id_and_repeated_rows(spark):
     assert got[(7, 7, 1)] == got[(8, 7, 1)] == 1  # x and X
 
 
+@pytest.mark.parametrize("light", [0, 64])
+def test_texts_of_one_id_and_size_keep_their_links(spark, monkeypatch, light):
+    monkeypatch.setattr(jaccard, "LIGHT", light)
+    a, b = (" ".join(f"{w}{i}" for i in range(40)) for w in "ab")
+    rows = [row(5, a), row(5, b), row(7, a + " end"), row(9, b + " end"), row(11, "z " + a), row(20, "other words that link with nothing at all")]
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard.jaccard_join(frame(spark, rows), size=3, percent=90).collect()}
+    assert got == {(5, 5), (7, 5), (9, 5), (11, 5), (20, 20)}
+
+
+def test_a_chain_of_windows_makes_no_large_neighbourhood(spark, monkeypatch):
+    rng = random.Random(6)
+    seq = [f"w{rng.randrange(4000)}" for _ in range(1500)]
+    rows = [row(i, " ".join(seq[i : i + 12])) for i in range(len(seq) - 12)]
+    seen, real = [], jaccard._verify
+
+    def verify(rows_, near, *rest):
+        seen.append([r["c"] for r in near.groupBy("near").agg(F.count("*").alias("c")).collect()])
+        return real(rows_, near, *rest)
+
+    monkeypatch.setattr(jaccard, "_verify", verify)
+    got = jaccard.jaccard_join(frame(spark, rows), size=3, percent=90).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in got) and max(seen[0], default=0) < 100
+
+
 def test_shared_values_are_counted():
     rng = np.random.default_rng(1)
     sets = [rng.choice(300, rng.integers(1, 200), replace=False) for _ in range(20)]

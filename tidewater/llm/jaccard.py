@@ -2,9 +2,9 @@
 
 A text is the set of its word shingles. Texts with equal sets are one node. Shingles
 have one global order, rare ones first; two sets that are similar enough share a shingle
-of their prefixes. Nodes with equal prefixes and sizes form a group; shared prefix
-shingles and compatible sizes connect groups into candidate neighbourhoods. In each, group
-pairs are filtered by size and prefix, and the members of those left are verified exactly.
+of their prefixes. Nodes with equal prefixes and sizes form a group. Groups that share a prefix shingle
+are paired where their sizes and the shingle's places allow; pairs connect them into candidate
+neighbourhoods. In each, group pairs are filtered by size and prefix, and the members of those left are verified exactly.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import materialize
+from tidewater.llm.common import materialize, maybe_in
 from tidewater.llm.components import connected_components
 from tidewater.llm.textarrays import Texts, mix64, range_hashes, slices, texts, words
 
@@ -24,10 +24,10 @@ from tidewater.llm.textarrays import Texts, mix64, range_hashes, slices, texts,
 SMALL = 128
 #: The low bits of a shingle say which order it belongs to.
 SMALL_KIND, COUNTED_KIND, EXTRA_KIND = 0, 1, 2
+#: Groups that share a prefix shingle are paired one by one up to so many, and held together by a star beyond.
+LIGHT = 64
 #: Nodes that a block of the verification has on either side.
 LEAST_BLOCK, MOST_BLOCK = 128, 4096
-#: Rows of a narrow table (an id and a few numbers) that are broadcast at most; beyond, the join shuffles.
-MOST_BROADCAST = 1_000_000
 
 
 def shingles(t: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +103,6 @@ def _summaries(size: int):
 def _ordered_part(size: int, percent: int, room: float):
     """The shingles of each text that take part in the orders, as KIND bits and hash: all of a small set; the
     counted ones of a set that is not far below SMALL or above it, and those that its prefix needs beyond them.
-    Texts whose signature is not the wanted one (another row of the same id) give nothing.
 
     Two sets that are similar enough are both small, or both in the other part: their sizes are too close."""
     one_in = np.uint64(counted_one_in(percent, room))
@@ -128,13 +127,8 @@ def _ordered_part(size: int, percent: int, room: float):
                 tagged = np.concatenate([(value[p] & clear) | np.uint64(kind) for p, kind in picked])
                 by = np.argsort(owner[rows], kind="stable")
                 rows, tagged = rows[by], tagged[by]
-                wanted = s1 == batch.column(2)[at:to].to_numpy()
-                keep = np.flatnonzero(wanted)
                 bounds = np.searchsorted(owner[rows], np.arange(to - at + 1))
-                inside = wanted[owner[rows]]
-                run_ = np.concatenate([[0], np.cumsum(inside)])
-                lists = _lists(tagged[inside], np.append(run_[bounds[:-1]][keep], run_[-1]))
-                yield pa.RecordBatch.from_arrays([pa.array(s1[keep]), lists], names=["s1", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array(s1), _lists(tagged, bounds)], names=["s1", "shingles"])
 
     return run
 
@@ -157,11 +151,10 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = ["n", "s1", "s2"]
     live = summary.where("n > 0 AND id IS NOT NULL")
     nodes = materialize(live.groupBy(*key).agg(F.min("id").alias("node"), F.count("*").alias("copies")), "jaccard-nodes")
-    # The shingles of one text per set, from a second reading: cheaper than to write and shuffle those of all rows.
-    parts = rows.join(small_side(nodes.select(F.col("node").alias("id"), "s1")), "id")
-    parts = parts.select("id", "text", "s1").mapInArrow(_ordered_part(size, percent, room), "s1 bigint, shingles array<bigint>")
-    if not live.groupBy("id", "s1").count().where("count > 1").isEmpty():
-        parts = parts.dropDuplicates(["s1"])  # rows repeated with their id
+    # The shingles of one text per set, from a second reading of those that may have a node's id: cheaper than to write
+    # those of all rows. Other rows that slip through have sets of other nodes, so equal ones are dropped.
+    parts = maybe_in(rows, "id", nodes.select("node"), "__may").where("__may").select("id", "text")
+    parts = parts.mapInArrow(_ordered_part(size, percent, room), "s1 bigint, shingles array<bigint>").dropDuplicates(["s1"])
     parts = materialize(parts, "jaccard-parts")
     near = _candidates(nodes, parts, percent)
     found = materialize(_verify(rows, near, size, percent), "jaccard-links")
@@ -179,11 +172,6 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def small_side(narrow: DataFrame) -> DataFrame:
-    """A narrow table marked for broadcast if it has at most MOST_BROADCAST rows."""
-    return F.broadcast(narrow) if narrow.count() <= MOST_BROADCAST else narrow
-
-
 def _candidates(nodes: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """``near`` (a neighbourhood), node, copies, n, s1, s2, group and prefix of the nodes that may have links.
 
@@ -206,32 +194,55 @@ def _candidates(nodes: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     of_large = F.when(F.col("n_counted") >= need, head(of(COUNTED_KIND), alone)).otherwise(of(COUNTED_KIND, EXTRA_KIND))
     cols = ["node", "copies", "n", "s1", "s2"]
     rows = nodes.join(back.join(counts, "s1"), "s1")
-    rows = rows.select(*cols, F.transform(F.concat(of_small, of_large), lambda x: x["shingle"]).alias("prefix"), ((alone_small == 0) & (alone == 0)).alias("whole"))
+    # Where a shingle stands in its set's order at least: behind those that no other set has, which come first.
+    placed = lambda known, alone: F.transform(known, lambda x, i: F.struct(x["shingle"].alias("shingle"), (alone + i).cast("int").alias("place")))
+    known = F.concat(placed(of_small, alone_small), placed(of_large, alone)).alias("known")
+    rows = rows.select(*cols, known, ((alone_small == 0) & (alone == 0)).alias("whole"))
+    rows = rows.select(*cols, F.transform("known", lambda x: x["shingle"]).alias("prefix"), F.transform("known", lambda x: x["place"]).alias("places"), "whole")
     rows = rows.where(F.size("prefix") > 0)
     # Groups: equal size and prefix (a prefix with a shingle of its own is no other's).
     rows = rows.withColumn("group_key", F.when(F.col("whole"), F.xxhash64("n", "prefix")).otherwise(F.xxhash64("n", "prefix", "node", "s1"))).drop("whole")
     rows = materialize(rows, "jaccard-prefixes")
-    groups = rows.groupBy("group_key", "n").agg(F.min("node").alias("group"), F.first("prefix").alias("prefix"))
-    # Similar sets differ in size by at most one step of this scale.
-    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent + 1e-9))).cast("int")
-    postings = groups.select("group", step.alias("step"), F.explode("prefix").alias("shingle"))
+    rows = rows.withColumnRenamed("group_key", "group")
+    groups = rows.groupBy("group", "n").agg(F.first("prefix").alias("prefix"), F.first("places").alias("places"))
+    postings = groups.select("group", "n", F.explode(F.arrays_zip("prefix", "places")).alias("x")).select("group", "n", F.col("x.prefix").alias("shingle"), F.col("x.places").alias("place"))
     postings = materialize(postings, "jaccard-postings")
-    leaders = materialize(postings.groupBy("shingle", "step").agg(F.min("group").alias("leader"), F.count("*").alias("many")), "jaccard-leaders")
-    follow = postings.join(leaders.where("many > 1"), ["shingle", "step"]).select(F.col("group").alias("a"), F.col("leader").alias("b"))
-    above = leaders.select("shingle", (F.col("step") - 1).alias("step"), F.col("leader").alias("b"))
-    across = leaders.join(above, ["shingle", "step"]).select(F.col("leader").alias("a"), "b")
-    near = connected_components(follow.unionAll(across)).select(F.col("id").alias("group"), F.col("component").alias("near"))
-    rows = rows.join(groups.select("group_key", "group"), "group_key").join(near, "group", "left").drop("group_key")
-    rows = rows.withColumn("near", F.coalesce("near", "group"))  # a group of several nodes may stand alone
+    several = postings.groupBy("shingle").agg(F.count("*").alias("many")).where("many > 1")
+    postings = materialize(postings.join(several, "shingle"), "jaccard-postings")
+    near = connected_components(_pairs(postings.where(F.col("many") <= LIGHT), percent).unionAll(_stars(postings.where(F.col("many") > LIGHT), percent)))
+    near = near.select(F.col("id").alias("group"), F.col("component").alias("near"))
+    rows = rows.join(near, "group", "left")
+    rows = rows.drop("places").withColumn("near", F.coalesce("near", "group"))  # a group of several nodes may stand alone
     rows = materialize(rows, "jaccard-grouped")
     many = rows.groupBy("near").agg(F.count("*").alias("nodes")).where("nodes > 1")
     return materialize(rows.join(many, "near"), "jaccard-near")
 
 
+def _pairs(postings: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups on one list that may be similar: by their sizes, and by what can follow their first common shingle
+    in both orders."""
+    a = postings.select("shingle", F.col("group").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"))
+    b = postings.select("shingle", F.col("group").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"))
+    fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    reach = left * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    return a.join(b, "shingle").where((F.col("a") < F.col("b")) & fits & reach).select("a", "b").distinct()
+
+
+def _stars(postings: DataFrame, percent: int) -> DataFrame:
+    """Links that hold all groups on one long list together, without its pairs. Similar sets differ in size by at most one step."""
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent + 1e-9))).cast("int")
+    postings = postings.select("group", step.alias("step"), "shingle")
+    leaders = materialize(postings.groupBy("shingle", "step").agg(F.min("group").alias("leader")), "jaccard-leaders")
+    follow = postings.join(leaders, ["shingle", "step"]).select(F.col("group").alias("a"), F.col("leader").alias("b"))
+    above = leaders.select("shingle", (F.col("step") - 1).alias("step"), F.col("leader").alias("b"))
+    return follow.unionAll(leaders.join(above, ["shingle", "step"]).select(F.col("leader").alias("a"), "b"))
+
+
 def _full_sets(rows: DataFrame, near: DataFrame, size: int) -> DataFrame:
     """The candidates with their whole sets, from a second reading of their texts."""
     wanted = near.select(F.col("node").alias("id"), "s1", "s2", "n").distinct()
-    ids = small_side(wanted.select("id").distinct())
+    few = maybe_in(rows, "id", wanted.select("id").distinct(), "__may").where("__may").select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,7 +250,7 @@ def _full_sets(rows: DataFrame, near: DataFrame, size: int) -> DataFrame:
                 value, first = shingles(texts(batch.column(1)[at:to]), size)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[at:to], *map(pa.array, _signatures(value, first)), _lists(value, first)], names=["node", "s1", "s2", "members"])
 
-    sets = rows.join(ids, "id", "left_semi").mapInArrow(run, "node bigint, s1 bigint, s2 bigint, members array<bigint>")
+    sets = few.mapInArrow(run, "node bigint, s1 bigint, s2 bigint, members array<bigint>")
     return near.join(sets, ["node", "s1", "s2"])
 
 

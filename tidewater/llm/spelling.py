@@ -17,13 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import materialize
+from tidewater.llm.common import bit_table, materialize, table_bits
 from tidewater.llm.textarrays import mix64
 
 LETTERS = "a-zÀ-ÿ"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Bits of the table that tells which hashes reduced words have: 16 MiB, whatever the vocabulary.
-TABLE_BITS = 1 << 27
 #: Neighbours generated at once.
 SLICE = 1 << 20
 
@@ -144,17 +142,15 @@ def _expand(symbols: int, table: np.ndarray):
     return run
 
 
-def _bit_table(keyed: DataFrame, bits: int) -> np.ndarray:
-    """Which low bits of a key occur: at most ``bits`` / 64 rows, combined per task first."""
-    low = F.col("key").bitwiseAND(F.lit(bits - 1))
-    rows = keyed.select(F.shiftright(low, 6).alias("at"), F.expr(f"shiftleft(1L, cast(key & 63 as int))").alias("bit"))
-    found = rows.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
-    table = np.zeros(bits // 64, np.int64)
-    table[found.column("at").to_numpy()] = found.column("bits").to_numpy()
+def _bits(keyed: DataFrame, n: int) -> np.ndarray:
+    """The bit table of the reduced words' hashes as bytes."""
+    found = bit_table(keyed, "key", n).toArrow()  # bounded rows
+    table = np.zeros(table_bits(n) // 64, np.int64)
+    table[found.column("__at").to_numpy()] = found.column("__bits").to_numpy()
     return table.view(np.uint8)
 
 
-def variants(vocabulary: DataFrame, times: int = 10, symbols: int | None = None, bits: int | None = None) -> DataFrame:
+def variants(vocabulary: DataFrame, times: int = 10, symbols: int | None = None) -> DataFrame:
     """Every word of ``vocabulary`` (``word``, ``n``; distinct, not null) with its group.
 
     Words are near if one inserted, deleted or replaced code point tells them apart. ``n_near`` counts a word's near words
@@ -169,9 +165,7 @@ def variants(vocabulary: DataFrame, times: int = 10, symbols: int | None = None,
     n = vocabulary.count()
     symbols = symbols or symbols_for(n)
     keyed = materialize(vocabulary.mapInArrow(_keyed(symbols), "word string, n bigint, key bigint"), "variants-reduced")
-    # as many bits as 16 a word need, a power of two, up to the fixed bound
-    bits = bits or int(min(TABLE_BITS, 1 << max(10, (16 * n).bit_length())))
-    around = vocabulary.select("word").mapInArrow(_expand(symbols, _bit_table(keyed, bits)), "key bigint, word string")
+    around = vocabulary.select("word").mapInArrow(_expand(symbols, _bits(keyed, n)), "key bigint, word string")
     others = keyed.select("key", F.col("word").alias("other"), F.col("n").alias("m"))
     met = around.join(others, (around["key"] == others["key"]) & (F.levenshtein(F.col("word"), F.col("other"), 1) == 1))
     best = F.min(F.struct((-F.col("m")).alias("m"), F.col("other").alias("word")))

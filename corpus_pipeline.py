@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import jaccard, mixing, pieces, pii, quality
-from tidewater.llm.common import fresh, id_bucket, materialize
+from tidewater.llm.common import fresh, id_bucket, materialize, maybe_in
 
 #: Documents that score less are rejected.
 QUALITY_LEAST = 0.3
@@ -43,8 +43,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def _first_of_groups(docs: DataFrame, id_col: str) -> DataFrame:
     """The rows that are the smallest by ``id_col``, which tells them apart, of their group; those without one stay."""
     groups = materialize(jaccard.jaccard_join(docs, id_col, size=5, percent=80).select(id_col, "component_id"), "groups")
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(jaccard.small_side(gone), id_col, "left_anti").select(docs.columns)
+    gone = materialize(groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "groups-gone")
+    # Only the texts that may go take part in the join.
+    may = fresh("__may", docs.columns)
+    seen = maybe_in(docs, id_col, gone, may)
+    doubtful = seen.where(may).join(gone, id_col, "left_anti")
+    return seen.where(~F.col(may)).select(docs.columns).unionAll(doubtful.select(docs.columns))
 
 
 def hide_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -110,14 +110,16 @@ def _unseen_removed(text: Column) -> Column:
         return F.replace(F.regexp_replace(t, UNSEEN, ""), mark, F.lit(""))
 
     def removed(t: Column) -> Column:
-        low = F.lower(t)
-        unclosed = _after(t, "-->").contains("<!--")
-        for tag in HIDDEN:
-            unclosed |= _after(low, f"</{tag}").contains(f"<{tag}")
+        def any_unclosed(low: Column) -> Column:
+            found = _after(t, "-->").contains("<!--")
+            for tag in HIDDEN:
+                found |= _after(low, f"</{tag}").contains(f"<{tag}")
+            return found
+
         mark = F.lit(MARKS[-1])
         for c in MARKS[:-1]:
             mark = F.when(~t.contains(c), F.lit(c)).otherwise(mark)
-        return F.when(unclosed, _bind(mark, lambda m: marked(t, m))).otherwise(F.regexp_replace(t, UNSEEN, ""))
+        return F.when(_bind(F.lower(t), any_unclosed), _bind(mark, lambda m: marked(t, m))).otherwise(F.regexp_replace(t, UNSEEN, ""))
 
     return _bind(text, removed)
 
@@ -128,8 +130,12 @@ _ENDS = {"!--": "-->", **{rf"{tag}\b": f"</{tag}" for tag in HIDDEN}}
 
 def _tagged_part(text: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` on the text up to its last ``>``: all tags end there, and behind it a search for an end would find none."""
-    whole = F.struct(text.alias("text"), F.when(text.contains(">"), _after(text, ">")).otherwise(text).alias("rest"))
-    return _bind(whole, lambda w: F.concat(use(_before(w["text"], w["rest"])), w["rest"]))
+
+    def split(t: Column) -> Column:
+        rest = F.when(t.contains(">"), _after(t, ">")).otherwise(t)
+        return _bind(rest, lambda r: F.concat(use(_before(t, r)), r))
+
+    return _bind(text, split)
 
 
 def plain_text(html: Column) -> Column:

@@ -131,9 +131,12 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     An empty table gives an empty result.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("vec"), F.col(f"`{label_col}`").alias("label"))
+    # Single precision travels as it is and is widened where it is compared.
+    single = df.schema[vector_col].dataType.simpleString() == "array<float>"
+    kind = "float" if single else "double"
+    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{vector_col}`").cast(f"array<{kind}>").alias("vec"), F.col(f"`{label_col}`").alias("label"))
     ok = usable(F.col("vec")) & F.col("label").isNotNull() & F.col("id").isNotNull()
-    vec = F.transform("vec", lambda v: v + F.lit(0.0))  # -0.0 counts as 0.0
+    vec = F.transform("vec", lambda v: v + F.lit(0.0).cast(kind))  # -0.0 counts as 0.0
     rows = rows.withColumn("ok", ok).withColumn("vec", F.when(F.col("ok"), vec)).withColumn("h1", F.xxhash64("vec")).withColumn("h2", F.xxhash64(F.lit(1), "vec", F.lit(2)))
     key = ["label", "h1", "h2"]
     nodes = rows.where("ok").groupBy(*key).agg(F.min("id").alias("node"), F.count("*").alias("n"), F.first("vec").alias("vec"))
@@ -166,8 +169,8 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
 
 def _schema(nodes: DataFrame) -> str:
-    label = nodes.schema["label"].dataType.simpleString()
-    return f"node bigint, n bigint, label {label}, vec array<double>, cell int, seen array<int>"
+    label, vec = (nodes.schema[c].dataType.simpleString() for c in ("label", "vec"))
+    return f"node bigint, n bigint, label {label}, vec {vec}, cell int, seen array<int>"
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:

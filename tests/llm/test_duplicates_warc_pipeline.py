@@ -196,6 +196,30 @@ def test_warc_digests_and_references(spark):
     assert warc.derive(warc.responses_from_pages(df.where("false"))).count() == 0
 
 
+def test_the_linear_forms_equal_the_plain_patterns(spark):
+    """What the SQL twin says with patterns that search to the end of the page from every opener."""
+    rng = random.Random(3)
+    bits = ["<!--", "-->", "<script>", "</script>", "<SCRIPT x='", "'>", "</sCript", "<style", "</style>", "<noscript>", "</noscript  >", "<template", "</template>", "<scripty>", "<", ">", "<a href="]
+    bits += ["</p>", "<br>", "<p ", "<div ", "text", "&amp;", "&am", "p;", " ", "\n", " \n ", "<!", "<!-->", "<title>", "<title", "</title", "\ufdd0", "é", "<b> ", "<?x"]
+    df = spark.createDataFrame([("".join(rng.choice(bits) for _ in range(rng.randrange(1, 40))),) for _ in range(3000)], "html string")
+    html = F.col("html")
+    plain = F.regexp_replace(F.regexp_replace(html, warc.BLANKS, " "), warc.BREAKS, "\n")
+    plain = F.btrim(F.regexp_replace(warc.unescape(F.regexp_replace(plain, warc.UNSEEN, "")), warc.LINES, "\n"), F.lit(" \n"))
+    title = F.regexp_extract(html, "(?is)<title[^>]*>([^<]*)</title", 1)
+    out = df.select("html", (warc.plain_text(html) == plain).alias("text"), (F.regexp_extract(html, warc.TITLE, 1) == title).alias("title"))
+    assert out.where("NOT (text AND title)").collect() == []
+
+
+def test_hostile_pages_take_linear_time(spark):
+    import time
+
+    for bit in ("<!--", "<script>", "<a", "<title ", "<b> "):
+        pages = spark.createDataFrame([(1, "u", bit * (1_000_000 // len(bit)) + end) for end in ("", ">")], "page_id int, url string, html string")
+        began = time.time()
+        assert warc.derive(warc.responses_from_pages(pages)).agg(F.sum("content_length")).first()[0] > 0
+        assert time.time() - began < 30, bit
+
+
 def test_warc_entities_are_html():
     assert {k: html.unescape(f"&{k};").replace("\xa0", " ") for k in warc.ENTITIES} == warc.ENTITIES
 

@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
@@ -141,6 +141,34 @@ def test_other_kinds(spark):
     assert out[5].endswith(", DE88370400440532013000")
 
 
+def test_days_and_numbers_in_other_notations(spark):
+    out = hide(
+        spark, "2024-03-05 10:11", "2024-03-05T10:11:12Z", "2024-03-05Tuesday", "3/5/2024", "2024-3-5", "5.3.2024", "13/25/2024", "1.2.3.2024x",
+        "+44 20 7946 0958", "+44-20-7946-0958!", "call 555 123 4567 8901", "call 555 123 4567 2 times", "+12 34", "a+44 20 7946 0958",
+    )
+    day = datetime.date.fromisoformat(out[0][:10])
+    assert out[0] == f"{day} 10:11" and out[1] == f"{day}T10:11:12Z" and out[2] == "2024-03-05Tuesday" and day != datetime.date(2024, 3, 5)
+    assert out[3] == f"{day.month}/{day.day}/{day.year}" and out[4] == f"{day.year}-{day.month}-{day.day}" and out[5] == f"{day.day}.{day.month}.{day.year}"
+    assert out[6] == "13/25/2024" and out[7] == "1.2.3.2024x"
+    moved = digits("2079460958", "phone")
+    assert out[8] == f"+44 {moved[:2]} {moved[2:6]} {moved[6:]}" and out[9] == f"+44-{moved[:2]}-{moved[2:6]}-{moved[6:]}!"
+    assert out[10] == "call 555 123 4567 8901" and out[11] != "call 555 123 4567 2 times" and out[11].endswith(" 2 times")
+    assert out[12] == "+12 34" and out[13] == "a+44 20 7946 0958"
+
+
+def test_the_key_comes_from_the_session(spark):
+    with pytest.raises(TypeError):
+        pii.pseudonymize(frame(spark, []))
+    assert pii.session_key(spark) == pii.TEST_KEY
+    spark.conf.set(pii.KEY_SETTING, "secret")
+    try:
+        assert pii.session_key(spark) == "secret"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    a, b = (pii.pseudonymize(frame(spark, [row(1, "97.51.17.173")]), key=k).first()["text"] for k in ("secret", pii.TEST_KEY))
+    assert a != b
+
+
 def iban_check(text):
     plain = text.replace(" ", "")
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97

@@ -208,6 +208,44 @@ def test_trees_equal_a_plain_walk():
     assert quality.fit_trees(x[:100], np.ones(100)).score(x[:2]).min() > 0.9
 
 
+def test_splits_are_the_best_of_all(monkeypatch):
+    """Every split against a plain search over all features and bin edges, and every leaf's value."""
+    monkeypatch.setattr(quality, "ROUNDS", 3)
+    rng = np.random.default_rng(11)
+    x = np.column_stack([rng.normal(size=600), rng.integers(0, 4, 600), rng.normal(size=600) ** 3, np.zeros(600)])
+    y = (x[:, 0] + (x[:, 1] == 2) + rng.normal(size=600) * 0.5 > 0.4).astype(float)
+    trees = quality.fit_trees(x, y)
+    inner = 2**quality.DEPTH - 1
+    edges = [sorted({np.sort(x[:, f])[int(np.floor(q * (len(x) - 1)))] for q in np.linspace(0, 1, quality.BINS + 1)[1:-1]}) for f in range(x.shape[1])]
+
+    def gain(rows, g, h, f, edge):
+        low = rows[x[rows, f] <= edge]
+        high = rows[x[rows, f] > edge]
+        if min(len(low), len(high)) < quality.LEAST_LEAF:
+            return -1.0
+        score = lambda r: g[r].sum() ** 2 / (h[r].sum() + quality.RIDGE)
+        return score(low) + score(high) - score(rows)
+
+    margin = np.full(len(y), trees.base)
+    for t in range(3):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = p - y, p * (1 - p)
+        at = {0: np.arange(len(y))}
+        for node in range(inner):
+            rows, f, edge = at[node], trees.feature[t, node], trees.threshold[t, node]
+            best = max((gain(rows, g, h, k, e) for k in range(x.shape[1]) for e in edges[k]), default=-1.0)
+            if np.isinf(edge):
+                assert best <= 1e-6
+            else:
+                assert edge in edges[f] and gain(rows, g, h, f, edge) == pytest.approx(best, rel=1e-9)
+            at[2 * node + 1], at[2 * node + 2] = rows[x[rows, f] <= edge], rows[x[rows, f] > edge]
+        for k in range(2**quality.DEPTH):
+            rows = at[inner + k]
+            value = -quality.RATE * g[rows].sum() / (h[rows].sum() + quality.RIDGE)
+            assert trees.leaf[t, k] == pytest.approx(value)
+            margin[rows] += trees.leaf[t, k]
+
+
 def test_statistics_of_odd_texts():
     s = quality.statistics(textarrays.texts(pa.array([None, "", " ", "Ab ab! 12 ##", "é" * 5])))
     assert np.isfinite(s).all() and (s[0] == s[1]).all() and (s[0] == 0).all()

@@ -12,7 +12,7 @@ from tidewater.operators.clean import clean_events
 from tidewater.operators.encode import encode_json
 from tidewater.operators.lifecycle import alert_events, sweep_dated_folders
 from tidewater.operators.parse import infer_rows, parse_raw
-from tidewater.plans.programs import alert_action
+from tidewater.plans.programs import alert_action, forwarder
 from tidewater.sinks.tables import append_table, stage_csv, stage_json
 from tidewater.sources.files import ADMIT_FILES, admit_files, read_raw_lines, read_staged_csv
 from tidewater.sources.search import search_head
@@ -140,6 +140,20 @@ def test_direct_streams_and_batches_share_a_target(spark, tmp_path):
     assert rows.count() == 300 and rows.select("note").distinct().count() == 300
 
 
+def test_direct_delivery_and_the_forwarder_take_a_mapping(spark, tmp_path):
+    base, mapping = str(tmp_path), [("id", "$.event_id", "bigint"), ("said", "$.note", "string"), ("run", "$.run_id", "string")]
+    for i, make in enumerate((_batch, _stream)):
+        account = alert_action(make(spark, base, f"r{i}"), f"{base}/t", f"r{i}", durable="0", checkpoint=f"{base}/ckpt", mapping=mapping).first()
+        assert (account.run_id, account.sent, account.failed) == (f"r{i}", 100, 0)
+    rows = spark.read.parquet(f"{base}/t").select("id", "said", "run")
+    assert {tuple(r) for r in rows.collect()} == {(e, f"r{i} note {e}", f"r{i}") for e in range(100) for i in (0, 1)}
+    os.makedirs(f"{base}/raw")
+    with open(f"{base}/raw/a.txt", "w") as f:
+        f.write('one, "two"\n \nthree\n')
+    out = forwarder(spark, f"{base}/raw", f"{base}/fs", f"{base}/ft", f"{base}/c1", f"{base}/c2", mapping=[("text", 0, "string")])
+    assert sorted(r.text for r in out.collect()) == ['one, "two"', "three"]
+
+
 def test_two_loads_of_one_folder_take_each_file_once(spark, tmp_path):
     base = str(tmp_path)
     for i in range(6):

@@ -162,7 +162,11 @@ def _with_auto_chunk(df: DataFrame, keys: list[str], order: list[str], n_chunks:
         chunk = place if chunk is None else chunk * F.lit(4 * n_chunks + 8) + place
         if not heavy:
             break
-        mine = F.col(value).isin(heavy)
+        # at most one heavy value a chunk
+        marked = df.sparkSession.createDataFrame([(h, True) for h in heavy], f"_tw_hv{level} DOUBLE, _tw_heavy{level} BOOLEAN")
+        out = out.join(F.broadcast(marked), F.col(value) == F.col(f"_tw_hv{level}"), "left").drop(f"_tw_hv{level}")
+        drop += [f"_tw_heavy{level}"]
+        mine = F.coalesce(F.col(f"_tw_heavy{level}"), F.lit(False))
         tied = mine if tied is None else tied & mine
 
     hot = (

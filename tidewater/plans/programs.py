@@ -26,7 +26,7 @@ from tidewater.operators.account import delivery_summary
 from tidewater.operators.batch import DEFAULT_MAX_BYTES, assign_byte_batch, tag_run
 from tidewater.operators.clean import clean_events
 from tidewater.operators.lifecycle import alert_events
-from tidewater.operators.parse import JSON_TS_OPTIONS, infer_rows
+from tidewater.operators.parse import JSON_TS_OPTIONS, apply_mapping, infer_rows
 from tidewater.sinks.tables import BATCHES_PER_FOLDER, RUN_UNIT, STREAM_UNIT, append_table, deliver_direct, path_name, stage_json
 from tidewater.sources.search import search_head
 from tidewater.streaming.alerts import FiringWindows
@@ -107,8 +107,8 @@ def alert_action(
     key), ``staging_dir`` and ``checkpoint``; direct delivery of a streaming
     DataFrame needs ``checkpoint``.  ``corrupt_col`` marks bad events (see
     :func:`tidewater.operators.parse.parse_raw`): they go to the target's dead letters and
-    count as failed, the others are delivered.  ``mapping`` projects each staged event to
-    destination columns (durable mode).  ``select`` picks the events to deliver from each micro-batch of a
+    count as failed, the others are delivered.  ``mapping`` projects each event to
+    destination columns (a direct delivery's account then has no elapsed time).  ``select`` picks the events to deliver from each micro-batch of a
     stream (:class:`tidewater.streaming.alerts.FiringWindows`).  A rerun of the same run delivers nothing twice, and
     runs may share staging folder, target and checkpoint.
     """
@@ -124,11 +124,14 @@ def alert_action(
     if select is not None and not (durable and ev.isStreaming):
         raise ValueError("events are selected from the micro-batches of a durable stream")
     if not durable:
+        rows = ev
         if mapping is not None:
-            raise ValueError("a mapping applies to staged events (durable delivery)")
-        deliver_direct(ev, target, fmt, checkpoint=checkpoint and f"{checkpoint}/{path_name(run_id)}", run_id=run_id)
-        sent = _delivered(spark, f"{target}/delivery={path_name(run_id)}" + ("+*" if ev.isStreaming else ""), fmt, ev.schema)
-        ledger = sent.select("run_id", F.lit("ok").alias("status"), F.col(order_by[0]).alias("ts"), F.lit(1).alias("rows"))
+            payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in ev.columns]), JSON_TS_OPTIONS)
+            rows = apply_mapping(ev.select(payload.alias("payload")), mapping, "payload", "json")
+        deliver_direct(rows, target, fmt, checkpoint=checkpoint and f"{checkpoint}/{path_name(run_id)}", run_id=run_id)
+        sent = _delivered(spark, f"{target}/delivery={path_name(run_id)}" + ("+*" if ev.isStreaming else ""), fmt, rows.schema)
+        ts = F.col(order_by[0]) if mapping is None else F.lit(None).cast(ev.schema[order_by[0]].dataType)
+        ledger = sent.select(F.lit(run_id).alias("run_id"), F.lit("ok").alias("status"), ts.alias("ts"), F.lit(1).alias("rows"))
         if failed:
             ledger = ledger.unionByName(load_ledger(spark, target).where((F.col("run_id") == run_id) & (F.col("status") == "failed")).select("run_id", "status", F.lit(None).cast(ev.schema[order_by[0]].dataType).alias("ts"), "rows"))
         return delivery_summary(ledger, ts_col="ts", count_col="rows")
@@ -178,9 +181,10 @@ def forwarder(
     load_checkpoint: str,
     run_id: str = "forwarder",
     fmt: str = "parquet",
+    mapping: Sequence[tuple[str, int, str]] | None = None,
 ) -> DataFrame:
     """Program C: raw text -> staged single-field CSV (blank lines dropped) ->
-    exactly-once load.  Returns the committed rows of ``target``."""
+    exactly-once load, through a CSV ``mapping`` if there is one.  Returns the committed rows of ``target``."""
     stage_intake(spark, raw_dir, staged_dir, intake_checkpoint)
-    load_staged(spark, staged_dir, target, "line STRING", load_checkpoint, kind="csv", fmt=fmt, run_id=run_id)
+    load_staged(spark, staged_dir, target, "line STRING", load_checkpoint, kind="csv", fmt=fmt, run_id=run_id, mapping=mapping)
     return committed_rows(spark, target, fmt)

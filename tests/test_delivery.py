@@ -230,6 +230,48 @@ def test_a_damaged_buffer_is_tried_again_then_dead(spark, tmp_path):
     assert sorted(f for f in os.listdir(f"{base}/done") if f.endswith(".gz")) == ["cut.json.gz", "good.json.gz", "late.json.gz", "mended.json.gz"]
 
 
+def test_a_file_that_stays_damaged_is_not_parsed_again(spark, tmp_path, monkeypatch):
+    from tidewater.streaming import load as module
+
+    base, parsed, read = str(tmp_path), [], module.read_records
+    monkeypatch.setattr(module, "read_records", lambda spark, files, *rest: parsed.append(sorted(map(os.path.basename, files))) or read(spark, files, *rest))
+    line = '{"a": 1, "b": "' + "".join(chr(97 + i * i % 26) for i in range(4000)) + '"}\n'
+    for name, cut in (("good", None), ("cut", 60), ("mended", 60)):
+        _gzip(f"{base}/staged/{name}.json.gz", line * 20, cut=cut)
+
+    def load():
+        parsed.clear()
+        load_staged(spark, f"{base}/staged", f"{base}/t", "a INT, b STRING", f"{base}/ckpt", run_id="r")
+        return committed_rows(spark, f"{base}/t").count(), list(parsed)
+
+    assert load() == (20, [["cut.json.gz", "good.json.gz", "mended.json.gz"], ["good.json.gz"]])
+    assert load() == (20, [[]])
+    _gzip(f"{base}/staged/mended.json.gz", line * 20)
+    assert load() == (40, [["mended.json.gz"]])
+
+
+def test_buffers_of_the_mapped_load_are_bounded(spark, tmp_path, monkeypatch):
+    from tidewater.plans import catalog
+
+    events = spark.range(0, 1000, 1, 2).select(F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"), (F.col("id") % 7).alias("user_id"), F.when(F.col("id") % 10 > 0, "click").alias("event_type"), (F.col("id") / 4).alias("value"), F.lit("{}").alias("props"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(catalog, "BUFFER_LINES", 100, raising=False)
+    monkeypatch.setattr(catalog, "work_path", lambda spark, name: f"{tmp_path}/{name}")
+    rows = catalog.q_load_mapped(spark, str(tmp_path)).collect()
+    lines = []
+    for name in os.listdir(f"{tmp_path}/mapped-staged"):
+        if name.endswith(".gz") and name != "cut.json.gz":
+            with gzip.open(f"{tmp_path}/mapped-staged/{name}") as f:
+                lines.append(len(f.readlines()))
+    assert max(lines) <= 100 and sum(lines) == 1000
+    # a null event type leaves the line null, which is no record
+    found = lambda route: sorted(r.id if route == "good" else r.record for r in rows if r.route == route)
+    known = [i for i in range(1000) if i % 10]
+    broken = {i: f"not json {i}" if i % 97 == 0 else f"[{i}]" for i in range(1000) if i % 97 == 0 or i % 89 == 0}
+    assert found("good") == [i for i in known if i not in broken] and found("dead") == sorted(broken.values())
+    assert [r.record for r in rows if r.route == "lost"] == [None]
+
+
 def test_mapped_csv_records_stay_whole(spark, tmp_path):
     base = str(tmp_path)
     lines = ["a\nb", "c", 'q"x', "x,y", " z "]

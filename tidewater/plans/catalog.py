@@ -71,6 +71,8 @@ TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 #: Bytes of a staged batch in these queries: small enough that every key has several at sf0.01.
 BATCH_BYTES = 16 * 1024
+#: Lines of a staged buffer written as text: about what ``MAX_BUFFER_BYTES`` holds.
+BUFFER_LINES = 100_000
 
 
 # --- sources -----------------------------------------------------------------
@@ -408,9 +410,10 @@ def q_alert_delivered_rows(spark, sf):
 
 def q_load_mapped(spark, sf):
     """K4 through a mapping, from a folder with malformed records and a truncated buffer: the good records, the dead
-    letters with their text, and the buffer, dead after five tries (its records are those of an event type in another buffer)."""
+    letters with their text, and the buffer, dead after five tries (its records are those of another buffer). Every
+    buffer ends after ``BUFFER_LINES``, as a delivery tool rotates them: one is read by one task, whatever its size."""
     staged, target, ckpt = (work_path(spark, f"mapped-{x}") for x in ("staged", "target", "ckpt"))
-    fx.staged_lines(spark, sf).repartition("event_type").write.partitionBy("event_type").option("compression", "gzip").text(f"{staged}-text")
+    fx.staged_lines(spark, sf).write.partitionBy("event_type").option("maxRecordsPerFile", BUFFER_LINES).option("compression", "gzip").text(f"{staged}-text")
     _publish_buffers(spark, f"{staged}-text", staged)
     mapping = [("id", "$.id", "bigint"), ("kind", "$.sub.kind", "string"), ("user", "$.user", "bigint"), ("value", "$.value", "string")]
     for _ in range(RETRY_TIMES):

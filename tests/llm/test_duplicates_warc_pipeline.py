@@ -210,6 +210,21 @@ def test_the_linear_forms_equal_the_plain_patterns(spark):
     assert out.where("NOT (text AND title)").collect() == []
 
 
+def test_the_steps_of_the_text_equal_their_patterns(spark):
+    """Blanks and line ends with one test a character, and more openers than are searched without marks."""
+    rng = random.Random(5)
+    rows = [("".join(rng.choice("\t\n\x0b\x0c\r   a") for _ in range(rng.randrange(30))), "".join(rng.choice("\n\n   a") for _ in range(rng.randrange(30)))) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "x string, y string")
+    blanks = F.regexp_replace("x", warc.BLANKS_ONCE, " ") == F.regexp_replace("x", warc.BLANKS, " ")
+    lines = F.regexp_replace("y", warc.LINES_ONCE, "\n") == F.regexp_replace("y", warc.LINES, "\n")
+    assert df.where(~blanks | ~lines).count() == 0
+    bits = ["<!--", "<script>", "</script>", "-->", "<STYLE ", "<template>", "x", ">", "<b>", "</style>"]
+    pages = spark.createDataFrame([("".join(rng.choice(bits) for _ in range(n)),) for n in (*range(20, 80), *range(200, 260))], "html string")
+    plain = F.btrim(F.regexp_replace("html", warc.UNSEEN, ""), F.lit(" \n"))
+    assert pages.where(F.regexp_count("html", F.lit(warc.OPENERS)) > warc.FEW).count() > 60
+    assert pages.where(warc.plain_text(F.col("html")) != plain).collect() == []
+
+
 def test_hostile_pages_take_linear_time(spark):
     import time
 

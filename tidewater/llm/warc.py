@@ -27,14 +27,19 @@ HIDDEN = ("script", "style", "noscript", "template")
 BREAKING = "address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
 #: Runs of blanks that are not one space; tags that break a line; comments, hidden elements and all other tags.
 BLANKS = r"[\x09-\x0D][\x09-\x0D\x20]*|\x20[\x09-\x0D\x20]+"
+#: The same, with one test of a character that is no blank.
+BLANKS_ONCE = r"[\t\n\x0B\f\r ](?:[\t\n\x0B\f\r ]++|(?<! ))"
 BREAKS = rf"(?i)</?(?:{BREAKING})(?:[ /][^>]*)?>"
 UNSEEN = "(?is)<(?:!--.*?-->|" + "|".join(rf"{tag}\b.*?</{tag}[^>]*>" for tag in HIDDEN) + "|[a-z/!?][^>]*>)"
 #: Line ends with blanks about them, or several.
 LINES = " +\n[ \n]*|\n[ \n]+"
-#: The same, tried once a run of blanks.
-LINES_ONCE = "(?<! ) ++\n[ \n]*+|\n[ \n]++"
+#: The same, tried once a run of blanks, with one test of a character that is neither.
+LINES_ONCE = "[ \n](?:(?<= )(?<!  ) *+\n[ \n]*+|(?<=\n)[ \n]++)"
 #: A title, tried at the last of several openers before a ``>``; the others would find the same.
 TITLE = "(?is)<title(?:[^<>]|<(?!title))*+>([^<]*+)</title"
+#: What a comment or hidden element begins with, and how many searches for a missing end are cheaper than looking for it first.
+OPENERS = "(?i)<(?:!--|" + "|".join(HIDDEN) + ")"
+FEW = 16
 #: Noncharacters, of which one that a page does not have marks openers without an end.
 MARKS = "\ufdd0\ufdd1\ufdd2\ufdd3"
 REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]{2,8});"
@@ -101,8 +106,8 @@ def _marked(text: Column, opener: str, end: str, mark: Column) -> Column:
 
 
 def _unseen_removed(text: Column) -> Column:
-    """``text`` without comments, hidden elements and tags, in time linear in its length: openers whose end is missing are
-    marked first, so that every search for an end finds one, and what it has passed over is gone."""
+    """``text`` without comments, hidden elements and tags, in time linear in its length: unless there are ``FEW`` openers,
+    those whose end is missing are marked first, so that every search for an end finds one, and what it has passed over is gone."""
 
     def marked(t: Column, mark: Column) -> Column:
         for opener, end in _ENDS.items():
@@ -119,7 +124,8 @@ def _unseen_removed(text: Column) -> Column:
         mark = F.lit(MARKS[-1])
         for c in MARKS[:-1]:
             mark = F.when(~t.contains(c), F.lit(c)).otherwise(mark)
-        return F.when(_bind(F.lower(t), any_unclosed), _bind(mark, lambda m: marked(t, m))).otherwise(F.regexp_replace(t, UNSEEN, ""))
+        unclosed = (F.regexp_count(t, F.lit(OPENERS)) > FEW) & _bind(F.lower(t), any_unclosed)
+        return F.when(unclosed, _bind(mark, lambda m: marked(t, m))).otherwise(F.regexp_replace(t, UNSEEN, ""))
 
     return _bind(text, removed)
 
@@ -142,7 +148,7 @@ def plain_text(html: Column) -> Column:
     """The visible text: comments, hidden elements and tags removed, blocks on lines of their own, references decoded, blanks folded.
 
     Linear in the page's length, also for pages of nothing but openers."""
-    out = _tagged_part(F.regexp_replace(html, BLANKS, " "), lambda t: F.regexp_replace(t, BREAKS, "\n"))
+    out = _tagged_part(F.regexp_replace(html, BLANKS_ONCE, " "), lambda t: F.regexp_replace(t, BREAKS, "\n"))
     out = unescape(_tagged_part(out, _unseen_removed))
     return F.btrim(F.regexp_replace(out, LINES_ONCE, "\n"), F.lit(" \n"))
 
